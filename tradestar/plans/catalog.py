@@ -1,262 +1,4 @@
-"""Query registry: every key binds a Spark job on the driver's tables to its
-ANSI-SQL oracle. Callables take ``(spark, sf_dir)`` and return a lazy
-DataFrame over the whole tables; nothing is collected.
+"""All registered queries: importing this module fills the registry."""
 
-Parameters of the reports (years, state, top-k) are fixed here because the
-test data spans 1995-2001 and uses region codes as states.
-"""
-
-from __future__ import annotations
-
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame, SparkSession
-
-from tradestar.functions import keys as K
-from tradestar.operators import gold as G
-from tradestar.operators import marts as M
-from tradestar.plans.sql import with_ctes
-from tradestar.sources import standins as S
-
-QueryFn = Callable[[SparkSession, str], DataFrame]
-QUERIES: dict[str, QueryFn] = {}
-ORACLE: dict[str, str] = {}
-
-# Report parameters.
-MIN_YEAR = 1998
-TOP_FROM, TOP_TO = 199801, 199812
-VOCATION_STATE = "AM"
-TOP_K = 10
-
-
-def register(key: str, sql: str | None = None):
-    def deco(fn: QueryFn) -> QueryFn:
-        QUERIES[key] = fn
-        if sql is not None:
-            ORACLE[key] = with_ctes(sql)
-        return fn
-    return deco
-
-
-# --------------------------------------------------------------------------- gold inputs
-def exp_imp(spark, d):
-    return S.exports(spark, d), S.imports(spark, d)
-
-
-def fact_of(spark, d) -> DataFrame:
-    e, i = exp_imp(spark, d)
-    return G.build_fact(e, i)
-
-
-def dim_date_of(spark, d) -> DataFrame:
-    e, i = exp_imp(spark, d)
-    return G.build_dim_date(e, i)
-
-
-def dim_product_of(spark, d, enriched: bool = False) -> DataFrame:
-    if enriched:
-        return G.build_dim_product(S.ncm(spark, d), S.ncm_fat_agreg(spark, d), S.ncm_ppe(spark, d))
-    return G.build_dim_product(S.ncm(spark, d))
-
-
-def dim_geo_of(spark, d, enriched: bool = False) -> DataFrame:
-    e, i = exp_imp(spark, d)
-    return G.build_dim_geography(S.pais(spark, d), S.pais_bloco(spark, d), e, i,
-                                 S.uf(spark, d) if enriched else None)
-
-
-def dim_transport_of(spark, d) -> DataFrame:
-    return G.build_dim_transport(S.via(spark, d))
-
-
-def distribution_of(spark, d) -> DataFrame:
-    return M.establishment_distribution(S.estabelecimentos(spark, d), S.empresas(spark, d),
-                                        S.cnaes(spark, d), S.ACTIVE_STATUS)
-
-
-# --------------------------------------------------------------------------- M0/M1 gold
-@register("dim_date", "SELECT * FROM dim_data")
-def q_dim_date(spark, d):
-    return dim_date_of(spark, d)
-
-
-@register("fact_unified", "SELECT * FROM fact")
-def q_fact_unified(spark, d):
-    return fact_of(spark, d)
-
-
-@register("dim_product", "SELECT * FROM dim_ncm")
-def q_dim_product(spark, d):
-    return dim_product_of(spark, d)
-
-
-@register("dim_product_enriched", "SELECT * FROM dim_ncm_enriched")
-def q_dim_product_enriched(spark, d):
-    return dim_product_of(spark, d, enriched=True)
-
-
-@register("dim_transport", "SELECT * FROM dim_via")
-def q_dim_transport(spark, d):
-    return dim_transport_of(spark, d)
-
-
-@register("dim_geography", "SELECT * FROM dim_geo")
-def q_dim_geography(spark, d):
-    return dim_geo_of(spark, d)
-
-
-@register("dim_geography_enriched", "SELECT * FROM dim_geo_enriched")
-def q_dim_geography_enriched(spark, d):
-    return dim_geo_of(spark, d, enriched=True)
-
-
-@register("fact_at_grain", """
-SELECT sk_ncm, sk_geografia, sk_geografia_uf, sk_via_transporte, sk_data, tipo_movimentacao,
-       CAST(sum(valor_fob) AS DECIMAL(38,2)) AS valor_fob,
-       CAST(sum(quantidade) AS DECIMAL(38,2)) AS quantidade,
-       CAST(sum(kg_liquido) AS DECIMAL(38,2)) AS kg_liquido
-FROM fact
-GROUP BY sk_ncm, sk_geografia, sk_geografia_uf, sk_via_transporte, sk_data, tipo_movimentacao""")
-def q_fact_at_grain(spark, d):
-    return G.fact_at_grain(fact_of(spark, d))
-
-
-@register("fact_derived_measures", """
-SELECT sk_ncm, sk_geografia, sk_geografia_uf, sk_via_transporte, sk_data, tipo_movimentacao,
-       valor_fob, quantidade, kg_liquido,
-       CAST(valor_fob AS DOUBLE) / NULLIF(CAST(quantidade AS DOUBLE), 0) AS valor_unitario,
-       CAST(valor_fob AS DOUBLE) / NULLIF(CAST(kg_liquido AS DOUBLE), 0) AS preco_kg,
-       CASE WHEN tipo_movimentacao = 'EXPORTACAO' THEN 1 ELSE 0 END AS flag_exportacao,
-       CASE WHEN tipo_movimentacao = 'IMPORTACAO' THEN 1 ELSE 0 END AS flag_importacao
-FROM fact""")
-def q_fact_derived_measures(spark, d):
-    return G.fact_derived_measures(fact_of(spark, d))
-
-
-@register("surrogate_keys", """
-SELECT codigo, TRY_CAST(codigo AS BIGINT) AS sk
-FROM (SELECT CASE WHEN o_orderstatus = 'P' THEN 'N/A'
-                  ELSE lpad(CAST(o_custkey AS VARCHAR), 8, '0') END AS codigo FROM orders) t""")
-def q_surrogate_keys(spark, d):
-    from pyspark.sql import functions as F
-    codes = S.table(spark, d, "orders").select(
-        F.when(F.col("o_orderstatus") == "P", F.lit("N/A"))
-        .otherwise(F.lpad(F.col("o_custkey").cast("string"), 8, "0")).alias("codigo"))
-    return codes.select("codigo", K.surrogate_key("codigo").alias("sk"))
-
-
-# --------------------------------------------------------------------------- M2 marts
-@register("mart_monthly_balance", f"""
-SELECT d.ano, d.mes, d.nome_mes,
-       CAST(sum(f.exportacao) AS DECIMAL(38,2)) AS total_exportacao,
-       CAST(sum(f.importacao) AS DECIMAL(38,2)) AS total_importacao,
-       CAST(sum(f.exportacao) - sum(f.importacao) AS DECIMAL(38,2)) AS saldo_comercial
-FROM monthly_flows f JOIN dim_data d ON f.sk_data = d.sk_data
-WHERE d.ano >= {MIN_YEAR}
-GROUP BY d.ano, d.mes, d.nome_mes
-ORDER BY d.ano DESC, d.mes DESC""")
-def q_mart_monthly_balance(spark, d):
-    return M.mart_monthly_balance(fact_of(spark, d), dim_date_of(spark, d), MIN_YEAR)
-
-
-@register("mart_quarterly_exports", """
-SELECT d.ano, d.trimestre, CAST(sum(f.valor_fob) AS DECIMAL(38,2)) AS total_exportado
-FROM fact f JOIN dim_data d ON f.sk_data = d.sk_data
-WHERE f.tipo_movimentacao = 'EXPORTACAO'
-GROUP BY d.ano, d.trimestre
-ORDER BY d.ano DESC, d.trimestre DESC""")
-def q_mart_quarterly_exports(spark, d):
-    return M.mart_quarterly_exports(fact_of(spark, d), dim_date_of(spark, d))
-
-
-@register("mart_top_products", f"""
-SELECT n.codigo_ncm, n.nome_ncm, n.nomenclatura_ppe,
-       CAST(sum(f.valor_fob) AS DECIMAL(38,2)) AS valor_total_exportado,
-       CAST(sum(f.kg_liquido) AS DECIMAL(38,2)) AS peso_liquido_total
-FROM fact f JOIN dim_ncm n ON f.sk_ncm = n.sk_ncm
-WHERE f.tipo_movimentacao = 'EXPORTACAO' AND f.sk_data BETWEEN {TOP_FROM} AND {TOP_TO}
-GROUP BY n.codigo_ncm, n.nome_ncm, n.nomenclatura_ppe
-ORDER BY valor_total_exportado DESC, n.codigo_ncm ASC
-LIMIT {TOP_K}""")
-def q_mart_top_products(spark, d):
-    return M.mart_top_products(fact_of(spark, d), dim_product_of(spark, d), TOP_FROM, TOP_TO, TOP_K)
-
-
-@register("mart_partners", """
-SELECT g.nome_geografia, g.nivel, CAST(sum(f.valor_fob) AS DECIMAL(38,2)) AS valor_total
-FROM fact f JOIN dim_geo g ON f.sk_geografia = g.sk_geografia
-WHERE f.tipo_movimentacao = 'IMPORTACAO'
-GROUP BY g.nome_geografia, g.nivel
-ORDER BY valor_total DESC""")
-def q_mart_partners(spark, d):
-    return M.mart_partners(fact_of(spark, d), dim_geo_of(spark, d), K.IMPORT)
-
-
-@register("mart_partner_state", """
-SELECT g.nome_geografia AS pais, u.sigla AS uf, f.tipo_movimentacao,
-       CAST(sum(f.valor_fob) AS DECIMAL(38,2)) AS valor_total
-FROM fact f
-JOIN dim_geo g ON f.sk_geografia = g.sk_geografia
-JOIN dim_geo u ON f.sk_geografia_uf = u.sk_geografia
-GROUP BY g.nome_geografia, u.sigla, f.tipo_movimentacao""")
-def q_mart_partner_state(spark, d):
-    return M.mart_partner_state(fact_of(spark, d), dim_geo_of(spark, d))
-
-
-@register("mart_transport", """
-SELECT v.nome_via, f.tipo_movimentacao,
-       CAST(sum(f.valor_fob) AS DECIMAL(38,2)) AS valor_total,
-       CAST(sum(f.kg_liquido) AS DECIMAL(38,2)) AS peso_total_kg
-FROM fact f JOIN dim_via v ON f.sk_via_transporte = v.sk_via_transporte
-GROUP BY v.nome_via, f.tipo_movimentacao
-ORDER BY valor_total DESC""")
-def q_mart_transport(spark, d):
-    return M.mart_transport(fact_of(spark, d), dim_transport_of(spark, d))
-
-
-@register("kpi_monthly", "SELECT * FROM kpi")
-def q_kpi_monthly(spark, d):
-    return M.kpi_monthly(fact_of(spark, d), dim_date_of(spark, d))
-
-
-def _pct(c: str, p: str) -> str:
-    return f"CAST({c} - {p} AS DOUBLE) / CAST(NULLIF({p}, 0) AS DOUBLE)"
-
-
-@register("kpi_mom_yoy", "SELECT k.sk_data, k.ano, k.mes, k.exportacao, k.importacao, k.saldo, "
-          "k.corrente, " + ", ".join(
-              f"{_pct('k.' + c, 'm.' + c)} AS {c}_mom, {_pct('k.' + c, 'y.' + c)} AS {c}_yoy"
-              for c in M.KPI_COLUMNS) + """
-FROM kpi k
-LEFT JOIN kpi m ON k.ano * 12 + k.mes = m.ano * 12 + m.mes + 1
-LEFT JOIN kpi y ON k.ano * 12 + k.mes = y.ano * 12 + y.mes + 12""")
-def q_kpi_mom_yoy(spark, d):
-    return M.kpi_mom_yoy(M.kpi_monthly(fact_of(spark, d), dim_date_of(spark, d)))
-
-
-@register("agg_monthly_snapshot", """
-SELECT sk_data, tipo_movimentacao, sk_geografia,
-       CAST(sum(valor_fob) AS DECIMAL(38,2)) AS valor_fob,
-       CAST(sum(kg_liquido) AS DECIMAL(38,2)) AS kg_liquido,
-       CAST(sum(quantidade) AS DECIMAL(38,2)) AS quantidade,
-       count(*) AS n_registros
-FROM fact GROUP BY sk_data, tipo_movimentacao, sk_geografia""")
-def q_agg_monthly_snapshot(spark, d):
-    return M.agg_monthly_snapshot(fact_of(spark, d))
-
-
-# --------------------------------------------------------------------------- M6 registry marts
-@register("establishment_distribution", "SELECT * FROM distribuicao")
-def q_establishment_distribution(spark, d):
-    return distribution_of(spark, d)
-
-
-@register("mart_state_vocation", f"""
-SELECT uf, descricao AS atividade_economica,
-       CAST(sum(Total_empresas) AS BIGINT) AS total_estabelecimentos
-FROM distribuicao WHERE uf = '{VOCATION_STATE}'
-GROUP BY uf, descricao
-ORDER BY total_estabelecimentos DESC, atividade_economica ASC
-LIMIT {TOP_K}""")
-def q_mart_state_vocation(spark, d):
-    return M.mart_state_vocation(distribution_of(spark, d), VOCATION_STATE, TOP_K)
+from tradestar.plans import q_gold, q_quality, q_silver, q_sources  # noqa: F401
+from tradestar.plans.registry import ORACLE, QUERIES  # noqa: F401

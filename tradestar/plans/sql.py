@@ -187,6 +187,13 @@ CTES["fact_raw"] = (fact_side_sql("exp", "EXPORTACAO", "codigo_pais_destino", "u
                     + "\n    UNION ALL BY NAME"
                     + fact_side_sql("imp", "IMPORTACAO", "codigo_pais_origem", "uf_destino"))
 
+CTES["fact_raw_extra"] = (
+    fact_side_sql("exp", "EXPORTACAO", "codigo_pais_destino", "uf_origem")
+    + "\n    UNION ALL BY NAME"
+    + fact_side_sql("imp", "IMPORTACAO", "codigo_pais_origem", "uf_destino",
+                    ",\n           TRY_CAST(valor_frete_usd AS DECIMAL(18,2)) AS valor_frete,"
+                    "\n           TRY_CAST(valor_seguro_usd AS DECIMAL(18,2)) AS valor_seguro"))
+
 CTES["fact"] = """
   SELECT * FROM fact_raw WHERE sk_ncm IS NOT NULL AND sk_data IS NOT NULL"""
 
@@ -244,4 +251,7 @@ CTES["distribuicao"] = f"""
 def with_ctes(body: str) -> str:
     """Prefix a query body with every CTE (DuckDB evaluates only those used)."""
     parts = [f"{name} AS ({sql}\n)" for name, sql in CTES.items()]
-    return "WITH " + ",\n".join(parts) + "\n" + body.strip()
+    body = body.strip()
+    if body[:5].upper() == "WITH ":
+        return "WITH " + ",\n".join(parts) + ",\n" + body[5:]
+    return "WITH " + ",\n".join(parts) + "\n" + body
