@@ -1,9 +1,11 @@
 """Gold layer: star schema over the trusted trade tables.
 
 Each builder is a pure function of its inputs (no I/O). Keyed dedup keeps a
-deterministic survivor through ``min(struct(...))`` – a hash aggregate with
-map-side partial aggregation, so a hot key is collapsed before the shuffle
-instead of being sorted in one task as a window would.
+deterministic survivor through ``min(struct(...))``. With string fields in the
+struct Spark plans it as a sort-based aggregate (string buffers are not
+fixed-width), still in two phases: every map task reduces each key to one row
+before the shuffle, so a hot key never lands whole in one task as it would
+with ``row_number()`` over a window.
 """
 
 from __future__ import annotations

@@ -19,8 +19,6 @@ _BASE_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
-    # partitionBy overwrites replace only the partitions present in the batch
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 
 

@@ -90,7 +90,7 @@ def name_fields(members: DataFrame, layout: list[str], width: int) -> DataFrame:
     extra physical columns, truncation when the file is narrower."""
     names = positional_names(layout, width)
     return members.select(
-        *[F.col("campos")[i].alias(n) for i, n in enumerate(names)],
+        *[F.get(F.col("campos"), i).alias(n) for i, n in enumerate(names)],
         F.col("arquivo_zip").alias("file_source"))
 
 

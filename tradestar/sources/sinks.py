@@ -36,7 +36,8 @@ def read_merged(spark: SparkSession, path: str) -> DataFrame:
 
 def overwrite_table(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
     """Replace the whole table (schema included)."""
-    w = df.write.format(_fmt(df.sparkSession)).mode("overwrite").option("overwriteSchema", "true")
+    w = (df.write.format(_fmt(df.sparkSession)).mode("overwrite")
+         .option("overwriteSchema", "true").option("partitionOverwriteMode", "static"))
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.save(path)
