@@ -5,6 +5,7 @@ import io
 
 from conftest import SF_SMALL
 import __spark_entry__ as E
+from tradestar.operators import gold as G
 from tradestar.operators import marts as M
 from tradestar.plans import q_gold as QG
 from tradestar.sources import standins as S
@@ -24,7 +25,7 @@ def test_fixed_size_tables_are_broadcast_and_filters_pushed(spark):
 
 
 def test_scans_read_only_needed_columns(spark):
-    p = plan(QG.dim_date_of(spark, SF_SMALL))
+    p = plan(G.build_dim_date(S.exports(spark, SF_SMALL), S.imports(spark, SF_SMALL)))
     lineitem_schema = [line for line in p.splitlines()
                        if "ReadSchema" in line and "l_shipdate" in line]
     assert lineitem_schema and "l_extendedprice" not in lineitem_schema[0]

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from tradestar.layouts import TRADE_LAYOUTS, layout_rows
 from tradestar.operators import resolve as R
+from tradestar.plans import trusted
 from tradestar.plans.registry import register
 from tradestar.session import scratch_path
 from tradestar.sources import files as FS
@@ -26,7 +27,7 @@ def q_scan_csv_entity(spark, d):
     scanned back with the layout's explicit schema and header check."""
     landing = scratch_path(spark, "landing", "exp")
     layout = TRADE_LAYOUTS["EXPO_2021"]
-    src = S.exports(spark, d).select(*[F.col(dst).alias(s) for s, dst in layout.items()])
+    src = trusted.exp_imp(spark, d)[0].select(*[F.col(dst).alias(s) for s, dst in layout.items()])
     src.write.options(**FS.LANDING_OPTIONS).csv(landing)
     return FS.scan_csv_entity(spark, landing, "exp", glob="*.csv")
 
