@@ -197,6 +197,8 @@ def test_read_table_recursive(spark, tmp_path):
     path = str(tmp_path / "nested")
     spark.range(10).withColumn("p", F.col("id") % 3).write.partitionBy("p").parquet(path)
     assert FS.read_table(spark, path).count() == 10
+    assert "p" in FS.read_table(spark, path).columns
+    assert "p" not in FS.read_table(spark, path, recursive=True).columns
     assert os.path.isdir(path)
 
 

@@ -67,10 +67,12 @@ def table_format(spark: SparkSession) -> str:
     return spark.conf.get("tradestar.table.format", "auto")
 
 
-def read_table(spark: SparkSession, path: str, fmt: str | None = None) -> DataFrame:
+def read_table(spark: SparkSession, path: str, fmt: str | None = None,
+               recursive: bool = False) -> DataFrame:
     """Read a lake table: Delta when requested or, in 'auto', when the path
-    reads as Delta; otherwise Parquet with recursive file lookup (nested
-    folders of any depth)."""
+    reads as Delta; otherwise Parquet with partition discovery (``k=v``
+    folders become columns). ``recursive`` reads every file below ``path``
+    whatever the folder names (``recursiveFileLookup``; no partition columns)."""
     fmt = fmt or table_format(spark)
     if fmt in ("delta", "auto"):
         try:
@@ -78,7 +80,9 @@ def read_table(spark: SparkSession, path: str, fmt: str | None = None) -> DataFr
         except Exception:  # no Delta jar, or not a Delta table
             if fmt == "delta":
                 raise
-    return spark.read.option("recursiveFileLookup", "true").parquet(path)
+    if recursive:
+        return spark.read.option("recursiveFileLookup", "true").parquet(path)
+    return spark.read.parquet(path)
 
 
 def list_files(spark: SparkSession, root: str, glob: str | None = None) -> DataFrame:

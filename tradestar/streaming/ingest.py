@@ -24,10 +24,20 @@ def file_stream(spark: SparkSession, path: str, schema: T.StructType | str, fmt:
     return reader.load(path)
 
 
+def rows_read(query) -> int:
+    """Input rows over the query's progress reports."""
+    total = 0
+    for p in query.recentProgress:
+        n = p["numInputRows"] if isinstance(p, dict) else getattr(p, "numInputRows", 0)
+        total += int(n or 0)
+    return total
+
+
 def run_available_now(stream: DataFrame, target: str, checkpoint: str,
                       fmt: str = "parquet", transform: Callable[[DataFrame], DataFrame] | None = None,
-                      merge_schema: bool = True) -> None:
-    """Append everything new to ``target`` and return when done."""
+                      merge_schema: bool = True) -> int:
+    """Append everything new to ``target``; returns the rows read, from the
+    query's progress reports (no extra scan)."""
     df = transform(stream) if transform else stream
     q = (df.writeStream.format(fmt).outputMode("append")
          .option("checkpointLocation", checkpoint)
@@ -35,16 +45,19 @@ def run_available_now(stream: DataFrame, target: str, checkpoint: str,
          .trigger(availableNow=True)
          .start(target))
     q.awaitTermination()
+    return rows_read(q)
 
 
 def run_foreach_batch(stream: DataFrame, checkpoint: str,
-                      fn: Callable[[DataFrame, int], None]) -> None:
-    """Run ``fn(batch_df, batch_id)`` for each micro-batch of new input."""
+                      fn: Callable[[DataFrame, int], None]) -> int:
+    """Run ``fn(batch_df, batch_id)`` for each micro-batch of new input;
+    returns the rows read."""
     q = (stream.writeStream.foreachBatch(fn)
          .option("checkpointLocation", checkpoint)
          .trigger(availableNow=True)
          .start())
     q.awaitTermination()
+    return rows_read(q)
 
 
 def idempotent_batch_writer(target: str,
