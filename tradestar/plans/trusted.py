@@ -13,7 +13,7 @@ import threading
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tradestar.session import scratch_path
+from tradestar.session import app_id, default_parallelism, scratch_path
 from tradestar.sources import standins as S
 
 _LOCK = threading.Lock()
@@ -21,15 +21,19 @@ _ROOTS: dict[tuple[str, str], str] = {}
 
 
 def _key(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
-    return spark.sparkContext.applicationId, sf_dir.rstrip("/")
+    return app_id(spark), sf_dir.rstrip("/")
 
 
 def _spread(df: DataFrame) -> DataFrame:
     """At least one file per core, so later scans run in parallel. Only a
     frame with fewer partitions than cores (small inputs) is reshuffled; a
     large input keeps its natural partitioning and is written as it is."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    cores = default_parallelism(df.sparkSession)
+    try:
+        current = df.rdd.getNumPartitions()
+    except Exception:  # no RDD API (Spark Connect): keep the natural layout
+        return df
+    return df.repartition(cores) if current < cores else df
 
 
 def materialize(spark: SparkSession, sf_dir: str) -> str:

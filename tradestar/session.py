@@ -38,24 +38,47 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
     return spark
 
 
+def _context(spark: SparkSession):
+    """The SparkContext of a classic session; None on Spark Connect."""
+    try:
+        return spark.sparkContext
+    except Exception:
+        return None
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
     The cluster's setting always wins. Only when it is unset (local tests,
     the benchmark) is a private folder created and registered.
     """
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    conf_dir = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
-        "spark.checkpoint.dir", None)
-    if conf_dir:
+    sc = _context(spark)
+    if sc is not None and sc.getCheckpointDir():
+        return sc.getCheckpointDir()
+    conf_dir = spark.conf.get("spark.checkpoint.dir", None)
+    if not conf_dir and sc is not None:
+        conf_dir = sc.getConf().get("spark.checkpoint.dir", None)
+    if not conf_dir:
+        conf_dir = tempfile.mkdtemp(prefix="tradestar-ckpt-")
+    if sc is not None:
         sc.setCheckpointDir(conf_dir)
         return sc.getCheckpointDir() or conf_dir
-    local = tempfile.mkdtemp(prefix="tradestar-ckpt-")
-    sc.setCheckpointDir(local)
-    return sc.getCheckpointDir() or local
+    spark.conf.set("spark.checkpoint.dir", conf_dir)
+    return conf_dir
+
+
+def app_id(spark: SparkSession) -> str:
+    sc = _context(spark)
+    if sc is not None:
+        return sc.applicationId
+    return spark.conf.get("spark.app.id", "connect")
+
+
+def default_parallelism(spark: SparkSession) -> int:
+    sc = _context(spark)
+    if sc is not None:
+        return sc.defaultParallelism
+    return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
 
 
 def scratch_path(spark: SparkSession, *parts: str) -> str:
