@@ -67,3 +67,18 @@ def test_silver_clean_matches_python_model(spark, rows):
 def test_decimal_sums_are_exact(spark):
     df = spark.createDataFrame([(Decimal("0.10"),)] * 10, "v decimal(18,2)")
     assert df.agg(F.sum("v")).first()[0] == Decimal("1.00")
+
+
+def test_hot_key_dedup_and_orphans(spark):
+    """A third of the rows share one key: results stay exact."""
+    from tradestar.operators import gold as G
+    from tradestar.operators import quality as Q
+    n = 3000
+    rows = [(-1 if i % 3 == 0 else i, f"v{i:05d}") for i in range(n)]
+    df = spark.createDataFrame(rows, "k long, v string")
+    out = {r["k"]: r["v"] for r in G.dedup_by_key(df, "k").collect()}
+    assert out[-1] == "v00000" and len(out) == len({k for k, _ in rows})
+    fact = spark.createDataFrame([(k,) for k, _ in rows], "sk long")
+    dim = spark.createDataFrame([(k,) for k in range(n)], "sk long")
+    res = Q.fk_orphans(fact, {"sk": (dim, "sk")}).first()
+    assert res["linhas_orfas"] == n // 3 and res["chaves_orfas"] == 1

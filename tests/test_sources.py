@@ -218,3 +218,18 @@ def test_zip_stream_source_needs_schema(spark, tmp_path):
     (z / "Motivos0.zip").write_bytes(buf.getvalue())
     stream = A.stream_archives(spark, str(z), "Motivos*.zip")
     assert stream.isStreaming and "content" in stream.columns
+
+
+def test_read_classified_json_multiline_and_csv(spark, tmp_path):
+    (tmp_path / "a.json").write_text('[\n {"k": 1},\n {"k": 2}\n]\n')
+    (tmp_path / "b.txt").write_text("x|y\n1|2\n")
+    names = spark.createDataFrame([("a.json",), ("b.txt",)], "arquivo string")
+    info = {r["arquivo"]: r for r in R.classify_files(names).collect()}
+    j = info["a.json"]
+    df = FS.read_classified(spark, str(tmp_path / "a.json"), j["formato"],
+                            multiline=j["multiline"])
+    assert sorted(r["k"] for r in df.collect()) == [1, 2]
+    t = info["b.txt"]
+    df = FS.read_classified(spark, str(tmp_path / "b.txt"), t["formato"], t["header"], "|",
+                            t["encoding"])
+    assert df.columns == ["x", "y"] and df.count() == 1

@@ -25,8 +25,9 @@ def fk_orphans(fact: DataFrame, dims: dict[str, tuple[DataFrame, str]]) -> DataF
     key_counts = (fact.select(pairs.alias("p"))
                   .groupBy(F.col("p.fk").alias("fk"), F.col("p.k").alias("k"))
                   .agg(F.count(F.lit(1)).alias("n")))
+    # no distinct on the dimension side: an anti-join ignores duplicates
     dim_keys = reduce(lambda a, b: a.unionByName(b), [
-        dim.select(F.lit(fk).alias("fk"), F.col(col).alias("k")).distinct()
+        dim.select(F.lit(fk).alias("fk"), F.col(col).alias("k"))
         for fk, (dim, col) in dims.items()])
     orphans = key_counts.filter(F.col("k").isNotNull()).join(dim_keys, ["fk", "k"], "left_anti")
     totals = (orphans.groupBy("fk")

@@ -145,3 +145,19 @@ def list_entities(spark: SparkSession, root: str, known: list[str] | None = None
     if known is not None:
         names = names.filter(F.col("entidade").isin(*known))
     return names.orderBy("entidade")
+
+
+def read_classified(spark: SparkSession, path: str, formato: str,
+                    header: bool | None = None, delimitador: str | None = None,
+                    encoding: str | None = None, multiline: bool = False) -> DataFrame:
+    """Read a file with the instructions produced by ``classify_files``
+    (csv with header/delimiter/encoding, parquet, json with multiLine)."""
+    if formato == "parquet":
+        return spark.read.parquet(path)
+    if formato == "json":
+        return spark.read.option("multiLine", str(bool(multiline)).lower()).json(path)
+    if formato == "csv":
+        opts = {"header": str(bool(header)).lower(), "sep": delimitador or ",",
+                "encoding": encoding or "UTF-8"}
+        return spark.read.options(**opts).csv(path)
+    raise ValueError(f"no reader for format {formato!r}")
