@@ -25,11 +25,16 @@ def fk_orphans(fact: DataFrame, dims: dict[str, tuple[DataFrame, str]]) -> DataF
     key_counts = (fact.select(pairs.alias("p"))
                   .groupBy(F.col("p.fk").alias("fk"), F.col("p.k").alias("k"))
                   .agg(F.count(F.lit(1)).alias("n")))
-    # no distinct on the dimension side: an anti-join ignores duplicates
     dim_keys = reduce(lambda a, b: a.unionByName(b), [
-        dim.select(F.lit(fk).alias("fk"), F.col(col).alias("k"))
+        dim.select(F.lit(fk).alias("fk"), F.col(col).alias("k"), F.lit(True).alias("_hit"))
         for fk, (dim, col) in dims.items()])
-    orphans = key_counts.filter(F.col("k").isNotNull()).join(dim_keys, ["fk", "k"], "left_anti")
+    # Left join + "no match" filter rather than a left-anti join: Catalyst
+    # pushes anti-joins below an aggregate on their keys, which would join the
+    # exploded fact rows instead of the per-key counts. Duplicate dimension
+    # keys only repeat matched rows, which the filter drops.
+    orphans = (key_counts.filter(F.col("k").isNotNull())
+               .join(dim_keys, ["fk", "k"], "left")
+               .filter(F.col("_hit").isNull()).select("fk", "k", "n"))
     totals = (orphans.groupBy("fk")
               .agg(F.sum("n").cast("bigint").alias("linhas_orfas"),
                    F.count(F.lit(1)).cast("bigint").alias("chaves_orfas")))
