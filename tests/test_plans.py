@@ -57,3 +57,10 @@ def test_dedup_is_two_phase_aggregate_not_window(spark):
     p = plan(QG.dim_product_of(spark, SF_SMALL))
     assert "Window" not in p
     assert "partial_min" in p          # map-side reduction before the shuffle
+
+
+def test_marts_prune_movement_partitions_and_push_month_range(spark):
+    p = plan(E.queries()["mart_top_products"](spark, SF_SMALL))
+    assert "PartitionFilters: [isnotnull(tipo_movimentacao" in p
+    assert "(tipo_movimentacao" in p and "= EXPORTACAO)]" in p
+    assert "GreaterThanOrEqual(sk_data,199801), LessThanOrEqual(sk_data,199812)" in p

@@ -128,15 +128,16 @@ WITH geo_cut AS (SELECT * FROM dim_geo WHERE sk_geografia <> {REMOVED_COUNTRY}
     _orphan_sql("sk_via_transporte", "dim_via", "sk_via_transporte"),
     _orphan_sql("sk_data", "dim_data", "sk_data")]))
 def q_fk_orphans(spark, d):
-    geo = QG.dim_geo_of(spark, d).filter(
+    g = QG.stored(spark, d)
+    geo = g["dim_geografia"].filter(
         (F.col("sk_geografia") != REMOVED_COUNTRY)
         & ~((F.col("nivel") == "UF") & (F.col("sigla") == REMOVED_STATE)))
-    dims = {"sk_ncm": (QG.dim_product_of(spark, d), "sk_ncm"),
+    dims = {"sk_ncm": (g["dim_ncm"], "sk_ncm"),
             "sk_geografia": (geo, "sk_geografia"),
             "sk_geografia_uf": (geo, "sk_geografia"),
-            "sk_via_transporte": (QG.dim_transport_of(spark, d), "sk_via_transporte"),
-            "sk_data": (QG.dim_date_of(spark, d), "sk_data")}
-    return Q.fk_orphans(QG.fact_of(spark, d), dims)
+            "sk_via_transporte": (g["dim_via_transporte"], "sk_via_transporte"),
+            "sk_data": (g["dim_data"], "sk_data")}
+    return Q.fk_orphans(g["ft_balanco_comercial"], dims)
 
 
 def _plant(df):

@@ -52,3 +52,46 @@ def materialize(spark: SparkSession, sf_dir: str) -> str:
 def exp_imp(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     root = materialize(spark, sf_dir)
     return spark.read.parquet(f"{root}/exp"), spark.read.parquet(f"{root}/imp")
+
+
+_GOLD: dict[tuple[str, str], str] = {}
+GOLD_TABLES = ("ft_balanco_comercial", "dim_data", "dim_ncm", "dim_via_transporte",
+               "dim_geografia")
+
+
+def materialize_gold(spark: SparkSession, sf_dir: str) -> str:
+    """Write the gold star once per application, from the stored trusted
+    tables: the fact partitioned by movement (movement filters prune whole
+    folders) and sorted within files by (sk_data, sk_ncm) so Parquet
+    statistics skip row groups on month and product filters."""
+    from tradestar.operators import gold as G
+    from tradestar.sources import sinks as SK
+
+    key = _key(spark, sf_dir)
+    with _LOCK:
+        root = _GOLD.get(key)
+    if root is not None:
+        return root
+    exp, imp = exp_imp(spark, sf_dir)
+    with _LOCK:
+        root = _GOLD.get(key)
+        if root is None:
+            root = scratch_path(spark, "gold")
+            fact = G.build_fact(exp, imp).sortWithinPartitions("sk_data", "sk_ncm")
+            SK.overwrite_table(fact, f"{root}/ft_balanco_comercial", ["tipo_movimentacao"])
+            dims = {
+                "dim_data": G.build_dim_date(exp, imp),
+                "dim_ncm": G.build_dim_product(S.ncm(spark, sf_dir)),
+                "dim_via_transporte": G.build_dim_transport(S.via(spark, sf_dir)),
+                "dim_geografia": G.build_dim_geography(S.pais(spark, sf_dir),
+                                                       S.pais_bloco(spark, sf_dir), exp, imp),
+            }
+            for name, df in dims.items():
+                SK.overwrite_table(df, f"{root}/{name}")
+            _GOLD[key] = root
+    return root
+
+
+def gold_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    root = materialize_gold(spark, sf_dir)
+    return {t: spark.read.parquet(f"{root}/{t}") for t in GOLD_TABLES}
