@@ -28,7 +28,8 @@ def make_landing(d):
                               "2021;2;02011000;10;249; rj ;4;0817600;5;60;300"])
     _csv(d / "IMP_2021.csv", [IMP_H,
                               "2021;1;N/A;10;160;RJ;4;0717700;1;2;30;4.5;0.5",
-                              "2021;2;01012100;10;160;;1;0717700;2;3;200;1;1"])
+                              "2021;2;01012100;10;160;;1;0717700;2;3;200;1;1",
+                              "2021;2;01012100;10;160;;1;0717700;2;3;abc;1;1"])
     _csv(d / "EXP_2021_MUN.csv", ["CO_ANO;CO_MES;SH4;CO_PAIS;SG_UF_MUN;CO_MUN;KG_LIQUIDO;VL_FOB",
                                   "2021;1;0101;063;SP;3550308;10;100"])
     _csv(d / "NCM.csv", ["CO_NCM;CO_UNID;CO_FAT_AGREG;CO_PPE;NO_NCM_POR;NO_NCM_ING",
@@ -68,6 +69,10 @@ def test_medallion_job_end_to_end(spark, tmp_path):
     assert report[("bronze", "ncm_cgce")]["status"] in ("SEM_ARQUIVOS", "ERRO", "SEM_NOVOS")
     assert report[("bronze", "estabelecimentos")]["status"] == "OK"
     assert report[("gold", "ft_balanco_comercial")]["status"] == "OK"
+    assert report[("silver", "exp")]["linhas"] == 2            # duplicate collapsed
+    assert report[("silver", "imp")]["mensagem"] == "1 linhas rejeitadas na tipagem"
+    rej = P.FS.read_table(spark, P.Lake(str(root)).path("trusted", P.TRADE, "_rejeitos/imp"))
+    assert [r["erro_tipagem"] for r in rej.collect()] == ["valor_fob_usd"]
 
     lake = P.Lake(str(root))
     fact = P.gold_table(spark, lake, "ft_balanco_comercial")

@@ -15,13 +15,13 @@ from __future__ import annotations
 import logging
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tradestar.functions.names import fallback_name
 from tradestar.layouts import (REGISTRY_ARCHIVES, REGISTRY_LAYOUTS, TRADE_ENTITIES,
-                               TRADE_LAYOUTS, target_schema, target_type)
+                               TRADE_LAYOUTS, target_type)
 from tradestar.operators import gold as G
 from tradestar.operators import marts as M
 from tradestar.operators import silver as SV
@@ -55,15 +55,14 @@ class Lake:
 
 
 # --------------------------------------------------------------------------- bronze
-def _header_schema(spark: SparkSession, landing: str, glob: str,
-                   layout: str | None) -> T.StructType:
-    """Stream schema from the files' header (first line only): mapped columns
-    get the layout's type, the rest stay strings. Files under one glob must
-    share that header (``enforceSchema=false`` rejects the odd one out)."""
+def _header_schema(spark: SparkSession, landing: str, glob: str) -> T.StructType:
+    """Stream schema from the files' header (first line only), all strings:
+    bronze is schema-on-read and typing happens in silver, where values that
+    do not convert are kept as rejects instead of silently becoming null.
+    Files under one glob must share that header (``enforceSchema=false``
+    rejects the odd one out)."""
     cols = FS.scan_csv(spark, landing, glob=glob, options={"inferSchema": "false"}).columns
-    mapping = TRADE_LAYOUTS.get(layout, {}) if layout else {}
-    return T.StructType([T.StructField(c, target_type(mapping[c]) if c in mapping
-                                       else T.StringType()) for c in cols])
+    return T.StructType([T.StructField(c, T.StringType()) for c in cols])
 
 
 def bronze_trade(spark: SparkSession, landing: str, lake: Lake,
@@ -74,7 +73,7 @@ def bronze_trade(spark: SparkSession, landing: str, lake: Lake,
     without a layout get the fallback names."""
     for entity, (glob, layout) in (entities or TRADE_ENTITIES).items():
         try:
-            schema = _header_schema(spark, landing, glob, layout)
+            schema = _header_schema(spark, landing, glob)
             if layout is not None:
                 rename = (lambda df, lay=layout: FS.project_by_mapping(df, TRADE_LAYOUTS[lay]))
             else:
@@ -118,23 +117,39 @@ def bronze_registry(spark: SparkSession, landing: str, lake: Lake,
 
 
 # --------------------------------------------------------------------------- silver
+def _types_for(columns: list[str], layout: str | None) -> dict[str, str]:
+    if layout is None:
+        return {}
+    targets = set(TRADE_LAYOUTS[layout].values())
+    return {c: target_type(c).simpleString() for c in columns
+            if c in targets and target_type(c).simpleString() != "string"}
+
+
 def silver_trade(spark: SparkSession, lake: Lake, entities: list[str] | None = None) -> None:
-    """Clean each bronze trade table (codes, states, year and month keep their
-    nulls), validate it against its layout, overwrite partitioned by year/month."""
+    """trim/upper -> strong typing (``try_cast``; rows whose non-null text does
+    not convert go to a ``_rejeitos`` table with the failed columns) -> dedup
+    -> null fill (codes, states, year and month keep their nulls) -> overwrite
+    partitioned by year/month. Row and reject counts come from ``observe`` on
+    the writes, not from extra scans."""
     for entity in entities or list(TRADE_ENTITIES):
         try:
             df = FS.read_table(spark, lake.path("raw", TRADE, entity), lake.fmt)
             if df.isEmpty():
                 lake.note("silver", entity, 0, "VAZIO", "entrada vazia, ignorada")
                 continue
-            clean = SV.silver_clean(df, protect=SV.key_columns(df.columns))
-            layout = TRADE_ENTITIES[entity][1]
-            if layout is not None:
-                typed = {f.name: f.dataType for f in target_schema(layout).fields}
-                clean = clean.select(*[F.col(c).cast(typed[c]) if c in typed else F.col(c)
-                                       for c in clean.columns])
-            SK.overwrite_partitioned(clean, lake.path("trusted", TRADE, entity))
-            lake.note("silver", entity, None, "OK")
+            text = SV.trim_upper_strings(SV.normalize_headers(df))
+            typed = SV.typed_columns(text, _types_for(text.columns, TRADE_ENTITIES[entity][1]))
+            clean, rejects = SV.split_rejects(typed)
+            obs_rej = Observation(f"rej_{entity}")
+            rejects = rejects.observe(obs_rej, F.count(F.lit(1)).alias("n"))
+            SK.overwrite_table(rejects, lake.path("trusted", TRADE, f"_rejeitos/{entity}"))
+            out = SV.treat_nulls(SV.dedup_rows(clean), protect=SV.key_columns(clean.columns))
+            obs = Observation(f"silver_{entity}")
+            SK.overwrite_partitioned(out.observe(obs, F.count(F.lit(1)).alias("n")),
+                                     lake.path("trusted", TRADE, entity))
+            n_rej = obs_rej.get.get("n", 0)
+            lake.note("silver", entity, obs.get.get("n"), "OK",
+                      f"{n_rej} linhas rejeitadas na tipagem" if n_rej else None)
         except Exception as exc:
             msg = str(exc).splitlines()[0][:300]
             lake.note("silver", entity, None, "SEM_DADOS" if "PATH_NOT_FOUND" in msg
