@@ -82,3 +82,27 @@ def test_hot_key_dedup_and_orphans(spark):
     dim = spark.createDataFrame([(k,) for k in range(n)], "sk long")
     res = Q.fk_orphans(fact, {"sk": (dim, "sk")}).first()
     assert res["linhas_orfas"] == n // 3 and res["chaves_orfas"] == 1
+
+
+def test_sentinels_unknown_member_and_defaults(spark):
+    """B8/B20: 'N/A' read as missing; the unknown state closes the 8888 orphan."""
+    from tradestar.operators import gold as G
+    via = spark.createDataFrame([("1", "N/A"), ("N/A", "X")], "codigo_via_transporte string, "
+                                "descricao_via_transporte string")
+    rows = {r["codigo_via"]: r["nome_via"] for r in G.build_dim_transport(via, ("N/A",)).collect()}
+    assert rows == {"1": "Via não informada", None: "X"}
+    exp = spark.createDataFrame([(2021, 1, "01012100", "063", "N/A", "1", "1.00", "1", "1")],
+                                "ano int, mes int, codigo_ncm string, codigo_pais_destino string, "
+                                "uf_origem string, codigo_via_transporte string, "
+                                "valor_fob_usd string, quantidade_estatistica string, "
+                                "peso_liquido_kg string")
+    imp = exp.withColumnsRenamed({"codigo_pais_destino": "codigo_pais_origem",
+                                  "uf_origem": "uf_destino"}).limit(0)
+    fact = G.build_fact(exp, imp, sentinels=("N/A",)).first()
+    assert fact["sk_geografia_uf"] == 8888
+    pais = spark.createDataFrame([("063", "ARG", "Argentina")],
+                                 "codigo_pais string, codigo_pais_iso3 string, nome_pais_pt string")
+    bloc = spark.createDataFrame([], "codigo_pais string, nome_bloco_pt string")
+    geo = G.build_dim_geography(pais, bloc, exp, imp, sentinels=("N/A",), unknown_member=True)
+    keys = {r["sk_geografia"] for r in geo.collect()}
+    assert 8888 in keys and 7847 not in keys          # no geography row for "N/A"

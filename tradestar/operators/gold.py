@@ -35,6 +35,17 @@ def dedup_by_key(df: DataFrame, key: str | list[str]) -> DataFrame:
             .select(*keys, *[F.col(f"_r.{c}").alias(c) for c in rest]))
 
 
+def strip_sentinels(df: DataFrame, sentinels: tuple[str, ...] = ()) -> DataFrame:
+    """Turn sentinel strings written by a null fill (e.g. 'N/A') back into
+    nulls in every string column, so defaults, the state filter and the fact's
+    quality gate see a missing value (one projection; no-op without sentinels)."""
+    if not sentinels:
+        return df
+    strings = {f.name for f in df.schema.fields if f.dataType.simpleString() == "string"}
+    return df.select(*[K.null_if_sentinel(F.col(c), sentinels).alias(c) if c in strings
+                       else F.col(c) for c in df.columns])
+
+
 def _months(df: DataFrame, ano: str, mes: str) -> DataFrame:
     return df.select(F.col(ano).cast("int").alias("ano"), F.col(mes).cast("int").alias("mes"))
 
@@ -57,11 +68,11 @@ def build_dim_date(exp: DataFrame, imp: DataFrame) -> DataFrame:
 
 
 def build_dim_product(ncm: DataFrame, fat_agreg: DataFrame | None = None,
-                      ppe: DataFrame | None = None) -> DataFrame:
+                      ppe: DataFrame | None = None, sentinels: tuple[str, ...] = ()) -> DataFrame:
     """dim_ncm. Without lookups the factor/PPE codes are carried as they are;
     with lookups (enriched) they are replaced by their descriptions through
     left joins, so a missing lookup row leaves a null, never drops a product."""
-    base = ncm
+    base = strip_sentinels(ncm, sentinels)
     fator: Column = F.col("codigo_fator_agregacao")
     ppe_col: Column = F.col("codigo_ppe_exportacao")
     extra: list[Column] = []
@@ -87,9 +98,9 @@ def build_dim_product(ncm: DataFrame, fat_agreg: DataFrame | None = None,
     return dedup_by_key(dim, "sk_ncm")
 
 
-def build_dim_transport(via: DataFrame) -> DataFrame:
+def build_dim_transport(via: DataFrame, sentinels: tuple[str, ...] = ()) -> DataFrame:
     """dim_via_transporte, one row per mode key."""
-    dim = via.select(
+    dim = strip_sentinels(via, sentinels).select(
         K.surrogate_key("codigo_via_transporte").alias("sk_via_transporte"),
         F.col("codigo_via_transporte").alias("codigo_via"),
         F.coalesce(F.col("descricao_via_transporte"), F.lit(K.DEFAULT_TRANSPORT_NAME))
@@ -115,14 +126,19 @@ def distinct_states(exp: DataFrame, imp: DataFrame) -> DataFrame:
 
 
 def build_dim_geography(pais: DataFrame, pais_bloco: DataFrame, exp: DataFrame,
-                        imp: DataFrame, uf: DataFrame | None = None) -> DataFrame:
+                        imp: DataFrame, uf: DataFrame | None = None,
+                        sentinels: tuple[str, ...] = (),
+                        unknown_member: bool = False) -> DataFrame:
     """dim_geografia: countries (PAIS) and states (UF) in one table.
 
     Countries are pre-aggregated to one bloc each before the join, so a
     country in several blocs cannot fan out facts. With ``uf`` (enriched) the
     states get their names and macro-regions and countries list all blocs.
+    ``unknown_member`` adds the 'XX' state (key 8888) that the fact uses for a
+    missing state, so that key is no longer an orphan.
     """
     enriched = uf is not None
+    pais, exp, imp = (strip_sentinels(x, sentinels) for x in (pais, exp, imp))
     countries = (pais.join(_blocs_per_country(pais_bloco, enriched), "codigo_pais", "left")
                  .select(
                      K.surrogate_key("codigo_pais").alias("sk_geografia"),
@@ -135,6 +151,10 @@ def build_dim_geography(pais: DataFrame, pais_bloco: DataFrame, exp: DataFrame,
                      *([F.col("blocos")] if enriched else []),
                  ))
     states = distinct_states(exp, imp)
+    if unknown_member:
+        spark = exp.sparkSession
+        states = states.unionByName(spark.createDataFrame([(K.UNKNOWN_STATE,)], "uf string")) \
+            .distinct()
     name: Column = F.col("uf")
     region: Column = F.lit(K.HOME_COUNTRY)
     if enriched:
@@ -182,11 +202,13 @@ def fact_gate(df: DataFrame) -> DataFrame:
     return df.filter(F.col("sk_ncm").isNotNull()).filter(F.col("sk_data").isNotNull())
 
 
-def build_fact(exp: DataFrame, imp: DataFrame, imp_extra: dict[str, str] | None = None) -> DataFrame:
+def build_fact(exp: DataFrame, imp: DataFrame, imp_extra: dict[str, str] | None = None,
+               sentinels: tuple[str, ...] = ()) -> DataFrame:
     """ft_balanco_comercial at source grain: exports ∪ imports by name (columns
     only one side has are null on the other), then the quality gate."""
-    e = fact_side(exp, K.EXPORT, "codigo_pais_destino", "uf_origem")
-    i = fact_side(imp, K.IMPORT, "codigo_pais_origem", "uf_destino", imp_extra)
+    e = fact_side(strip_sentinels(exp, sentinels), K.EXPORT, "codigo_pais_destino", "uf_origem")
+    i = fact_side(strip_sentinels(imp, sentinels), K.IMPORT, "codigo_pais_origem", "uf_destino",
+                  imp_extra)
     return fact_gate(e.unionByName(i, allowMissingColumns=True))
 
 

@@ -157,6 +157,23 @@ def split_rejects(typed: DataFrame, reject_column: str = "erro_tipagem"):
             typed.filter(F.col(reject_column).isNotNull()))
 
 
+def schema_problems(actual: T.StructType, expected: T.StructType) -> list[tuple]:
+    """(column, problem, expected type, found type) from schemas alone:
+    missing / unexpected / wrong type (string input is checked by value)."""
+    have = {f.name: f.dataType for f in actual.fields}
+    want = {f.name: f.dataType for f in expected.fields}
+    out = []
+    for name, dtype in want.items():
+        if name not in have:
+            out.append((name, "missing", dtype.simpleString(), None))
+        elif have[name] != dtype and not isinstance(have[name], T.StringType):
+            out.append((name, "wrong_type", dtype.simpleString(), have[name].simpleString()))
+    for name, dtype in have.items():
+        if name not in want:
+            out.append((name, "unexpected", None, dtype.simpleString()))
+    return out
+
+
 def validate_schema(df: DataFrame, expected: T.StructType) -> DataFrame:
     """Schema and value validation against a layout, as a DataFrame of
     (coluna, problema, esperado, encontrado, n_linhas).
@@ -168,16 +185,7 @@ def validate_schema(df: DataFrame, expected: T.StructType) -> DataFrame:
     spark = df.sparkSession
     actual = {f.name: f.dataType for f in df.schema.fields}
     want = {f.name: f.dataType for f in expected.fields}
-    problems = []
-    for name, dtype in want.items():
-        if name not in actual:
-            problems.append((name, "missing", dtype.simpleString(), None))
-        elif actual[name] != dtype and not isinstance(actual[name], T.StringType):
-            problems.append((name, "wrong_type", dtype.simpleString(),
-                             actual[name].simpleString()))
-    for name, dtype in actual.items():
-        if name not in want:
-            problems.append((name, "unexpected", None, dtype.simpleString()))
+    problems = schema_problems(df.schema, expected)
     schema_rows = spark.createDataFrame(
         problems, "coluna string, problema string, esperado string, encontrado string"
     ).withColumn("n_linhas", F.lit(None).cast("bigint"))

@@ -148,8 +148,13 @@ def silver_trade(spark: SparkSession, lake: Lake, entities: list[str] | None = N
             SK.overwrite_partitioned(out.observe(obs, F.count(F.lit(1)).alias("n")),
                                      lake.path("trusted", TRADE, entity))
             n_rej = obs_rej.get.get("n", 0)
-            lake.note("silver", entity, obs.get.get("n"), "OK",
-                      f"{n_rej} linhas rejeitadas na tipagem" if n_rej else None)
+            notes = [f"{n_rej} linhas rejeitadas na tipagem"] if n_rej else []
+            layout = TRADE_ENTITIES[entity][1]
+            if layout is not None:   # schema check from metadata only (no data pass)
+                probs = SV.schema_problems(df.schema, T.StructType(
+                    [T.StructField(c, T.StringType()) for c in TRADE_LAYOUTS[layout].values()]))
+                notes += [f"{c}: {p}" for c, p, _, _ in probs]
+            lake.note("silver", entity, obs.get.get("n"), "OK", "; ".join(notes) or None)
         except Exception as exc:
             msg = str(exc).splitlines()[0][:300]
             lake.note("silver", entity, None, "SEM_DADOS" if "PATH_NOT_FOUND" in msg
@@ -181,32 +186,41 @@ def _trusted(spark: SparkSession, lake: Lake, domain: str, entity: str) -> DataF
         return None
 
 
-def gold(spark: SparkSession, lake: Lake, cluster_fact: bool = True) -> None:
+def gold(spark: SparkSession, lake: Lake, cluster_fact: bool = True,
+         year_partition: bool = False, sentinels: tuple[str, ...] = (),
+         unknown_member: bool = False) -> None:
     """Dimensions and the fact, each written as its own table; the fact is
-    partitioned by movement and, with ``cluster_fact``, sorted within files by
-    (sk_data, sk_ncm) so Parquet min/max statistics skip row groups on month
-    and product filters."""
+    partitioned by movement (and, with ``year_partition``, by reference year)
+    and, with ``cluster_fact``, sorted within files by (sk_data, sk_ncm) so
+    Parquet min/max statistics skip row groups on month and product filters.
+    ``sentinels`` (e.g. ('N/A',)) are read as missing values."""
     t = lambda e: _trusted(spark, lake, TRADE, e)
     exp, imp = t("exp"), t("imp")
     out = {}
     out["dim_data"] = G.build_dim_date(exp, imp)
     if t("ncm") is not None:
-        out["dim_ncm"] = G.build_dim_product(t("ncm"), t("ncm_fat_agreg"), t("ncm_ppe"))
+        out["dim_ncm"] = G.build_dim_product(t("ncm"), t("ncm_fat_agreg"), t("ncm_ppe"),
+                                             sentinels)
     if t("via") is not None:
-        out["dim_via_transporte"] = G.build_dim_transport(t("via"))
+        out["dim_via_transporte"] = G.build_dim_transport(t("via"), sentinels)
     if t("pais") is not None:
         bloc = t("pais_bloco")
         if bloc is None:
             bloc = spark.createDataFrame([], "codigo_pais string, nome_bloco_pt string")
-        out["dim_geografia"] = G.build_dim_geography(t("pais"), bloc, exp, imp, t("uf"))
-    fact = G.build_fact(exp, imp)
+        out["dim_geografia"] = G.build_dim_geography(t("pais"), bloc, exp, imp, t("uf"),
+                                                     sentinels, unknown_member)
+    fact = G.build_fact(exp, imp, sentinels=sentinels)
+    parts = ["tipo_movimentacao"]
+    if year_partition:
+        fact = fact.withColumn("ano_ref", (F.col("sk_data") / 100).cast("int"))
+        parts.append("ano_ref")
     for name, df in out.items():
         SK.overwrite_table(G.add_audit(df), lake.path("refined", "gold", name))
         lake.note("gold", name, None, "OK")
     if cluster_fact:
         fact = fact.sortWithinPartitions("sk_data", "sk_ncm")
     SK.overwrite_table(G.add_audit(fact), lake.path("refined", "gold", "ft_balanco_comercial"),
-                       ["tipo_movimentacao"])
+                       parts)
     lake.note("gold", "ft_balanco_comercial", None, "OK")
 
     est, emp = _trusted(spark, lake, REGISTRY, "estabelecimentos"), _trusted(spark, lake, REGISTRY,
