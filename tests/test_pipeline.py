@@ -56,6 +56,7 @@ def make_landing(d):
     _zip(d / "Empresas0.zip", "K.EMPRECSV", ['"00000001";"ACME";"";"1000,00";"03";"";"";"";"";""',
                                              '"00000002";"BETA";"";"10,00";"01";"";"";"";"";""'])
     _zip(d / "Cnaes0.zip", "K.CNAECSV", ['"6204000";"Consultoria em TI"'])
+    _zip(d / "Motivos0.zip", "K.MOTIVOS", ['"01";"EXTINCAO";"EXTRA"'])
 
 
 def test_medallion_job_end_to_end(spark, tmp_path):
@@ -68,6 +69,7 @@ def test_medallion_job_end_to_end(spark, tmp_path):
     assert report[("bronze", "exp_mun")]["linhas"] == 1
     assert report[("bronze", "ncm_cgce")]["status"] in ("SEM_ARQUIVOS", "ERRO", "SEM_NOVOS")
     assert report[("bronze", "estabelecimentos")]["status"] == "OK"
+    assert report[("bronze", "motivos/lote_0")]["status"] == "AVISO"   # 3 columns, layout has 2
     assert report[("gold", "ft_balanco_comercial")]["status"] == "OK"
     assert report[("silver", "exp")]["linhas"] == 2            # duplicate collapsed
     assert report[("silver", "imp")]["mensagem"] == "1 linhas rejeitadas na tipagem"

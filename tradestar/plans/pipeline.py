@@ -97,13 +97,18 @@ def bronze_registry(spark: SparkSession, landing: str, lake: Lake,
         glob, folder = REGISTRY_ARCHIVES[entity]
         target = lake.path("raw", REGISTRY, folder)
 
-        def per_batch(batch_df: DataFrame, batch_id: int, ent=entity, tgt=target) -> None:
+        def per_batch(batch_df: DataFrame, batch_id: int, ent=entity, tgt=target,
+                      fold=folder) -> None:
             members = A.unzip_members(batch_df).persist()
             try:
                 width = A.max_width(members)
                 if width == 0:
                     return
-                named = A.with_provenance(A.name_fields(members, REGISTRY_LAYOUTS[ent], width))
+                layout = REGISTRY_LAYOUTS[ent]
+                if width != len(layout):   # positional layouts cannot be checked by name
+                    lake.note("bronze", f"{fold}/lote_{batch_id}", None, "AVISO",
+                              f"{width} colunas no arquivo, {len(layout)} no layout")
+                named = A.with_provenance(A.name_fields(members, layout, width))
                 SK.write_idempotent_batch(named, tgt, batch_id)
             finally:
                 members.unpersist()
