@@ -202,7 +202,8 @@ def gold(spark: SparkSession, lake: Lake, cluster_fact: bool = True,
     t = lambda e: _trusted(spark, lake, TRADE, e)
     exp, imp = t("exp"), t("imp")
     out = {}
-    out["dim_data"] = G.build_dim_date(exp, imp)
+    # ordered within files only: a global sort before a write is not observable
+    out["dim_data"] = G.build_dim_date(exp, imp).sortWithinPartitions("sk_data")
     if t("ncm") is not None:
         out["dim_ncm"] = G.build_dim_product(t("ncm"), t("ncm_fat_agreg"), t("ncm_ppe"),
                                              sentinels)

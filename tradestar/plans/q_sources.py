@@ -299,7 +299,8 @@ KNOWN_TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "l
 
 @register("file_inventory")
 def q_file_inventory(spark, d):
-    return FS.file_listing(spark, d)
+    """Per container: file count, KB and an empty flag (content never read)."""
+    return FS.file_inventory(spark, d)
 
 
 @register("expected_folders_status")
