@@ -65,3 +65,24 @@ def test_foreach_batch_retry_does_not_duplicate(spark, tmp_path):
         ST.run_foreach_batch(stream(), str(out / "_ckpt"), flaky)
     ST.run_foreach_batch(stream(), str(out / "_ckpt"), flaky)   # the batch is retried
     assert spark.read.parquet(target).count() == 10
+
+
+def test_schema_evolution_on_restart(spark, tmp_path):
+    """T3: a restart with a wider explicit schema picks up new files only;
+    the sink is read back with schema merge."""
+    from pyspark.sql import types as T
+    src, out = tmp_path / "src", tmp_path / "out"
+    src.mkdir()
+    (src / "a.csv").write_text("k;v\n1;x\n2;y\n")
+    narrow = T.StructType([T.StructField("k", T.StringType()), T.StructField("v", T.StringType())])
+    ST.run_available_now(ST.file_stream(spark, str(src), narrow, "csv", "*.csv", LANDING_OPTIONS),
+                         str(out / "data"), str(out / "_ckpt"))
+    (src / "b.csv").write_text("k;v;w\n3;z;extra\n")
+    wide = T.StructType(narrow.fields + [T.StructField("w", T.StringType())])
+    n = ST.run_available_now(ST.file_stream(spark, str(src), wide, "csv", "*.csv",
+                                            LANDING_OPTIONS),
+                             str(out / "data"), str(out / "_ckpt"))
+    assert n == 1                                            # only the new file
+    back = spark.read.option("mergeSchema", "true").parquet(str(out / "data"))
+    rows = {r["k"]: r["w"] for r in back.collect()}
+    assert rows == {"1": None, "2": None, "3": "extra"}
