@@ -110,3 +110,20 @@ def test_medallion_job_end_to_end(spark, tmp_path):
              P.run(spark, str(landing), str(root), min_year=2021).collect()}
     assert again[("bronze", "exp")]["linhas"] == 0
     assert P.gold_table(spark, lake, "ft_balanco_comercial").count() == 3
+
+
+def test_job_with_exports_only_and_empty_landing(spark, tmp_path):
+    landing, root = tmp_path / "landing", tmp_path / "lake"
+    landing.mkdir()
+    _csv(landing / "EXP_2020.csv", [EXP_H, "2020;5;01012100;10;063;SP;1;0817600;1;2;10"])
+    report = {(r["camada"], r["entidade"]): r for r in
+              P.run(spark, str(landing), str(root), min_year=2020).collect()}
+    assert report[("gold", "ft_balanco_comercial")]["status"] == "OK"
+    fact = P.gold_table(spark, P.Lake(str(root)), "ft_balanco_comercial")
+    assert fact.count() == 1
+    empty, root2 = tmp_path / "empty", tmp_path / "lake2"
+    empty.mkdir()
+    report = {(r["camada"], r["entidade"]): r["status"] for r in
+              P.run(spark, str(empty), str(root2)).collect()}
+    assert report[("gold", "ft_balanco_comercial")] == "SEM_DADOS"
+    assert report[("bronze", "exp")] == "SEM_ARQUIVOS"

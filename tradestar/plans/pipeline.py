@@ -21,7 +21,7 @@ from pyspark.sql import types as T
 
 from tradestar.functions.names import fallback_name
 from tradestar.layouts import (REGISTRY_ARCHIVES, REGISTRY_LAYOUTS, TRADE_ENTITIES,
-                               TRADE_LAYOUTS, target_type)
+                               TRADE_LAYOUTS, target_schema, target_type)
 from tradestar.operators import gold as G
 from tradestar.operators import marts as M
 from tradestar.operators import silver as SV
@@ -201,6 +201,12 @@ def gold(spark: SparkSession, lake: Lake, cluster_fact: bool = True,
     ``sentinels`` (e.g. ('N/A',)) are read as missing values."""
     t = lambda e: _trusted(spark, lake, TRADE, e)
     exp, imp = t("exp"), t("imp")
+    if exp is None and imp is None:
+        lake.note("gold", "ft_balanco_comercial", None, "SEM_DADOS", "sem exp nem imp")
+        return
+    # one direction may be missing: the other side is an empty typed table
+    exp = exp if exp is not None else spark.createDataFrame([], target_schema("EXPO_2021"))
+    imp = imp if imp is not None else spark.createDataFrame([], target_schema("IMP_2021"))
     out = {}
     # ordered within files only: a global sort before a write is not observable
     out["dim_data"] = G.build_dim_date(exp, imp).sortWithinPartitions("sk_data")
@@ -268,8 +274,12 @@ def run(spark: SparkSession, landing: str, root: str, min_year: int = 2000) -> D
     bronze_registry(spark, landing, lake)
     silver_trade(spark, lake)
     silver_registry(spark, lake)
-    gold(spark, lake)
-    marts(spark, lake, min_year)
+    for step, call in (("gold", lambda: gold(spark, lake)),
+                       ("marts", lambda: marts(spark, lake, min_year))):
+        try:
+            call()
+        except Exception as exc:  # report the failed step, keep the report
+            lake.note(step, "*", None, "ERRO", str(exc).splitlines()[0][:300])
     return lake.report(spark)
 
 
