@@ -137,6 +137,9 @@ def test_sniff_delimiter_cases(spark):
            for r in R.sniff_delimiter(df, files=files).collect()}
     assert out == {"a.txt": ("\t", False), "b.csv": ("|", False), "c.txt": (",", False),
                    "empty.csv": (",", True)}
+    whole = {r["arquivo"]: (r["delimitador"], r["padrao"])
+             for r in R.sniff_delimiter(df, files=files, sample_bytes=None).collect()}
+    assert whole == out
 
 
 def test_resolve_layout_rules(spark):

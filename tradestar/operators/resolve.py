@@ -106,22 +106,27 @@ def classify_files(files: DataFrame, name_col: str = "arquivo") -> DataFrame:
 
 def sniff_delimiter(lines: DataFrame, file_col: str = "arquivo", line_no_col: str = "n_linha",
                     text_col: str = "linha", files: DataFrame | None = None,
-                    sample_bytes: int = SNIFF_SAMPLE_BYTES) -> DataFrame:
-    """Delimiter of each file from its first ``sample_bytes`` bytes.
+                    sample_bytes: int | None = SNIFF_SAMPLE_BYTES) -> DataFrame:
+    """Delimiter of each file from its first ``sample_bytes`` bytes (the
+    reference sniffs a 4 KB sample); ``sample_bytes=None`` sniffs whole files.
 
     For every candidate the per-line occurrence count is computed; the winner
     is the candidate whose modal count (> 0) covers most sampled lines, then
     the higher count, then the candidate order. No candidate -> ','.
-    Work per file is bounded by the sample: at most ``sample_bytes`` lines are
-    kept before the (per-file) running byte offset is computed.
+    With a sample, work per file is bounded: at most ``sample_bytes`` lines
+    are kept before the (per-file) running byte offset is computed. Whole-file
+    mode needs no window at all (counts are a plain two-phase aggregate).
     """
-    head = lines.filter(F.col(line_no_col) <= sample_bytes).select(
-        F.col(file_col).alias("arquivo"), F.col(line_no_col).alias("n"),
-        F.col(text_col).alias("linha"))
-    from pyspark.sql.window import Window
-    w = Window.partitionBy("arquivo").orderBy("n").rowsBetween(Window.unboundedPreceding, 0)
-    sized = head.withColumn("_fim", F.sum(F.octet_length("linha") + 1).over(w))
-    sample = sized.filter(F.col("_fim") - F.octet_length("linha") - 1 < sample_bytes)
+    src = lines if sample_bytes is None else lines.filter(F.col(line_no_col) <= sample_bytes)
+    head = src.select(F.col(file_col).alias("arquivo"), F.col(line_no_col).alias("n"),
+                      F.col(text_col).alias("linha"))
+    if sample_bytes is None:
+        sample = head
+    else:
+        from pyspark.sql.window import Window
+        w = Window.partitionBy("arquivo").orderBy("n").rowsBetween(Window.unboundedPreceding, 0)
+        sized = head.withColumn("_fim", F.sum(F.octet_length("linha") + 1).over(w))
+        sample = sized.filter(F.col("_fim") - F.octet_length("linha") - 1 < sample_bytes)
     cands = F.array(*[F.struct(F.lit(i).alias("ordem"), F.lit(d).alias("d"))
                       for i, d in enumerate(CANDIDATE_DELIMITERS)])
     per_line = sample.select("arquivo", F.explode(cands).alias("c"), "linha").select(
