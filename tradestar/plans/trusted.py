@@ -12,6 +12,7 @@ from __future__ import annotations
 import threading
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tradestar.session import app_id, default_parallelism, scratch_path
 from tradestar.sources import standins as S
@@ -41,15 +42,24 @@ def materialize(spark: SparkSession, sf_dir: str) -> str:
         root = _ROOTS.get(key)
         if root is None:
             root = scratch_path(spark, "trusted")
-            for name, build in (("exp", S.exports), ("imp", S.imports)):
-                _spread(build(spark, sf_dir)).write.mode("overwrite").parquet(f"{root}/{name}")
+            # one pass of the join for both directions, stored by direction so
+            # each side is read back with partition pruning
+            (_spread(S.trade_records(spark, sf_dir)).write.mode("overwrite")
+             .partitionBy("fluxo").parquet(f"{root}/trade"))
             _ROOTS[key] = root
     return root
 
 
 def exp_imp(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    root = materialize(spark, sf_dir)
-    return spark.read.parquet(f"{root}/exp"), spark.read.parquet(f"{root}/imp")
+    """Trusted ``exp`` (fluxo 'O') and ``imp`` (fluxo 'F') in their layouts."""
+    trade = spark.read.parquet(f"{materialize(spark, sf_dir)}/trade")
+    exp = (trade.filter(F.col("fluxo") == "O")
+           .withColumnsRenamed({"codigo_pais": "codigo_pais_destino", "uf": "uf_origem"})
+           .select(*S.EXP_COLUMNS))
+    imp = (trade.filter(F.col("fluxo") == "F")
+           .withColumnsRenamed({"codigo_pais": "codigo_pais_origem", "uf": "uf_destino"})
+           .select(*S.IMP_COLUMNS))
+    return exp, imp
 
 
 _GOLD: dict[tuple[str, str], str] = {}
