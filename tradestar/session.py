@@ -49,8 +49,9 @@ def _context(spark: SparkSession):
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    The cluster's setting always wins. Only when it is unset (local tests,
-    the benchmark) is a private folder created and registered.
+    The cluster's setting always wins. Only when it is unset on a local
+    master (tests, the benchmark) is a private folder created and registered;
+    on a cluster an unset directory is an error.
     """
     sc = _context(spark)
     if sc is not None and sc.getCheckpointDir():
@@ -59,6 +60,10 @@ def checkpoint_root(spark: SparkSession) -> str:
     if not conf_dir and sc is not None:
         conf_dir = sc.getConf().get("spark.checkpoint.dir", None)
     if not conf_dir:
+        master = spark.conf.get("spark.master", "") or ""
+        if not master.startswith("local"):
+            # a driver-local folder is invisible to executors on other hosts
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
         conf_dir = tempfile.mkdtemp(prefix="tradestar-ckpt-")
     if sc is not None:
         sc.setCheckpointDir(conf_dir)
