@@ -1,8 +1,10 @@
 """Gold-layer and mart queries on the driver's tables.
 
 Callables take ``(spark, sf_dir)`` and return a lazy DataFrame over the whole
-tables; nothing is collected. Report parameters (years, state, top-k) are fixed
-here because the test data spans 1995-2001 and uses region codes as states.
+tables; nothing is collected. Gold keys build the star from the stored trusted
+tables; marts read the stored gold star (``plans.trusted``). Report parameters
+(years, state, top-k) are fixed here because the test data spans 1995-2001 and
+uses region codes as states.
 """
 
 from __future__ import annotations
