@@ -64,3 +64,21 @@ def test_marts_prune_movement_partitions_and_push_month_range(spark):
     assert "PartitionFilters: [isnotnull(tipo_movimentacao" in p
     assert "(tipo_movimentacao" in p and "= EXPORTACAO)]" in p
     assert "GreaterThanOrEqual(sk_data,199801), LessThanOrEqual(sk_data,199812)" in p
+
+
+def test_gold_fact_files_stay_clustered_by_month(spark):
+    """The partitioned write must not re-sort away the (sk_data, sk_ncm) order
+    that makes row-group skipping work."""
+    import glob
+
+    import pyarrow.parquet as pq
+
+    from tradestar.plans import trusted
+    from tradestar.session import local_path
+
+    root = local_path(trusted.materialize_gold(spark, SF_SMALL))
+    files = glob.glob(f"{root}/ft_balanco_comercial/*/*.parquet")
+    assert files
+    for f in files:
+        col = pq.read_table(f, columns=["sk_data"]).column(0).to_pylist()
+        assert col == sorted(col), f

@@ -230,7 +230,9 @@ def gold(spark: SparkSession, lake: Lake, cluster_fact: bool = True,
         SK.overwrite_table(G.add_audit(df), lake.path("refined", "gold", name))
         lake.note("gold", name, None, "OK")
     if cluster_fact:
-        fact = fact.sortWithinPartitions("sk_data", "sk_ncm")
+        # partition columns lead: the writer requires that order and would
+        # otherwise re-sort each task, losing the (sk_data, sk_ncm) clustering
+        fact = fact.sortWithinPartitions(*parts, "sk_data", "sk_ncm")
     SK.overwrite_table(G.add_audit(fact), lake.path("refined", "gold", "ft_balanco_comercial"),
                        parts)
     lake.note("gold", "ft_balanco_comercial", None, "OK")

@@ -85,7 +85,10 @@ def materialize_gold(spark: SparkSession, sf_dir: str) -> str:
         root = _GOLD.get(key)
         if root is None:
             root = scratch_path(spark, "gold")
-            fact = G.build_fact(exp, imp).sortWithinPartitions("sk_data", "sk_ncm")
+            # the partition column leads the sort: the writer requires that
+            # order and would otherwise re-sort, losing (sk_data, sk_ncm)
+            fact = G.build_fact(exp, imp).sortWithinPartitions("tipo_movimentacao", "sk_data",
+                                                               "sk_ncm")
             SK.overwrite_table(fact, f"{root}/ft_balanco_comercial", ["tipo_movimentacao"])
             dims = {
                 "dim_data": G.build_dim_date(exp, imp),
