@@ -13,6 +13,7 @@ Layout: ``{root}/{layer}/{domain}/{entity}``, checkpoints under
 from __future__ import annotations
 
 import logging
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -54,6 +55,20 @@ class Lake:
         return spark.createDataFrame(self._report, REPORT_SCHEMA)
 
 
+def _each(items, fn, workers: int) -> None:
+    """Run ``fn`` per entity; with ``workers > 1`` independent entities are
+    submitted from a thread pool (Spark runs jobs from several driver threads
+    concurrently, so small reference tables load side by side). ``fn``
+    reports its own failures, so one entity never stops the others."""
+    items = list(items)
+    if workers <= 1:
+        for it in items:
+            fn(it)
+        return
+    with ThreadPoolExecutor(max_workers=workers) as pool:
+        list(pool.map(fn, items))
+
+
 # --------------------------------------------------------------------------- bronze
 def _header_schema(spark: SparkSession, landing: str, glob: str) -> T.StructType:
     """Stream schema from the files' header (first line only), all strings:
@@ -66,12 +81,14 @@ def _header_schema(spark: SparkSession, landing: str, glob: str) -> T.StructType
 
 
 def bronze_trade(spark: SparkSession, landing: str, lake: Lake,
-                 entities: dict[str, tuple[str, str | None]] | None = None) -> None:
+                 entities: dict[str, tuple[str, str | None]] | None = None,
+                 workers: int = 1) -> None:
     """Checkpointed run-to-completion stream per trade entity: only files not
     seen before are read; layout names applied on the way in (absent mapped
     columns skipped with a warning, unmapped columns dropped); entities
     without a layout get the fallback names."""
-    for entity, (glob, layout) in (entities or TRADE_ENTITIES).items():
+    def one(item):
+        entity, (glob, layout) = item
         try:
             schema = _header_schema(spark, landing, glob)
             if layout is not None:
@@ -88,6 +105,8 @@ def bronze_trade(spark: SparkSession, landing: str, lake: Lake,
             missing = "Path does not exist" in msg or "UNABLE_TO_INFER_SCHEMA" in msg
             lake.note("bronze", entity, None, "SEM_ARQUIVOS" if missing else "ERRO", msg)
 
+    _each((entities or TRADE_ENTITIES).items(), one, workers)
+
 
 def bronze_registry(spark: SparkSession, landing: str, lake: Lake,
                     entities: list[str] | None = None) -> None:
@@ -130,18 +149,19 @@ def _types_for(columns: list[str], layout: str | None) -> dict[str, str]:
             if c in targets and target_type(c).simpleString() != "string"}
 
 
-def silver_trade(spark: SparkSession, lake: Lake, entities: list[str] | None = None) -> None:
+def silver_trade(spark: SparkSession, lake: Lake, entities: list[str] | None = None,
+                 workers: int = 1) -> None:
     """trim/upper -> strong typing (``try_cast``; rows whose non-null text does
     not convert go to a ``_rejeitos`` table with the failed columns) -> dedup
     -> null fill (codes, states, year and month keep their nulls) -> overwrite
     partitioned by year/month. Row and reject counts come from ``observe`` on
     the writes, not from extra scans."""
-    for entity in entities or list(TRADE_ENTITIES):
+    def one(entity):
         try:
             df = FS.read_table(spark, lake.path("raw", TRADE, entity), lake.fmt)
             if df.isEmpty():
                 lake.note("silver", entity, 0, "VAZIO", "entrada vazia, ignorada")
-                continue
+                return
             text = SV.trim_upper_strings(SV.normalize_headers(df))
             typed = SV.typed_columns(text, _types_for(text.columns, TRADE_ENTITIES[entity][1]))
             clean, rejects = SV.split_rejects(typed)
@@ -165,6 +185,8 @@ def silver_trade(spark: SparkSession, lake: Lake, entities: list[str] | None = N
             lake.note("silver", entity, None, "SEM_DADOS" if "PATH_NOT_FOUND" in msg
                       or "does not exist" in msg else "ERRO", msg)
 
+    _each(entities or list(TRADE_ENTITIES), one, workers)
+
 
 def silver_registry(spark: SparkSession, lake: Lake, entities: list[str] | None = None) -> None:
     for entity in entities or list(REGISTRY_ARCHIVES):
@@ -269,12 +291,14 @@ def marts(spark: SparkSession, lake: Lake, min_year: int) -> dict[str, DataFrame
     }
 
 
-def run(spark: SparkSession, landing: str, root: str, min_year: int = 2000) -> DataFrame:
-    """The whole job; returns the run report."""
+def run(spark: SparkSession, landing: str, root: str, min_year: int = 2000,
+        workers: int = 4) -> DataFrame:
+    """The whole job; returns the run report. ``workers`` trade entities are
+    loaded concurrently in bronze and silver."""
     lake = Lake(root)
-    bronze_trade(spark, landing, lake)
+    bronze_trade(spark, landing, lake, workers=workers)
     bronze_registry(spark, landing, lake)
-    silver_trade(spark, lake)
+    silver_trade(spark, lake, workers=workers)
     silver_registry(spark, lake)
     for step, call in (("gold", lambda: gold(spark, lake)),
                        ("marts", lambda: marts(spark, lake, min_year))):
