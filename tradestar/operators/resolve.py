@@ -11,10 +11,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-from tradestar.layouts import (CANDIDATE_DELIMITERS, DEFAULT_DELIMITER, LAYOUT_ALIASES,
-                               REGISTRY_ARCHIVES, REGISTRY_EXTENSIONS, SNIFF_SAMPLE_BYTES,
-                               SUPPORTED_EXTENSIONS, layout_rows)
+from tradestar.layouts import (CANDIDATE_DELIMITERS, DEFAULT_DELIMITER, REGISTRY_ARCHIVES,
+                               REGISTRY_EXTENSIONS, SNIFF_SAMPLE_BYTES, SUPPORTED_EXTENSIONS,
+                               layout_rows)
 
 YEAR_PATTERN = r"_\d{4}"
 
@@ -123,7 +124,6 @@ def sniff_delimiter(lines: DataFrame, file_col: str = "arquivo", line_no_col: st
     if sample_bytes is None:
         sample = head
     else:
-        from pyspark.sql.window import Window
         w = Window.partitionBy("arquivo").orderBy("n").rowsBetween(Window.unboundedPreceding, 0)
         sized = head.withColumn("_fim", F.sum(F.octet_length("linha") + 1).over(w))
         sample = sized.filter(F.col("_fim") - F.octet_length("linha") - 1 < sample_bytes)
@@ -162,6 +162,3 @@ def choose_member(members: DataFrame, archive_col: str = "arquivo_zip",
     return (ranked.groupBy(archive_col).agg(F.min("r").alias("r"))
             .select(archive_col, F.col("r.m").alias(member_col)))
 
-
-__all__ = ["resolve_layout", "resolve_layout_by_table", "classify_files", "sniff_delimiter",
-           "choose_member", "LAYOUT_ALIASES"]

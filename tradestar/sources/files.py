@@ -8,6 +8,7 @@ driver-side loop.
 from __future__ import annotations
 
 import logging
+import re
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -93,7 +94,7 @@ def list_files(spark: SparkSession, root: str, glob: str | None = None) -> DataF
         reader = reader.option("pathGlobFilter", glob)
     root_prefix = root.rstrip("/")
     files = reader.load(root).select("path", "length", "modificationTime")
-    rel = F.regexp_replace(F.col("path"), r"^.*?" + _escape(root_prefix.split(":", 1)[-1]) + "/?",
+    rel = F.regexp_replace(F.col("path"), r"^.*?" + re.escape(root_prefix.split(":", 1)[-1]) + "/?",
                            "")
     return files.select(
         "path",
@@ -104,11 +105,6 @@ def list_files(spark: SparkSession, root: str, glob: str | None = None) -> DataF
     )
 
 
-def _escape(s: str) -> str:
-    import re
-    return re.escape(s)
-
-
 def file_inventory(spark: SparkSession, root: str) -> DataFrame:
     """Per-container totals: files, KB and an empty flag (one aggregation)."""
     files = list_files(spark, root)
