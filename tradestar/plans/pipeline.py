@@ -80,22 +80,27 @@ def _header_schema(spark: SparkSession, landing: str, glob: str) -> T.StructType
     return T.StructType([T.StructField(c, T.StringType()) for c in cols])
 
 
-def bronze_trade(spark: SparkSession, landing: str, lake: Lake,
+def bronze_trade(spark: SparkSession, landing: str | None, lake: Lake,
                  entities: dict[str, tuple[str, str | None]] | None = None,
-                 workers: int = 1) -> None:
+                 workers: int = 1,
+                 sources: dict[str, tuple[str, str, str | None]] | None = None) -> None:
     """Checkpointed run-to-completion stream per trade entity: only files not
     seen before are read; layout names applied on the way in (absent mapped
     columns skipped with a warning, unmapped columns dropped); entities
-    without a layout get the fallback names."""
+    without a layout get the fallback names. ``sources`` (entity -> folder,
+    glob, layout) replaces the single landing folder with one per entity."""
+    if sources is None:
+        sources = {e: (landing, g, lay) for e, (g, lay) in (entities or TRADE_ENTITIES).items()}
+
     def one(item):
-        entity, (glob, layout) = item
+        entity, (folder, glob, layout) = item
         try:
-            schema = _header_schema(spark, landing, glob)
+            schema = _header_schema(spark, folder, glob)
             if layout is not None:
                 rename = (lambda df, lay=layout: FS.project_by_mapping(df, TRADE_LAYOUTS[lay]))
             else:
                 rename = (lambda df: df.toDF(*[fallback_name(c) for c in df.columns]))
-            stream = ST.file_stream(spark, landing, schema, "csv", glob,
+            stream = ST.file_stream(spark, folder, schema, "csv", glob,
                                     {**FS.LANDING_OPTIONS, "enforceSchema": "false"})
             rows = ST.run_available_now(stream, lake.path("raw", TRADE, entity),
                                         lake.checkpoint(TRADE, entity), transform=rename)
@@ -105,7 +110,7 @@ def bronze_trade(spark: SparkSession, landing: str, lake: Lake,
             missing = "Path does not exist" in msg or "UNABLE_TO_INFER_SCHEMA" in msg
             lake.note("bronze", entity, None, "SEM_ARQUIVOS" if missing else "ERRO", msg)
 
-    _each((entities or TRADE_ENTITIES).items(), one, workers)
+    _each(sources.items(), one, workers)
 
 
 def bronze_registry(spark: SparkSession, landing: str, lake: Lake,

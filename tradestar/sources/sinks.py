@@ -43,10 +43,18 @@ def overwrite_table(df: DataFrame, path: str, partition_by: list[str] | None = N
     w.save(path)
 
 
-def overwrite_partitioned(df: DataFrame, path: str) -> list[str]:
+def overwrite_partitioned(df: DataFrame, path: str, rebalance: bool = True) -> list[str]:
     """Silver write: partition by the first present year column and month
-    column (if any), full overwrite. Returns the partition columns used."""
+    column (if any), full overwrite. Returns the partition columns used.
+
+    Without a shuffle every task would write one file per month it holds
+    (tasks × months small files). The ``REBALANCE`` hint on the partition
+    columns lets AQE cut each month into advisory-sized partitions, splitting
+    a hot month and merging small ones, so files come out near the target
+    size."""
     cols = pick_partition_columns(df.columns)
+    if cols and rebalance:
+        df = df.hint("rebalance", *cols)
     overwrite_table(df, path, cols)
     return cols
 
