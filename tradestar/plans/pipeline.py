@@ -271,7 +271,8 @@ def gold(spark: SparkSession, lake: Lake, cluster_fact: bool = True,
         if cn is None:
             cn = spark.createDataFrame([], "cnae string, descricao string")
         dist = M.establishment_distribution(est, emp, cn, active_status="02")
-        SK.overwrite_table(dist.withColumn("dt_atualizacao", F.current_timestamp()),
+        SK.overwrite_table(dist.withColumn("dt_atualizacao", F.current_timestamp())
+                           .hint("rebalance", "uf"),
                            lake.path("refined", "gold", "dim_distribuicao_estabelecimentos"),
                            ["uf"])
         lake.note("gold", "dim_distribuicao_estabelecimentos", None, "OK")

@@ -61,8 +61,10 @@ def overwrite_partitioned(df: DataFrame, path: str, rebalance: bool = True) -> l
 
 def write_snapshot(df: DataFrame, path: str, partition_by: list[str]) -> None:
     """Dynamic partition overwrite: only the partitions present in ``df`` are
-    replaced, so a monthly refresh never rewrites history."""
-    (df.write.format(_fmt(df.sparkSession)).mode("overwrite")
+    replaced, so a monthly refresh never rewrites history. Rebalanced on the
+    partition columns so each month is written as a few well-sized files."""
+    (df.hint("rebalance", *partition_by)
+     .write.format(_fmt(df.sparkSession)).mode("overwrite")
      .option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).save(path))
 
 
