@@ -236,3 +236,37 @@ def test_read_classified_json_multiline_and_csv(spark, tmp_path):
     df = FS.read_classified(spark, str(tmp_path / "b.txt"), t["formato"], t["header"], "|",
                             t["encoding"])
     assert df.columns == ["x", "y"] and df.count() == 1
+
+
+def test_optimize_table_rewrites_small_files(spark, tmp_path):
+    src = str(tmp_path / "many")
+    spark.range(2000).repartition(20).write.parquet(src)
+    n = SK.optimize_table(spark, src, str(tmp_path / "few"))
+    assert n == 1 and spark.read.parquet(str(tmp_path / "few")).count() == 2000
+    assert SK.optimize_table(spark, str(tmp_path / "few"), str(tmp_path / "again")) is None
+
+
+def test_treat_nulls_fills_nan_and_keeps_protected(spark):
+    df = spark.createDataFrame([(float("nan"), None, None, "x")],
+                               "d double, i int, s string, k string")
+    row = SV.treat_nulls(df.withColumn("k", F.lit(None).cast("string")), protect=["k"]).first()
+    assert row["d"] == 0.0 and row["i"] == 0 and row["s"] == "N/A" and row["k"] is None
+
+
+def test_dedup_latest_keeps_newest_then_largest_source(spark):
+    import datetime as dt
+    t1, t2 = dt.datetime(2024, 1, 1), dt.datetime(2024, 2, 1)
+    df = spark.createDataFrame([("a", t1, "f0"), ("a", t2, "f1"), ("a", t2, "f2"), ("b", t1, "f0")],
+                               "k string, ingestion_timestamp timestamp_ntz, file_source string")
+    out = {r["k"]: (r["ingestion_timestamp"], r["file_source"])
+           for r in SV.dedup_latest(df, ["k"], ["ingestion_timestamp", "file_source"]).collect()}
+    assert out == {"a": (t2, "f2"), "b": (t1, "f0")}
+
+
+def test_validate_schema_reports_wrong_type(spark):
+    from pyspark.sql import types as T
+    df = spark.createDataFrame([(1, "x")], "a int, b string")
+    want = T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.IntegerType())])
+    rows = {(r["coluna"], r["problema"]): r["n_linhas"]
+            for r in SV.validate_schema(df, want).collect()}
+    assert rows == {("a", "wrong_type"): None, ("b", "invalid_values"): 1}

@@ -98,3 +98,22 @@ def compact(spark: SparkSession, src: str, dst: str, total_bytes: int,
     n = max(1, math.ceil(total_bytes / target_bytes))
     spark.read.parquet(src).repartition(n).write.mode("overwrite").parquet(dst)
     return n
+
+
+def optimize_table(spark: SparkSession, path: str, dst: str | None = None,
+                   target_bytes: int = COMPACTION_TARGET_BYTES) -> int | None:
+    """Small-file compaction of one table. With Delta (``tradestar.table.format
+    = delta``) this is ``OPTIMIZE`` on the path, atomic and in place. With
+    Parquet the table is rewritten into ``dst`` at the target file size when
+    the plan says it pays; returns the new file count (None when nothing was
+    done). Parquet has no atomic swap, so the caller points readers at ``dst``."""
+    if _fmt(spark) == "delta":
+        spark.sql(f"OPTIMIZE delta.`{path}`")
+        return None
+    plan = (list_files(spark, path, glob="*.parquet")
+            .agg(F.count(F.lit(1)).alias("n"), F.sum("bytes").alias("b")).first())
+    n_files, total = int(plan["n"] or 0), int(plan["b"] or 0)
+    target_n = max(1, math.ceil(total / target_bytes))
+    if dst is None or n_files <= target_n:
+        return None
+    return compact(spark, path, dst, total, target_bytes)
