@@ -270,3 +270,18 @@ def test_validate_schema_reports_wrong_type(spark):
     rows = {(r["coluna"], r["problema"]): r["n_linhas"]
             for r in SV.validate_schema(df, want).collect()}
     assert rows == {("a", "wrong_type"): None, ("b", "invalid_values"): 1}
+
+
+def test_register_tables_and_views_run_documented_sql(spark, tmp_path):
+    from tradestar.sources.tables import qualify_as_views, register_tables, register_views
+    fact, dim = str(tmp_path / "f"), str(tmp_path / "d")
+    spark.createDataFrame([(1, "EXPORTACAO", 10), (2, "IMPORTACAO", 5)],
+                          "k int, tipo_movimentacao string, v int") \
+        .write.partitionBy("tipo_movimentacao").parquet(fact)
+    spark.createDataFrame([(1, "a"), (2, "b")], "k int, nome string").write.parquet(dim)
+    sql = ("SELECT d.nome, SUM(f.v) AS v FROM gold.fato f JOIN gold.dim d ON f.k = d.k "
+           "WHERE f.tipo_movimentacao = 'EXPORTACAO' GROUP BY d.nome")
+    register_tables(spark, {"fato": fact, "dim": dim}, location=str(tmp_path / "gold.db"))
+    assert [tuple(r) for r in spark.sql(sql).collect()] == [("a", 10)]
+    register_views(spark, {"fato": fact, "dim": dim})
+    assert [tuple(r) for r in spark.sql(qualify_as_views(sql)).collect()] == [("a", 10)]

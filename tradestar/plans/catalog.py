@@ -1,4 +1,4 @@
 """All registered queries: importing this module fills the registry."""
 
-from tradestar.plans import q_gold, q_pipeline, q_quality, q_silver, q_sources  # noqa: F401
+from tradestar.plans import q_gold, q_pipeline, q_quality, q_silver, q_sources, q_sql  # noqa: F401
 from tradestar.plans.registry import ORACLE, QUERIES  # noqa: F401
