@@ -64,8 +64,9 @@ def scan_csv_entity(spark: SparkSession, landing_dir: str, entity: str,
 
 
 def table_format(spark: SparkSession) -> str:
-    """'delta', 'parquet' or 'auto' (the default) from ``tradestar.table.format``."""
-    return spark.conf.get("tradestar.table.format", "auto")
+    """'parquet' (the default), 'delta', or 'auto' (try Delta, fall back to
+    Parquet) from ``tradestar.table.format``."""
+    return spark.conf.get("tradestar.table.format", "parquet")
 
 
 def read_table(spark: SparkSession, path: str, fmt: str | None = None,
