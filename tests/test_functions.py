@@ -59,3 +59,37 @@ def test_null_if_sentinel(spark):
     rows = spark.createDataFrame([("N/A",), ("SP",)], "u string").select(
         K.null_if_sentinel(F.col("u"), ("N/A",)).alias("u")).collect()
     assert [r["u"] for r in rows] == [None, "SP"]
+
+
+class _Conf:
+    def __init__(self, values):
+        self.values = dict(values)
+
+    def get(self, key, default=None):
+        return self.values.get(key, default)
+
+    def set(self, key, value):
+        self.values[key] = value
+
+
+class _NoContextSession:
+    """A session without a SparkContext (as on Spark Connect)."""
+    def __init__(self, values):
+        self.conf = _Conf(values)
+
+    @property
+    def sparkContext(self):
+        raise RuntimeError("no context")
+
+
+def test_checkpoint_root_rules():
+    import pytest
+
+    from tradestar.session import checkpoint_root
+    with pytest.raises(RuntimeError):                     # cluster without a shared folder
+        checkpoint_root(_NoContextSession({"spark.master": "yarn"}))
+    shared = _NoContextSession({"spark.master": "yarn", "spark.checkpoint.dir": "/shared/ckpt"})
+    assert checkpoint_root(shared) == "/shared/ckpt"      # the cluster's setting wins
+    local = _NoContextSession({"spark.master": "local[2]"})
+    path = checkpoint_root(local)                         # private folder only locally
+    assert path and local.conf.get("spark.checkpoint.dir") == path
