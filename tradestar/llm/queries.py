@@ -26,3 +26,28 @@ def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return remove_repeats(docs, carry=["doc_id"]).select("doc_id", "dedup.n_bytes", "dedup.n_removed", "dedup.n_spans",
                                        "dedup.kept_sha256")
+
+
+@query
+def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tradestar.llm.simhash import near_copies
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return near_copies(docs, n_words=3, radius=3).select(
+        "doc_id", F.lower(F.lpad(F.hex("near.fp"), 16, "0")).alias("fingerprint"), "near.component_id")
+
+
+@query
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+    from tradestar.llm.packing import pack
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pack(docs, public_tokenizers.path("word_bpe_49k.json"), with_ids=False).select("doc_id", "piece.*")
+
+
+@query
+def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+    from tradestar.llm.bpe import encode
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return encode(docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN,
+                  carry=["doc_id"], with_ids=False).select("doc_id", "bpe.*")

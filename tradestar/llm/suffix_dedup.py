@@ -14,8 +14,10 @@ positions that can still be repeated:
 2. *Runs.* Neighbouring positions that share a sampled position form one run.
    Runs whose whole bytes are equal elsewhere are repeated as a whole; they are
    settled without looking at their positions.
-3. *Full length, single positions.* Where a rank has several different runs
-   (the borders of a repeated passage), each position gets the pair (rank at
+3. *Nearly full length, cells.* Where a rank has several different runs (the
+   borders of a repeated passage), the starts are taken in cells of CELL and
+   ranked by the bytes that a cell's strings share; unique cells drop out.
+4. *Full length, single positions.* Each position left gets the pair (rank at
    offset 0, rank at offset ``length/2``); Spark sorts the pairs, and pairs that
    occur once drop out. Ranks now cover ``length`` bytes: the threshold.
 
@@ -45,6 +47,8 @@ from tradestar.llm.scratch import stored
 from tradestar.llm.textblocks import U64, Powers, RollingHash, blocks, mix, sliding_argmin
 
 LENGTH = 200
+#: Starts that are looked at together before single positions are.
+CELL = 20
 #: A document longer than this is read in overlapping pieces (positions fit 24 bits).
 PIECE = 8 << 20
 
@@ -110,12 +114,12 @@ def _sampled_ranks(length: int):
 
 #: Bytes of a document around its repeated ranks, and the runs found in them.
 _REGION = ("did long, tk int, start long, body binary, "
-           "runs array<struct<rank:long,ctx:long,lo:int,n:int>>")
+           "runs array<struct<rank:long,ctx:long,lo:int,n:int,at:int>>")
 
 
 def _regions(length: int):
     run_type = pa.list_(pa.struct([("rank", pa.int64()), ("ctx", pa.int64()),
-                                   ("lo", pa.int32()), ("n", pa.int32())]))
+                                   ("lo", pa.int32()), ("n", pa.int32()), ("at", pa.int32())]))
 
     def run(batches):
         powers = Powers()
@@ -143,7 +147,8 @@ def _regions(length: int):
                 group = np.repeat(np.arange(len(head)), tail - head)
                 inner = pa.StructArray.from_arrays(
                     [pa.array(_i64(rank)), pa.array(_i64(ctx)),
-                     pa.array((lo - start[group]).astype(np.int32)), pa.array(n.astype(np.int32))],
+                     pa.array((lo - start[group]).astype(np.int32)), pa.array(n.astype(np.int32)),
+                     pa.array((at - start[group]).astype(np.int32))],
                     fields=list(run_type.value_type))
                 raw = data.tobytes()
                 yield pa.RecordBatch.from_arrays(
@@ -156,33 +161,63 @@ def _regions(length: int):
     return run
 
 
+def _open(batches, fields: tuple[str, ...]):
+    """Each region's bytes with the rows of its ``open`` list: (batch, first
+    row, rolling hash, offsets, row of each entry, the entries' fields)."""
+    powers = Powers()
+    for b in batches:
+        entries = b.column("open")
+        counts = np.diff(entries.offsets.to_numpy())
+        flat = entries.flatten()
+        values = [flat.field(k).to_numpy(zero_copy_only=False).astype(np.int64) for k in fields]
+        first = np.concatenate([[0], np.cumsum(counts)])
+        for i, j, data, off in blocks(b.column("body")):
+            row = np.repeat(np.arange(i, j), counts[i:j])
+            if len(row):
+                yield b, i, RollingHash(data, powers), off, row, [v[first[i]:first[j]] for v in values]
+
+
+def _expand(n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For counts n: which entry each unit belongs to, and its number in it."""
+    k = np.repeat(np.arange(len(n)), n)
+    return k, np.arange(len(k)) - np.repeat(np.cumsum(n) - n, n)
+
+
+def _cells(length: int):
+    """Open runs in cells of CELL starts, counted from the sampled position,
+    with the rank of the bytes that all strings of a cell share."""
+    def run(batches):
+        for b, i, h, off, row, (lo, n, at, one) in _open(batches, ("lo", "n", "at", "single")):
+            far, near = (at - lo) // CELL, (at - lo - n + 1) // CELL
+            k, step = _expand(far - near + 1)
+            cell = near[k] + step
+            shared = at[k] - cell * CELL
+            begin = np.maximum(lo[k], shared - CELL + 1)
+            size = np.minimum(lo[k] + n[k], shared + 1) - begin
+            q = shared + off[row[k] - i]
+            rank = mix(h.spans(q, q + length - CELL + 1) ^ mix(cell.astype(U64)))
+            did, tk, start = (b.column(c).to_numpy(zero_copy_only=False)[row[k]] for c in ("did", "tk", "start"))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(_i64(rank)), pa.array(did), pa.array(tk), pa.array(start),
+                 pa.array(begin.astype(np.int32)), pa.array(size.astype(np.int32)), pa.array(one[k].astype(bool))],
+                names=["rank", "did", "tk", "start", "lo", "n", "single"])
+    return run
+
+
 def _pairs(length: int):
-    """Single positions of open runs with their pair of half-length ranks."""
+    """Single positions of open cells with their pair of half-length ranks."""
     half = length // 2
 
     def run(batches):
-        powers = Powers()
-        for b in batches:
-            did, tk, start = (b.column(c).to_numpy(zero_copy_only=False) for c in ("did", "tk", "start"))
-            runs = b.column("open")
-            counts = np.diff(runs.offsets.to_numpy())
-            flat = runs.flatten()
-            r_lo, r_n, r_one = (flat.field(k).to_numpy(zero_copy_only=False) for k in ("lo", "n", "single"))
-            first = np.concatenate([[0], np.cumsum(counts)])
-            for i, j, data, off in blocks(b.column("body")):
-                h = RollingHash(data, powers)
-                sl = slice(first[i], first[j])
-                row = np.repeat(np.arange(i, j), counts[i:j])
-                lo, n, one = r_lo[sl].astype(np.int64), r_n[sl].astype(np.int64), r_one[sl]
-                k = np.repeat(np.arange(len(lo)), n)
-                if not len(k):
-                    continue
-                p = lo[k] + np.arange(len(k)) - np.repeat(np.cumsum(n) - n, n)
-                q = p + off[row[k] - i]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(_i64(h.spans(q, q + half))), pa.array(_i64(h.spans(q + half, q + length))),
-                     pa.array(did[row[k]]), pa.array(tk[row[k]]), pa.array(start[row[k]] + p),
-                     pa.array(one[k])], names=["a", "z", "did", "tk", "p", "single"])
+        for b, i, h, off, row, (lo, n, one) in _open(batches, ("lo", "n", "single")):
+            k, step = _expand(n)
+            p = lo[k] + step
+            q = p + off[row[k] - i]
+            did, tk, start = (b.column(c).to_numpy(zero_copy_only=False)[row[k]] for c in ("did", "tk", "start"))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(_i64(h.spans(q, q + half))), pa.array(_i64(h.spans(q + half, q + length))),
+                 pa.array(did), pa.array(tk), pa.array(start + p), pa.array(one[k].astype(bool))],
+                names=["a", "z", "did", "tk", "p", "single"])
     return run
 
 
@@ -238,18 +273,24 @@ def repeated_positions(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     # equal runs: repeated as a whole; different runs of one rank: look closer
     by_run = stored(runs.groupBy("rank", "ctx").agg(
         F.count(F.lit(1)).alias("copies"),
-        F.min(F.struct("did", "tk", "start", "lo", "n")).alias("one")), "runs")
+        F.min(F.struct("did", "tk", "start", "lo", "n", "at")).alias("one")), "runs")
     whole = by_run.filter("copies > 1").select("rank", "ctx")
     marks_whole = (runs.join(whole, ["rank", "ctx"], "left_semi")
                    .select("did", "tk", (F.col("start") + F.col("lo")).alias("p"), "n"))
     mixed = by_run.groupBy("rank").agg(F.count(F.lit(1)).alias("kinds")).filter("kinds > 1").select("rank")
     opened = (by_run.join(mixed, "rank", "left_semi")
               .select("one.did", "one.tk", "one.start", F.struct(
-                  F.col("one.lo").alias("lo"), F.col("one.n").alias("n"),
+                  F.col("one.lo").alias("lo"), F.col("one.n").alias("n"), F.col("one.at").alias("at"),
                   (F.col("copies") == 1).alias("single")).alias("o"))
               .groupBy("did", "tk", "start").agg(F.collect_list("o").alias("open")))
-    pairs = stored(regions.select("did", "tk", "start", "body").dropDuplicates(["did", "tk", "start"])
-                   .join(opened, ["did", "tk", "start"])
+    spot = ["did", "tk", "start"]
+    bodies = stored(regions.select(*spot, "body").join(opened, spot).dropDuplicates(spot), "open")
+    cells = stored(bodies.mapInArrow(_cells(length), "rank long, did long, tk int, start long, lo int, n int, "
+                                     "single boolean"), "cells")
+    held = cells.groupBy("rank").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("rank")
+    inner = (cells.join(held, "rank", "left_semi").groupBy(*spot)
+             .agg(F.collect_list(F.struct("lo", "n", "single")).alias("open")))
+    pairs = stored(bodies.select(*spot, "body").join(inner, spot)
                    .mapInArrow(_pairs(length), "a long, z long, did long, tk int, p long, single boolean"),
                    "pairs")
     twice = pairs.groupBy("a", "z").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("a", "z")
@@ -262,11 +303,12 @@ def repeated_positions(docs: DataFrame, length: int = LENGTH) -> DataFrame:
 def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                    length: int = LENGTH, carry: list[str] | None = None) -> DataFrame:
     """The columns ``carry`` of ``df`` (default: all) plus ``dedup`` =
-    struct(n_bytes, n_removed, n_spans, kept (bytes), kept_sha256, spans)."""
+    struct(n_bytes, n_removed, n_spans, kept (bytes), kept_sha256, spans), which
+    replaces a column of that name."""
     key = [F.coalesce(F.col(id_col).cast("long"), F.lit(0)).alias("did"),
            F.hash(F.col(text_col)).alias("tk")]
     marks = stored(repeated_positions(df.select(*key, F.col(text_col).alias("body")), length), "marks")
-    row = F.struct(*[F.col(c) for c in (df.columns if carry is None else carry)]).alias("row")
+    row = F.struct(*[F.col(c) for c in ([c for c in df.columns if c != "dedup"] if carry is None else carry)]).alias("row")
     full = (df.select(row, *key, F.col(text_col).alias("body")).join(marks, ["did", "tk"], "left")
             .select("row", "body", "marks"))
     out = T.StructType([full.schema["row"], T.StructField("dedup", _DEDUP)])
