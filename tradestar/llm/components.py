@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tradestar.llm.scratch import stored
+from tradestar.llm.scratch import Scratch
 
 
 def _large_star(links: DataFrame) -> DataFrame:
@@ -37,11 +37,15 @@ def _mark(links: DataFrame) -> tuple:
 def components(links: DataFrame) -> DataFrame:
     """For links (a, b) of one comparable type: (a, root) for every node but
     the roots, where ``root`` is the smallest node of a's component."""
-    links = stored(links.select("a", "b").filter("a <> b").distinct(), "links")
-    seen = None
-    while True:
-        links = stored(_small_star(_large_star(links)), "links")
+    work = Scratch(links.sparkSession)
+    links = work.stored(links.select("a", "b").filter("a <> b").distinct(), "0")
+    seen, k = _mark(links), 0
+    while seen[0]:
+        k += 1
+        links = work.stored(_small_star(_large_star(links)), str(k))
+        work.drop(str(k - 1))
         now = _mark(links)
-        if now == seen or not now[0]:
-            return links.select("a", F.col("b").alias("root"))
+        if now == seen:
+            break
         seen = now
+    return links.select("a", F.col("b").alias("root"))

@@ -51,3 +51,40 @@ def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return encode(docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN,
                   carry=["doc_id"], with_ids=False).select("doc_id", "bpe.*")
+
+
+def remainder(column: str, mod: int):
+    """crc32 of the id as text, modulo ``mod`` (a null id: of the empty text)."""
+    return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary")) % mod
+
+
+@query
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tradestar.llm.toxicity import fit, score
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = fit(docs, table(spark, sf_dir, "labels"), learn=remainder("id", 4) != 2)
+    return score(docs, model, carry=["doc_id"]).select(
+        "doc_id", (remainder("doc_id", 4) == 2).alias("held_out"), "toxicity.score", "toxicity.predicted",
+        "toxicity.evidence")
+
+
+@query
+def op4_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tradestar.llm.merkle import with_neighbours
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return with_neighbours(docs, carry=["doc_id"]).select("doc_id", "merkle.*")
+
+
+@query
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tradestar.llm.quality import score
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return score(docs, table(spark, sf_dir, "labels"), learn=remainder("id", 5) != 0, carry=["doc_id"]).select(
+        "doc_id", (remainder("doc_id", 5) == 0).alias("held_out"), "quality.score", "quality.predicted")
+
+
+@query
+def op10_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tradestar.llm.line_rules import clean
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return clean(docs, carry=["doc_id"], with_text=False).select("doc_id", "rules.*")

@@ -2,14 +2,43 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from tradestar.session import scratch_path
 
+#: Lets a write drop its shuffle files when it has ended: nobody reads them again.
+_CLEAN = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+class Scratch:
+    """Tables of one job, below ``spark.checkpoint.dir``."""
+
+    def __init__(self, spark: SparkSession) -> None:
+        self.spark = spark
+        self.paths: dict[str, str] = {}
+
+    def stored(self, df: DataFrame, name: str) -> DataFrame:
+        """``df`` written and read back, which cuts its lineage: a lost executor
+        costs the tasks at hand, not the whole job."""
+        path = self.paths[name] = scratch_path(self.spark, "llm", name)
+        before = self.spark.conf.get(_CLEAN, None)
+        self.spark.conf.set(_CLEAN, "true")
+        try:
+            df.write.parquet(path)
+        finally:
+            if before is None:
+                self.spark.conf.unset(_CLEAN)
+            else:
+                self.spark.conf.set(_CLEAN, before)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def drop(self, *names: str) -> None:
+        """Remove tables that no later stage reads."""
+        jvm, conf = self.spark._jvm, self.spark._jsc.hadoopConfiguration()
+        for name in names:
+            path = jvm.org.apache.hadoop.fs.Path(self.paths.pop(name))
+            path.getFileSystem(conf).delete(path, True)
+
 
 def stored(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written below ``spark.checkpoint.dir`` and read back, which cuts
-    its lineage: a lost executor costs the tasks at hand, not the whole job."""
-    path = scratch_path(df.sparkSession, "llm", name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return Scratch(df.sparkSession).stored(df, name)

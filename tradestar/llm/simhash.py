@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tradestar.llm.components import components
-from tradestar.llm.scratch import stored
+from tradestar.llm.scratch import Scratch
 
 SHINGLE_WORDS = 3
 RADIUS = 3
@@ -129,7 +129,7 @@ def links(prints: DataFrame, radius: int = RADIUS, tile: int = TILE) -> DataFram
     laid = prints.select("fp", F.array(*counts).alias("at"))
     # at most 17^4 places, however many fingerprints there are
     room = laid.groupBy("at").agg(F.ceil(F.count(F.lit(1)) / F.lit(tile)).cast("int").alias("tiles"))
-    tiles = stored(laid.join(F.broadcast(room), "at")
+    tiles = Scratch(prints.sparkSession).stored(laid.join(F.broadcast(room), "at")
                    .groupBy("at", F.pmod(F.xxhash64("fp"), "tiles").cast("int").alias("tile"))
                    .agg(F.collect_list("fp").alias("fps")), "tiles")
     steps = F.array(*[F.array(*[F.lit(x) for x in d]) for d in _near_counts(radius)])
@@ -153,13 +153,14 @@ def near_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", n
                     F.xxhash64(text_col).alias("tk"), F.col(text_col).alias("body"))
     schema = T.StructType([src.schema["row"], src.schema["id"], T.StructField("tk", T.LongType()),
                            T.StructField("fp", T.LongType())])
-    marked = stored(src.mapInArrow(_fingerprints(n_words), schema), "prints")
-    prints = stored(marked.groupBy("fp").agg(F.min("id").alias("first")), "distinct")
+    work = Scratch(df.sparkSession)
+    marked = work.stored(src.mapInArrow(_fingerprints(n_words), schema), "prints")
+    prints = work.stored(marked.groupBy("fp").agg(F.min("id").alias("first")), "distinct")
     roots = components(links(prints.select("fp"), radius)).withColumnRenamed("a", "fp")
     rooted = (prints.join(roots, "fp", "left")
               .select("fp", "first", F.coalesce("root", "fp").alias("root")))
     first = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
-    named = stored(rooted.join(first, "root").select("fp", "root", "component_id"), "named")
+    named = work.stored(rooted.join(first, "root").select("fp", "root", "component_id"), "named")
     return marked.join(named, "fp").select("row.*", F.struct("tk", "fp", "root", "component_id").alias("near"))
 
 
