@@ -88,3 +88,22 @@ def op10_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tradestar.llm.line_rules import clean
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return clean(docs, carry=["doc_id"], with_text=False).select("doc_id", "rules.*")
+
+
+@query
+def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tradestar.llm.pii import KINDS, find, listed
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    count = lambda kind: F.size(F.filter("pii.base", lambda s: s["kind"] == kind)).cast("long")
+    return find(docs).select("doc_id", *[count(k).alias(f"n_{k}") for k in KINDS[:-1]],
+                             F.sha2(listed(F.col("pii.base")), 256).alias("base_sha256"),
+                             listed(F.col("pii.spans")).alias("spans"))
+
+
+@query
+def op8_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tradestar.llm.licenses import scan
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    one = lambda c: F.array_join(f"license.{c}", ",").alias(c)
+    return scan(docs).select("doc_id", "license.n_words", "license.n_base", "license.first_word",
+                             "license.last_word", one("base_labels"), one("labels"), "license.score")
