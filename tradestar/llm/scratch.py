@@ -38,7 +38,3 @@ class Scratch:
         for name in names:
             path = jvm.org.apache.hadoop.fs.Path(self.paths.pop(name))
             path.getFileSystem(conf).delete(path, True)
-
-
-def stored(df: DataFrame, name: str) -> DataFrame:
-    return Scratch(df.sparkSession).stored(df, name)

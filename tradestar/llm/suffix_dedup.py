@@ -16,7 +16,8 @@ positions that can still be repeated:
    settled without looking at their positions.
 3. *Nearly full length, cells.* Where a rank has several different runs (the
    borders of a repeated passage), the starts are taken in cells of CELL and
-   ranked by the bytes that a cell's strings share; unique cells drop out.
+   ranked by the bytes that a cell's strings share; unique cells drop out, and
+   equal cells are settled as a whole.
 4. *Full length, single positions.* Each position left gets the pair (rank at
    offset 0, rank at offset ``length/2``); Spark sorts the pairs, and pairs that
    occur once drop out. Ranks now cover ``length`` bytes: the threshold.
@@ -43,7 +44,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tradestar.llm.scratch import stored
+from tradestar.llm.scratch import Scratch
 from tradestar.llm.textblocks import U64, Powers, RollingHash, blocks, mix, sliding_argmin
 
 LENGTH = 200
@@ -196,11 +197,13 @@ def _cells(length: int):
             size = np.minimum(lo[k] + n[k], shared + 1) - begin
             q = shared + off[row[k] - i]
             rank = mix(h.spans(q, q + length - CELL + 1) ^ mix(cell.astype(U64)))
+            q = begin + off[row[k] - i]
+            ctx = mix(h.spans(q, q + size - 1 + length) ^ mix((size.astype(U64) << U64(32)) | (at[k] - begin).astype(U64)))
             did, tk, start = (b.column(c).to_numpy(zero_copy_only=False)[row[k]] for c in ("did", "tk", "start"))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(_i64(rank)), pa.array(did), pa.array(tk), pa.array(start),
+                [pa.array(_i64(rank)), pa.array(_i64(ctx)), pa.array(did), pa.array(tk), pa.array(start),
                  pa.array(begin.astype(np.int32)), pa.array(size.astype(np.int32)), pa.array(one[k].astype(bool))],
-                names=["rank", "did", "tk", "start", "lo", "n", "single"])
+                names=["rank", "ctx", "did", "tk", "start", "lo", "n", "single"])
     return run
 
 
@@ -229,11 +232,17 @@ _DEDUP = T.StructType([
         T.StructField("start", T.LongType()), T.StructField("end", T.LongType())])))])
 
 
-def _cut(length: int):
+def _whole_characters(kept: bytes) -> str:
+    """``kept`` without the bytes of characters that a removal cut in two."""
+    return kept.decode("utf-8", "ignore")
+
+
+def _cut(length: int, with_text: bool):
     out_type = pa.struct([
         ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()),
         ("kept", pa.binary()), ("kept_sha256", pa.string()),
-        ("spans", pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])))])
+        ("spans", pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])))]
+        + [("text", pa.string())] * with_text)
 
     def run(batches):
         for b in batches:
@@ -247,6 +256,8 @@ def _cut(length: int):
                 out.append({"n_bytes": len(raw), "n_removed": len(raw) - len(kept), "n_spans": len(spans),
                             "kept": kept, "kept_sha256": hashlib.sha256(kept).hexdigest(),
                             "spans": [{"start": x, "end": y} for x, y in spans]})
+                if with_text:
+                    out[-1]["text"] = None if not bodies[k].is_valid else _whole_characters(kept)
             yield pa.RecordBatch.from_arrays([b.column("row"), pa.array(out, out_type)], names=["row", "dedup"])
     return run
 
@@ -264,52 +275,76 @@ def _merged(marks: pa.StructArray, length: int) -> list[tuple[int, int]]:
 def repeated_positions(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """For frames of (did, tk, body): per document the runs of starts (p, n) of
     repeated strings, as ``marks``."""
-    sampled = stored(docs.mapInArrow(_sampled_ranks(length), "rank long, did long, tk int, n long"), "sampled")
+    work = Scratch(docs.sparkSession)
+    one = F.lit(1)
+    sampled = work.stored(docs.mapInArrow(_sampled_ranks(length), "rank long, did long, tk int, n long"), "sampled")
     again = sampled.groupBy("rank").agg(F.sum("n").alias("total")).filter("total > 1").select("rank")
-    hit = (sampled.join(again, "rank", "left_semi").groupBy("did", "tk")
-           .agg(F.collect_list("rank").alias("ranks")))
-    regions = stored(docs.join(hit, ["did", "tk"]).mapInArrow(_regions(length), _REGION), "regions")
-    runs = regions.select("did", "tk", "start", F.explode("runs").alias("r")).select("did", "tk", "start", "r.*")
+    hit = work.stored(sampled.join(again, "rank", "left_semi").groupBy("did", "tk")
+                      .agg(F.collect_list("rank").alias("ranks")), "hit")
+    work.drop("sampled")
+    regions = work.stored(docs.join(hit, ["did", "tk"]).mapInArrow(_regions(length), _REGION), "regions")
+    work.drop("hit")
+
     # equal runs: repeated as a whole; different runs of one rank: look closer
-    by_run = stored(runs.groupBy("rank", "ctx").agg(
-        F.count(F.lit(1)).alias("copies"),
-        F.min(F.struct("did", "tk", "start", "lo", "n", "at")).alias("one")), "runs")
+    runs = regions.select("did", "tk", "start", F.explode("runs").alias("r")).select("did", "tk", "start", "r.*")
+    by_run = work.stored(runs.groupBy("rank", "ctx").agg(
+        F.count(one).alias("copies"),
+        F.min(F.struct("did", "tk", "start", "lo", "n", "at")).alias("one")), "by_run")
     whole = by_run.filter("copies > 1").select("rank", "ctx")
-    marks_whole = (runs.join(whole, ["rank", "ctx"], "left_semi")
-                   .select("did", "tk", (F.col("start") + F.col("lo")).alias("p"), "n"))
-    mixed = by_run.groupBy("rank").agg(F.count(F.lit(1)).alias("kinds")).filter("kinds > 1").select("rank")
+    marks_runs = work.stored(runs.join(whole, ["rank", "ctx"], "left_semi")
+                             .select("did", "tk", (F.col("start") + F.col("lo")).alias("p"), "n"), "marks_runs")
+    mixed = by_run.groupBy("rank").agg(F.count(one).alias("kinds")).filter("kinds > 1").select("rank")
+    spot = ["did", "tk", "start"]
     opened = (by_run.join(mixed, "rank", "left_semi")
               .select("one.did", "one.tk", "one.start", F.struct(
                   F.col("one.lo").alias("lo"), F.col("one.n").alias("n"), F.col("one.at").alias("at"),
                   (F.col("copies") == 1).alias("single")).alias("o"))
-              .groupBy("did", "tk", "start").agg(F.collect_list("o").alias("open")))
-    spot = ["did", "tk", "start"]
-    bodies = stored(regions.select(*spot, "body").join(opened, spot).dropDuplicates(spot), "open")
-    cells = stored(bodies.mapInArrow(_cells(length), "rank long, did long, tk int, start long, lo int, n int, "
-                                     "single boolean"), "cells")
-    held = cells.groupBy("rank").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("rank")
-    inner = (cells.join(held, "rank", "left_semi").groupBy(*spot)
-             .agg(F.collect_list(F.struct("lo", "n", "single")).alias("open")))
-    pairs = stored(bodies.select(*spot, "body").join(inner, spot)
-                   .mapInArrow(_pairs(length), "a long, z long, did long, tk int, p long, single boolean"),
-                   "pairs")
-    twice = pairs.groupBy("a", "z").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("a", "z")
+              .groupBy(*spot).agg(F.collect_list("o").alias("open")))
+    bodies = work.stored(regions.select(*spot, "body").join(opened, spot).dropDuplicates(spot), "bodies")
+    work.drop("regions", "by_run")
+
+    # the same for cells of runs
+    cells = work.stored(bodies.mapInArrow(_cells(length), "rank long, ctx long, did long, tk int, start long, "
+                                          "lo int, n int, single boolean"), "cells")
+    by_cell = work.stored(cells.groupBy("rank", "ctx").agg(
+        F.count(one).alias("copies"),
+        F.min(F.struct("did", "tk", "start", "lo", "n", "single")).alias("one")), "by_cell")
+    whole = by_cell.filter("copies > 1").select("rank", "ctx")
+    marks_cells = work.stored(cells.filter("single").join(whole, ["rank", "ctx"], "left_semi")
+                              .select("did", "tk", (F.col("start") + F.col("lo")).alias("p"), "n"), "marks_cells")
+    mixed = by_cell.groupBy("rank").agg(F.count(one).alias("kinds")).filter("kinds > 1").select("rank")
+    opened = (by_cell.join(mixed, "rank", "left_semi")
+              .select("one.did", "one.tk", "one.start", F.struct(
+                  F.col("one.lo").alias("lo"), F.col("one.n").alias("n"),
+                  ((F.col("copies") == 1) & F.col("one.single")).alias("single")).alias("o"))
+              .groupBy(*spot).agg(F.collect_list("o").alias("open")))
+
+    # and for single positions
+    pairs = work.stored(bodies.select(*spot, "body").join(opened, spot)
+                        .mapInArrow(_pairs(length), "a long, z long, did long, tk int, p long, single boolean"),
+                        "pairs")
+    work.drop("bodies", "cells", "by_cell")
+    twice = pairs.groupBy("a", "z").agg(F.count(one).alias("c")).filter("c > 1").select("a", "z")
     marks_pairs = (pairs.filter("single").join(twice, ["a", "z"], "left_semi")
-                   .select("did", "tk", "p", F.lit(1).alias("n")))
-    return (marks_whole.unionByName(marks_pairs).groupBy("did", "tk")
-            .agg(F.collect_list(F.struct("p", "n")).alias("marks")))
+                   .select("did", "tk", "p", one.alias("n")))
+    marks = work.stored(marks_runs.unionByName(marks_cells).unionByName(marks_pairs).groupBy("did", "tk")
+                        .agg(F.collect_list(F.struct("p", "n")).alias("marks")), "marks")
+    work.drop("pairs", "marks_runs", "marks_cells")
+    return marks
 
 
 def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                   length: int = LENGTH, carry: list[str] | None = None) -> DataFrame:
+                   length: int = LENGTH, carry: list[str] | None = None, with_text: bool = False) -> DataFrame:
     """The columns ``carry`` of ``df`` (default: all) plus ``dedup`` =
     struct(n_bytes, n_removed, n_spans, kept (bytes), kept_sha256, spans), which
-    replaces a column of that name."""
+    replaces a column of that name. With ``with_text`` it also holds ``text``:
+    what was kept, as whole characters (null for a null text)."""
     key = [F.coalesce(F.col(id_col).cast("long"), F.lit(0)).alias("did"),
            F.hash(F.col(text_col)).alias("tk")]
-    marks = stored(repeated_positions(df.select(*key, F.col(text_col).alias("body")), length), "marks")
+    marks = repeated_positions(df.select(*key, F.col(text_col).alias("body")), length)
     row = F.struct(*[F.col(c) for c in ([c for c in df.columns if c != "dedup"] if carry is None else carry)]).alias("row")
     full = (df.select(row, *key, F.col(text_col).alias("body")).join(marks, ["did", "tk"], "left")
             .select("row", "body", "marks"))
-    out = T.StructType([full.schema["row"], T.StructField("dedup", _DEDUP)])
-    return full.mapInArrow(_cut(length), out).select("row.*", "dedup")
+    dedup = T.StructType([*_DEDUP.fields, *[T.StructField("text", T.StringType())] * with_text])
+    out = T.StructType([full.schema["row"], T.StructField("dedup", dedup)])
+    return full.mapInArrow(_cut(length, with_text), out).select("row.*", "dedup")
