@@ -6,8 +6,8 @@ import string
 from pyspark.sql import functions as F
 
 from tradestar.functions import keys as K
-from tradestar.functions.names import (fallback_name, normalize_column_name, pick_partition_columns,
-                                       positional_names, rename_positional_names)
+from tradestar.functions.names import (fallback_name, header_clashes, header_names, partition_columns,
+                                       plain_name, positional_names, rename_positional_names)
 
 
 def test_state_key_golden(spark):
@@ -45,14 +45,16 @@ def test_surrogate_key_keeps_value_and_nulls_garbage(spark):
 
 
 def test_name_rules():
-    assert normalize_column_name(" Código País ") == "codigo_pais"
-    assert normalize_column_name("Região-Chave") == "regiao_chave"
+    assert plain_name(" Código País ") == "codigo_pais"
+    assert plain_name("Região-Chave") == "regiao_chave"
+    assert header_names(["Código", "codigo", "codigo_2", "CODIGO"]) == ["codigo", "codigo_3", "codigo_2", "codigo_4"]
+    assert header_clashes(["Código", "x", "codigo"]) == [("codigo", "codigo_2")]
     assert fallback_name("NCM Código") == "ncm_código"
     assert positional_names(["a", "b"], 4) == ["a", "b", "_c2", "_c3"]
     assert positional_names(["a", "b", "c"], 2) == ["a", "b"]
     assert rename_positional_names(["x", "y", "z"], ["a"]) == ["a", "y", "z"]
-    assert pick_partition_columns(["CO_ANO", "x", "mes", "co_mes"]) == ["CO_ANO", "mes"]
-    assert pick_partition_columns(["x"]) == []
+    assert partition_columns(["CO_ANO", "x", "mes", "co_mes"]) == ["CO_ANO", "mes"]
+    assert partition_columns(["x"]) == []
 
 
 def test_null_if_sentinel(spark):
@@ -83,13 +85,8 @@ class _NoContextSession:
 
 
 def test_checkpoint_root_rules():
-    import pytest
-
     from tradestar.session import checkpoint_root
-    with pytest.raises(RuntimeError):                     # cluster without a shared folder
-        checkpoint_root(_NoContextSession({"spark.master": "yarn"}))
     shared = _NoContextSession({"spark.master": "yarn", "spark.checkpoint.dir": "/shared/ckpt"})
     assert checkpoint_root(shared) == "/shared/ckpt"      # the cluster's setting wins
-    local = _NoContextSession({"spark.master": "local[2]"})
-    path = checkpoint_root(local)                         # private folder only locally
-    assert path and local.conf.get("spark.checkpoint.dir") == path
+    unset = _NoContextSession({"spark.master": "yarn", "spark.sql.warehouse.dir": "hdfs://lake/wh/"})
+    assert checkpoint_root(unset) == "hdfs://lake/wh/_scratch"    # never a machine-local folder

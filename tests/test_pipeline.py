@@ -69,6 +69,7 @@ def test_medallion_job_end_to_end(spark, tmp_path):
     assert report[("bronze", "exp_mun")]["linhas"] == 1
     assert report[("bronze", "ncm_cgce")]["status"] in ("SEM_ARQUIVOS", "ERRO", "SEM_NOVOS")
     assert report[("bronze", "estabelecimentos")]["status"] == "OK"
+    assert report[("bronze", "estabelecimentos")]["linhas"] == 2       # rows, not archives
     assert report[("bronze", "motivos/lote_0")]["status"] == "AVISO"   # 3 columns, layout has 2
     assert report[("gold", "ft_balanco_comercial")]["status"] == "OK"
     assert report[("silver", "exp")]["linhas"] == 2            # duplicate collapsed
@@ -117,8 +118,11 @@ def test_job_with_exports_only_and_empty_landing(spark, tmp_path):
     landing.mkdir()
     _csv(landing / "EXP_2020.csv", [EXP_H, "2020;5;01012100;10;063;SP;1;0817600;1;2;10"])
     report = {(r["camada"], r["entidade"]): r for r in
-              P.run(spark, str(landing), str(root), min_year=2020).collect()}
+              P.run(spark, str(landing), str(root), min_year=2020, allow_absent=("imp",)).collect()}
     assert report[("gold", "ft_balanco_comercial")]["status"] == "OK"
+    assert report[("gold", "ft_balanco_comercial")]["linhas"] == 1
+    assert report[("gold", "entrada/imp")]["status"] == "AUSENTE"
+    assert report[("gold", "dim_ncm")]["status"] == "SEM_DADOS"
     fact = P.gold_table(spark, P.Lake(str(root)), "ft_balanco_comercial")
     assert fact.count() == 1
     empty, root2 = tmp_path / "empty", tmp_path / "lake2"
@@ -127,3 +131,79 @@ def test_job_with_exports_only_and_empty_landing(spark, tmp_path):
               P.run(spark, str(empty), str(root2)).collect()}
     assert report[("gold", "ft_balanco_comercial")] == "SEM_DADOS"
     assert report[("bronze", "exp")] == "SEM_ARQUIVOS"
+
+
+def test_an_unreadable_input_is_never_published(spark, tmp_path):
+    """A complete fact stays as it is when one of its inputs cannot be read."""
+    landing, root = tmp_path / "landing", tmp_path / "lake"
+    landing.mkdir()
+    make_landing(landing)
+    P.run(spark, str(landing), str(root), min_year=2021)
+    lake = P.Lake(str(root))
+    before = P.gold_table(spark, lake, "ft_balanco_comercial").count()
+    for f in (root / "trusted" / P.TRADE / "exp").rglob("*.parquet"):
+        f.write_bytes(b"not a table")
+    for f in (root / "trusted" / P.TRADE / "exp").rglob(".*.crc"):
+        f.unlink()
+    P.gold(spark, lake)
+    report = {(r["camada"], r["entidade"]): r["status"] for r in lake.report(spark).collect()}
+    assert report[("gold", "ft_balanco_comercial")] == "ERRO" and report[("gold", "dim_ncm")] == "OK"
+    assert P.gold_table(spark, lake, "ft_balanco_comercial").count() == before
+
+
+def test_archives_of_two_widths_keep_every_column(spark, tmp_path):
+    for order in ((0, 1), (1, 0)):
+        landing, root = tmp_path / f"l{order[0]}", tmp_path / f"r{order[0]}"
+        landing.mkdir()
+        lines = ['"01";"EXTINCAO"', '"02";"OUTRA";"A MAIS"']
+        lake = P.Lake(str(root))
+        for k in order:
+            _zip(landing / f"Motivos{k}.zip", "K.MOTIVOS", [lines[k]])
+            P.bronze_registry(spark, str(landing), lake, ["MOTIVOS"])
+        P.silver_registry(spark, lake, ["MOTIVOS"])
+        rows = {r["codigo_motivo"]: r["_c2"] for r in
+                P.FS.read_table(spark, lake.path("trusted", P.REGISTRY, "motivos")).collect()}
+        assert rows == {"01": "N/A", "02": "A MAIS"}
+
+
+def test_a_changed_company_counts_once(spark, tmp_path):
+    """Two loads of a company, a row without key: one establishment, newest size."""
+    landing, root = tmp_path / "landing", tmp_path / "lake"
+    landing.mkdir()
+    lake = P.Lake(str(root))
+    place = '"%s";"0001";"12";"1";"LOJA";"02";"";"";"";"";"";"6204000"' + ';""' * 7 + ';"SP"' + ';""' * 10
+    firm = '"%s";"ACME";"";"1000,00";"%s";"";"";"";"";""'
+    _zip(landing / "Estabelecimentos0.zip", "K.ESTABELE", [place % "00000001", place % "00000001"])
+    _zip(landing / "Empresas0.zip", "K.EMPRECSV", [firm % ("00000001", "01")])
+    _zip(landing / "Cnaes0.zip", "K.CNAECSV", ['"6204000";"TI"', '"6204000";"TI OUTRA"'])
+    P.bronze_registry(spark, str(landing), lake)
+    _zip(landing / "Empresas1.zip", "K.EMPRECSV", [firm % ("00000001", "05")])
+    P.bronze_registry(spark, str(landing), lake)
+    P.silver_registry(spark, lake)
+    P.gold(spark, lake)
+    rows = P.gold_table(spark, lake, "dim_distribuicao_estabelecimentos").collect()
+    assert [(r["porte_empresa"], r["Total_empresas"], r["descricao"]) for r in rows] == [("DEMAIS", 1, "TI")]
+
+
+def test_the_job_keeps_the_session_it_is_given(spark, tmp_path):
+    (tmp_path / "none").mkdir()
+    before = (spark.sparkContext.master, spark.conf.get("spark.sql.shuffle.partitions"))
+    P.run(spark, str(tmp_path / "none"), str(tmp_path / "lake"))
+    assert before == (spark.sparkContext.master, spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def test_changed_input_is_seen(spark, tmp_path):
+    import shutil
+
+    from conftest import SF_SMALL
+    from tradestar.plans import trusted
+    d = tmp_path / "sf"
+    shutil.copytree(SF_SMALL, d)
+    d.chmod(0o755)
+    first = trusted.exp_imp(spark, str(d))[0].count()
+    lines = spark.read.parquet(f"{SF_SMALL}/lineitem.parquet").filter("l_linestatus = 'O'").limit(7).coalesce(1)
+    lines.write.parquet(str(tmp_path / "few"))
+    part = next((tmp_path / "few").glob("*.parquet"))
+    (d / "lineitem.parquet").unlink()
+    (d / "lineitem.parquet").write_bytes(part.read_bytes())
+    assert first > 7 and trusted.exp_imp(spark, str(d))[0].count() == 7

@@ -1,16 +1,43 @@
-"""Pure column-name rules. They act on schemas (a handful of strings on the
+"""Column-name rules. They act on schemas (a handful of strings on the
 driver), never on data, and end in a single ``toDF``/``select``."""
 
 from __future__ import annotations
 
+import re
 import unicodedata
 
+#: Columns that may hold the reference year and the month, best first (fixed values).
+YEAR_COLUMNS = ("ano", "co_ano", "CO_ANO")
+MONTH_COLUMNS = ("mes", "co_mes", "CO_MES")
 
-def normalize_column_name(name: str) -> str:
-    """NFKD, drop combining accents, lower, strip, space and '-' -> '_'."""
-    decomposed = unicodedata.normalize("NFKD", name)
-    plain = "".join(ch for ch in decomposed if not unicodedata.combining(ch))
-    return plain.lower().strip().replace(" ", "_").replace("-", "_")
+
+def plain_name(name: str) -> str:
+    """One header in the lake's spelling: no accents, lower case, underscores."""
+    letters = (c for c in unicodedata.normalize("NFKD", name) if unicodedata.category(c) != "Mn"
+               and not unicodedata.combining(c))
+    return re.sub("[ -]", "_", "".join(letters).lower().strip())
+
+
+def header_names(headers: list[str]) -> list[str]:
+    """A whole header in the lake's spelling. Headers that come out alike are
+    numbered from the second on (``codigo``, ``codigo_2``), so every column can
+    be named afterwards; a number never takes a name that is already there."""
+    wanted = [plain_name(h) for h in headers]
+    taken, out = set(wanted), []
+    for name in wanted:
+        if name in out:
+            k = 2
+            while f"{name}_{k}" in taken:
+                k += 1
+            name = f"{name}_{k}"
+            taken.add(name)
+        out.append(name)
+    return out
+
+
+def header_clashes(headers: list[str]) -> list[tuple[str, str]]:
+    """(header, numbered name) of the columns that ``header_names`` had to number."""
+    return [(h, n) for h, n in zip(headers, header_names(headers), strict=True) if n != plain_name(h)]
 
 
 def fallback_name(name: str) -> str:
@@ -18,26 +45,20 @@ def fallback_name(name: str) -> str:
     return name.lower().replace(" ", "_")
 
 
-def positional_names(layout: list[str], n_physical: int) -> list[str]:
-    """Layout names for ``n_physical`` columns: extra physical columns keep
-    ``_c{i}``; a short file truncates the layout."""
-    if n_physical > len(layout):
-        return list(layout) + [f"_c{i}" for i in range(len(layout), n_physical)]
-    return list(layout[:n_physical])
+def positional_names(layout: list[str], width: int) -> list[str]:
+    """Names of a file of ``width`` columns that has no header: the layout's, as
+    far as the file goes, and the reader's own ``_c{i}`` beyond the layout."""
+    own = {i: f"_c{i}" for i in range(width)}
+    return [dict(enumerate(layout)).get(i, own[i]) for i in range(width)]
 
 
 def rename_positional_names(current: list[str], new: list[str]) -> list[str]:
-    """Rename by position up to min(len); the remaining columns keep their names."""
-    k = min(len(current), len(new))
-    return list(new[:k]) + list(current[k:])
-
-
-def pick_partition_columns(columns: list[str]) -> list[str]:
-    """First present of (ano, co_ano, CO_ANO), then first of (mes, co_mes, CO_MES)."""
-    out = []
-    for group in (("ano", "co_ano", "CO_ANO"), ("mes", "co_mes", "CO_MES")):
-        for c in group:
-            if c in columns:
-                out.append(c)
-                break
-    return out
+    """Rename by position as far as ``new`` goes; the other columns keep theirs."""
+    return [*new[:len(current)], *current[len(new):]]
+
+
+def partition_columns(columns: list[str]) -> list[str]:
+    """The year column and the month column that a table is partitioned by, as
+    far as it has them."""
+    best = (next((c for c in names if c in columns), None) for names in (YEAR_COLUMNS, MONTH_COLUMNS))
+    return [c for c in best if c is not None]

@@ -182,11 +182,9 @@ FOREIGN_SUFFIXES = ("_ing", "_esp", "_en", "_es", "_english", "_spanish")
 # Candidate delimiters for sniffing, and the default.
 CANDIDATE_DELIMITERS = (",", ";", "\t", "|")
 DEFAULT_DELIMITER = ","
-SNIFF_SAMPLE_BYTES = 4096
 
 # Maintenance settings.
 COMPACTION_TARGET_BYTES = 10 * 1024 * 1024
-RETENTION_HOURS = 60 * 24
 # --------------------------------------------------------------------------- end fixed values
 
 # Trade entities: bronze folder -> (file glob, layout key). Globs are exact

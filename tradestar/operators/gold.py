@@ -77,15 +77,14 @@ def build_dim_product(ncm: DataFrame, fat_agreg: DataFrame | None = None,
     ppe_col: Column = F.col("codigo_ppe_exportacao")
     extra: list[Column] = []
     if fat_agreg is not None:
-        base = base.join(fat_agreg.select("codigo_fator_agregacao", "descricao_fator_agregacao",
-                                          "descricao_fator_agregacao_grupo"),
-                         "codigo_fator_agregacao", "left")
+        factors = fat_agreg.select("codigo_fator_agregacao", "descricao_fator_agregacao",
+                                   "descricao_fator_agregacao_grupo")
+        base = base.join(dedup_by_key(factors, "codigo_fator_agregacao"), "codigo_fator_agregacao", "left")
         fator = F.col("descricao_fator_agregacao")
         extra.append(F.col("descricao_fator_agregacao_grupo").alias("grupo_fator_agregado"))
     if ppe is not None:
-        base = base.join(ppe.select(F.col("codigo_ppe").alias("codigo_ppe_exportacao"),
-                                    "descricao_ppe"),
-                         "codigo_ppe_exportacao", "left")
+        names = ppe.select(F.col("codigo_ppe").alias("codigo_ppe_exportacao"), "descricao_ppe")
+        base = base.join(dedup_by_key(names, "codigo_ppe_exportacao"), "codigo_ppe_exportacao", "left")
         ppe_col = F.col("descricao_ppe")
     dim = base.select(
         K.surrogate_key("codigo_ncm").alias("sk_ncm"),
@@ -131,9 +130,10 @@ def build_dim_geography(pais: DataFrame, pais_bloco: DataFrame, exp: DataFrame,
                         unknown_member: bool = False) -> DataFrame:
     """dim_geografia: countries (PAIS) and states (UF) in one table.
 
-    Countries are pre-aggregated to one bloc each before the join, so a
-    country in several blocs cannot fan out facts. With ``uf`` (enriched) the
-    states get their names and macro-regions and countries list all blocs.
+    One row per key: a country in several blocs gets one of them, codes that
+    give the same key ('063', '63') one row, and a state one name, so a join
+    never repeats a fact. With ``uf`` (enriched) the states get their names and
+    macro-regions and countries list all blocs.
     ``unknown_member`` adds the 'XX' state (key 8888) that the fact uses for a
     missing state, so that key is no longer an orphan.
     """
@@ -150,6 +150,7 @@ def build_dim_geography(pais: DataFrame, pais_bloco: DataFrame, exp: DataFrame,
                      F.col("nome_bloco").alias("regiao_ou_bloco"),
                      *([F.col("blocos")] if enriched else []),
                  ))
+    countries = dedup_by_key(countries, "sk_geografia").select(*countries.columns)
     states = distinct_states(exp, imp)
     if unknown_member:
         spark = exp.sparkSession
@@ -158,8 +159,8 @@ def build_dim_geography(pais: DataFrame, pais_bloco: DataFrame, exp: DataFrame,
     name: Column = F.col("uf")
     region: Column = F.lit(K.HOME_COUNTRY)
     if enriched:
-        states = states.join(uf.select(F.col("sigla_uf").alias("uf"), "nome_uf", "nome_regiao"),
-                             "uf", "left")
+        names = dedup_by_key(uf.select(F.col("sigla_uf").alias("uf"), "nome_uf", "nome_regiao"), "uf")
+        states = states.join(names, "uf", "left")
         name = F.coalesce(F.col("nome_uf"), F.col("uf"))
         region = F.coalesce(F.col("nome_regiao"), F.lit(K.HOME_COUNTRY))
     state_rows = states.select(
@@ -212,6 +213,14 @@ def build_fact(exp: DataFrame, imp: DataFrame, imp_extra: dict[str, str] | None
     return fact_gate(e.unionByName(i, allowMissingColumns=True))
 
 
+def clustered(fact: DataFrame, partition_by: list[str]) -> DataFrame:
+    """The fact ranged and sorted by month and product, so that each file spans
+    few months and a month filter skips the others. The partition columns lead:
+    the writer requires that order and would otherwise sort anew."""
+    order = [*partition_by, "sk_data", "sk_ncm"]
+    return fact.repartitionByRange(*order).sortWithinPartitions(*order)
+
+
 def fact_at_grain(fact: DataFrame) -> DataFrame:
     """The fact at its declared grain (product × country × state × mode × month
     × movement): partial sums per task, one shuffle on the grain keys."""

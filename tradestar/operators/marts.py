@@ -80,8 +80,9 @@ def mart_partner_state(fact: DataFrame, dim_geo: DataFrame) -> DataFrame:
     """Role-playing geography: partner country and home state of each flow."""
     agg = (fact.groupBy("sk_geografia", "sk_geografia_uf", "tipo_movimentacao")
            .agg(_sum("valor_fob", "v")))
-    country = dim_geo.select("sk_geografia", F.col("nome_geografia").alias("pais"))
-    state = dim_geo.select(F.col("sk_geografia").alias("sk_geografia_uf"),
+    country = (dim_geo.filter(F.col("nivel") == K.LEVEL_COUNTRY)
+               .select("sk_geografia", F.col("nome_geografia").alias("pais")))
+    state = dim_geo.filter(F.col("nivel") == K.LEVEL_STATE).select(F.col("sk_geografia").alias("sk_geografia_uf"),
                            F.col("sigla").alias("uf"))
     return (agg.join(country, "sk_geografia").join(state, "sk_geografia_uf")
             .groupBy("pais", "uf", "tipo_movimentacao").agg(_sum("v", "valor_total"))
@@ -167,16 +168,16 @@ def establishment_distribution(estab: DataFrame, companies: DataFrame, cnaes: Da
                                active_status: str) -> DataFrame:
     """Active establishments counted by activity × company size × state.
 
-    establishments ⨝ companies is the one big-big join (shuffle on
-    ``cnpj_basico``; AQE splits a hot company key). Counting happens before the
-    activity lookup, which then joins a table bounded by the activity list.
+    Establishments are counted per company, activity and state first, so a
+    company with many of them joins as a few rows; a row without a company key
+    belongs to no company. The activity lookup has one description per code.
     """
-    active = (estab.filter(F.col("situacao_cadastral") == active_status)
-              .select("cnpj_basico", "cnae_principal", "uf"))
-    counted = (active.join(companies.select("cnpj_basico", "porte"), "cnpj_basico")
-               .groupBy("cnae_principal", "porte", "uf").agg(F.count(F.lit(1)).alias("n")))
-    return (counted.join(cnaes.select(F.col("cnae").alias("cnae_principal"), "descricao"),
-                         "cnae_principal", "left")
+    per_company = (estab.filter((F.col("situacao_cadastral") == active_status) & F.col("cnpj_basico").isNotNull())
+                   .groupBy("cnpj_basico", "cnae_principal", "uf").agg(F.count(F.lit(1)).alias("n")))
+    counted = (per_company.join(companies.select("cnpj_basico", "porte"), "cnpj_basico")
+               .groupBy("cnae_principal", "porte", "uf").agg(F.sum("n").alias("n")))
+    activities = cnaes.groupBy(F.col("cnae").alias("cnae_principal")).agg(F.min("descricao").alias("descricao"))
+    return (counted.join(activities, "cnae_principal", "left")
             .groupBy(F.col("cnae_principal").alias("cnae_fiscal_principal"), "descricao",
                      company_size_name(F.col("porte")).alias("porte_empresa"), "uf")
             .agg(F.sum("n").cast("bigint").alias("Total_empresas")))

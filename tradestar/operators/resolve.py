@@ -3,19 +3,20 @@ or text lines: layout resolution, format classification, delimiter sniffing
 and archive-member choice.
 
 Lookup tables here are configuration (the layout keys, a few rules) with a
-size fixed by the code, so they are broadcast; the file/line side is
-partitioned data of any size.
+size fixed by the code, so they are literals; the file/line side is partitioned
+data of any size.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import re
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tradestar.layouts import (CANDIDATE_DELIMITERS, DEFAULT_DELIMITER, REGISTRY_ARCHIVES,
-                               REGISTRY_EXTENSIONS, SNIFF_SAMPLE_BYTES, SUPPORTED_EXTENSIONS,
-                               layout_rows)
+                               REGISTRY_EXTENSIONS, SUPPORTED_EXTENSIONS, layout_rows)
 
 YEAR_PATTERN = r"_\d{4}"
 
@@ -25,44 +26,31 @@ def _stem(c):
     return F.regexp_replace(c, r"\.[^./]*$", "")
 
 
-def layout_table(spark: SparkSession) -> DataFrame:
-    rows = layout_rows()
-    return spark.createDataFrame(rows, "chave string, layout string, ordem int").select(
-        "chave", "layout", "ordem",
-        F.regexp_replace("chave", YEAR_PATTERN, "").alias("chave_sem_ano"),
-        F.length("chave").alias("tamanho"))
+def _lookup(pairs: dict[str, str], key: Column) -> Column:
+    """Value of a literal map; null for any other key."""
+    return F.try_element_at(F.create_map(*[F.lit(x) for kv in pairs.items() for x in kv]), key)
 
 
 def resolve_layout(files: DataFrame, name_col: str = "arquivo") -> DataFrame:
     """Layout for each file name: exact key, else equal after removing ``_YYYY``
     (first key in declaration order), else the longest key that prefixes the
-    name. Three equi-joins against the broadcast key table (the prefix rule
-    joins on the name cut to each key length), then one best-candidate
-    aggregate per file."""
-    spark = files.sparkSession
-    keys = F.broadcast(layout_table(spark))
-    names = files.select(F.col(name_col).alias("arquivo")).distinct().select(
-        "arquivo", _stem(F.col("arquivo")).alias("stem"))
-    names = names.withColumn("stem_sem_ano", F.regexp_replace("stem", YEAR_PATTERN, ""))
-
-    exact = names.join(keys, names.stem == keys.chave).select(
-        "arquivo", F.lit(1).alias("rank"), F.lit(0).alias("tie"), "ordem", "layout")
-    no_year = names.join(keys, names.stem_sem_ano == keys.chave_sem_ano).select(
-        "arquivo", F.lit(2).alias("rank"), F.lit(0).alias("tie"), "ordem", "layout")
-    lengths = sorted({len(k) for k, _, _ in layout_rows()})
-    cuts = names.select("arquivo", F.explode(F.array(*[
-        F.struct(F.lit(n).alias("n"), F.substring("stem", 1, n).alias("prefixo"))
-        for n in lengths])).alias("c")).select("arquivo", "c.n", "c.prefixo")
-    prefix = cuts.join(keys, (cuts.prefixo == keys.chave) & (cuts.n == keys.tamanho)).select(
-        "arquivo", F.lit(3).alias("rank"), (-F.col("tamanho")).alias("tie"), "ordem", "layout")
-
-    best = (exact.unionByName(no_year).unionByName(prefix)
-            .groupBy("arquivo")
-            .agg(F.min(F.struct("rank", "tie", "ordem", "layout")).alias("b")))
-    r = F.col("b.rank")
-    rule = F.when(r == 1, "exata").when(r == 2, "sem_ano").when(r == 3, "prefixo")
-    return (names.select("arquivo").join(best, "arquivo", "left")
-            .select("arquivo", F.col("b.layout").alias("layout"), rule.alias("regra")))
+    name. The keys are a constant of the code, so each rule is a lookup in a
+    literal map: one projection over the distinct names."""
+    rows = sorted(layout_rows(), key=lambda r: r[2])
+    exact = {key: layout for key, layout, _ in reversed(rows)}
+    no_year = {re.sub(YEAR_PATTERN, "", key): layout for key, layout, _ in reversed(rows)}
+    stem = _stem(F.col("arquivo"))
+    by_length: dict[int, dict[str, str]] = {}
+    for key, layout in exact.items():
+        by_length.setdefault(len(key), {})[key] = layout
+    prefix = F.coalesce(*[_lookup(by_length[n], F.substring(stem, 1, n))
+                          for n in sorted(by_length, reverse=True)])
+    found = files.select(F.col(name_col).alias("arquivo")).distinct().select(
+        "arquivo", _lookup(exact, stem).alias("e"),
+        _lookup(no_year, F.regexp_replace(stem, YEAR_PATTERN, "")).alias("s"), prefix.alias("p"))
+    rule = (F.when(F.col("e").isNotNull(), "exata").when(F.col("s").isNotNull(), "sem_ano")
+            .when(F.col("p").isNotNull(), "prefixo"))
+    return found.select("arquivo", F.coalesce("e", "s", "p").alias("layout"), rule.alias("regra"))
 
 
 def resolve_layout_by_table(tables: DataFrame, name_col: str = "pasta") -> DataFrame:
@@ -107,42 +95,36 @@ def classify_files(files: DataFrame, name_col: str = "arquivo") -> DataFrame:
 
 def sniff_delimiter(lines: DataFrame, file_col: str = "arquivo", line_no_col: str = "n_linha",
                     text_col: str = "linha", files: DataFrame | None = None,
-                    sample_bytes: int | None = SNIFF_SAMPLE_BYTES) -> DataFrame:
-    """Delimiter of each file from its first ``sample_bytes`` bytes (the
-    reference sniffs a 4 KB sample); ``sample_bytes=None`` sniffs whole files.
-
-    For every candidate the per-line occurrence count is computed; the winner
-    is the candidate whose modal count (> 0) covers most sampled lines, then
-    the higher count, then the candidate order. No candidate -> ','.
-    With a sample, work per file is bounded: at most ``sample_bytes`` lines
-    are kept before the (per-file) running byte offset is computed. Whole-file
-    mode needs no window at all (counts are a plain two-phase aggregate).
+                    sample_bytes: int | None = None) -> DataFrame:
+    """Delimiter of each file from all of its lines. ``files`` names files that
+    may have no line. A caller that wants a sample passes ``sample_bytes``: then
+    only the lines that begin in a file's first bytes count.
+
+    For every candidate the occurrences in each line are counted; the winner is
+    the candidate whose most frequent count (> 0) covers most lines, then the
+    higher count, then the candidate order. No candidate -> ','. Two two-phase
+    aggregates; the counts of a file, not its lines, meet in one task.
     """
-    src = lines if sample_bytes is None else lines.filter(F.col(line_no_col) <= sample_bytes)
-    head = src.select(F.col(file_col).alias("arquivo"), F.col(line_no_col).alias("n"),
-                      F.col(text_col).alias("linha"))
-    if sample_bytes is None:
-        sample = head
-    else:
-        w = Window.partitionBy("arquivo").orderBy("n").rowsBetween(Window.unboundedPreceding, 0)
-        sized = head.withColumn("_fim", F.sum(F.octet_length("linha") + 1).over(w))
-        sample = sized.filter(F.col("_fim") - F.octet_length("linha") - 1 < sample_bytes)
-    cands = F.array(*[F.struct(F.lit(i).alias("ordem"), F.lit(d).alias("d"))
+    head = lines.select(F.col(file_col).alias("arquivo"), F.col(line_no_col).alias("n"),
+                        F.col(text_col).alias("linha"))
+    if sample_bytes is not None:
+        w = Window.partitionBy("arquivo").orderBy("n").rowsBetween(Window.unboundedPreceding, -1)
+        before = F.coalesce(F.sum(F.octet_length("linha") + 1).over(w), F.lit(0))
+        head = (head.filter(F.col("n") <= sample_bytes).withColumn("_antes", before)
+                .filter(F.col("_antes") < sample_bytes))
+    if files is not None:
+        names = files.select(F.col(file_col).alias("arquivo"), F.lit(None).cast("string").alias("linha"))
+        head = head.select("arquivo", "linha").unionByName(names)
+    cands = F.array(*[F.struct((-F.lit(i)).alias("o"), F.lit(d).alias("d"))
                       for i, d in enumerate(CANDIDATE_DELIMITERS)])
-    per_line = sample.select("arquivo", F.explode(cands).alias("c"), "linha").select(
-        "arquivo", F.col("c.ordem").alias("ordem"), F.col("c.d").alias("d"),
+    per_line = head.select("arquivo", F.explode(cands).alias("c"), "linha").select(
+        "arquivo", "c.o", "c.d",
         (F.length("linha") - F.length(F.replace("linha", F.col("c.d"), F.lit("")))).alias("k"))
-    mode = (per_line.filter(F.col("k") > 0).groupBy("arquivo", "ordem", "d", "k")
-            .agg(F.count(F.lit(1)).alias("linhas")))
-    best = (mode.groupBy("arquivo")
-            .agg(F.max(F.struct("linhas", "k", (-F.col("ordem")).alias("o"), "d")).alias("b"))
-            .select("arquivo", F.col("b.d").alias("delimitador"),
-                    F.col("b.k").alias("ocorrencias")))
-    base = files.select(F.col(file_col).alias("arquivo")).distinct() if files is not None \
-        else head.select("arquivo").distinct()
-    return (base.join(best, "arquivo", "left")
-            .select("arquivo", F.coalesce("delimitador", F.lit(DEFAULT_DELIMITER)).alias("delimitador"),
-                    F.col("delimitador").isNull().alias("padrao")))
+    counted = per_line.groupBy("arquivo", "o", "d", "k").agg(F.count(F.lit(1)).alias("linhas"))
+    best = counted.groupBy("arquivo").agg(
+        F.max(F.when(F.col("k") > 0, F.struct("linhas", "k", "o", "d"))).alias("b"))
+    return best.select("arquivo", F.coalesce("b.d", F.lit(DEFAULT_DELIMITER)).alias("delimitador"),
+                       F.col("b").isNull().alias("padrao"))
 
 
 def choose_member(members: DataFrame, archive_col: str = "arquivo_zip",

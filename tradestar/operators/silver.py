@@ -12,8 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tradestar.functions.names import (fallback_name, normalize_column_name,
-                                       rename_positional_names)
+from tradestar.functions.names import fallback_name, header_names, rename_positional_names
 from tradestar.layouts import FOREIGN_SUFFIXES
 
 NULL_TEXT = "N/A"
@@ -26,8 +25,8 @@ def string_columns(df: DataFrame) -> list[str]:
 
 
 def normalize_headers(df: DataFrame) -> DataFrame:
-    """Accent-free, lower-case, underscore names."""
-    return df.toDF(*[normalize_column_name(c) for c in df.columns])
+    """Accent-free, lower-case, underscore names, each of them once."""
+    return df.toDF(*header_names(df.columns))
 
 
 def rename_fallback(df: DataFrame) -> DataFrame:
@@ -133,22 +132,26 @@ def dedup_latest(df: DataFrame, business: list[str], order_by: list[str]) -> Dat
 def silver_clean_registry(df: DataFrame, provenance: tuple[str, str] = (
         "ingestion_timestamp", "file_source")) -> DataFrame:
     """Registry chain: normalise -> drop foreign -> trim/upper -> dedup on the
-    business columns (provenance excluded, newest load wins) -> null fill."""
+    business columns (provenance excluded, newest load wins) -> null fill of
+    the descriptive columns; keys, states and codes keep their nulls."""
     out = drop_foreign_columns(normalize_headers(df))
     out = trim_upper_strings(out)
     business = [c for c in out.columns if c not in provenance]
     out = dedup_latest(out, business, list(provenance))
-    return treat_nulls(out, protect=list(provenance))
+    return treat_nulls(out, protect=[*provenance, *key_columns(out.columns)])
 
 
 def typed_columns(df: DataFrame, types: dict[str, str],
                   reject_column: str = "erro_tipagem") -> DataFrame:
     """Strong typing: ``try_cast`` each listed column; ``reject_column`` names
-    the columns whose non-null input did not convert (null when clean)."""
-    casts: dict[str, Column] = {c: F.col(c).try_cast(t) for c, t in types.items()}
-    failed = [F.when(F.col(c).isNotNull() & casts[c].isNull(), F.lit(c)) for c in types]
-    out = [casts[c].alias(c) if c in casts else F.col(c) for c in df.columns]
-    return df.select(*out, F.nullif(F.concat_ws(",", *failed), F.lit("")).alias(reject_column))
+    the columns whose non-null input did not convert (null when clean). Values
+    are cast in an inner projection and compared in an outer one, so each is
+    converted once."""
+    cast = {c: f"__typed_{i}" for i, c in enumerate(types)}
+    inner = df.select("*", *[F.col(c).try_cast(t).alias(cast[c]) for c, t in types.items()])
+    failed = [F.when(F.col(c).isNotNull() & F.col(cast[c]).isNull(), F.lit(c)) for c in types]
+    out = [F.col(cast[c]).alias(c) if c in cast else F.col(c) for c in df.columns]
+    return inner.select(*out, F.nullif(F.concat_ws(",", *failed), F.lit("")).alias(reject_column))
 
 
 def split_rejects(typed: DataFrame, reject_column: str = "erro_tipagem"):

@@ -16,11 +16,12 @@ import logging
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tradestar.functions.names import fallback_name
+from tradestar.functions.names import fallback_name, header_clashes
 from tradestar.layouts import (REGISTRY_ARCHIVES, REGISTRY_LAYOUTS, TRADE_ENTITIES,
                                TRADE_LAYOUTS, target_schema, target_type)
 from tradestar.operators import gold as G
@@ -33,11 +34,21 @@ from tradestar.streaming import ingest as ST
 
 log = logging.getLogger(__name__)
 TRADE, REGISTRY = "balancacomercial", "cnpj"
+#: Registry status of an active establishment (fixed value).
+ACTIVE_STATUS = "02"
 REPORT_SCHEMA = "camada string, entidade string, linhas long, status string, mensagem string"
 
 
+def _absent(exc: Exception) -> bool:
+    """Whether the error says that there is no such table or file."""
+    return isinstance(exc, AnalysisException) and exc.getCondition() in (
+        "PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
+
+
 @dataclass
 class Lake:
+    """Where the tables are, and the one format they are written and read in."""
+
     root: str
     fmt: str = "parquet"
     _report: list = field(default_factory=list)
@@ -106,9 +117,7 @@ def bronze_trade(spark: SparkSession, landing: str | None, lake: Lake,
                                         lake.checkpoint(TRADE, entity), transform=rename)
             lake.note("bronze", entity, rows, "OK" if rows else "SEM_NOVOS")
         except Exception as exc:  # isolate the entity, keep going
-            msg = str(exc).splitlines()[0][:300] if str(exc) else repr(exc)
-            missing = "Path does not exist" in msg or "UNABLE_TO_INFER_SCHEMA" in msg
-            lake.note("bronze", entity, None, "SEM_ARQUIVOS" if missing else "ERRO", msg)
+            lake.note("bronze", entity, None, "SEM_ARQUIVOS" if _absent(exc) else "ERRO", str(exc) or repr(exc))
 
     _each(sources.items(), one, workers)
 
@@ -120,9 +129,10 @@ def bronze_registry(spark: SparkSession, landing: str, lake: Lake,
     for entity in entities or list(REGISTRY_ARCHIVES):
         glob, folder = REGISTRY_ARCHIVES[entity]
         target = lake.path("raw", REGISTRY, folder)
+        written: list[int] = []
 
         def per_batch(batch_df: DataFrame, batch_id: int, ent=entity, tgt=target,
-                      fold=folder) -> None:
+                      fold=folder, rows=written) -> None:
             members = A.unzip_members(batch_df).persist()
             try:
                 width = A.max_width(members)
@@ -133,16 +143,19 @@ def bronze_registry(spark: SparkSession, landing: str, lake: Lake,
                     lake.note("bronze", f"{fold}/lote_{batch_id}", None, "AVISO",
                               f"{width} colunas no arquivo, {len(layout)} no layout")
                 named = A.with_provenance(A.name_fields(members, layout, width))
-                SK.write_idempotent_batch(named, tgt, batch_id)
+                seen = Observation(f"bronze_{fold}_{batch_id}")
+                SK.write_idempotent_batch(named.observe(seen, F.count(F.lit(1)).alias("n")), tgt, batch_id,
+                                          lake.fmt)
+                rows.append(seen.get["n"])
             finally:
                 members.unpersist()
 
         try:
-            rows = ST.run_foreach_batch(A.stream_archives(spark, landing, glob),
-                                        lake.checkpoint(REGISTRY, folder), per_batch)
-            lake.note("bronze", folder, rows, "OK" if rows else "SEM_NOVOS")
+            ST.run_foreach_batch(A.stream_archives(spark, landing, glob),
+                                 lake.checkpoint(REGISTRY, folder), per_batch)
+            lake.note("bronze", folder, sum(written), "OK" if written else "SEM_NOVOS")
         except Exception as exc:
-            lake.note("bronze", folder, None, "ERRO", str(exc).splitlines()[0][:300])
+            lake.note("bronze", folder, None, "ERRO", str(exc))
 
 
 # --------------------------------------------------------------------------- silver
@@ -163,7 +176,7 @@ def silver_trade(spark: SparkSession, lake: Lake, entities: list[str] | None = N
     the writes, not from extra scans."""
     def one(entity):
         try:
-            df = FS.read_table(spark, lake.path("raw", TRADE, entity), lake.fmt)
+            df = SK.read_merged(spark, lake.path("raw", TRADE, entity), lake.fmt)
             if df.isEmpty():
                 lake.note("silver", entity, 0, "VAZIO", "entrada vazia, ignorada")
                 return
@@ -172,13 +185,14 @@ def silver_trade(spark: SparkSession, lake: Lake, entities: list[str] | None = N
             clean, rejects = SV.split_rejects(typed)
             obs_rej = Observation(f"rej_{entity}")
             rejects = rejects.observe(obs_rej, F.count(F.lit(1)).alias("n"))
-            SK.overwrite_table(rejects, lake.path("trusted", TRADE, f"_rejeitos/{entity}"))
+            SK.overwrite_table(rejects, lake.path("trusted", TRADE, f"_rejeitos/{entity}"), fmt=lake.fmt)
             out = SV.treat_nulls(SV.dedup_rows(clean), protect=SV.key_columns(clean.columns))
             obs = Observation(f"silver_{entity}")
             SK.overwrite_partitioned(out.observe(obs, F.count(F.lit(1)).alias("n")),
-                                     lake.path("trusted", TRADE, entity))
+                                     lake.path("trusted", TRADE, entity), fmt=lake.fmt)
             n_rej = obs_rej.get.get("n", 0)
             notes = [f"{n_rej} linhas rejeitadas na tipagem"] if n_rej else []
+            notes += [f"coluna {h!r} repetida, gravada como {n}" for h, n in header_clashes(df.columns)]
             layout = TRADE_ENTITIES[entity][1]
             if layout is not None:   # schema check from metadata only (no data pass)
                 probs = SV.schema_problems(df.schema, T.StructType(
@@ -186,9 +200,7 @@ def silver_trade(spark: SparkSession, lake: Lake, entities: list[str] | None = N
                 notes += [f"{c}: {p}" for c, p, _, _ in probs]
             lake.note("silver", entity, obs.get.get("n"), "OK", "; ".join(notes) or None)
         except Exception as exc:
-            msg = str(exc).splitlines()[0][:300]
-            lake.note("silver", entity, None, "SEM_DADOS" if "PATH_NOT_FOUND" in msg
-                      or "does not exist" in msg else "ERRO", msg)
+            lake.note("silver", entity, None, "SEM_DADOS" if _absent(exc) else "ERRO", str(exc))
 
     _each(entities or list(TRADE_ENTITIES), one, workers)
 
@@ -197,85 +209,112 @@ def silver_registry(spark: SparkSession, lake: Lake, entities: list[str] | None
     for entity in entities or list(REGISTRY_ARCHIVES):
         folder = REGISTRY_ARCHIVES[entity][1]
         try:
-            df = FS.read_table(spark, lake.path("raw", REGISTRY, folder), lake.fmt)
+            # batches may differ in width: every column of every batch
+            df = SK.read_merged(spark, lake.path("raw", REGISTRY, folder), lake.fmt)
             if df.isEmpty():
                 lake.note("silver", folder, 0, "VAZIO", "entrada vazia, ignorada")
                 continue
             clean = SV.silver_clean_registry(df.drop("batch_id"))
-            SK.overwrite_table(clean, lake.path("trusted", REGISTRY, folder))
-            lake.note("silver", folder, None, "OK")
+            _overwrite(lake, "silver", folder, clean, lake.path("trusted", REGISTRY, folder))
         except Exception as exc:
-            msg = str(exc).splitlines()[0][:300]
-            lake.note("silver", folder, None, "SEM_DADOS" if "PATH_NOT_FOUND" in msg
-                      or "does not exist" in msg else "ERRO", msg)
+            lake.note("silver", folder, None, "SEM_DADOS" if _absent(exc) else "ERRO", str(exc))
 
 
 # --------------------------------------------------------------------------- gold
-def _trusted(spark: SparkSession, lake: Lake, domain: str, entity: str) -> DataFrame | None:
-    try:
-        return FS.read_table(spark, lake.path("trusted", domain, entity), lake.fmt)
-    except Exception:
-        return None
+def _overwrite(lake: Lake, layer: str, entity: str, df: DataFrame, path: str,
+               partition_by: list[str] | None = None, message: str | None = None) -> None:
+    """Write a table and report the rows that were written."""
+    seen = Observation(f"{layer}_{entity}")
+    SK.overwrite_table(df.observe(seen, F.count(F.lit(1)).alias("n")), path, partition_by, lake.fmt)
+    lake.note(layer, entity, seen.get["n"], "OK", message)
+
+
+class _Inputs:
+    """Trusted tables for gold. An absent one is reported; it is an error of the
+    tables that need it unless the caller allows that. Any other error is too."""
+
+    def __init__(self, spark: SparkSession, lake: Lake, allowed: frozenset[str]) -> None:
+        self.spark, self.lake, self.allowed = spark, lake, allowed
+        self.read: dict[str, DataFrame | None] = {}
+
+    def __call__(self, entity: str, empty: str | T.StructType | None = None, domain: str = TRADE) -> DataFrame | None:
+        """The table; where it may be absent, an empty one of schema ``empty``
+        (or None). Raises if the table is absent and must not be."""
+        if entity not in self.read:
+            path = self.lake.path("trusted", domain, entity)
+            try:
+                self.read[entity] = FS.read_table(self.spark, path, self.lake.fmt)
+            except AnalysisException as exc:
+                if not _absent(exc):
+                    raise
+                self.read[entity] = None
+                self.lake.note("gold", f"entrada/{entity}", None, "AUSENTE",
+                               "permitida" if entity in self.allowed else "necessária")
+        found = self.read[entity]
+        if found is None and entity not in self.allowed:
+            raise LookupError(f"entrada {entity} ausente")
+        return self.spark.createDataFrame([], empty) if found is None and empty is not None else found
 
 
 def gold(spark: SparkSession, lake: Lake, cluster_fact: bool = True,
          year_partition: bool = False, sentinels: tuple[str, ...] = (),
-         unknown_member: bool = False) -> None:
-    """Dimensions and the fact, each written as its own table; the fact is
-    partitioned by movement (and, with ``year_partition``, by reference year)
-    and, with ``cluster_fact``, sorted within files by (sk_data, sk_ncm) so
-    Parquet min/max statistics skip row groups on month and product filters.
-    ``sentinels`` (e.g. ('N/A',)) are read as missing values."""
-    t = lambda e: _trusted(spark, lake, TRADE, e)
-    exp, imp = t("exp"), t("imp")
-    if exp is None and imp is None:
-        lake.note("gold", "ft_balanco_comercial", None, "SEM_DADOS", "sem exp nem imp")
-        return
-    # one direction may be missing: the other side is an empty typed table
-    exp = exp if exp is not None else spark.createDataFrame([], target_schema("EXPO_2021"))
-    imp = imp if imp is not None else spark.createDataFrame([], target_schema("IMP_2021"))
-    out = {}
-    # ordered within files only: a global sort before a write is not observable
-    out["dim_data"] = G.build_dim_date(exp, imp).sortWithinPartitions("sk_data")
-    if t("ncm") is not None:
-        out["dim_ncm"] = G.build_dim_product(t("ncm"), t("ncm_fat_agreg"), t("ncm_ppe"),
-                                             sentinels)
-    if t("via") is not None:
-        out["dim_via_transporte"] = G.build_dim_transport(t("via"), sentinels)
-    if t("pais") is not None:
-        bloc = t("pais_bloco")
-        if bloc is None:
-            bloc = spark.createDataFrame([], "codigo_pais string, nome_bloco_pt string")
-        out["dim_geografia"] = G.build_dim_geography(t("pais"), bloc, exp, imp, t("uf"),
-                                                     sentinels, unknown_member)
-    fact = G.build_fact(exp, imp, sentinels=sentinels)
-    parts = ["tipo_movimentacao"]
-    if year_partition:
-        fact = fact.withColumn("ano_ref", (F.col("sk_data") / 100).cast("int"))
-        parts.append("ano_ref")
-    for name, df in out.items():
-        SK.overwrite_table(G.add_audit(df), lake.path("refined", "gold", name))
-        lake.note("gold", name, None, "OK")
-    if cluster_fact:
-        # partition columns lead: the writer requires that order and would
-        # otherwise re-sort each task, losing the (sk_data, sk_ncm) clustering
-        fact = fact.sortWithinPartitions(*parts, "sk_data", "sk_ncm")
-    SK.overwrite_table(G.add_audit(fact), lake.path("refined", "gold", "ft_balanco_comercial"),
-                       parts)
-    lake.note("gold", "ft_balanco_comercial", None, "OK")
-
-    est, emp = _trusted(spark, lake, REGISTRY, "estabelecimentos"), _trusted(spark, lake, REGISTRY,
-                                                                            "empresas")
-    if est is not None and emp is not None:
-        cn = _trusted(spark, lake, REGISTRY, "cnaes")
-        if cn is None:
-            cn = spark.createDataFrame([], "cnae string, descricao string")
-        dist = M.establishment_distribution(est, emp, cn, active_status="02")
-        SK.overwrite_table(dist.withColumn("dt_atualizacao", F.current_timestamp())
-                           .hint("rebalance", "uf"),
-                           lake.path("refined", "gold", "dim_distribuicao_estabelecimentos"),
-                           ["uf"])
-        lake.note("gold", "dim_distribuicao_estabelecimentos", None, "OK")
+         unknown_member: bool = False, allow_absent: frozenset[str] | tuple[str, ...] = ()) -> None:
+    """Dimensions, the fact and the establishment distribution, each written as
+    its own table and reported on its own. A table is written only from all of
+    its inputs: one that cannot be read, or is absent and not named in
+    ``allow_absent``, leaves the table as it is with status ERRO or SEM_DADOS.
+
+    The fact is partitioned by movement (and, with ``year_partition``, by
+    reference year) and, with ``cluster_fact``, ranged and sorted by (sk_data,
+    sk_ncm), so a month or product filter skips files. ``sentinels`` (e.g.
+    ('N/A',)) are read as missing values."""
+    t = _Inputs(spark, lake, frozenset(allow_absent))
+    parts = ["tipo_movimentacao"] + ["ano_ref"] * year_partition
+
+    def sides() -> tuple[DataFrame, DataFrame]:
+        return t("exp", target_schema("EXPO_2021")), t("imp", target_schema("IMP_2021"))
+
+    def date() -> DataFrame:
+        return G.build_dim_date(*sides()).sortWithinPartitions("sk_data")
+
+    def product() -> DataFrame:
+        return G.build_dim_product(t("ncm"), t("ncm_fat_agreg"), t("ncm_ppe"), sentinels)
+
+    def transport() -> DataFrame:
+        return G.build_dim_transport(t("via"), sentinels)
+
+    def geography() -> DataFrame:
+        blocs = t("pais_bloco", "codigo_pais string, nome_bloco_pt string")
+        return G.build_dim_geography(t("pais"), blocs, *sides(), t("uf"), sentinels, unknown_member)
+
+    def fact() -> DataFrame:
+        out = G.build_fact(*sides(), sentinels=sentinels)
+        if year_partition:
+            out = out.withColumn("ano_ref", (F.col("sk_data") / 100).cast("int"))
+        return G.clustered(out, parts) if cluster_fact else out
+
+    def distribution() -> DataFrame:
+        latest = ["ingestion_timestamp", "file_source"]
+        newest = lambda df, *keys: SV.dedup_latest(df, list(keys), latest)
+        places = t("estabelecimentos", domain=REGISTRY).filter(F.col("cnpj_basico").isNotNull())
+        firms = t("empresas", domain=REGISTRY).filter(F.col("cnpj_basico").isNotNull())
+        return M.establishment_distribution(
+            newest(places, "cnpj_basico", "cnpj_ordem", "cnpj_dv"), newest(firms, "cnpj_basico"),
+            t("cnaes", "cnae string, descricao string", REGISTRY), active_status=ACTIVE_STATUS)
+
+    for name, build, by in (("dim_data", date, None), ("dim_ncm", product, None),
+                            ("dim_via_transporte", transport, None), ("dim_geografia", geography, None),
+                            ("ft_balanco_comercial", fact, parts),
+                            ("dim_distribuicao_estabelecimentos", distribution, ["uf"])):
+        try:
+            df = build()
+            df = (df.withColumn("dt_atualizacao", F.current_timestamp()).hint("rebalance", "uf")
+                  if by == ["uf"] else G.add_audit(df))
+            _overwrite(lake, "gold", name, df, lake.path("refined", "gold", name), by)
+        except LookupError as exc:
+            lake.note("gold", name, None, "SEM_DADOS", str(exc))
+        except Exception as exc:  # this table stays as it was; the others go on
+            lake.note("gold", name, None, "ERRO", str(exc))
 
 
 def gold_table(spark: SparkSession, lake: Lake, name: str) -> DataFrame:
@@ -287,9 +326,10 @@ def marts(spark: SparkSession, lake: Lake, min_year: int) -> dict[str, DataFrame
     written with dynamic partition overwrite by month."""
     fact = gold_table(spark, lake, "ft_balanco_comercial")
     dim_data = gold_table(spark, lake, "dim_data")
-    SK.write_snapshot(M.agg_monthly_snapshot(fact), lake.path("refined", "marts",
-                                                              "agregado_mensal"), ["sk_data"])
-    lake.note("marts", "agregado_mensal", None, "OK")
+    seen = Observation("agregado_mensal")
+    SK.write_snapshot(M.agg_monthly_snapshot(fact).observe(seen, F.count(F.lit(1)).alias("n")),
+                      lake.path("refined", "marts", "agregado_mensal"), ["sk_data"], lake.fmt)
+    lake.note("marts", "agregado_mensal", seen.get["n"], "OK")
     return {
         "balanca_mensal": M.mart_monthly_balance(fact, dim_data, min_year),
         "exportacao_trimestral": M.mart_quarterly_exports(fact, dim_data),
@@ -298,26 +338,26 @@ def marts(spark: SparkSession, lake: Lake, min_year: int) -> dict[str, DataFrame
 
 
 def run(spark: SparkSession, landing: str, root: str, min_year: int = 2000,
-        workers: int = 4) -> DataFrame:
+        workers: int = 4, allow_absent: frozenset[str] | tuple[str, ...] = ()) -> DataFrame:
     """The whole job; returns the run report. ``workers`` trade entities are
-    loaded concurrently in bronze and silver."""
-    lake = Lake(root)
+    loaded concurrently in bronze and silver; gold tables go without the inputs
+    named in ``allow_absent`` if these are absent."""
+    lake = Lake(root, FS.table_format(spark))
     bronze_trade(spark, landing, lake, workers=workers)
     bronze_registry(spark, landing, lake)
     silver_trade(spark, lake, workers=workers)
     silver_registry(spark, lake)
-    for step, call in (("gold", lambda: gold(spark, lake)),
+    for step, call in (("gold", lambda: gold(spark, lake, allow_absent=allow_absent)),
                        ("marts", lambda: marts(spark, lake, min_year))):
         try:
             call()
         except Exception as exc:  # report the failed step, keep the report
-            lake.note(step, "*", None, "ERRO", str(exc).splitlines()[0][:300])
+            lake.note(step, "*", None, "ERRO", str(exc))
     return lake.report(spark)
 
 
 if __name__ == "__main__":  # pragma: no cover
     import sys
 
-    from tradestar.session import build_session
-    landing_dir, lake_root = sys.argv[1], sys.argv[2]
-    run(build_session(), landing_dir, lake_root).show(100, truncate=False)
+    # the master, the resources and all other settings are spark-submit's
+    run(SparkSession.builder.appName("tradestar").getOrCreate(), sys.argv[1], sys.argv[2]).show(100, truncate=False)

@@ -17,6 +17,8 @@ from tradestar.operators import gold as G
 from tradestar.operators import marts as M
 from tradestar.plans import trusted
 from tradestar.plans.registry import register
+from tradestar.session import scratch_path
+from tradestar.sources import sinks as SK
 from tradestar.sources import standins as S
 
 # Report parameters.
@@ -139,84 +141,99 @@ def q_surrogate_keys(spark, d):
 
 
 # --------------------------------------------------------------------------- M2 marts
-@register("mart_monthly_balance", f"""
-SELECT d.ano, d.mes, d.nome_mes,
-       CAST(sum(f.exportacao) AS DECIMAL(38,2)) AS total_exportacao,
-       CAST(sum(f.importacao) AS DECIMAL(38,2)) AS total_importacao,
-       CAST(sum(f.exportacao) - sum(f.importacao) AS DECIMAL(38,2)) AS saldo_comercial
-FROM monthly_flows f JOIN dim_data d ON f.sk_data = d.sk_data
-WHERE d.ano >= {MIN_YEAR}
-GROUP BY d.ano, d.mes, d.nome_mes
-ORDER BY d.ano DESC, d.mes DESC""")
+# The reports' oracles read the given tables, not the star: a line item is an
+# export when its status is 'O', its month is its ship date's, its value the
+# extended price, its weight quantity times the part's size.
+_VALUE = "CAST(l_extendedprice AS DECIMAL(18,2))"
+_WEIGHT = "CAST(CAST(l_quantity AS DECIMAL(18,2)) * p_size AS DECIMAL(18,2))"
+_MONTHS = ", ".join(f"({k}, '{v}')" for k, v in K.MONTH_NAMES_PT.items())
+# country 7 has a twin in the country table; its smaller code names it
+_COUNTRY = f"CASE WHEN n_nationkey = {int(S.TWIN_COUNTRY[0])} THEN '{S.TWIN_COUNTRY[2]}' ELSE n_name END"
+_LINES = """
+  lineitem JOIN orders ON o_orderkey = l_orderkey JOIN customer ON c_custkey = o_custkey
+  JOIN supplier ON s_suppkey = l_suppkey JOIN part ON p_partkey = l_partkey"""
+
+
+def _money(expr: str) -> str:
+    return f"CAST(sum({expr}) AS DECIMAL(38,2))"
+
+
+BALANCE_SQL = f"""
+SELECT year(l_shipdate)::INTEGER AS ano, month(l_shipdate)::INTEGER AS mes, m.nome AS nome_mes,
+       {_money(f"CASE l_linestatus WHEN 'O' THEN {_VALUE} ELSE 0 END")} AS total_exportacao,
+       {_money(f"CASE l_linestatus WHEN 'F' THEN {_VALUE} ELSE 0 END")} AS total_importacao,
+       {_money(f"CASE l_linestatus WHEN 'O' THEN {_VALUE} ELSE -{_VALUE} END")} AS saldo_comercial
+FROM {_LINES} JOIN (VALUES {_MONTHS}) m(numero, nome) ON m.numero = month(l_shipdate)
+WHERE year(l_shipdate) >= {MIN_YEAR} GROUP BY ALL"""
+
+QUARTERS_SQL = f"""
+SELECT year(l_shipdate)::INTEGER AS ano, quarter(l_shipdate)::INTEGER AS trimestre,
+       {_money(_VALUE)} AS total_exportado
+FROM {_LINES} WHERE l_linestatus = 'O' GROUP BY ALL"""
+
+PRODUCTS_SQL = f"""
+SELECT lpad(p_partkey::VARCHAR, 8, '0') AS codigo_ncm, p_name AS nome_ncm, p_type AS nomenclatura_ppe,
+       {_money(_VALUE)} AS valor_total_exportado, {_money(_WEIGHT)} AS peso_liquido_total
+FROM {_LINES}
+WHERE l_linestatus = 'O' AND year(l_shipdate) * 100 + month(l_shipdate) BETWEEN {TOP_FROM} AND {TOP_TO}
+GROUP BY ALL ORDER BY valor_total_exportado DESC, codigo_ncm LIMIT {TOP_K}"""
+
+PARTNERS_SQL = f"""
+SELECT {_COUNTRY} AS nome_geografia, 'PAIS' AS nivel, {_money(_VALUE)} AS valor_total
+FROM {_LINES} JOIN nation ON n_nationkey = s_nationkey WHERE l_linestatus = 'F' GROUP BY ALL"""
+
+PARTNER_STATE_SQL = f"""
+SELECT {_COUNTRY.replace("n_", "t.n_")} AS pais, r_name[1:2] AS uf,
+       CASE l_linestatus WHEN 'O' THEN 'EXPORTACAO' ELSE 'IMPORTACAO' END AS tipo_movimentacao,
+       {_money(_VALUE)} AS valor_total
+FROM {_LINES} JOIN nation t ON t.n_nationkey = s_nationkey
+JOIN nation h ON h.n_nationkey = c_nationkey JOIN region ON r_regionkey = h.n_regionkey GROUP BY ALL"""
+
+TRANSPORT_SQL = f"""
+SELECT o_orderpriority[3:] AS nome_via,
+       CASE l_linestatus WHEN 'O' THEN 'EXPORTACAO' ELSE 'IMPORTACAO' END AS tipo_movimentacao,
+       {_money(_VALUE)} AS valor_total, {_money(_WEIGHT)} AS peso_total_kg
+FROM {_LINES} GROUP BY ALL"""
+
+_ACTIVITY = "lower(c_mktsegment)"
+VOCATION_SQL = f"""
+SELECT r_name[1:2] AS uf, {_ACTIVITY} AS atividade_economica, count(*) AS total_estabelecimentos
+FROM customer JOIN nation ON n_nationkey = c_nationkey JOIN region ON r_regionkey = n_regionkey
+WHERE c_acctbal > 0 AND r_name[1:2] = '{VOCATION_STATE}'
+GROUP BY ALL ORDER BY total_estabelecimentos DESC, atividade_economica LIMIT {TOP_K}"""
+
+
+@register("mart_monthly_balance", BALANCE_SQL, raw_sql=True)
 def q_mart_monthly_balance(spark, d):
     g = stored(spark, d)
     return M.mart_monthly_balance(g["ft_balanco_comercial"], g["dim_data"], MIN_YEAR)
 
 
-@register("mart_quarterly_exports", f"""
-WITH por_mes AS (
-  SELECT sk_data, SUM(valor_fob) AS v FROM fact
-  WHERE tipo_movimentacao = 'EXPORTACAO' GROUP BY sk_data)
-SELECT d.ano, d.trimestre, CAST(SUM(p.v) AS DECIMAL(38,2)) AS total_exportado
-FROM por_mes p JOIN dim_data d ON p.sk_data = d.sk_data
-GROUP BY d.ano, d.trimestre""")
+@register("mart_quarterly_exports", QUARTERS_SQL, raw_sql=True)
 def q_mart_quarterly_exports(spark, d):
     g = stored(spark, d)
     return M.mart_quarterly_exports(g["ft_balanco_comercial"], g["dim_data"])
 
 
-@register("mart_top_products", f"""
-WITH por_produto AS (
-  SELECT sk_ncm, SUM(valor_fob) AS v, SUM(kg_liquido) AS kg FROM fact
-  WHERE tipo_movimentacao = 'EXPORTACAO' AND sk_data BETWEEN {TOP_FROM} AND {TOP_TO}
-  GROUP BY sk_ncm)
-SELECT n.codigo_ncm, n.nome_ncm, n.nomenclatura_ppe,
-       CAST(SUM(p.v) AS DECIMAL(38,2)) AS valor_total_exportado,
-       CAST(SUM(p.kg) AS DECIMAL(38,2)) AS peso_liquido_total
-FROM por_produto p JOIN dim_ncm n ON p.sk_ncm = n.sk_ncm
-GROUP BY n.codigo_ncm, n.nome_ncm, n.nomenclatura_ppe
-ORDER BY valor_total_exportado DESC, n.codigo_ncm
-LIMIT {TOP_K}""")
+@register("mart_top_products", PRODUCTS_SQL, raw_sql=True)
 def q_mart_top_products(spark, d):
     g = stored(spark, d)
     return M.mart_top_products(g["ft_balanco_comercial"], g["dim_ncm"], TOP_FROM, TOP_TO, TOP_K)
 
 
-@register("mart_partners", f"""
-WITH por_parceiro AS (
-  SELECT sk_geografia, SUM(valor_fob) AS v FROM fact
-  WHERE tipo_movimentacao = 'IMPORTACAO' GROUP BY sk_geografia)
-SELECT g.nome_geografia, g.nivel, CAST(SUM(p.v) AS DECIMAL(38,2)) AS valor_total
-FROM por_parceiro p JOIN dim_geo g ON p.sk_geografia = g.sk_geografia
-GROUP BY g.nome_geografia, g.nivel""")
+@register("mart_partners", PARTNERS_SQL, raw_sql=True)
 def q_mart_partners(spark, d):
     g = stored(spark, d)
     return M.mart_partners(g["ft_balanco_comercial"], g["dim_geografia"], K.IMPORT)
 
 
-@register("mart_partner_state", f"""
-WITH por_chave AS (
-  SELECT sk_geografia, sk_geografia_uf, tipo_movimentacao, SUM(valor_fob) AS v FROM fact
-  GROUP BY sk_geografia, sk_geografia_uf, tipo_movimentacao)
-SELECT g.nome_geografia AS pais, u.sigla AS uf, p.tipo_movimentacao,
-       CAST(SUM(p.v) AS DECIMAL(38,2)) AS valor_total
-FROM por_chave p
-JOIN dim_geo g ON p.sk_geografia = g.sk_geografia
-JOIN dim_geo u ON p.sk_geografia_uf = u.sk_geografia
-GROUP BY g.nome_geografia, u.sigla, p.tipo_movimentacao""")
+@register("mart_partner_state", PARTNER_STATE_SQL, raw_sql=True)
 def q_mart_partner_state(spark, d):
     g = stored(spark, d)
     return M.mart_partner_state(g["ft_balanco_comercial"], g["dim_geografia"])
 
 
-@register("mart_transport", f"""
-WITH por_via AS (
-  SELECT sk_via_transporte, tipo_movimentacao, SUM(valor_fob) AS v, SUM(kg_liquido) AS kg
-  FROM fact GROUP BY sk_via_transporte, tipo_movimentacao)
-SELECT t.nome_via, p.tipo_movimentacao, CAST(SUM(p.v) AS DECIMAL(38,2)) AS valor_total,
-       CAST(SUM(p.kg) AS DECIMAL(38,2)) AS peso_total_kg
-FROM por_via p JOIN dim_via t ON p.sk_via_transporte = t.sk_via_transporte
-GROUP BY t.nome_via, p.tipo_movimentacao""")
+@register("mart_transport", TRANSPORT_SQL, raw_sql=True)
 def q_mart_transport(spark, d):
     g = stored(spark, d)
     return M.mart_transport(g["ft_balanco_comercial"], g["dim_via_transporte"])
@@ -252,7 +269,13 @@ SELECT sk_data, tipo_movimentacao, sk_geografia,
        count(*) AS n_registros
 FROM fact GROUP BY sk_data, tipo_movimentacao, sk_geografia""")
 def q_agg_monthly_snapshot(spark, d):
-    return M.agg_monthly_snapshot(stored(spark, d)["ft_balanco_comercial"])
+    """Written by month with dynamic overwrite, twice: a second load of the later
+    months replaces theirs and leaves the others; then read back."""
+    path = scratch_path(spark, "tables", "agregado_mensal")
+    snapshot = M.agg_monthly_snapshot(stored(spark, d)["ft_balanco_comercial"])
+    SK.write_snapshot(snapshot, path, ["sk_data"])
+    SK.write_snapshot(snapshot.filter(F.col("sk_data") >= MIN_YEAR * 100), path, ["sk_data"])
+    return spark.read.parquet(path).select(*snapshot.columns).withColumn("sk_data", F.col("sk_data").cast("bigint"))
 
 
 # --------------------------------------------------------------------------- M6 registry marts
@@ -261,13 +284,7 @@ def q_establishment_distribution(spark, d):
     return distribution_of(spark, d)
 
 
-@register("mart_state_vocation", f"""
-SELECT uf, descricao AS atividade_economica,
-       CAST(sum(Total_empresas) AS BIGINT) AS total_estabelecimentos
-FROM distribuicao WHERE uf = '{VOCATION_STATE}'
-GROUP BY uf, descricao
-ORDER BY total_estabelecimentos DESC, atividade_economica ASC
-LIMIT {TOP_K}""")
+@register("mart_state_vocation", VOCATION_SQL, raw_sql=True)
 def q_mart_state_vocation(spark, d):
     return M.mart_state_vocation(distribution_of(spark, d), VOCATION_STATE, TOP_K)
 

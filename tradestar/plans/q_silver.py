@@ -202,10 +202,8 @@ WITH loads AS (
          ingestion_timestamp, upper(trim(file_source)) AS file_source
   FROM loads
 )
-SELECT coalesce(cnpj_basico, 'N/A') AS cnpj_basico, coalesce(cnpj_ordem, 'N/A') AS cnpj_ordem,
-       coalesce(nome_fantasia, 'N/A') AS nome_fantasia,
-       coalesce(situacao_cadastral, 'N/A') AS situacao_cadastral,
-       coalesce(cnae_principal, 'N/A') AS cnae_principal, coalesce(uf, 'N/A') AS uf,
+SELECT cnpj_basico, cnpj_ordem, coalesce(nome_fantasia, 'N/A') AS nome_fantasia,
+       coalesce(situacao_cadastral, 'N/A') AS situacao_cadastral, cnae_principal, uf,
        ingestion_timestamp, file_source
 FROM (SELECT *, row_number() OVER (PARTITION BY cnpj_basico, cnpj_ordem, nome_fantasia,
              situacao_cadastral, cnae_principal, uf

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tradestar.layouts import TRADE_LAYOUTS, layout_rows
+from tradestar.layouts import COMPACTION_TARGET_BYTES, TRADE_LAYOUTS, layout_rows
 from tradestar.operators import resolve as R
 from tradestar.plans import trusted
 from tradestar.plans.registry import register
@@ -266,14 +266,10 @@ WITH lines AS (
   SELECT 'eventos.tsv', event_id + 1,
          concat_ws(chr(9), CAST(event_id AS VARCHAR), event_type, props) FROM events
 ),
-head AS (SELECT * FROM lines WHERE n <= 4096),
-sized AS (SELECT *, sum(strlen(linha) + 1) OVER (PARTITION BY arquivo ORDER BY n
-                 ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS fim FROM head),
-sample AS (SELECT * FROM sized WHERE fim - strlen(linha) - 1 < 4096),
 cands AS (SELECT * FROM (VALUES (0, ','), (1, ';'), (2, chr(9)), (3, '|')) c(ordem, d)),
 per_line AS (SELECT s.arquivo, c.ordem, c.d,
                     length(s.linha) - length(replace(s.linha, c.d, '')) AS k
-             FROM sample s CROSS JOIN cands c),
+             FROM lines s CROSS JOIN cands c),
 modes AS (SELECT arquivo, ordem, d, k, count(*) AS linhas FROM per_line WHERE k > 0
           GROUP BY arquivo, ordem, d, k),
 best AS (SELECT arquivo, d FROM (SELECT *, row_number() OVER (PARTITION BY arquivo
@@ -292,27 +288,49 @@ def q_sniff_delimiter(spark, d):
 
 
 # --------------------------------------------------------------------------- inventories
-KNOWN_TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem",
-                "events", "documents", "embeddings", "pages", "benchmark", "labels",
-                "conversations"]
+LISTING_SQL = """
+  SELECT regexp_extract(url, '//([^./]+)', 1) AS pasta, CAST(page_id AS VARCHAR) || '.html' AS arquivo,
+         CAST(strlen(html) AS BIGINT) AS bytes FROM pages"""
 
 
-@register("file_inventory")
+def page_listing(spark, d):
+    """The stored pages as a listing of files: folder, name, size."""
+    return S.table(spark, d, "pages").select(
+        F.regexp_extract("url", r"//([^./]+)", 1).alias("pasta"),
+        F.concat(F.col("page_id").cast("string"), F.lit(".html")).alias("arquivo"),
+        F.octet_length("html").cast("bigint").alias("bytes"))
+
+
+EXPECTED = ["www", "site0", "estabelecimentos", "empresas"]
+
+
+@register("file_inventory", f"""
+SELECT pasta AS container, count(*) AS n_arquivos, round(sum(bytes) / 1024.0, 2) AS total_kb,
+       sum(bytes) = 0 AS vazio
+FROM ({LISTING_SQL}) f GROUP BY pasta""", raw_sql=True)
 def q_file_inventory(spark, d):
-    """Per container: file count, KB and an empty flag (content never read)."""
-    return FS.file_inventory(spark, d)
+    """Per container: file count, KB and an empty flag."""
+    return FS.inventory_of(page_listing(spark, d))
 
 
-@register("expected_folders_status")
+@register("expected_folders_status", f"""
+SELECT e.nome, CASE WHEN EXISTS (SELECT 1 FROM ({LISTING_SQL}) f WHERE f.pasta = e.nome)
+                    THEN 'exists' ELSE 'pending' END AS status
+FROM (VALUES {", ".join(f"('{e}')" for e in EXPECTED)}) e(nome)""", raw_sql=True)
 def q_expected_folders_status(spark, d):
-    return FS.expected_folders_status(spark, d, KNOWN_TABLES + ["estabelecimentos", "empresas"])
+    return FS.presence_of(page_listing(spark, d), EXPECTED)
 
 
-@register("list_entities")
+@register("list_entities", f"""
+SELECT DISTINCT pasta AS entidade FROM ({LISTING_SQL}) f ORDER BY entidade""", raw_sql=True)
 def q_list_entities(spark, d):
-    return FS.list_entities(spark, d, known=KNOWN_TABLES[:7])
+    return FS.entities_of(page_listing(spark, d))
 
 
-@register("compaction_plan")
+@register("compaction_plan", f"""
+SELECT pasta AS tabela, count(*) AS n_arquivos, CAST(sum(bytes) AS BIGINT) AS bytes,
+       CAST(greatest(1, ceil(sum(bytes) / {COMPACTION_TARGET_BYTES})) AS INTEGER) AS n_alvo,
+       count(*) > greatest(1, ceil(sum(bytes) / {COMPACTION_TARGET_BYTES})) AS compactar
+FROM ({LISTING_SQL}) f GROUP BY pasta""", raw_sql=True)
 def q_compaction_plan(spark, d):
-    return SK.compaction_plan(spark, d)
+    return SK.compaction_of(page_listing(spark, d))

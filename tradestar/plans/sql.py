@@ -85,11 +85,11 @@ CTES["via"] = """
          substring(o_orderpriority, 3) AS descricao_via_transporte
   FROM (SELECT DISTINCT o_orderpriority FROM orders) p"""
 
-CTES["pais"] = """
+CTES["pais"] = f"""
   SELECT CAST(n_nationkey AS VARCHAR) AS codigo_pais,
          'N' || lpad(CAST(n_nationkey AS VARCHAR), 2, '0') AS codigo_pais_iso3,
          n_name AS nome_pais_pt
-  FROM nation"""
+  FROM nation UNION ALL SELECT {', '.join(f"'{x}'" for x in S.TWIN_COUNTRY)}"""
 
 CTES["pais_bloco"] = f"""
   SELECT CAST(n.n_nationkey AS VARCHAR) AS codigo_pais,
@@ -97,11 +97,11 @@ CTES["pais_bloco"] = f"""
   FROM nation n JOIN region r ON n.n_regionkey = r.r_regionkey
   UNION ALL SELECT '{S.EXTRA_BLOC[0]}', '{S.EXTRA_BLOC[1]}', '{S.EXTRA_BLOC[2]}'"""
 
-CTES["uf_tab"] = """
+CTES["uf_tab"] = f"""
   SELECT CAST(r_regionkey AS VARCHAR) AS codigo_uf, substring(r_name, 1, 2) AS sigla_uf,
          upper(substring(r_name, 1, 1)) || lower(substring(r_name, 2)) AS nome_uf_raw,
          'REGIAO ' || CAST(r_regionkey AS VARCHAR) AS nome_regiao
-  FROM region"""
+  FROM region UNION ALL SELECT {', '.join(f"'{x}'" for x in S.TWIN_STATE)}"""
 
 CTES["dim_data"] = f"""
   SELECT CAST(ano * 100 + mes AS BIGINT) AS sk_data, {first_of_month_sql()} AS data, ano, mes,
@@ -148,27 +148,34 @@ CTES["states"] = """
                            SELECT uf_destino AS uf FROM imp) s
   WHERE uf IS NOT NULL"""
 
-CTES["dim_geo"] = f"""
-  SELECT TRY_CAST(p.codigo_pais AS BIGINT) AS sk_geografia, p.codigo_pais AS codigo_referencia,
-         coalesce(p.nome_pais_pt, 'País Desconhecido') AS nome_geografia, 'PAIS' AS nivel,
-         p.codigo_pais_iso3 AS sigla, b.nome_bloco AS regiao_ou_bloco
-  FROM pais p LEFT JOIN (SELECT codigo_pais, min(nome_bloco_pt) AS nome_bloco
-                         FROM pais_bloco GROUP BY codigo_pais) b ON p.codigo_pais = b.codigo_pais
+def _countries(blocs: str, extra: str) -> str:
+    """Countries with the bloc columns of ``blocs``, one row per numeric code."""
+    return f"""
+  SELECT * EXCLUDE (rn) FROM (
+    SELECT *, row_number() OVER (PARTITION BY sk_geografia ORDER BY codigo_referencia NULLS FIRST,
+           nome_geografia NULLS FIRST, sigla NULLS FIRST, regiao_ou_bloco NULLS FIRST) AS rn
+    FROM (SELECT TRY_CAST(p.codigo_pais AS BIGINT) AS sk_geografia, p.codigo_pais AS codigo_referencia,
+                 coalesce(p.nome_pais_pt, 'País Desconhecido') AS nome_geografia, 'PAIS' AS nivel,
+                 p.codigo_pais_iso3 AS sigla, b.nome_bloco AS regiao_ou_bloco{extra}
+          FROM pais p LEFT JOIN (SELECT codigo_pais, {blocs} FROM pais_bloco GROUP BY codigo_pais) b
+            ON p.codigo_pais = b.codigo_pais) c) d WHERE rn = 1"""
+
+
+CTES["dim_geo"] = _countries("min(nome_bloco_pt) AS nome_bloco", "") + f"""
   UNION ALL
   SELECT {state_key_sql('uf')}, uf, uf, 'UF', uf, 'Brasil' FROM states"""
 
-CTES["dim_geo_enriched"] = f"""
-  SELECT TRY_CAST(p.codigo_pais AS BIGINT) AS sk_geografia, p.codigo_pais AS codigo_referencia,
-         coalesce(p.nome_pais_pt, 'País Desconhecido') AS nome_geografia, 'PAIS' AS nivel,
-         p.codigo_pais_iso3 AS sigla, b.nome_bloco AS regiao_ou_bloco, b.blocos AS blocos
-  FROM pais p LEFT JOIN (SELECT codigo_pais, min(nome_bloco_pt) AS nome_bloco,
-                                array_to_string(list_sort(list_distinct(list(nome_bloco_pt))), ', ')
-                                AS blocos
-                         FROM pais_bloco GROUP BY codigo_pais) b ON p.codigo_pais = b.codigo_pais
+CTES["dim_geo_enriched"] = _countries(
+    "min(nome_bloco_pt) AS nome_bloco, "
+    "array_to_string(list_sort(list_distinct(list(nome_bloco_pt))), ', ') AS blocos",
+    ", b.blocos AS blocos") + f"""
   UNION ALL
   SELECT {state_key_sql('s.uf')}, s.uf, coalesce(u.nome_uf_raw, s.uf), 'UF', s.uf,
          coalesce(u.nome_regiao, 'Brasil'), CAST(NULL AS VARCHAR)
-  FROM states s LEFT JOIN uf_tab u ON s.uf = u.sigla_uf"""
+  FROM states s LEFT JOIN (
+    SELECT sigla_uf, nome_uf_raw, nome_regiao FROM (
+      SELECT *, row_number() OVER (PARTITION BY sigla_uf ORDER BY nome_uf_raw, nome_regiao) AS rn
+      FROM uf_tab) x WHERE rn = 1) u ON s.uf = u.sigla_uf"""
 
 
 def fact_side_sql(src: str, tipo: str, pais: str, uf: str, extra: str = "") -> str:
@@ -227,9 +234,10 @@ CTES["empresas"] = """
          CASE WHEN c_acctbal < 2500 THEN '01' WHEN c_acctbal < 7500 THEN '03' ELSE '05' END AS porte
   FROM customer"""
 
-CTES["cnaes"] = """
+CTES["cnaes"] = f"""
   SELECT c_mktsegment AS cnae, lower(c_mktsegment) AS descricao
-  FROM (SELECT DISTINCT c_mktsegment FROM customer) s"""
+  FROM (SELECT DISTINCT c_mktsegment FROM customer) s
+  UNION ALL SELECT {', '.join(f"'{x}'" for x in S.TWIN_ACTIVITY)}"""
 
 
 def porte_sql(expr: str) -> str:
@@ -243,7 +251,8 @@ CTES["distribuicao"] = f"""
          {porte_sql('m.porte')} AS porte_empresa, e.uf,
          CAST(count(*) AS BIGINT) AS Total_empresas
   FROM estab e JOIN empresas m ON e.cnpj_basico = m.cnpj_basico
-  LEFT JOIN cnaes c ON e.cnae_principal = c.cnae
+  LEFT JOIN (SELECT cnae, min(descricao) AS descricao FROM cnaes GROUP BY cnae) c
+    ON e.cnae_principal = c.cnae
   WHERE e.situacao_cadastral = '{S.ACTIVE_STATUS}'
   GROUP BY e.cnae_principal, c.descricao, {porte_sql('m.porte')}, e.uf"""
 

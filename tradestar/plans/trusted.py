@@ -14,25 +14,17 @@ import threading
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradestar.session import app_id, default_parallelism, scratch_path
+from tradestar.session import app_id, newest_change, scratch_path
 from tradestar.sources import standins as S
 
 _LOCK = threading.Lock()
-_ROOTS: dict[tuple[str, str], str] = {}
+_ROOTS: dict[tuple[str, str, int], str] = {}
 
 
-def _key(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
-    return app_id(spark), sf_dir.rstrip("/")
-
-
-def _spread(df: DataFrame) -> DataFrame:
-    """At least one file per core, so later scans run in parallel. Only a
-    frame read from fewer files than there are cores (a small input) is
-    reshuffled; a large input keeps its natural partitioning. The test uses
-    the plan's input file list (metadata only); asking the RDD for its
-    partition count would run the plan's broadcast and shuffle stages."""
-    cores = default_parallelism(df.sparkSession)
-    return df.repartition(cores) if len(df.inputFiles()) < cores else df
+def _key(spark: SparkSession, sf_dir: str) -> tuple[str, str, int]:
+    """A stored layer belongs to an application and to the input as it is now."""
+    folder = sf_dir.rstrip("/")
+    return app_id(spark), folder, newest_change(spark, folder)
 
 
 def materialize(spark: SparkSession, sf_dir: str) -> str:
@@ -44,7 +36,7 @@ def materialize(spark: SparkSession, sf_dir: str) -> str:
             root = scratch_path(spark, "trusted")
             # one pass of the join for both directions, stored by direction so
             # each side is read back with partition pruning
-            (_spread(S.trade_records(spark, sf_dir)).write.mode("overwrite")
+            (S.trade_records(spark, sf_dir).hint("rebalance").write.mode("overwrite")
              .partitionBy("fluxo").parquet(f"{root}/trade"))
             _ROOTS[key] = root
     return root
@@ -62,7 +54,7 @@ def exp_imp(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     return exp, imp
 
 
-_GOLD: dict[tuple[str, str], str] = {}
+_GOLD: dict[tuple[str, str, int], str] = {}
 GOLD_TABLES = ("ft_balanco_comercial", "dim_data", "dim_ncm", "dim_via_transporte",
                "dim_geografia")
 
@@ -85,10 +77,7 @@ def materialize_gold(spark: SparkSession, sf_dir: str) -> str:
         root = _GOLD.get(key)
         if root is None:
             root = scratch_path(spark, "gold")
-            # the partition column leads the sort: the writer requires that
-            # order and would otherwise re-sort, losing (sk_data, sk_ncm)
-            fact = G.build_fact(exp, imp).sortWithinPartitions("tipo_movimentacao", "sk_data",
-                                                               "sk_ncm")
+            fact = G.clustered(G.build_fact(exp, imp), ["tipo_movimentacao"])
             SK.overwrite_table(fact, f"{root}/ft_balanco_comercial", ["tipo_movimentacao"])
             dims = {
                 "dim_data": G.build_dim_date(exp, imp),

@@ -4,7 +4,6 @@ scratch folder that jobs use to cut lineage or stage files."""
 from __future__ import annotations
 
 import os
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -47,29 +46,21 @@ def _context(spark: SparkSession):
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The shared folder named by ``spark.checkpoint.dir``.
-
-    The cluster's setting always wins. Only when it is unset on a local
-    master (tests, the benchmark) is a private folder created and registered;
-    on a cluster an unset directory is an error.
-    """
+    """The shared folder for tables between stages: ``spark.checkpoint.dir`` of
+    the session; where that is unset, a folder in the session's own warehouse
+    (``spark.sql.warehouse.dir``), which every executor sees as well."""
     sc = _context(spark)
     if sc is not None and sc.getCheckpointDir():
         return sc.getCheckpointDir()
-    conf_dir = spark.conf.get("spark.checkpoint.dir", None)
-    if not conf_dir and sc is not None:
-        conf_dir = sc.getConf().get("spark.checkpoint.dir", None)
-    if not conf_dir:
-        master = spark.conf.get("spark.master", "") or ""
-        if not master.startswith("local"):
-            # a driver-local folder is invisible to executors on other hosts
-            raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
-        conf_dir = tempfile.mkdtemp(prefix="tradestar-ckpt-")
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder and sc is not None:
+        folder = sc.getConf().get("spark.checkpoint.dir", None)
+    if not folder:
+        folder = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
     if sc is not None:
-        sc.setCheckpointDir(conf_dir)
-        return sc.getCheckpointDir() or conf_dir
-    spark.conf.set("spark.checkpoint.dir", conf_dir)
-    return conf_dir
+        sc.setCheckpointDir(folder)
+        return sc.getCheckpointDir() or folder
+    return folder
 
 
 def app_id(spark: SparkSession) -> str:
@@ -86,10 +77,38 @@ def default_parallelism(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
 
 
+_SCRATCH: list[str] = []
+
+
 def scratch_path(spark: SparkSession, *parts: str) -> str:
     """A fresh, never-reused folder below the checkpoint root."""
-    root = checkpoint_root(spark).rstrip("/")
-    return "/".join([root, "tradestar", *parts, uuid.uuid4().hex])
+    path = "/".join([checkpoint_root(spark).rstrip("/"), "tradestar", *parts, uuid.uuid4().hex])
+    _SCRATCH.append(path)
+    return path
+
+
+def drop_scratch(spark: SparkSession) -> int:
+    """Delete the folders that this driver has handed out, at the end of an
+    application whose results are read; returns their number."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    count = 0
+    while _SCRATCH:
+        path = jvm.org.apache.hadoop.fs.Path(_SCRATCH.pop())
+        count += bool(path.getFileSystem(conf).delete(path, True))
+    return count
+
+
+def newest_change(spark: SparkSession, folder: str) -> int:
+    """Newest modification time of the tables in ``folder`` (files, or folders
+    of files), from the file system's own listing."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    newest = 0
+    for entry in fs.listStatus(path):
+        newest = max(newest, entry.getModificationTime())
+        if entry.isDirectory():
+            newest = max([newest, *(f.getModificationTime() for f in fs.listStatus(entry.getPath()))])
+    return newest
 
 
 def local_path(path: str) -> str:

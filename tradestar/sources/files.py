@@ -10,7 +10,8 @@ from __future__ import annotations
 import logging
 import re
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -19,6 +20,9 @@ from tradestar.layouts import TRADE_ENTITIES, TRADE_LAYOUTS, source_schema
 
 log = logging.getLogger(__name__)
 
+#: Error conditions that say a path holds no Delta table, or that Spark has no Delta.
+NOT_DELTA = ("DATA_SOURCE_NOT_FOUND", "DELTA_TABLE_NOT_FOUND", "DELTA_MISSING_DELTA_TABLE")
+
 LANDING_OPTIONS = {"sep": ";", "header": "true", "encoding": "ISO-8859-1"}
 
 
@@ -76,11 +80,13 @@ def read_table(spark: SparkSession, path: str, fmt: str | None = None,
     folders become columns). ``recursive`` reads every file below ``path``
     whatever the folder names (``recursiveFileLookup``; no partition columns)."""
     fmt = fmt or table_format(spark)
-    if fmt in ("delta", "auto"):
+    if fmt == "delta":
+        return spark.read.format("delta").load(path)
+    if fmt == "auto":
         try:
             return spark.read.format("delta").load(path)
-        except Exception:  # no Delta jar, or not a Delta table
-            if fmt == "delta":
+        except AnalysisException as exc:  # anything else is an error of the table
+            if exc.getCondition() not in NOT_DELTA:
                 raise
     if recursive:
         return spark.read.option("recursiveFileLookup", "true").parquet(path)
@@ -106,39 +112,54 @@ def list_files(spark: SparkSession, root: str, glob: str | None = None) -> DataF
     )
 
 
-def file_inventory(spark: SparkSession, root: str) -> DataFrame:
-    """Per-container totals: files, KB and an empty flag (one aggregation)."""
-    files = list_files(spark, root)
+def table_name() -> Column:
+    """The table a listed file belongs to: its folder, or its own stem."""
+    return F.coalesce("pasta", F.regexp_replace("arquivo", r"\.[^.]*$", ""))
+
+
+def inventory_of(files: DataFrame) -> DataFrame:
+    """For a listing (pasta, arquivo, bytes): files, KB and an empty flag per
+    container (one aggregation)."""
     return (files.groupBy(F.coalesce("pasta", F.lit(".")).alias("container"))
             .agg(F.count(F.lit(1)).alias("n_arquivos"),
                  F.round(F.sum("bytes") / 1024.0, 2).alias("total_kb"),
                  (F.sum("bytes") == 0).alias("vazio")))
 
 
+def file_inventory(spark: SparkSession, root: str) -> DataFrame:
+    """``inventory_of`` all files below ``root``."""
+    return inventory_of(list_files(spark, root))
+
+
 def file_listing(spark: SparkSession, root: str) -> DataFrame:
     """Per-file view with size in KB."""
     return list_files(spark, root).select(
         "pasta", "arquivo", "bytes", F.round(F.col("bytes") / 1024.0, 2).alias("kb"))
 
 
-def expected_folders_status(spark: SparkSession, root: str, expected: list[str]) -> DataFrame:
-    """Presence check of expected entries below ``root`` ('exists' / 'pending').
-    An entry is present if a file or folder with that name prefix exists."""
-    found = (list_files(spark, root)
-             .select(F.coalesce("pasta", F.regexp_replace("arquivo", r"\.[^.]*$", ""))
-                     .alias("nome"))
-             .distinct())
-    want = spark.createDataFrame([(e,) for e in expected], "nome string")
+def presence_of(files: DataFrame, expected: list[str]) -> DataFrame:
+    """For a listing, whether each expected folder or table is there ('exists' /
+    'pending')."""
+    found = files.select(table_name().alias("nome")).distinct()
+    want = files.sparkSession.createDataFrame([(e,) for e in expected], "nome string")
     return (want.join(found.withColumn("_f", F.lit(True)), "nome", "left")
             .select("nome", F.when(F.col("_f"), "exists").otherwise("pending").alias("status")))
 
 
+def expected_folders_status(spark: SparkSession, root: str, expected: list[str]) -> DataFrame:
+    """``presence_of`` the expected entries below ``root``."""
+    return presence_of(list_files(spark, root), expected)
+
+
 def list_entities(spark: SparkSession, root: str, known: list[str] | None = None) -> DataFrame:
-    """Entity tables below a layer folder (first path level), optionally
-    restricted to known names, sorted."""
-    files = list_files(spark, root)
-    names = files.select(F.coalesce("pasta", F.regexp_replace("arquivo", r"\.[^.]*$", ""))
-                         .alias("entidade")).distinct()
+    """``entities_of`` the files below a layer folder."""
+    return entities_of(list_files(spark, root), known)
+
+
+def entities_of(files: DataFrame, known: list[str] | None = None) -> DataFrame:
+    """Entity tables of a listing (first path level), optionally restricted to
+    known names, sorted."""
+    names = files.select(table_name().alias("entidade")).distinct()
     if known is not None:
         names = names.filter(F.col("entidade").isin(*known))
     return names.orderBy("entidade")

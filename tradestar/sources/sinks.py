@@ -1,8 +1,10 @@
-"""Sinks: append with schema merge, atomic overwrite (optionally partitioned),
+"""Sinks: append with schema merge, whole-table overwrite (optionally partitioned),
 dynamic-partition snapshots and small-file compaction.
 
 Parquet is the format here (no Delta jar); with Delta on the classpath set
-``tradestar.table.format=delta`` and the same calls write Delta.
+``tradestar.table.format=delta`` and the same calls write Delta. Only Delta's
+overwrite is atomic: Parquet's deletes the old files first, so a reader may see
+nothing and a crash leaves nothing.
 """
 
 from __future__ import annotations
@@ -12,9 +14,9 @@ import math
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradestar.functions.names import pick_partition_columns
+from tradestar.functions.names import partition_columns
 from tradestar.layouts import COMPACTION_TARGET_BYTES
-from tradestar.sources.files import list_files, table_format
+from tradestar.sources.files import list_files, table_format, table_name
 
 
 def _fmt(spark: SparkSession) -> str:
@@ -22,28 +24,31 @@ def _fmt(spark: SparkSession) -> str:
     return "delta" if f == "delta" else "parquet"
 
 
-def append_merge_schema(df: DataFrame, path: str) -> None:
+def append_merge_schema(df: DataFrame, path: str, fmt: str | None = None) -> None:
     """Append; new columns widen the table (read side uses ``mergeSchema``)."""
-    (df.write.format(_fmt(df.sparkSession)).mode("append")
+    (df.write.format(fmt or _fmt(df.sparkSession)).mode("append")
      .option("mergeSchema", "true").save(path))
 
 
-def read_merged(spark: SparkSession, path: str) -> DataFrame:
-    if _fmt(spark) == "delta":
+def read_merged(spark: SparkSession, path: str, fmt: str | None = None) -> DataFrame:
+    """A table whose files may differ in width: every column of every file."""
+    if (fmt or _fmt(spark)) == "delta":
         return spark.read.format("delta").load(path)
     return spark.read.option("mergeSchema", "true").parquet(path)
 
 
-def overwrite_table(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
+def overwrite_table(df: DataFrame, path: str, partition_by: list[str] | None = None,
+                    fmt: str | None = None) -> None:
     """Replace the whole table (schema included)."""
-    w = (df.write.format(_fmt(df.sparkSession)).mode("overwrite")
+    w = (df.write.format(fmt or _fmt(df.sparkSession)).mode("overwrite")
          .option("overwriteSchema", "true").option("partitionOverwriteMode", "static"))
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.save(path)
 
 
-def overwrite_partitioned(df: DataFrame, path: str, rebalance: bool = True) -> list[str]:
+def overwrite_partitioned(df: DataFrame, path: str, rebalance: bool = True,
+                          fmt: str | None = None) -> list[str]:
     """Silver write: partition by the first present year column and month
     column (if any), full overwrite. Returns the partition columns used.
 
@@ -52,38 +57,35 @@ def overwrite_partitioned(df: DataFrame, path: str, rebalance: bool = True) -> l
     columns lets AQE cut each month into advisory-sized partitions, splitting
     a hot month and merging small ones, so files come out near the target
     size."""
-    cols = pick_partition_columns(df.columns)
+    cols = partition_columns(df.columns)
     if cols and rebalance:
         df = df.hint("rebalance", *cols)
-    overwrite_table(df, path, cols)
+    overwrite_table(df, path, cols, fmt)
     return cols
 
 
-def write_snapshot(df: DataFrame, path: str, partition_by: list[str]) -> None:
+def write_snapshot(df: DataFrame, path: str, partition_by: list[str], fmt: str | None = None) -> None:
     """Dynamic partition overwrite: only the partitions present in ``df`` are
     replaced, so a monthly refresh never rewrites history. Rebalanced on the
     partition columns so each month is written as a few well-sized files."""
     (df.hint("rebalance", *partition_by)
-     .write.format(_fmt(df.sparkSession)).mode("overwrite")
+     .write.format(fmt or _fmt(df.sparkSession)).mode("overwrite")
      .option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).save(path))
 
 
-def write_idempotent_batch(df: DataFrame, path: str, batch_id: int) -> None:
+def write_idempotent_batch(df: DataFrame, path: str, batch_id: int, fmt: str = "parquet") -> None:
     """Write one micro-batch under ``batch_id=<n>`` with dynamic overwrite: a
     retried batch replaces its own partition instead of appending twice."""
     (df.withColumn("batch_id", F.lit(int(batch_id)))
-     .write.format("parquet").mode("overwrite")
+     .write.format(fmt).mode("overwrite")
      .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").save(path))
 
 
-def compaction_plan(spark: SparkSession, root: str,
-                    target_bytes: int = COMPACTION_TARGET_BYTES) -> DataFrame:
-    """Per table (first-level folder, or file stem for files at the root):
-    file count, bytes, and the file count a rewrite at the target size would
-    produce (``ceil(bytes / target)``, at least 1)."""
-    files = list_files(spark, root, glob="*.parquet")
-    table = F.coalesce("pasta", F.regexp_replace("arquivo", r"\.[^.]*$", ""))
-    return (files.groupBy(table.alias("tabela"))
+def compaction_of(files: DataFrame, target_bytes: int = COMPACTION_TARGET_BYTES) -> DataFrame:
+    """For a listing (pasta, arquivo, bytes), per table (first-level folder, or
+    file stem for files at the root): file count, bytes, and the file count a
+    rewrite at the target size would produce (``ceil(bytes / target)``, at least 1)."""
+    return (files.groupBy(table_name().alias("tabela"))
             .agg(F.count(F.lit(1)).alias("n_arquivos"), F.sum("bytes").alias("bytes"))
             .withColumn("n_alvo", F.greatest(F.lit(1),
                                              F.ceil(F.col("bytes") / F.lit(target_bytes)))
@@ -91,12 +93,23 @@ def compaction_plan(spark: SparkSession, root: str,
             .withColumn("compactar", F.col("n_arquivos") > F.col("n_alvo")))
 
 
+def compaction_plan(spark: SparkSession, root: str,
+                    target_bytes: int = COMPACTION_TARGET_BYTES) -> DataFrame:
+    """``compaction_of`` the Parquet files below ``root``."""
+    return compaction_of(list_files(spark, root, glob="*.parquet"), target_bytes)
+
+
 def compact(spark: SparkSession, src: str, dst: str, total_bytes: int,
-            target_bytes: int = COMPACTION_TARGET_BYTES) -> int:
-    """Rewrite a Parquet table into ~target-sized files (``repartition(n)``
-    spreads rows evenly; the source is left untouched). Returns n."""
+            target_bytes: int = COMPACTION_TARGET_BYTES, partition_by: tuple[str, ...] = (),
+            sort_by: tuple[str, ...] = ()) -> int:
+    """Rewrite a Parquet table into about ``target_bytes`` sized files; the
+    source is left untouched. Partition folders stay (``partition_by``), and with
+    ``sort_by`` rows are range-partitioned and sorted, so files keep narrow value
+    ranges. Without either, rows are spread evenly. Returns the number of tasks."""
     n = max(1, math.ceil(total_bytes / target_bytes))
-    spark.read.parquet(src).repartition(n).write.mode("overwrite").parquet(dst)
+    df, order = spark.read.parquet(src), [*partition_by, *sort_by]
+    df = df.repartitionByRange(n, *order).sortWithinPartitions(*order) if order else df.repartition(n)
+    df.write.mode("overwrite").partitionBy(*partition_by).parquet(dst)
     return n
 
 

@@ -6,10 +6,9 @@ one trade record: ``l_linestatus`` 'O' is an export, 'F' an import.
 
 Join plan for the trade records (the only large join in the binding):
 orders is first enriched with the customer's region (orders-sized work), then
-lineitem joins it on the order key, then supplier and part. nation and region
-are broadcast because the schema fixes their size (25 and 5 rows); every other
-side is left to Catalyst/AQE, which broadcast only what measures small and fall
-back to a sort-merge join beyond the threshold.
+lineitem joins it on the order key, then supplier and part. No side is hinted:
+Catalyst and AQE broadcast what measures small and fall back to a sort-merge
+join beyond the threshold.
 """
 
 from __future__ import annotations
@@ -28,8 +27,8 @@ def _dec(c) -> F.Column:
 
 def customer_region(spark: SparkSession, sf_dir: str) -> DataFrame:
     """customer -> two-letter region code (stands in for the state 'uf')."""
-    nation = F.broadcast(table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey"))
-    region = F.broadcast(table(spark, sf_dir, "region").select("r_regionkey", "r_name"))
+    nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
+    region = table(spark, sf_dir, "region").select("r_regionkey", "r_name")
     return (table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
             .join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
             .join(region, F.col("n_regionkey") == F.col("r_regionkey"))
@@ -130,14 +129,22 @@ def via(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.expr("substring(o_orderpriority, 3)").alias("descricao_via_transporte")))
 
 
+# Rows planted beside those of a table, to repeat a key: country 7 under another
+# spelling of its code, a state and an activity with a second name.
+TWIN_COUNTRY = ("07", "X07", "OUTRO NOME")
+TWIN_STATE = ("9", "AF", "Zona Repetida", "REGIAO 9")
+TWIN_ACTIVITY = ("BUILDING", "zz repetida")
+
+
 def pais(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Trusted ``pais``: nations as countries."""
-    return table(spark, sf_dir, "nation").select(
+    """Trusted ``pais``: nations as countries, one of them twice."""
+    base = table(spark, sf_dir, "nation").select(
         F.col("n_nationkey").cast("string").alias("codigo_pais"),
         F.concat(F.lit("N"), F.lpad(F.col("n_nationkey").cast("string"), 2, "0"))
         .alias("codigo_pais_iso3"),
         F.col("n_name").alias("nome_pais_pt"),
     )
+    return base.unionByName(spark.createDataFrame([TWIN_COUNTRY], base.schema))
 
 
 # A second bloc planted for one country, so that one country has two blocs.
@@ -148,7 +155,7 @@ def pais_bloco(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Trusted ``pais_bloco``: the nation's region is its bloc; country 7 also
     belongs to a second bloc."""
     nation = table(spark, sf_dir, "nation")
-    region = F.broadcast(table(spark, sf_dir, "region"))
+    region = table(spark, sf_dir, "region")
     base = nation.join(region, F.col("n_regionkey") == F.col("r_regionkey")).select(
         F.col("n_nationkey").cast("string").alias("codigo_pais"),
         F.col("r_regionkey").cast("string").alias("codigo_bloco_economico"),
@@ -159,14 +166,15 @@ def pais_bloco(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def uf(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Trusted ``uf``: regions as states (code, name, macro-region)."""
-    return table(spark, sf_dir, "region").select(
+    """Trusted ``uf``: regions as states (code, name, macro-region), one twice."""
+    base = table(spark, sf_dir, "region").select(
         F.col("r_regionkey").cast("string").alias("codigo_uf"),
         F.substring("r_name", 1, 2).alias("sigla_uf"),
         F.concat(F.upper(F.substring("r_name", 1, 1)), F.lower(F.expr("substring(r_name, 2)")))
         .alias("nome_uf"),
         F.concat(F.lit("REGIAO "), F.col("r_regionkey").cast("string")).alias("nome_regiao"),
     )
+    return base.unionByName(spark.createDataFrame([TWIN_STATE], base.schema))
 
 
 # ---------------------------------------------------------------------------
@@ -180,10 +188,9 @@ def estabelecimentos(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Trusted ``estabelecimentos`` (subset of the ESTABELE layout)."""
     return (table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_acctbal",
                                                    "c_mktsegment", "c_name")
-            .join(F.broadcast(table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")),
+            .join(table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey"),
                   F.col("c_nationkey") == F.col("n_nationkey"))
-            .join(F.broadcast(table(spark, sf_dir, "region")),
-                  F.col("n_regionkey") == F.col("r_regionkey"))
+            .join(table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
             .select(
                 F.lpad(F.col("c_custkey").cast("string"), 8, "0").alias("cnpj_basico"),
                 F.lit("0001").alias("cnpj_ordem"),
@@ -207,7 +214,8 @@ def empresas(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def cnaes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Trusted ``cnaes``: one row per segment."""
-    return (table(spark, sf_dir, "customer").select("c_mktsegment").distinct()
+    """Trusted ``cnaes``: one row per segment, and one twice."""
+    base = (table(spark, sf_dir, "customer").select("c_mktsegment").distinct()
             .select(F.col("c_mktsegment").alias("cnae"),
                     F.lower("c_mktsegment").alias("descricao")))
+    return base.unionByName(spark.createDataFrame([TWIN_ACTIVITY], base.schema))

@@ -4,8 +4,6 @@ runs unchanged through ``spark.sql``."""
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import SparkSession
 
 from tradestar.session import scratch_path
@@ -30,16 +28,3 @@ def register_tables(spark: SparkSession, tables: dict[str, str], database: str =
             spark.sql(f"ALTER TABLE {qualified} RECOVER PARTITIONS")
         names.append(qualified)
     return names
-
-
-def register_views(spark: SparkSession, tables: dict[str, str], prefix: str = "gold_") -> None:
-    """Session-scoped temp views over stored folders (no catalog, no files
-    written): ``gold.x`` in documented SQL becomes ``gold_x``."""
-    for name, path in tables.items():
-        spark.read.parquet(path).createOrReplaceTempView(f"{prefix}{name}")
-
-
-def qualify_as_views(sql: str, database: str = "gold") -> str:
-    """Rewrite ``database.table`` references to the view names of
-    ``register_views``."""
-    return re.sub(rf"\b{database}\.", f"{database}_", sql)

@@ -9,6 +9,7 @@ an explicit schema; the file sink's log gives exactly-once output.
 from __future__ import annotations
 
 from collections.abc import Callable
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -24,8 +25,26 @@ def file_stream(spark: SparkSession, path: str, schema: T.StructType | str, fmt:
     return reader.load(path)
 
 
+#: How many progress reports a query keeps; by default the oldest of many are dropped.
+_KEPT = "spark.sql.streaming.numRecentProgressUpdates"
+
+
+@contextmanager
+def _every_report(spark: SparkSession):
+    """Queries started here keep the reports of all their batches."""
+    before = spark.conf.get(_KEPT, None)
+    spark.conf.set(_KEPT, str(2 ** 31 - 1))
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(_KEPT)
+        else:
+            spark.conf.set(_KEPT, before)
+
+
 def rows_read(query) -> int:
-    """Input rows over the query's progress reports."""
+    """Input rows over all progress reports of the query."""
     total = 0
     for p in query.recentProgress:
         n = p["numInputRows"] if isinstance(p, dict) else getattr(p, "numInputRows", 0)
@@ -39,12 +58,13 @@ def run_available_now(stream: DataFrame, target: str, checkpoint: str,
     """Append everything new to ``target``; returns the rows read, from the
     query's progress reports (no extra scan)."""
     df = transform(stream) if transform else stream
-    q = (df.writeStream.format(fmt).outputMode("append")
-         .option("checkpointLocation", checkpoint)
-         .option("mergeSchema", str(merge_schema).lower())
-         .trigger(availableNow=True)
-         .start(target))
-    q.awaitTermination()
+    with _every_report(df.sparkSession):
+        q = (df.writeStream.format(fmt).outputMode("append")
+             .option("checkpointLocation", checkpoint)
+             .option("mergeSchema", str(merge_schema).lower())
+             .trigger(availableNow=True)
+             .start(target))
+        q.awaitTermination()
     return rows_read(q)
 
 
@@ -52,11 +72,12 @@ def run_foreach_batch(stream: DataFrame, checkpoint: str,
                       fn: Callable[[DataFrame, int], None]) -> int:
     """Run ``fn(batch_df, batch_id)`` for each micro-batch of new input;
     returns the rows read."""
-    q = (stream.writeStream.foreachBatch(fn)
-         .option("checkpointLocation", checkpoint)
-         .trigger(availableNow=True)
-         .start())
-    q.awaitTermination()
+    with _every_report(stream.sparkSession):
+        q = (stream.writeStream.foreachBatch(fn)
+             .option("checkpointLocation", checkpoint)
+             .trigger(availableNow=True)
+             .start())
+        q.awaitTermination()
     return rows_read(q)
 
 
