@@ -207,3 +207,21 @@ def test_changed_input_is_seen(spark, tmp_path):
     (d / "lineitem.parquet").unlink()
     (d / "lineitem.parquet").write_bytes(part.read_bytes())
     assert first > 7 and trusted.exp_imp(spark, str(d))[0].count() == 7
+
+
+def test_a_bad_archive_does_not_stop_the_others(spark, tmp_path):
+    landing, root = tmp_path / "landing", tmp_path / "lake"
+    landing.mkdir()
+    _zip(landing / "Motivos0.zip", "K.MOTIVOS", ['"01";"EXTINCAO"', '"02";""'])
+    (landing / "Motivos1.zip").write_bytes(b"broken")
+    lake = P.Lake(str(root))
+    P.bronze_registry(spark, str(landing), lake, ["MOTIVOS"])
+    P.silver_registry(spark, lake, ["MOTIVOS"])
+    report = {r["entidade"]: (r["linhas"], r["status"]) for r in lake.report(spark).collect()
+              if r["camada"] == "bronze"}
+    assert report == {"motivos": (2, "OK"), "motivos/lote_0/arquivos": (1, "ERRO")}
+    rows = {r["codigo_motivo"]: r["descricao"] for r in
+            P.FS.read_table(spark, lake.path("trusted", P.REGISTRY, "motivos")).collect()}
+    assert rows == {"01": "EXTINCAO", "02": "N/A"}      # an empty field is a missing value
+    bad = spark.read.parquet(lake.path("raw", P.REGISTRY, "_rejeitos/motivos")).collect()
+    assert [r["arquivo_zip"] for r in bad] == ["Motivos1.zip"]

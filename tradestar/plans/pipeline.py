@@ -135,6 +135,13 @@ def bronze_registry(spark: SparkSession, landing: str, lake: Lake,
                       fold=folder, rows=written) -> None:
             members = A.unzip_members(batch_df).persist()
             try:
+                bad = members.filter("erro is not null").select("arquivo_zip", "erro")
+                n_bad = bad.count()
+                if n_bad:      # reported and listed; the other archives are loaded
+                    SK.write_idempotent_batch(bad, lake.path("raw", REGISTRY, f"_rejeitos/{fold}"), batch_id,
+                                              lake.fmt)
+                    lake.note("bronze", f"{fold}/lote_{batch_id}/arquivos", n_bad, "ERRO",
+                              f"{n_bad} arquivos ilegíveis, listados em _rejeitos/{fold}")
                 width = A.max_width(members)
                 if width == 0:
                     return
@@ -144,8 +151,9 @@ def bronze_registry(spark: SparkSession, landing: str, lake: Lake,
                               f"{width} colunas no arquivo, {len(layout)} no layout")
                 named = A.with_provenance(A.name_fields(members, layout, width))
                 seen = Observation(f"bronze_{fold}_{batch_id}")
-                SK.write_idempotent_batch(named.observe(seen, F.count(F.lit(1)).alias("n")), tgt, batch_id,
-                                          lake.fmt)
+                # one archive is unzipped in one task; its rows are spread before the write
+                SK.write_idempotent_batch(named.observe(seen, F.count(F.lit(1)).alias("n")).hint("rebalance"),
+                                          tgt, batch_id, lake.fmt)
                 rows.append(seen.get["n"])
             finally:
                 members.unpersist()

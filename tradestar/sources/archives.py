@@ -2,8 +2,10 @@
 
 One lineage, executors only: ``binaryFile`` (one row per archive) ->
 ``mapInPandas`` that streams every member line by line and parses it with the
-csv module (quoted ``;`` kept) into batches of rows -> positional naming ->
-provenance columns. Nothing is collected or written to a local temp folder.
+csv module (quoted ``;`` kept, an empty field is null as in Spark's own CSV
+reader) into batches of rows -> positional naming -> provenance columns.
+Nothing is collected or written to a local temp folder. An archive that cannot
+be opened gives one row that holds the error; the others go on.
 """
 
 from __future__ import annotations
@@ -11,6 +13,7 @@ from __future__ import annotations
 import csv
 import io
 import zipfile
+import zlib
 from collections.abc import Iterator
 
 import pandas as pd
@@ -21,14 +24,14 @@ from tradestar.functions.names import positional_names
 from tradestar.layouts import REGISTRY_ARCHIVES, REGISTRY_LAYOUTS
 
 MEMBER_SCHEMA = ("arquivo_zip string, membro string, posicao int, bytes long, "
-                 "n_linha long, campos array<string>")
+                 "n_linha long, campos array<string>, erro string")
 BINARY_SCHEMA = "path string, modificationTime timestamp, length long, content binary"
 BATCH_ROWS = 50_000
 
 
 def _member_rows(path: str, content: bytes, encoding: str, sep: str) -> Iterator[pd.DataFrame]:
     name = path.rsplit("/", 1)[-1]
-    buf: dict[str, list] = {k: [] for k in ("membro", "posicao", "bytes", "n_linha", "campos")}
+    buf: dict[str, list] = {k: [] for k in ("membro", "posicao", "bytes", "n_linha", "campos", "erro")}
 
     def flush():
         out = pd.DataFrame(buf)
@@ -48,7 +51,8 @@ def _member_rows(path: str, content: bytes, encoding: str, sep: str) -> Iterator
                     buf["posicao"].append(pos)
                     buf["bytes"].append(info.file_size)
                     buf["n_linha"].append(i + 1)
-                    buf["campos"].append(fields)
+                    buf["campos"].append([f or None for f in fields])
+                    buf["erro"].append(None)
                     if len(buf["membro"]) >= BATCH_ROWS:
                         yield flush()
     if buf["membro"]:
@@ -57,16 +61,22 @@ def _member_rows(path: str, content: bytes, encoding: str, sep: str) -> Iterator
 
 def unzip_members(archives: DataFrame, encoding: str = "ISO-8859-1", sep: str = ";") -> DataFrame:
     """Every line of every member of every archive as (archive, member,
-    position, member size, line number, fields)."""
+    position, member size, line number, fields, null); for an archive that is
+    no ZIP or breaks off, (archive, nulls, the error)."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            for path, content in zip(pdf["path"], pdf["content"]):
-                yield from _member_rows(path, bytes(content), encoding, sep)
+            for path, content in zip(pdf["path"], pdf["content"], strict=True):
+                try:
+                    yield from _member_rows(path, bytes(content), encoding, sep)
+                except (zipfile.BadZipFile, zlib.error, EOFError, csv.Error) as exc:
+                    yield pd.DataFrame({"arquivo_zip": [path.rsplit("/", 1)[-1]], "membro": [None],
+                                        "posicao": pd.array([None], "Int32"), "bytes": pd.array([None], "Int64"),
+                                        "n_linha": pd.array([None], "Int64"), "campos": [None], "erro": [repr(exc)]})
 
     # No shuffle of archive bytes: binaryFile packs files into scan tasks by
     # spark.sql.files.maxPartitionBytes, so a large archive already has a task
     # of its own. Decompression of one member is sequential by nature; the
-    # lines it yields can be repartitioned downstream if one archive dominates.
+    # lines it yields are rebalanced before they are written.
     return archives.select("path", "content").mapInPandas(run, MEMBER_SCHEMA)
 
 
@@ -89,7 +99,7 @@ def name_fields(members: DataFrame, layout: list[str], width: int) -> DataFrame:
     """Positional naming of the parsed fields: layout names, ``_c{i}`` for
     extra physical columns, truncation when the file is narrower."""
     names = positional_names(layout, width)
-    return members.select(
+    return members.filter("erro is null").select(
         *[F.get(F.col("campos"), i).alias(n) for i, n in enumerate(names)],
         F.col("arquivo_zip").alias("file_source"))
 
