@@ -22,6 +22,7 @@ import base64
 import hashlib
 import re
 from functools import lru_cache
+from struct import pack
 
 import numpy as np
 import pyarrow as pa
@@ -33,7 +34,7 @@ from pyspark.sql import types as T
 from tradestar.llm.textblocks import blocks
 
 #: Distinct stretches a task remembers, and the longest it remembers.
-CACHED, CACHED_CHARS = 300_000, 64
+CACHED, CACHED_CHARS = 600_000, 64
 #: Matches of up to so many bytes run as rows of one array.
 ROW_BYTES = 64
 _NONE = np.int64(1) << 40
@@ -167,35 +168,38 @@ class Codec:
         self.known: dict[str, bytes] = {}
         self.digits = [str(i).encode() for i in range(len(self.v.bytes_of))]
 
-    def _matches(self, matches: list[bytes]) -> dict[bytes, list[int]]:
+    def _matches(self, matches: list[bytes]) -> dict[bytes, bytes]:
+        """Little-endian ids of each match."""
         out, short = {}, []
         for m in matches:
             if (i := self.v.rank.get(m)) is not None:
-                out[m] = [i]
+                out[m] = pack("<i", i)
             elif len(m) > ROW_BYTES:
-                out[m] = encode_long(self.v, m)
+                out[m] = np.array(encode_long(self.v, m), "<i4").tobytes()
             else:
                 short.append(m)
         short.sort(key=len)
         for a in range(0, len(short), 8192):
             part = short[a:a + 8192]
-            out.update(zip(part, encode_rows(self.v, part), strict=True))
+            out.update((m, pack(f"<{len(x)}i", *x)) for m, x in zip(part, encode_rows(self.v, part), strict=True))
         return out
 
     def texts(self, texts: list[str]) -> list[np.ndarray]:
         cut = [[t] if self.OTHER_SPACE.search(t) else self.STRETCH.findall(t) for t in texts]
-        every = set().union(*cut)
-        new = [s for s in every if s not in self.known]
-        if len(self.known) + len(new) > CACHED:
-            self.known = {}
-            new = list(every)
+        get = self.known.get
+        values = [list(map(get, ss)) for ss in cut]
+        new = {s for ss, vs in zip(cut, values, strict=True) if None in vs
+               for s, v in zip(ss, vs, strict=True) if v is None}
         inner = {s: [m.encode() for m in self.split.findall(s)] for s in new}
         ids = self._matches(list({m for ms in inner.values() for m in ms}))
-        found = {s: np.array([i for m in ms for i in ids[m]], "<i4").tobytes() for s, ms in inner.items()}
+        found = {s: b"".join([ids[m] for m in ms]) for s, ms in inner.items()}
+        for k, (ss, vs) in enumerate(zip(cut, values, strict=True)):
+            if None in vs:
+                values[k] = [found[s] if v is None else v for s, v in zip(ss, vs, strict=True)]
+        if len(self.known) + len(found) > CACHED:
+            self.known = {}
         self.known.update((s, x) for s, x in found.items() if len(s) <= CACHED_CHARS)
-        look = {s: x for s, x in found.items() if len(s) > CACHED_CHARS}
-        get = self.known.__getitem__ if not look else lambda s: look[s] if s in look else self.known[s]
-        return [np.frombuffer(b"".join(map(get, ss)), "<i4") for ss in cut]
+        return [np.frombuffer(b"".join(vs), "<i4") for vs in values]
 
     def decode(self, ids: list[int]) -> bytes:
         return b"".join(map(self.v.bytes_of.__getitem__, ids))
