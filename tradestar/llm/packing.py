@@ -22,6 +22,8 @@ one named ``piece`` is replaced.
 
 from __future__ import annotations
 
+import re
+import struct
 import zlib
 
 import numpy as np
@@ -38,7 +40,7 @@ END_ID = 1
 #: Pieces are not cut shorter than this; what is left of a document then is its tail.
 GRAIN = 64
 #: Distinct words whose ids a task remembers, and the longest it remembers.
-CACHED, CACHED_BYTES = 300_000, 64
+CACHED, CACHED_BYTES = 600_000, 64
 
 PIECE = T.StructType([
     T.StructField("start", T.LongType()), T.StructField("length", T.LongType()),
@@ -46,12 +48,29 @@ PIECE = T.StructType([
     T.StructField("sequence_id", T.LongType()), T.StructField("offset", T.LongType())])
 
 
+#: ASCII punctuation but the apostrophe, which may belong to the word beside it.
+_MARKS = rb"!-&(-/:-@\[-`{-~"
+_APART = re.compile(rb"(?<=[a-z0-9])([" + _MARKS + rb"]+)(?=[\sa-z0-9]|\Z)")
+_ONLY_MARKS = re.compile("[" + _MARKS.decode() + "]+")
+
+
+def _byte_letters() -> dict[int, str]:
+    """The letter that stands for each byte in a byte-level vocabulary: printable
+    Latin-1 bytes stand for themselves, the others follow from 256 on."""
+    own = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    rest = [b for b in range(256) if b not in own]
+    return {b: chr(b if b in own else 256 + rest.index(b)) for b in range(256)}
+
+
 class WordIds:
     """Token ids by the tokenizer file, word by word.
 
-    The tokenizer drops white space and merges nothing across it, so a text's
-    ids are those of its words in turn; a task looks each distinct word up once
-    (Zipf's law) instead of running the merges for every occurrence.
+    The tokenizer lowers the text, drops white space and merges nothing across
+    it, nor across the border between a letter and punctuation; so a text's ids
+    are those of its words and marks in turn. A task looks each distinct one up
+    once (Zipf's law) instead of running the merges for every occurrence. Plain
+    Latin words and ASCII marks go straight to the tokenizer's model; anything
+    else goes through the whole tokenizer.
     """
 
     def __init__(self, path: str) -> None:
@@ -64,16 +83,30 @@ class WordIds:
         self.border_text = special[self.border].content
         self.special = [t.content for t in special.values()]
         self.known: dict[bytes, bytes] = {}
+        self.letters = _byte_letters()
+
+    def _one_piece(self, text: str) -> str | None:
+        """The word as the model's letters, if it is surely a single piece."""
+        if text.isascii():
+            return text if text.isalpha() or _ONLY_MARKS.fullmatch(text) else None
+        text = self.plain.normalizer.normalize_str(text)
+        if text.isalpha() and max(text) < "\u0250":
+            return text.encode().decode("latin-1").translate(self.letters)
+        return None
 
     def _learn(self, new: list[bytes]) -> dict[bytes, bytes]:
-        """The ids of many words by one call: a special token between words
-        marks where each word's ids end."""
-        texts = [w.decode() for w in new]
-        odd = [any(s in t for s in self.special) for t in texts] if any(
-            "<" in t for t in texts) else [False] * len(texts)
-        out = {w: np.array(self.plain.encode(t, add_special_tokens=False).ids, "<u4").tobytes()
-               for w, t, o in zip(new, texts, odd, strict=True) if o}
-        rest = [(w, t) for w, t, o in zip(new, texts, odd, strict=True) if not o]
+        out, rest, tokenize = {}, [], self.plain.model.tokenize
+        for w in new:
+            text = w.decode()
+            piece = self._one_piece(text)
+            if piece is not None:
+                ids = [t.id for t in tokenize(piece)]
+                out[w] = struct.pack(f"<{len(ids)}I", *ids)
+            elif any(s in text for s in self.special):
+                out[w] = np.array(self.plain.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+            else:
+                rest.append((w, text))
+        # many by one call: a special token between them marks where each one's ids end
         for a in range(0, len(rest), 20_000):
             part = rest[a:a + 20_000]
             ids = np.array(self.split.encode(self.border_text.join(t for _, t in part),
@@ -86,17 +119,19 @@ class WordIds:
         return out
 
     def texts(self, raws: list[bytes]) -> list[np.ndarray]:
-        split = [r.split() for r in raws]
-        every = set().union(*split)
-        new = [w for w in every if w not in self.known]
-        if len(self.known) + len(new) > CACHED:
+        split = [_APART.sub(rb" \1 ", r.lower()).split() for r in raws]
+        get = self.known.get
+        values = [list(map(get, ws)) for ws in split]
+        new = {w for ws, vs in zip(split, values, strict=True) if None in vs
+               for w, v in zip(ws, vs, strict=True) if v is None}
+        found = self._learn(list(new))
+        for k, (ws, vs) in enumerate(zip(split, values, strict=True)):
+            if None in vs:
+                values[k] = [found[w] if v is None else v for w, v in zip(ws, vs, strict=True)]
+        if len(self.known) + len(found) > CACHED:
             self.known = {}
-            new = list(every)
-        found = self._learn(new)
         self.known.update((w, v) for w, v in found.items() if len(w) <= CACHED_BYTES)
-        look = {w: found[w] for w in new if len(w) > CACHED_BYTES}
-        get = self.known.__getitem__ if not look else lambda w: self.known.get(w) or look[w]
-        return [np.frombuffer(b"".join(map(get, ws)), "<u4") for ws in split]
+        return [np.frombuffer(b"".join(vs), "<u4") for vs in values]
 
 
 def piece_lengths(n: int, capacity: int = CAPACITY, grain: int = GRAIN) -> list[int]:
