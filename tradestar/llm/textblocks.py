@@ -13,8 +13,9 @@ import numpy as np
 import pyarrow as pa
 
 U64 = np.uint64
-#: Bytes of text that one block holds unless a single document is longer.
-BLOCK_BYTES = 4 << 20
+#: Bytes of text that one block holds unless a single document is longer. The
+#: arrays made of a block take some 100 times as much.
+BLOCK_BYTES = 1 << 20
 _MASK = (1 << 64) - 1
 _BASE = 0x9E3779B97F4A7C15 | 1
 _BASE_INV = pow(_BASE, -1, 1 << 64)

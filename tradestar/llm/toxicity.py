@@ -47,6 +47,8 @@ SHARED_BITS = 18
 CLASS_BITS = 20
 SAMPLE = 16_000
 MIXED = 0.01
+#: Bytes of text in which a word counts as one type.
+BLOCK = 4 << 20
 THRESHOLD = 0.3
 #: The part of the sample (by hash, of 5) that fits the curve, not the counts.
 CURVE_PART = 0
@@ -113,7 +115,7 @@ def _shared_counts(batches):
     n_of = np.zeros((ORDER - 1, 1 << SHARED_BITS), np.int64)
     mask_of = np.zeros((ORDER - 1, 1 << SHARED_BITS), np.uint32)
     for b in batches:
-        for _, _, data, off in blocks(b.column("body")):
+        for _, _, data, off in blocks(b.column("body"), BLOCK):
             low, start, end, _, h = _word_hashes(data, off, powers)
             if not len(h):
                 continue
@@ -136,7 +138,7 @@ def _class_counts(batches):
     powers = Powers()
     for b in batches:
         label = b.column("label").to_numpy(zero_copy_only=False)
-        for i, _, data, off in blocks(b.column("body")):
+        for i, _, data, off in blocks(b.column("body"), BLOCK):
             low, start, end, doc, h = _word_hashes(data, off, powers)
             if not len(h):
                 continue
@@ -231,7 +233,7 @@ def _evidence(model, columns: tuple[str, ...], scored: bool):
     def run(batches):
         powers, m = Powers(), model.value
         for b in batches:
-            out = [m.evidence(data, off, powers) for _, _, data, off in blocks(b.column("body"))]
+            out = [m.evidence(data, off, powers) for _, _, data, off in blocks(b.column("body"), BLOCK)]
             x = np.concatenate(out) if out else np.zeros(0)
             cols = [b.column(c) for c in columns]
             if scored:
