@@ -81,6 +81,22 @@ def test_context_finds_unseen_identifiers(spark):
     assert masked[100] == rows[30][1]
 
 
+def test_found_identifiers_make_new_patterns(spark):
+    """Two hops: no seed stands behind 'ticket owner', only handles found by 'contact us at'."""
+    rng = random.Random(6)
+    names = ["".join(rng.choice("abcdefghij") for _ in range(6)) for _ in range(400)]
+    filler = lambda: " ".join(rng.choice(names) for _ in range(12))
+    rows = [(i, f"{filler()}. Please contact us at user{i}@mail.example.com today. {filler()}") for i in range(30)]
+    rows += [(100 + i, f"{filler()}. Please contact us at handle-7000{i} today. {filler()}") for i in range(5)]
+    owned = [(200 + i, f"{filler()}. Ticket owner handle-7000{i} {filler()}") for i in range(7)]
+    rows += owned + [(300 + i, f"{filler()} in chapter {1000000 + i} {filler()}") for i in range(30)]
+    got = find(frame(spark, rows))
+    found = [(r.doc_id, s.value) for r in got.collect() for s in r.pii.spans if s.kind == "context"]
+    assert sorted(found) == [(b + i, f"handle-7000{i}") for b, n in ((100, 5), (200, 7)) for i in range(n)]
+    masked = {r.doc_id: r.text for r in mask(frame(spark, rows)).collect()}
+    assert masked[206] == owned[6][1].replace("handle-70006", "[CONTEXT]")
+
+
 def test_mask_and_edges(spark):
     rows = [(1, None), (2, ""), (3, "é a@b.cd, +1 (132) 555-1352 x"), (3, "é a@b.cd, +1 (132) 555-1352 x"), (4, "none")]
     df = frame(spark, rows)

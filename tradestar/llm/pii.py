@@ -16,7 +16,8 @@ long runs linear.
 
 Rows: a null or empty text has no spans; repeated rows and repeated ids get
 each row's own spans (a row is known by its id and a hash of its text); a
-pattern needs SEEDS different seeds, so copies of one document prove nothing.
+pattern needs SEEDS different reliable values, seeds or found in earlier rounds,
+so copies of one document prove nothing.
 Context words are read from CONTEXT characters on either side. Extra columns
 are carried, ``pii`` is replaced.
 """
@@ -42,7 +43,7 @@ _SIGN = "A-Za-z0-9@_+"
 TOKEN = (rf"(?<![{_SIGN}.:/-])(?=[A-Za-z@_+.:/-]*+[0-9])[{_SIGN}-]++(?:[.:/][{_SIGN}-]++)*+")
 TOKEN_CHARS = 6
 CONTEXT = 80
-#: Different seeds a pattern needs, and the score from which it may find spans.
+#: Different reliable values a pattern needs, and the score from which it may find spans.
 SEEDS, CONFIDENT, RELIABLE, ROUNDS = 3, 0.5, 0.6, 3
 #: Added to a pattern's instances, so that few of them give no full score.
 DOUBT = 1.0
@@ -143,16 +144,17 @@ def _found(df: DataFrame, id_col: str, text_col: str, keep: list[str]) -> DataFr
 def _scored(work: Scratch, edges: DataFrame, rounds: int) -> tuple[DataFrame, DataFrame]:
     """Scores of patterns and of instances after ``rounds`` rounds."""
     seeds = edges.filter("seed").select("value").distinct().withColumn("seeded", F.lit(1.0))
-    pairs = work.stored(edges.groupBy("pattern", "value").agg(F.max("seed").alias("seed")), "pairs")
-    # patterns of too few seeds never score; drop them and their edges first
-    enough = (pairs.groupBy("pattern").agg(F.count(F.when(F.col("seed"), 1)).alias("seeds"))
-              .filter(F.col("seeds") >= SEEDS).select("pattern"))
-    pairs = work.stored(pairs.join(enough, "pattern", "left_semi").select("pattern", "value"), "live")
+    pairs = work.stored(edges.select("pattern", "value").distinct(), "pairs")
+    # a pattern of fewer different values never has enough reliable ones; no other is dropped
+    enough = pairs.groupBy("pattern").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= SEEDS).select("pattern")
+    pairs = work.stored(pairs.join(enough, "pattern", "left_semi"), "live")
     reliable = seeds.withColumnRenamed("seeded", "r")
     for k in range(rounds):
         patterns = work.stored(
             pairs.join(reliable, "value", "left").groupBy("pattern")
-            .agg((F.sum(F.coalesce("r", F.lit(0.0))) / (F.count(F.lit(1)) + DOUBT)).alias("score")), f"patterns{k}")
+            .agg((F.sum(F.coalesce("r", F.lit(0.0))) / (F.count(F.lit(1)) + DOUBT)).alias("score"),
+                 F.count(F.when(F.col("r") >= RELIABLE, 1)).alias("support"))
+            .filter(F.col("support") >= SEEDS).select("pattern", "score"), f"patterns{k}")
         votes = (pairs.join(patterns.filter(F.col("score") >= CONFIDENT), "pattern").groupBy("value")
                  .agg((1 - F.exp(F.sum(F.log1p(-F.col("score"))))).alias("r")))
         reliable = work.stored(votes.join(seeds, "value", "full").select(
