@@ -1,5 +1,6 @@
 """Held-out accuracy of the two classifiers, and their defined edge results."""
 
+import random
 import zlib
 
 import numpy as np
@@ -53,6 +54,18 @@ def test_edges(spark, which, label):
     assert score(spark, which, docs.limit(0), both).collect() == []
 
 
+def test_toxicity_learns_from_all_labelled_rows(spark):
+    """Each document has a word of its own; the sample bounds the curve only."""
+    rng = random.Random(3)
+    own = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(14)) for _ in range(50)]
+    rows = [(i, f"plain words stand here {w} {w} {w}") for i, w in enumerate(own)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    labels = spark.createDataFrame([(i, int(i < 25)) for i in range(50)], "doc_id long, toxic int")
+    asked = spark.createDataFrame(list(enumerate(own[:25])), "doc_id long, text string")
+    rows = toxicity.score(asked, toxicity.fit(docs, labels, sample=10)).collect()
+    assert [r.text for r in rows if r.toxicity.evidence < 0.3] == []
+
+
 def test_word_vectors_count_neighbours_within_documents():
     """One block against a plain double loop."""
     texts = ["big red dog ran. Red red DOG", "", "cat", "sat | sat mat ** hat"]

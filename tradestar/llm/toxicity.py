@@ -16,8 +16,10 @@ and under the ordinary model, over the square root of their number; a logistic
 curve, fitted on labelled documents that the counts have not seen, turns it
 into a score.
 
-Bounds: class counts and the curve come from at most ``sample`` labelled
-documents (those with the smallest hash of their id, alike at every size).
+Class counts come from all labelled documents. Only the curve is fitted on a
+bounded part of them (CURVE_PART of the ``sample`` ids with the smallest hash,
+alike at every size), with counts that leave that part out; the counts that
+score documents hold it too.
 All tables are hashed into fixed numbers of buckets (SHARED_BITS, CLASS_BITS),
 so the model that tasks receive has one size for any corpus.
 
@@ -50,8 +52,10 @@ MIXED = 0.01
 #: Bytes of text in which a word counts as one type.
 BLOCK = 4 << 20
 THRESHOLD = 0.3
-#: The part of the sample (by hash, of 5) that fits the curve, not the counts.
+#: The part of the sample (by hash, of 5) that fits the curve.
 CURVE_PART = 0
+#: Labels of rows outside the curve's part and (plus 2) inside.
+GROUPS = 4
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -133,8 +137,9 @@ def _shared_counts(batches):
 
 
 def _class_counts(batches):
-    """(slot, n0, n1, mask0, mask1) of the top order; slots of contexts follow
-    those of grams. The tables are kept sparse: a sample touches few buckets."""
+    """(slot, n, mask) of the top order; slots of contexts follow those of grams,
+    those of a group the ones of the group before. A group is the label, plus 2 for
+    rows that fit the curve. The tables are kept sparse."""
     powers = Powers()
     for b in batches:
         label = b.column("label").to_numpy(zero_copy_only=False)
@@ -151,15 +156,11 @@ def _class_counts(batches):
             n, cls = np.repeat(times, letters), np.repeat(of[one], letters)
             for slot, bit in ((_bucket(g.gram(ORDER), CLASS_BITS), None),
                               (_bucket(g.context(ORDER), CLASS_BITS) + (1 << CLASS_BITS), g.follower)):
-                at, _, order, head = _counted(slot)
-                cols = []
-                for c in (0, 1):
-                    cols.append(pa.array(np.add.reduceat(np.where(cls == c, n, 0)[order], head)))
-                for c in (0, 1):
-                    m = np.where(cls == c, np.int64(1) << bit.astype(np.int64), 0) if bit is not None else np.zeros(
-                        len(slot), np.int64)
-                    cols.append(pa.array(np.bitwise_or.reduceat(m[order], head)))
-                yield pa.RecordBatch.from_arrays([pa.array(at), *cols], names=["slot", "n0", "n1", "mask0", "mask1"])
+                at, times_of, order, head = _counted(slot + cls * (2 << CLASS_BITS), n)
+                mask = np.zeros(len(slot), np.int64) if bit is None else np.int64(1) << bit.astype(np.int64)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(at), pa.array(times_of), pa.array(np.bitwise_or.reduceat(mask[order], head))],
+                    names=["slot", "n", "mask"])
 
 
 def _interpolated(n: np.ndarray, total: np.ndarray, kinds: np.ndarray, lower: np.ndarray) -> np.ndarray:
@@ -252,42 +253,57 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     """Counts over all of ``docs``, classes from ``labels`` (rows where
     ``learn``, a condition on the labels' id, holds)."""
     spark = docs.sparkSession
+    work = Scratch(spark)
     marked = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("label")).filter(
         "label in (0, 1) and id is not null")
     if learn is not None:
         marked = marked.filter(learn)
-    chosen = (marked.groupBy("id").agg(F.max("label").alias("label"))
-              .orderBy(F.xxhash64("id"), "id").limit(sample))
+    marked = marked.groupBy("id").agg(F.max("label").alias("label"))
     body = F.col(text_col).alias("body")
     part = F.pmod(F.xxhash64(F.lit("curve"), "id"), F.lit(5)) == CURVE_PART
     # the sample's bound is the bound of what is broadcast
-    train = Scratch(spark).stored(docs.select(F.col(id_col).alias("id"), body).join(F.broadcast(chosen), "id")
-                   .select("body", "label", part.alias("curve")), "labelled")
-    shared = (docs.select(body).mapInArrow(_shared_counts, "slot long, n long, mask long")
-              .groupBy("slot").agg(F.sum("n").alias("n"), F.bit_or("mask").alias("mask"))).toArrow()
-    classes = (train.filter("not curve").select("body", "label")
-               .mapInArrow(_class_counts, "slot long, n0 long, n1 long, mask0 long, mask1 long")
-               .groupBy("slot").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"),
-                                    F.bit_or("mask0").alias("mask0"), F.bit_or("mask1").alias("mask1"))).toArrow()
+    chosen = F.broadcast(marked.orderBy(F.xxhash64("id"), "id").limit(sample).select("id", part.alias("curve")))
+    # stored first: its size decides whether the join has to shuffle the texts
+    marked = work.stored(marked.join(chosen, "id", "left").withColumn(
+        "curve", F.coalesce("curve", F.lit(False))), "marked")
+    train = work.stored(docs.select(F.col(id_col).alias("id"), body).join(marked, "id")
+                        .select("body", "label", "curve"), "labelled")
+
+    def counted(rows: DataFrame, by, name: str) -> pa.Table:
+        return work.stored(rows.mapInArrow(by, "slot long, n long, mask long").groupBy("slot").agg(
+            F.sum("n").alias("n"), F.bit_or("mask").alias("mask")), name).toArrow()
+
+    shared = counted(docs.select(body), _shared_counts, "shared")
+    classes = counted(train.select("body", (F.col("label") + 2 * F.col("curve").cast("int")).alias("label")),
+                      _class_counts, "classes")
 
     def filled(table: pa.Table, column: str, size: int) -> np.ndarray:
         out = np.zeros(size, np.int64)
         out[table.column("slot").to_numpy()] = table.column(column).to_numpy()
         return out
 
+    def narrow(a: np.ndarray) -> np.ndarray:
+        """In the smallest type that holds all values."""
+        return a.astype(np.min_scalar_type(a.max()))
+
     size = (ORDER - 1) << SHARED_BITS
-    model = Model(
-        filled(shared, "n", size).reshape(ORDER - 1, -1),
-        np.bitwise_count(filled(shared, "mask", size)).reshape(ORDER - 1, -1),
-        np.stack([filled(classes, f"n{c}", 2 << CLASS_BITS) for c in (0, 1)]).astype(np.int32),
-        np.bitwise_count(np.stack([filled(classes, f"mask{c}", 2 << CLASS_BITS)[1 << CLASS_BITS:] for c in (0, 1)])))
-    shipped = spark.sparkContext.broadcast(model)
-    held = (train.filter("curve").mapInArrow(_evidence(shipped, ("label",), False), "label int, x double")).toArrow()
-    y = held.column("label").to_numpy()
+    n = filled(classes, "n", GROUPS * (2 << CLASS_BITS)).reshape(GROUPS, -1)
+    mask = filled(classes, "mask", GROUPS * (2 << CLASS_BITS)).reshape(GROUPS, -1)[:, 1 << CLASS_BITS:]
+    shared_n = narrow(filled(shared, "n", size).reshape(ORDER - 1, -1))
+    shared_kinds = np.bitwise_count(filled(shared, "mask", size)).reshape(ORDER - 1, -1)
+    outside = Model(shared_n, shared_kinds, narrow(n[:2]), np.bitwise_count(mask[:2]))
+    model = Model(shared_n, shared_kinds, narrow(n[:2] + n[2:]), np.bitwise_count(mask[:2] | mask[2:]))
+
+    def placed(rows: DataFrame, by: Model) -> tuple[np.ndarray, np.ndarray]:
+        shipped = spark.sparkContext.broadcast(by)
+        held = rows.mapInArrow(_evidence(shipped, ("label",), False), "label int, x double").toArrow()
+        shipped.destroy()
+        return held.column("x").to_numpy(), held.column("label").to_numpy()
+
+    x, y = placed(train.filter("curve"), outside)
     if not len(y) or y.min() == y.max():  # too few rows for a part of their own
-        held = train.mapInArrow(_evidence(shipped, ("label",), False), "label int, x double").toArrow()
-        y = held.column("label").to_numpy()
-    model.curve = _curve(held.column("x").to_numpy(), y)
+        x, y = placed(train, model)
+    model.curve = _curve(x, y)
     return model
 
 
