@@ -10,6 +10,22 @@ from tradestar.session import scratch_path
 _CLEAN = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
+def write_clean(df: DataFrame, path: str, **options: str) -> DataFrame:
+    """``df`` written as Parquet and read back; its shuffle files go when the
+    write has ended."""
+    spark = df.sparkSession
+    before = spark.conf.get(_CLEAN, None)
+    spark.conf.set(_CLEAN, "true")
+    try:
+        df.write.options(**options).parquet(path)
+    finally:
+        if before is None:
+            spark.conf.unset(_CLEAN)
+        else:
+            spark.conf.set(_CLEAN, before)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 class Scratch:
     """Tables of one job, below ``spark.checkpoint.dir``."""
 
@@ -21,16 +37,7 @@ class Scratch:
         """``df`` written and read back, which cuts its lineage: a lost executor
         costs the tasks at hand, not the whole job."""
         path = self.paths[name] = scratch_path(self.spark, "llm", name)
-        before = self.spark.conf.get(_CLEAN, None)
-        self.spark.conf.set(_CLEAN, "true")
-        try:
-            df.write.parquet(path)
-        finally:
-            if before is None:
-                self.spark.conf.unset(_CLEAN)
-            else:
-                self.spark.conf.set(_CLEAN, before)
-        return self.spark.read.schema(df.schema).parquet(path)
+        return write_clean(df, path)
 
     def drop(self, *names: str) -> None:
         """Remove tables that no later stage reads."""
