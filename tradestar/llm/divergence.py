@@ -142,7 +142,7 @@ def _gap(p: np.ndarray, q: np.ndarray) -> np.ndarray:
     return (p - q) ** 2 // (p + q)
 
 
-def _shard(key, cells: pa.Table, sources: pa.Table) -> pa.Table:
+def _shard(key: tuple[pa.Scalar, ...], cells: pa.Table, sources: pa.Table) -> pa.Table:
     """A shard's part of the sums of pairs, and its best terms of each source."""
     lang, block = key[0].as_py(), key[2].as_py()
     sources = sources.sort_by("no")

@@ -165,3 +165,12 @@ SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY lang, source, part
                                             ORDER BY value DESC, encode(item))::INTEGER AS rank FROM every)
 WHERE part = 'pair' OR rank <= 10
 """
+
+
+@query
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+    from tradestar.llm.alignment import align
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return align(docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"),
+                 with_groups=False).select("doc_id", "align.*")
