@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tradestar.functions import keys as K
 from tradestar.functions.names import (fallback_name, header_clashes, header_names, partition_columns,
-                                       plain_name, positional_names, rename_positional_names)
+                                       names_by_position, plain_name, rename_positional_names)
 
 
 def test_state_key_golden(spark):
@@ -50,8 +50,8 @@ def test_name_rules():
     assert header_names(["Código", "codigo", "codigo_2", "CODIGO"]) == ["codigo", "codigo_3", "codigo_2", "codigo_4"]
     assert header_clashes(["Código", "x", "codigo"]) == [("codigo", "codigo_2")]
     assert fallback_name("NCM Código") == "ncm_código"
-    assert positional_names(["a", "b"], 4) == ["a", "b", "_c2", "_c3"]
-    assert positional_names(["a", "b", "c"], 2) == ["a", "b"]
+    assert names_by_position(["a", "b"], 4) == (["a", "b", "_c2", "_c3"], [], ["_c2", "_c3"])
+    assert names_by_position(["a", "b", "c"], 2) == (["a", "b"], ["c"], [])
     assert rename_positional_names(["x", "y", "z"], ["a"]) == ["a", "y", "z"]
     assert partition_columns(["CO_ANO", "x", "mes", "co_mes"]) == ["CO_ANO", "mes"]
     assert partition_columns(["x"]) == []

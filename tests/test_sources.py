@@ -116,12 +116,11 @@ def test_choose_member_skips_macosx(spark, tmp_path):
     z.mkdir()
     _zip(z / "Multi.zip", [("__MACOSX/x", "junk\n"), ("readme.md", "hello\n" * 50),
                            ("a.ESTABELE", '"1";"2"\n')])
-    members = A.unzip_members(A.read_archives(spark, str(z)))
-    chosen = R.choose_member(members.select("arquivo_zip", "membro", "posicao", "bytes").distinct())
+    members = A.list_members(A.read_archives(spark, str(z)))
+    chosen = R.choose_member(members)
     assert [r["membro"] for r in chosen.collect()] == ["a.ESTABELE"]
     _zip(z / "NoExt.zip", [("small.bin", "x\n"), ("big.bin", "y\n" * 100)])
-    members = A.unzip_members(A.read_archives(spark, str(z), "NoExt.zip"))
-    chosen = R.choose_member(members.select("arquivo_zip", "membro", "posicao", "bytes").distinct())
+    chosen = R.choose_member(A.list_members(A.read_archives(spark, str(z), "NoExt.zip")))
     assert [r["membro"] for r in chosen.collect()] == ["big.bin"]
 
 

@@ -13,8 +13,7 @@ MONTH_COLUMNS = ("mes", "co_mes", "CO_MES")
 
 def plain_name(name: str) -> str:
     """One header in the lake's spelling: no accents, lower case, underscores."""
-    letters = (c for c in unicodedata.normalize("NFKD", name) if unicodedata.category(c) != "Mn"
-               and not unicodedata.combining(c))
+    letters = (c for c in unicodedata.normalize("NFKD", name) if unicodedata.category(c) != "Mn")
     return re.sub("[ -]", "_", "".join(letters).lower().strip())
 
 
@@ -45,11 +44,13 @@ def fallback_name(name: str) -> str:
     return name.lower().replace(" ", "_")
 
 
-def positional_names(layout: list[str], width: int) -> list[str]:
-    """Names of a file of ``width`` columns that has no header: the layout's, as
-    far as the file goes, and the reader's own ``_c{i}`` beyond the layout."""
-    own = {i: f"_c{i}" for i in range(width)}
-    return [dict(enumerate(layout)).get(i, own[i]) for i in range(width)]
+def names_by_position(layout: list[str], width: int) -> tuple[list[str], list[str], list[str]]:
+    """Names of a header-less file of ``width`` columns, the layout's columns that
+    the file lacks, and the names (``_c{i}``, as the reader has them) of columns
+    beyond the layout."""
+    missing = layout[width:]
+    surplus = [f"_c{i}" for i in range(len(layout), width)]
+    return layout[:width] + surplus, missing, surplus
 
 
 def rename_positional_names(current: list[str], new: list[str]) -> list[str]:

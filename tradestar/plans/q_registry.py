@@ -1,14 +1,16 @@
-"""The registry path on archives that Spark builds from the given tables.
+"""The registry path on ZIP files that executors write from the given tables.
 
-Customers are dealt to archives (one per nation) on the executors; each archive
-is a ZIP of header-less ``;`` ISO-8859-1 lines with quoted fields, as the
-registry publishes them. One archive is broken on purpose.
+Customers are dealt to archives of a bounded number of rows, keyed by nation and
+a range of customer keys; each archive is a ZIP of header-less ``;`` ISO-8859-1
+records with quoted fields, as the registry publishes them. One more archive,
+beside those of the last nation, is broken on purpose.
 """
 
 from __future__ import annotations
 
 import io
 import zipfile
+from typing import Any
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -18,26 +20,46 @@ from tradestar.operators import marts as M
 from tradestar.operators import resolve as R
 from tradestar.operators import silver as SV
 from tradestar.plans.registry import register
+from tradestar.session import scratch_path
 from tradestar.sources import archives as A
 from tradestar.sources import standins as S
 
-BROKEN_NATION = 24
+BROKEN_NATION, BROKEN = 24, "Arquivo24_quebrado.zip"
+#: Customer keys of one range; an archive holds those of one nation in it.
+KEYS = 5_000
 
 
-def _archives(lines: DataFrame, extension: str) -> DataFrame:
-    """(path, content) of one ZIP for each nation of (nation, line number, line)."""
-    def zipped(key, pdf: pd.DataFrame) -> pd.DataFrame:
-        nation = int(key[0])
-        text = "\n".join(pdf.sort_values("n")["line"]) + "\n"
+def _written(path: str, content: bytes) -> None:
+    """A file of the store; a repeated task writes the same bytes again."""
+    from pyarrow import fs
+    store, name = fs.FileSystem.from_uri(path if "://" in path else "file://" + path.removeprefix("file:"))
+    store.create_dir(name.rsplit("/", 1)[0])
+    with store.open_output_stream(name) as out:
+        out.write(content)
+
+
+def _archives(lines: DataFrame, extension: str, members: int = 1) -> DataFrame:
+    """The listing of ZIP files made of (nation, n, line), one for each nation
+    and range of n, whose lines are dealt to ``members`` members by n."""
+    folder = scratch_path(lines.sparkSession, "archives")
+
+    def zipped(key: tuple[Any, ...], pdf: pd.DataFrame) -> pd.DataFrame:
+        nation, block = int(key[0]), int(key[1])
         buf = io.BytesIO()
         with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as z:
             z.writestr("__MACOSX/._x", "x")
             z.writestr("leia.me", "x")
-            z.writestr(f"K{nation}.{extension}", text.encode("ISO-8859-1"))
-        content = b"not a zip" if nation == BROKEN_NATION else buf.getvalue()
-        return pd.DataFrame({"path": [f"lake/Arquivo{nation}.zip"], "content": [content]})
+            for part, rows in pdf.sort_values("n").groupby(pdf["n"] % members):
+                z.writestr(f"K{nation}_{block}_{part}.{extension}",
+                           ("\n".join(rows["line"]) + "\n").encode("ISO-8859-1"))
+        _written(f"{folder}/Arquivo{nation}_{block}.zip", buf.getvalue())
+        if (nation, block) == (BROKEN_NATION, 0):
+            _written(f"{folder}/{BROKEN}", b"not a zip")
+        return pd.DataFrame({"rows": [len(pdf)]})
 
-    return lines.groupBy("nation").applyInPandas(zipped, "path string, content binary")
+    block = F.floor(F.col("n") / KEYS).alias("block")
+    lines.select("*", block).groupBy("nation", "block").applyInPandas(zipped, "rows long").agg(F.sum("rows")).first()
+    return A.read_archives(lines.sparkSession, folder, "*.zip")
 
 
 def _quoted(*cols):
@@ -45,63 +67,64 @@ def _quoted(*cols):
 
 
 def customer_archives(spark, d) -> DataFrame:
-    """Lines of (key, name with a quoted ';', segment or empty, status)."""
+    """Records of (key, name with a quoted ';' and line break, segment or empty,
+    status), half of an archive's in each of two members."""
     c = S.table(spark, d, "customer")
     return _archives(c.select(
         F.col("c_nationkey").alias("nation"), F.col("c_custkey").alias("n"),
-        _quoted(F.col("c_custkey").cast("string"), F.concat("c_name", F.lit("; São Paulo")),
+        _quoted(F.col("c_custkey").cast("string"), F.concat("c_name", F.lit("; São\nPaulo")),
                 F.when(F.col("c_acctbal") > 0, F.col("c_mktsegment")).otherwise(""), F.lit("02")).alias("line")),
-        "ESTABELE")
+        "ESTABELE", members=2)
+
+
+_ARCHIVE = f"c_nationkey || '_' || c_custkey // {KEYS}"
 
 
 @register("unzip_members", f"""
-SELECT 'Arquivo' || c_nationkey || '.zip' AS arquivo_zip, 'K' || c_nationkey || '.ESTABELE' AS membro,
-       CAST(row_number() OVER (PARTITION BY c_nationkey ORDER BY c_custkey) AS BIGINT) AS n_linha,
-       CAST(c_custkey AS VARCHAR) AS chave, c_name || '; São Paulo' AS nome,
+SELECT 'Arquivo' || {_ARCHIVE} || '.zip' AS arquivo_zip,
+       'K' || {_ARCHIVE} || '_' || c_custkey % 2 || '.ESTABELE' AS membro,
+       CAST(row_number() OVER (PARTITION BY {_ARCHIVE}, c_custkey % 2 ORDER BY c_custkey) AS BIGINT) AS n_linha,
+       CAST(c_custkey AS VARCHAR) AS chave, c_name || '; São' || chr(10) || 'Paulo' AS nome,
        CASE WHEN c_acctbal > 0 THEN c_mktsegment END AS segmento, CAST(NULL AS VARCHAR) AS erro
-FROM customer WHERE c_nationkey <> {BROKEN_NATION}
+FROM customer
 UNION ALL
-SELECT DISTINCT 'Arquivo' || c_nationkey || '.zip', NULL, NULL, NULL, NULL, NULL,
-       'BadZipFile(''File is not a zip file'')'
-FROM customer WHERE c_nationkey = {BROKEN_NATION}""", raw_sql=True)
+SELECT '{BROKEN}', NULL, NULL, NULL, NULL, NULL, 'BadZipFile(''File is not a zip file'')'""", raw_sql=True)
 def q_unzip_members(spark, d):
-    """Every line of every archive; the broken one gives its error."""
-    members = A.unzip_members(customer_archives(spark, d)).filter("membro is null or membro <> 'leia.me'")
-    return members.select("arquivo_zip", "membro", "n_linha", F.get("campos", 0).alias("chave"),
-                          F.get("campos", 1).alias("nome"), F.get("campos", 2).alias("segmento"), "erro")
+    """Every record of every archive; the broken one gives its error."""
+    records = A.unzip_members(customer_archives(spark, d)).filter("membro is null or membro <> 'leia.me'")
+    fields = F.from_csv("registro", "chave string, nome string, segmento string", {"sep": ";", "escape": '"'})
+    return records.select("arquivo_zip", "membro", "n_linha", fields.alias("c"), "erro").select(
+        "arquivo_zip", "membro", "n_linha", "c.*", "erro")
 
 
 @register("archive_member_choice", f"""
-SELECT DISTINCT 'Arquivo' || c_nationkey || '.zip' AS arquivo_zip, 'K' || c_nationkey || '.ESTABELE' AS membro
-FROM customer WHERE c_nationkey <> {BROKEN_NATION}""", raw_sql=True)
+SELECT 'Arquivo' || a || '.zip' AS arquivo_zip, 'K' || a || '_' || min(parte) || '.ESTABELE' AS membro
+FROM (SELECT {_ARCHIVE} AS a, c_custkey % 2 AS parte FROM customer) GROUP BY a""", raw_sql=True)
 def q_archive_member_choice(spark, d):
-    members = (A.unzip_members(customer_archives(spark, d)).filter("erro is null")
-               .select("arquivo_zip", "membro", "posicao", "bytes").distinct())
-    return R.choose_member(members)
+    return R.choose_member(A.list_members(customer_archives(spark, d)).filter("erro is null"))
 
 
-def _registry_rows(spark, d, layout: list[str], columns: dict, extra=None) -> DataFrame:
-    """Unzipped, named bronze rows of archives with the layout's columns."""
-    base = S.customer_region(spark, d).join(S.table(spark, d, "customer"), "c_custkey")
-    if extra is not None:
-        base = base.unionByName(extra(base), allowMissingColumns=True)
+def _registry_rows(spark, d, layout: list[str], columns: dict) -> DataFrame:
+    """Named bronze rows of the chosen members of archives with the layout's columns."""
+    base = S.customer_region(spark, d).select("c_custkey", "uf").join(S.table(spark, d, "customer"), "c_custkey")
     line = _quoted(*[F.coalesce(columns.get(c, F.lit("")), F.lit("")) for c in layout])
-    rows = base.select(F.col("c_nationkey").alias("nation"), F.col("c_custkey").alias("n"), line.alias("line"))
-    members = A.unzip_members(_archives(rows, "CSV")).filter("membro is null or membro <> 'leia.me'")
-    return A.with_provenance(A.name_fields(members, layout, len(layout)))
+    files = _archives(base.select(F.col("c_nationkey").alias("nation"), F.col("c_custkey").alias("n"),
+                                  line.alias("line")), "CSV")
+    members = A.chosen_members(A.list_members(files))
+    return A.with_provenance(A.name_fields(A.read_members(members), layout, len(layout)))
 
 
 ESTAB_LAYOUT = ["cnpj_basico", "cnpj_ordem", "cnpj_dv", "situacao_cadastral", "cnae_principal", "uf"]
 FIRM_LAYOUT = ["cnpj_basico", "razao_social", "porte"]
 
 
-@register("registry_job", f"""
+@register("registry_job", """
 SELECT c_mktsegment AS cnae_fiscal_principal, min(a.descricao) AS descricao, 'DEMAIS' AS porte_empresa,
        r_name[1:2] AS uf, count(DISTINCT c_custkey) AS Total_empresas
 FROM customer JOIN nation ON n_nationkey = c_nationkey JOIN region ON r_regionkey = n_regionkey
 LEFT JOIN (SELECT DISTINCT c_mktsegment AS cnae, lower(c_mktsegment) AS descricao FROM customer) a
   ON a.cnae = c_mktsegment
-WHERE c_acctbal > 0 AND c_custkey % 10 <> 3 AND c_nationkey <> {BROKEN_NATION} GROUP BY ALL""", raw_sql=True)
+WHERE c_acctbal > 0 AND c_custkey % 10 <> 3 GROUP BY ALL""", raw_sql=True)
 def q_registry_job(spark, d):
     """Archives -> bronze -> silver -> newest row of each key -> distribution.
     Each company comes twice, the later row with another size; one establishment

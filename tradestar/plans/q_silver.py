@@ -7,7 +7,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tradestar.functions.names import positional_names
+from tradestar.functions.names import names_by_position
 from tradestar.layouts import REGISTRY_LAYOUTS, TRADE_LAYOUTS
 from tradestar.operators import silver as SV
 from tradestar.plans.registry import register
@@ -48,7 +48,7 @@ SELECT s_suppkey AS cnae, s_name AS descricao, s_nationkey AS _c2, s_acctbal AS
 FROM supplier""", raw_sql=True)
 def q_positional_names(spark, d):
     df = S.table(spark, d, "supplier")
-    return df.toDF(*positional_names(REGISTRY_LAYOUTS["CNAECSV"], len(df.columns)))
+    return df.toDF(*names_by_position(REGISTRY_LAYOUTS["CNAECSV"], len(df.columns))[0])
 
 
 @register("drop_foreign_columns", """

@@ -87,14 +87,18 @@ def scratch_path(spark: SparkSession, *parts: str) -> str:
     return path
 
 
+def drop_path(spark: SparkSession, path: str) -> bool:
+    """Delete a folder or file of the store; whether there was one."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return bool(where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True))
+
+
 def drop_scratch(spark: SparkSession) -> int:
     """Delete the folders that this driver has handed out, at the end of an
     application whose results are read; returns their number."""
-    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
     count = 0
     while _SCRATCH:
-        path = jvm.org.apache.hadoop.fs.Path(_SCRATCH.pop())
-        count += bool(path.getFileSystem(conf).delete(path, True))
+        count += drop_path(spark, _SCRATCH.pop())
     return count
 
 
