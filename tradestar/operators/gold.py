@@ -67,11 +67,18 @@ def build_dim_date(exp: DataFrame, imp: DataFrame) -> DataFrame:
     )
 
 
+#: What the product dimension takes from a mapping of products to activities.
+ACTIVITY_COLUMNS = ["cnae", "descricao_cnae", "setor_economico"]
+
+
 def build_dim_product(ncm: DataFrame, fat_agreg: DataFrame | None = None,
-                      ppe: DataFrame | None = None, sentinels: tuple[str, ...] = ()) -> DataFrame:
+                      ppe: DataFrame | None = None, sentinels: tuple[str, ...] = (),
+                      activities: DataFrame | None = None) -> DataFrame:
     """dim_ncm. Without lookups the factor/PPE codes are carried as they are;
     with lookups (enriched) they are replaced by their descriptions through
-    left joins, so a missing lookup row leaves a null, never drops a product."""
+    left joins, so a missing lookup row leaves a null, never drops a product.
+    ``activities`` (codigo_ncm and ACTIVITY_COLUMNS, one row for each product:
+    ``current_activities``) adds the activity and sector of each product."""
     base = strip_sentinels(ncm, sentinels)
     fator: Column = F.col("codigo_fator_agregacao")
     ppe_col: Column = F.col("codigo_ppe_exportacao")
@@ -86,6 +93,10 @@ def build_dim_product(ncm: DataFrame, fat_agreg: DataFrame | None = None,
         names = ppe.select(F.col("codigo_ppe").alias("codigo_ppe_exportacao"), "descricao_ppe")
         base = base.join(dedup_by_key(names, "codigo_ppe_exportacao"), "codigo_ppe_exportacao", "left")
         ppe_col = F.col("descricao_ppe")
+    if activities is not None:
+        base = base.join(dedup_by_key(activities.select("codigo_ncm", *ACTIVITY_COLUMNS), "codigo_ncm"),
+                         "codigo_ncm", "left")
+        extra += [F.col(c) for c in ACTIVITY_COLUMNS]
     dim = base.select(
         K.surrogate_key("codigo_ncm").alias("sk_ncm"),
         F.col("codigo_ncm"),
@@ -198,19 +209,41 @@ def fact_side(df: DataFrame, tipo: str, pais_col: str, uf_col: str,
     return df.select(*cols)
 
 
+#: Why the quality gate rejects a row, and how to tell.
+REJECT_REASONS = {"sk_ncm_nulo": "sk_ncm IS NULL", "sk_data_nulo": "sk_data IS NULL"}
+
+
 def fact_gate(df: DataFrame) -> DataFrame:
     """Row-quality gate: a product or month key that did not cast is dropped."""
     return df.filter(F.col("sk_ncm").isNotNull()).filter(F.col("sk_data").isNotNull())
 
 
-def build_fact(exp: DataFrame, imp: DataFrame, imp_extra: dict[str, str] | None = None,
-               sentinels: tuple[str, ...] = ()) -> DataFrame:
-    """ft_balanco_comercial at source grain: exports ∪ imports by name (columns
-    only one side has are null on the other), then the quality gate."""
+def flagged_fact(exp: DataFrame, imp: DataFrame, imp_extra: dict[str, str] | None = None,
+                 sentinels: tuple[str, ...] = ()) -> DataFrame:
+    """ft_balanco_comercial at source grain before the gate: exports ∪ imports by
+    name (columns only one side has are null on the other), with ``rejeitada``
+    and the reasons (``motivo``, null for a row that passes)."""
     e = fact_side(strip_sentinels(exp, sentinels), K.EXPORT, "codigo_pais_destino", "uf_origem")
     i = fact_side(strip_sentinels(imp, sentinels), K.IMPORT, "codigo_pais_origem", "uf_destino",
                   imp_extra)
-    return fact_gate(e.unionByName(i, allowMissingColumns=True))
+    reasons = F.concat_ws(",", *[F.when(F.expr(test), name) for name, test in REJECT_REASONS.items()])
+    rows = e.unionByName(i, allowMissingColumns=True)
+    return rows.withColumns({"rejeitada": F.expr(" OR ".join(REJECT_REASONS.values())),
+                             "motivo": F.nullif(reasons, F.lit(""))})
+
+
+def gate_counts() -> list[Column]:
+    """Aggregates over a flagged fact: rows, rows that pass, rejects by reason
+    (a row with two reasons counts with both)."""
+    n = lambda test, name: F.count(F.when(F.expr(test), 1)).alias(name)
+    return [F.count(F.lit(1)).alias("linhas"), n("NOT rejeitada", "aceitas"),
+            *[n(test, name) for name, test in REJECT_REASONS.items()]]
+
+
+def build_fact(exp: DataFrame, imp: DataFrame, imp_extra: dict[str, str] | None = None,
+               sentinels: tuple[str, ...] = ()) -> DataFrame:
+    """The rows of ``flagged_fact`` that pass the gate."""
+    return fact_gate(flagged_fact(exp, imp, imp_extra, sentinels).drop("rejeitada", "motivo"))
 
 
 def clustered(fact: DataFrame, partition_by: list[str]) -> DataFrame:

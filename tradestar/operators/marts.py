@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tradestar.functions import keys as K
+from tradestar.operators.validity import valid_in_month, validity_ranges
 
 DEC = "decimal(38,2)"
 
@@ -67,6 +68,39 @@ def mart_top_products(fact: DataFrame, dim_product: DataFrame, sk_from: int, sk_
             .limit(k))
 
 
+def mart_top_products_by_sector(fact: DataFrame, dim_product: DataFrame, activities: DataFrame, sk_from: int,
+                                sk_to: int, k: int = 10) -> DataFrame:
+    """Top-k exported products in a month-key range by the sector that each had
+    in the month of its exports: a product whose sector changes within the range
+    has a row for each. ``activities`` is the versioned mapping of products.
+
+    Values are summed by product and month first; only these sums meet the
+    mapping's ranges, by product and year."""
+    ranges = validity_ranges(activities, "codigo_ncm", "vigente_desde", "versao")
+    by_month = (fact.filter((F.col("tipo_movimentacao") == K.EXPORT)
+                            & F.col("sk_data").between(sk_from, sk_to))
+                .groupBy("sk_ncm", "sk_data").agg(_sum("valor_fob", "v"), _sum("kg_liquido", "kg")))
+    named = by_month.join(dim_product.select("sk_ncm", "codigo_ncm", "nome_ncm"), "sk_ncm")
+    dated = valid_in_month(named, ranges, "codigo_ncm", "sk_data", ["setor_economico"], sk_from // 100, sk_to // 100)
+    return (dated.groupBy("codigo_ncm", "nome_ncm", "setor_economico")
+            .agg(_sum("v", "valor_total_exportado"), _sum("kg", "peso_liquido_total"))
+            .orderBy(F.desc("valor_total_exportado"), "codigo_ncm", "setor_economico").limit(k))
+
+
+def mart_sectors(fact: DataFrame, dim_product: DataFrame, activities: DataFrame, sk_from: int,
+                 sk_to: int) -> DataFrame:
+    """Exports by month and the sector that each product had in that month."""
+    ranges = validity_ranges(activities, "codigo_ncm", "vigente_desde", "versao")
+    by_month = (fact.filter((F.col("tipo_movimentacao") == K.EXPORT)
+                            & F.col("sk_data").between(sk_from, sk_to))
+                .groupBy("sk_ncm", "sk_data").agg(_sum("valor_fob", "v")))
+    named = by_month.join(dim_product.select("sk_ncm", "codigo_ncm"), "sk_ncm")
+    dated = valid_in_month(named, ranges, "codigo_ncm", "sk_data", ["setor_economico", "cnae"],
+                           sk_from // 100, sk_to // 100)
+    return dated.groupBy("sk_data", "setor_economico").agg(
+        _sum("v", "valor_total_exportado"), F.count_distinct("cnae").alias("atividades"))
+
+
 def mart_partners(fact: DataFrame, dim_geo: DataFrame, tipo: str = K.IMPORT) -> DataFrame:
     """Value by partner geography for one movement type."""
     by_geo = (fact.filter(F.col("tipo_movimentacao") == tipo)
@@ -190,3 +224,26 @@ def mart_state_vocation(distribution: DataFrame, uf: str, k: int = 10) -> DataFr
             .agg(F.sum("Total_empresas").cast("bigint").alias("total_estabelecimentos"))
             .orderBy(F.desc("total_estabelecimentos"), F.asc("atividade_economica"))
             .limit(k))
+
+
+#: Levels of the subtotals: what they are taken by, besides month and movement.
+SUBTOTALS = {"total": None, "produto": "sk_ncm", "parceiro": "sk_geografia", "estado": "sk_geografia_uf"}
+
+
+def trade_subtotals(fact: DataFrame) -> DataFrame:
+    """Totals by product, by partner, by state and overall of each month and
+    movement, in one table and one pass: ``nivel`` names what ``chave`` is (null
+    for the total). Rows are summed at the finest grain before they are repeated
+    for each level. Every row belongs to one month, so a refresh replaces the
+    months that changed (``write_snapshot`` by ``sk_data``) and no others."""
+    keys = [k for k in SUBTOTALS.values() if k]
+    grain = fact.groupBy("sk_data", "tipo_movimentacao", *keys).agg(
+        _sum("valor_fob", "v"), _sum("kg_liquido", "kg"), F.count(F.lit(1)).alias("n"))
+    sets = [["sk_data", "tipo_movimentacao", *([k] if k else [])] for k in SUBTOTALS.values()]
+    rows = grain.groupingSets([[F.col(c) for c in s] for s in sets], "sk_data", "tipo_movimentacao", *keys).agg(
+        _sum("v", "valor_total"), _sum("kg", "peso_total"), F.sum("n").alias("registros"),
+        *[F.grouping(k).alias(f"_{k}") for k in keys])
+    level = F.coalesce(*[F.when(F.col(f"_{k}") == 0, F.lit(name)) for name, k in SUBTOTALS.items() if k],
+                       F.lit("total"))
+    return rows.select("sk_data", "tipo_movimentacao", level.alias("nivel"), F.coalesce(*keys).alias("chave"),
+                       "valor_total", "peso_total", "registros")

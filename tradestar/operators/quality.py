@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tradestar.functions import keys as K
+from tradestar.operators.gold import ACTIVITY_COLUMNS
 
 
 def fk_orphans(fact: DataFrame, dims: dict[str, tuple[DataFrame, str]]) -> DataFrame:
@@ -149,3 +150,13 @@ def versioned_lookup(df: DataFrame, mapping: DataFrame, key: str, map_key: str,
                .select(F.col(map_key).alias(key),
                        *[F.col(f"_m.{c}").alias(c) for c in [version_col, *value_cols]]))
     return df.join(current, key, "left")
+
+
+def current_activities(mapping: DataFrame, as_of: str | None = None) -> DataFrame:
+    """Of a versioned mapping of products (codigo_ncm, ACTIVITY_COLUMNS, versao,
+    vigente_desde) the row of each product that holds on ``as_of`` (default:
+    today)."""
+    day = F.lit(as_of).cast("date") if as_of else F.current_date()
+    best = F.max(F.struct("vigente_desde", "versao", *ACTIVITY_COLUMNS)).alias("_m")
+    return mapping.filter(F.col("vigente_desde") <= day).groupBy("codigo_ncm").agg(best).select(
+        "codigo_ncm", *[F.col(f"_m.{c}").alias(c) for c in ACTIVITY_COLUMNS])

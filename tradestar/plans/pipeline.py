@@ -21,14 +21,18 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tradestar.functions.names import fallback_name, header_clashes
+from tradestar.functions.names import header_clashes, names_by_position
 from tradestar.layouts import (REGISTRY_ARCHIVES, REGISTRY_LAYOUTS, TRADE_ENTITIES,
                                TRADE_LAYOUTS, target_schema, target_type)
 from tradestar.operators import gold as G
 from tradestar.operators import marts as M
+from tradestar.operators import quality as Q
 from tradestar.operators import silver as SV
+from tradestar.session import drop_path, scratch_path
 from tradestar.sources import archives as A
 from tradestar.sources import files as FS
+from tradestar.sources import headers as H
+from tradestar.sources import publish as PB
 from tradestar.sources import sinks as SK
 from tradestar.streaming import ingest as ST
 
@@ -47,10 +51,13 @@ def _absent(exc: Exception) -> bool:
 
 @dataclass
 class Lake:
-    """Where the tables are, and the one format they are written and read in."""
+    """Where the tables are, and the one format they are written and read in.
+    With ``database`` the gold tables are published under its names: readers of
+    ``{database}.{table}`` never see a table being replaced."""
 
     root: str
     fmt: str = "parquet"
+    database: str | None = None
     _report: list = field(default_factory=list)
 
     def path(self, layer: str, domain: str, entity: str) -> str:
@@ -81,14 +88,8 @@ def _each(items, fn, workers: int) -> None:
 
 
 # --------------------------------------------------------------------------- bronze
-def _header_schema(spark: SparkSession, landing: str, glob: str) -> T.StructType:
-    """Stream schema from the files' header (first line only), all strings:
-    bronze is schema-on-read and typing happens in silver, where values that
-    do not convert are kept as rejects instead of silently becoming null.
-    Files under one glob must share that header (``enforceSchema=false``
-    rejects the odd one out)."""
-    cols = FS.scan_csv(spark, landing, glob=glob, options={"inferSchema": "false"}).columns
-    return T.StructType([T.StructField(c, T.StringType()) for c in cols])
+#: Files of one micro-batch of a trade stream.
+MAX_FILES = 1000
 
 
 def bronze_trade(spark: SparkSession, landing: str | None, lake: Lake,
@@ -96,26 +97,49 @@ def bronze_trade(spark: SparkSession, landing: str | None, lake: Lake,
                  workers: int = 1,
                  sources: dict[str, tuple[str, str, str | None]] | None = None) -> None:
     """Checkpointed run-to-completion stream per trade entity: only files not
-    seen before are read; layout names applied on the way in (absent mapped
-    columns skipped with a warning, unmapped columns dropped); entities
-    without a layout get the fallback names. ``sources`` (entity -> folder,
-    glob, layout) replaces the single landing folder with one per entity."""
+    seen before are read, each by its own header (absent mapped columns are
+    null, unmapped columns dropped); entities without a layout get the fallback
+    names. All columns are strings: typing happens in silver, where values that
+    do not convert are kept as rejects. A batch id's partition holds its rows (a
+    retry replaces it); files that do not fit are listed in ``_rejeitos``.
+    ``sources`` (entity -> folder, glob, layout) replaces the single landing
+    folder with one per entity."""
     if sources is None:
         sources = {e: (landing, g, lay) for e, (g, lay) in (entities or TRADE_ENTITIES).items()}
 
     def one(item):
         entity, (folder, glob, layout) = item
+        mapping = TRADE_LAYOUTS[layout] if layout is not None else None
+        written: list[int] = []
+
+        def per_batch(batch_df: DataFrame, batch_id: int) -> None:
+            listing = scratch_path(spark, "heads")
+            H.routed(H.read_heads(batch_df), mapping).write.parquet(listing)
+            files = spark.read.schema(f"{H.HEAD_SCHEMA}, problema string").parquet(listing)
+            unfit = files.filter("problema is not null")
+            if n_bad := unfit.count():
+                SK.write_idempotent_batch(unfit, lake.path("raw", TRADE, f"_rejeitos/{entity}"), batch_id, lake.fmt)
+                lake.note("bronze", f"{entity}/lote_{batch_id}/arquivos", n_bad, "ERRO",
+                          f"{n_bad} arquivos de outro layout, listados em _rejeitos/{entity}")
+            rows = H.scan_by_header(spark, files, mapping)
+            if rows is not None:
+                if absent := H.missing_columns(rows, mapping):
+                    lake.note("bronze", f"{entity}/lote_{batch_id}", None, "AVISO",
+                              f"colunas ausentes: {', '.join(absent)}")
+                seen = Observation(f"bronze_{entity}_{batch_id}")
+                SK.write_idempotent_batch(rows.observe(seen, F.count(F.lit(1)).alias("n")),
+                                          lake.path("raw", TRADE, entity), batch_id, lake.fmt)
+                written.append(seen.get["n"])
+            drop_path(spark, listing)
+
         try:
-            schema = _header_schema(spark, folder, glob)
-            if layout is not None:
-                rename = (lambda df, lay=layout: FS.project_by_mapping(df, TRADE_LAYOUTS[lay]))
-            else:
-                rename = (lambda df: df.toDF(*[fallback_name(c) for c in df.columns]))
-            stream = ST.file_stream(spark, folder, schema, "csv", glob,
-                                    {**FS.LANDING_OPTIONS, "enforceSchema": "false"})
-            rows = ST.run_available_now(stream, lake.path("raw", TRADE, entity),
-                                        lake.checkpoint(TRADE, entity), transform=rename)
-            lake.note("bronze", entity, rows, "OK" if rows else "SEM_NOVOS")
+            # names only: Spark does not read the contents of files whose content is not used
+            stream = ST.file_stream(spark, folder, A.BINARY_SCHEMA, "binaryFile", glob,
+                                    {"maxFilesPerTrigger": str(MAX_FILES)}).select("path")
+            ST.run_foreach_batch(stream, lake.checkpoint(TRADE, entity), per_batch)
+            there = bool(written) or not A.read_archives(spark, folder, glob).isEmpty()
+            lake.note("bronze", entity, sum(written) if there else None,
+                      "OK" if sum(written) else "SEM_NOVOS" if there else "SEM_ARQUIVOS")
         except Exception as exc:  # isolate the entity, keep going
             lake.note("bronze", entity, None, "SEM_ARQUIVOS" if _absent(exc) else "ERRO", str(exc) or repr(exc))
 
@@ -124,8 +148,10 @@ def bronze_trade(spark: SparkSession, landing: str | None, lake: Lake,
 
 def bronze_registry(spark: SparkSession, landing: str, lake: Lake,
                     entities: list[str] | None = None) -> None:
-    """Archive stream per registry entity; each micro-batch is unzipped on the
-    executors and written under its batch id (a retry replaces, never doubles)."""
+    """Archive stream per registry entity. Each micro-batch lists its archives'
+    members, chooses one of each archive, and reads the chosen ones once into its
+    batch id's partition (a retry replaces, never doubles). What cannot be read
+    is listed in ``_rejeitos`` with its error; the other archives are loaded."""
     for entity in entities or list(REGISTRY_ARCHIVES):
         glob, folder = REGISTRY_ARCHIVES[entity]
         target = lake.path("raw", REGISTRY, folder)
@@ -133,30 +159,31 @@ def bronze_registry(spark: SparkSession, landing: str, lake: Lake,
 
         def per_batch(batch_df: DataFrame, batch_id: int, ent=entity, tgt=target,
                       fold=folder, rows=written) -> None:
-            members = A.unzip_members(batch_df).persist()
-            try:
-                bad = members.filter("erro is not null").select("arquivo_zip", "erro")
-                n_bad = bad.count()
-                if n_bad:      # reported and listed; the other archives are loaded
-                    SK.write_idempotent_batch(bad, lake.path("raw", REGISTRY, f"_rejeitos/{fold}"), batch_id,
-                                              lake.fmt)
-                    lake.note("bronze", f"{fold}/lote_{batch_id}/arquivos", n_bad, "ERRO",
-                              f"{n_bad} arquivos ilegíveis, listados em _rejeitos/{fold}")
-                width = A.max_width(members)
-                if width == 0:
-                    return
-                layout = REGISTRY_LAYOUTS[ent]
-                if width != len(layout):   # positional layouts cannot be checked by name
+            listing = scratch_path(spark, "members")
+            A.list_members(batch_df).write.parquet(listing)
+            members = A.chosen_members(spark.read.schema(A.MEMBER_SCHEMA).parquet(listing))
+            records, layout = A.read_members(members), REGISTRY_LAYOUTS[ent]
+            unread = members.filter("erro is not null").select("arquivo_zip", "erro")
+            n_bad, width = unread.count(), A.max_width(members)
+            if width:
+                _, missing, surplus = names_by_position(layout, width)
+                if missing or surplus:   # positional layouts cannot be checked by name
                     lake.note("bronze", f"{fold}/lote_{batch_id}", None, "AVISO",
-                              f"{width} colunas no arquivo, {len(layout)} no layout")
-                named = A.with_provenance(A.name_fields(members, layout, width))
+                              f"{width} colunas no arquivo, {len(layout)} no layout"
+                              + (f"; faltam {', '.join(missing)}" if missing else "")
+                              + (f"; a mais {', '.join(surplus)}" if surplus else ""))
                 seen = Observation(f"bronze_{fold}_{batch_id}")
-                # one archive is unzipped in one task; its rows are spread before the write
-                SK.write_idempotent_batch(named.observe(seen, F.count(F.lit(1)).alias("n")).hint("rebalance"),
-                                          tgt, batch_id, lake.fmt)
+                named = A.with_provenance(A.name_fields(
+                    records.observe(seen, F.count("registro").alias("n"), F.count("erro").alias("bad")), layout, width))
+                SK.write_idempotent_batch(named.hint("rebalance"), tgt, batch_id, lake.fmt)
                 rows.append(seen.get["n"])
-            finally:
-                members.unpersist()
+                if seen.get["bad"] > n_bad:   # some broke off while they were read
+                    n_bad, unread = seen.get["bad"], records.filter("erro is not null").select("arquivo_zip", "erro")
+            if n_bad:
+                SK.write_idempotent_batch(unread, lake.path("raw", REGISTRY, f"_rejeitos/{fold}"), batch_id, lake.fmt)
+                lake.note("bronze", f"{fold}/lote_{batch_id}/arquivos", n_bad, "ERRO",
+                          f"{n_bad} arquivos ilegíveis, listados em _rejeitos/{fold}")
+            drop_path(spark, listing)
 
         try:
             ST.run_foreach_batch(A.stream_archives(spark, landing, glob),
@@ -188,6 +215,7 @@ def silver_trade(spark: SparkSession, lake: Lake, entities: list[str] | None = N
             if df.isEmpty():
                 lake.note("silver", entity, 0, "VAZIO", "entrada vazia, ignorada")
                 return
+            df = df.drop("batch_id")
             text = SV.trim_upper_strings(SV.normalize_headers(df))
             typed = SV.typed_columns(text, _types_for(text.columns, TRADE_ENTITIES[entity][1]))
             clean, rejects = SV.split_rejects(typed)
@@ -230,10 +258,16 @@ def silver_registry(spark: SparkSession, lake: Lake, entities: list[str] | None
 
 # --------------------------------------------------------------------------- gold
 def _overwrite(lake: Lake, layer: str, entity: str, df: DataFrame, path: str,
-               partition_by: list[str] | None = None, message: str | None = None) -> None:
-    """Write a table and report the rows that were written."""
+               partition_by: list[str] | None = None, message: str | None = None,
+               sort_by: tuple[str, ...] = ()) -> None:
+    """Write a table (publish it, if it is gold and the lake has a database) and
+    report the rows that were written."""
     seen = Observation(f"{layer}_{entity}")
-    SK.overwrite_table(df.observe(seen, F.count(F.lit(1)).alias("n")), path, partition_by, lake.fmt)
+    df = df.observe(seen, F.count(F.lit(1)).alias("n"))
+    if layer == "gold" and lake.database:
+        PB.publish(df, f"{lake.database}.{entity}", path, partition_by or (), sort_by)
+    else:
+        SK.overwrite_table(df, path, partition_by, lake.fmt)
     lake.note(layer, entity, seen.get["n"], "OK", message)
 
 
@@ -266,7 +300,8 @@ class _Inputs:
 
 def gold(spark: SparkSession, lake: Lake, cluster_fact: bool = True,
          year_partition: bool = False, sentinels: tuple[str, ...] = (),
-         unknown_member: bool = False, allow_absent: frozenset[str] | tuple[str, ...] = ()) -> None:
+         unknown_member: bool = False, allow_absent: frozenset[str] | tuple[str, ...] = (),
+         activities: DataFrame | None = None) -> None:
     """Dimensions, the fact and the establishment distribution, each written as
     its own table and reported on its own. A table is written only from all of
     its inputs: one that cannot be read, or is absent and not named in
@@ -274,8 +309,11 @@ def gold(spark: SparkSession, lake: Lake, cluster_fact: bool = True,
 
     The fact is partitioned by movement (and, with ``year_partition``, by
     reference year) and, with ``cluster_fact``, ranged and sorted by (sk_data,
-    sk_ncm), so a month or product filter skips files. ``sentinels`` (e.g.
-    ('N/A',)) are read as missing values."""
+    sk_ncm), so a month or product filter skips files. Rows that the quality
+    gate rejects are written by the same pass, beside the fact, with their
+    reasons (``gold_rejects``), and counted in the report. ``sentinels`` (e.g.
+    ('N/A',)) are read as missing values; ``activities``, a versioned mapping of
+    products, gives the product dimension its activity and sector."""
     t = _Inputs(spark, lake, frozenset(allow_absent))
     parts = ["tipo_movimentacao"] + ["ano_ref"] * year_partition
 
@@ -286,7 +324,8 @@ def gold(spark: SparkSession, lake: Lake, cluster_fact: bool = True,
         return G.build_dim_date(*sides()).sortWithinPartitions("sk_data")
 
     def product() -> DataFrame:
-        return G.build_dim_product(t("ncm"), t("ncm_fat_agreg"), t("ncm_ppe"), sentinels)
+        return G.build_dim_product(t("ncm"), t("ncm_fat_agreg"), t("ncm_ppe"), sentinels,
+                                   None if activities is None else Q.current_activities(activities))
 
     def transport() -> DataFrame:
         return G.build_dim_transport(t("via"), sentinels)
@@ -296,10 +335,10 @@ def gold(spark: SparkSession, lake: Lake, cluster_fact: bool = True,
         return G.build_dim_geography(t("pais"), blocs, *sides(), t("uf"), sentinels, unknown_member)
 
     def fact() -> DataFrame:
-        out = G.build_fact(*sides(), sentinels=sentinels)
+        out = G.flagged_fact(*sides(), sentinels=sentinels)
         if year_partition:
             out = out.withColumn("ano_ref", (F.col("sk_data") / 100).cast("int"))
-        return G.clustered(out, parts) if cluster_fact else out
+        return G.clustered(out, ["rejeitada", *parts]) if cluster_fact else out
 
     def distribution() -> DataFrame:
         latest = ["ingestion_timestamp", "file_source"]
@@ -312,20 +351,63 @@ def gold(spark: SparkSession, lake: Lake, cluster_fact: bool = True,
 
     for name, build, by in (("dim_data", date, None), ("dim_ncm", product, None),
                             ("dim_via_transporte", transport, None), ("dim_geografia", geography, None),
-                            ("ft_balanco_comercial", fact, parts),
+                            ("ft_balanco_comercial", fact, ["rejeitada", *parts]),
                             ("dim_distribuicao_estabelecimentos", distribution, ["uf"])):
         try:
             df = build()
             df = (df.withColumn("dt_atualizacao", F.current_timestamp()).hint("rebalance", "uf")
                   if by == ["uf"] else G.add_audit(df))
-            _overwrite(lake, "gold", name, df, lake.path("refined", "gold", name), by)
+            path = lake.path("refined", "gold", name)
+            if name == FACT:
+                _write_fact(spark, lake, df, path, by)
+            else:
+                _overwrite(lake, "gold", name, df, path, by)
         except LookupError as exc:
             lake.note("gold", name, None, "SEM_DADOS", str(exc))
         except Exception as exc:  # this table stays as it was; the others go on
             lake.note("gold", name, None, "ERRO", str(exc))
 
 
+FACT, REJECTS = "ft_balanco_comercial", "ft_balanco_comercial_rejeitos"
+
+
+def _write_fact(spark: SparkSession, lake: Lake, flagged: DataFrame, path: str, by: list[str]) -> None:
+    """Fact and rejects from one pass over the input: one write, in folders by
+    flag. Published, both names are views of one version, so they never differ
+    in age."""
+    seen = Observation("gold_fato")
+    rows = flagged.observe(seen, *G.gate_counts())
+    if lake.database:
+        whole = f"{lake.database}.{FACT}_linhas"
+        PB.publish(rows, whole, path, by, ("sk_data", "sk_ncm"))
+        for name, test, dropped in ((FACT, "NOT rejeitada", "rejeitada, motivo"), (REJECTS, "rejeitada", "rejeitada")):
+            spark.sql(f"CREATE OR REPLACE VIEW {lake.database}.{name} AS "
+                      f"SELECT * EXCEPT ({dropped}) FROM {whole} WHERE {test}")
+    else:
+        SK.overwrite_table(rows, path, by, lake.fmt)
+    n = seen.get
+    lake.note("gold", FACT, n["aceitas"], "OK")
+    if rejected := n["linhas"] - n["aceitas"]:
+        lake.note("gold", REJECTS, rejected, "AVISO", "; ".join(
+            f"{reason}: {n[reason]}" for reason in G.REJECT_REASONS if n[reason]))
+
+
+def _by_flag(spark: SparkSession, lake: Lake, rejected: bool) -> DataFrame:
+    # the flag is read as a partition column, so the other side's folder is not opened
+    rows = FS.read_table(spark, lake.path("refined", "gold", FACT), lake.fmt)
+    return rows.filter(F.col("rejeitada") == F.lit(rejected)).drop("rejeitada")
+
+
+def gold_rejects(spark: SparkSession, lake: Lake) -> DataFrame:
+    """Fact rows that the quality gate rejected, with their reasons."""
+    return spark.table(f"{lake.database}.{REJECTS}") if lake.database else _by_flag(spark, lake, True)
+
+
 def gold_table(spark: SparkSession, lake: Lake, name: str) -> DataFrame:
+    if lake.database:
+        return spark.table(f"{lake.database}.{name}")
+    if name == FACT:
+        return _by_flag(spark, lake, False).drop("motivo")
     return FS.read_table(spark, lake.path("refined", "gold", name), lake.fmt)
 
 
@@ -346,11 +428,15 @@ def marts(spark: SparkSession, lake: Lake, min_year: int) -> dict[str, DataFrame
 
 
 def run(spark: SparkSession, landing: str, root: str, min_year: int = 2000,
-        workers: int = 4, allow_absent: frozenset[str] | tuple[str, ...] = ()) -> DataFrame:
+        workers: int = 4, allow_absent: frozenset[str] | tuple[str, ...] = (),
+        database: str | None = None) -> DataFrame:
     """The whole job; returns the run report. ``workers`` trade entities are
     loaded concurrently in bronze and silver; gold tables go without the inputs
-    named in ``allow_absent`` if these are absent."""
-    lake = Lake(root, FS.table_format(spark))
+    named in ``allow_absent`` if these are absent, and are published in
+    ``database`` if one is named."""
+    lake = Lake(root, FS.table_format(spark), database)
+    if database:
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{lake.path('refined', 'catalog', database)}'")
     bronze_trade(spark, landing, lake, workers=workers)
     bronze_registry(spark, landing, lake)
     silver_trade(spark, lake, workers=workers)

@@ -20,6 +20,7 @@ from tradestar.plans.registry import register
 from tradestar.plans.sql import fact_side_sql
 from tradestar.session import scratch_path
 from tradestar.sources import files as FS
+from tradestar.sources import sinks as SK
 from tradestar.sources import standins as S
 
 # entity -> layout of the landing files written from the driver's tables
@@ -68,3 +69,45 @@ def q_medallion_job(spark, d):
     """landing CSV -> bronze stream -> silver (clean, type, dedup) -> gold fact."""
     lake = run_job(spark, d)
     return P.gold_table(spark, lake, "ft_balanco_comercial").drop(AUDIT_COLUMN)
+
+
+#: Headers under one glob, by month: files of the first quarter of a year as the
+#: layout has them, the others in another order, without two columns, with two more.
+NARROW_WITHOUT = ("codigo_via_transporte", "codigo_alfandega")
+
+
+def _variants(exp: DataFrame) -> dict[str, DataFrame]:
+    quarter = lambda k: to_landing(exp.filter(F.ceil(F.col("mes") / 3) == k), "EXPO_2021")
+    reordered, narrow, wide = quarter(2), quarter(3), quarter(4)
+    lost = [src for src, dst in TRADE_LAYOUTS["EXPO_2021"].items() if dst in NARROW_WITHOUT]
+    return {"a": quarter(1), "b": reordered.select(*reversed(reordered.columns)), "c": narrow.drop(*lost),
+            "d": wide.select(F.lit("x;y").alias("OBS 1"), "*", F.lit("z").alias("OBS 2"))}
+
+
+@register("headers_routed", """
+SELECT ano, mes, count(*) AS linhas, sum(valor_fob_usd)::DECIMAL(38,2) AS valor_fob,
+       sum(peso_liquido_kg)::DECIMAL(38,2) AS peso,
+       CASE WHEN mes BETWEEN 7 AND 9 THEN 0 ELSE count(codigo_via_transporte) END AS com_via
+FROM exp GROUP BY ano, mes
+UNION ALL SELECT NULL, NULL, 1, NULL, NULL, NULL""")
+def q_headers_routed(spark, d):
+    """Exports landed under one glob with four headers, the narrowest first; a
+    second run over the same checkpoint loads the others and one file of another
+    layout, which is listed and counted in the row without a month."""
+    root = scratch_path(spark, "headers")
+    exp, _ = trusted.exp_imp(spark, d)
+    variants = _variants(exp)
+    lake = P.Lake(f"{root}/lake")
+    for names in (["c"], ["d", "b", "a"]):
+        for name in names:
+            variants[name].write.options(**FS.LANDING_OPTIONS).csv(f"{root}/landing/{name}")
+        if "a" in names:
+            S.table(spark, d, "region").coalesce(1).write.options(**FS.LANDING_OPTIONS).csv(f"{root}/landing/e")
+        P.bronze_trade(spark, None, lake, sources={"exp": (f"{root}/landing/*", "*.csv", "EXPO_2021")})
+    rows = SK.read_merged(spark, lake.path("raw", P.TRADE, "exp"))
+    money = lambda c: F.sum(F.col(c).cast("decimal(18,2)")).cast("decimal(38,2)")
+    by_month = rows.groupBy(F.col("ano").cast("int").alias("ano"), F.col("mes").cast("int").alias("mes")).agg(
+        F.count(F.lit(1)).alias("linhas"), money("valor_fob_usd").alias("valor_fob"),
+        money("peso_liquido_kg").alias("peso"), F.count("codigo_via_transporte").alias("com_via"))
+    unfit = SK.read_merged(spark, lake.path("raw", P.TRADE, "_rejeitos/exp")).agg(F.count(F.lit(1)).alias("linhas"))
+    return by_month.unionByName(unfit, allowMissingColumns=True)

@@ -3,13 +3,15 @@ dynamic-partition snapshots and small-file compaction.
 
 Parquet is the format here (no Delta jar); with Delta on the classpath set
 ``tradestar.table.format=delta`` and the same calls write Delta. Only Delta's
-overwrite is atomic: Parquet's deletes the old files first, so a reader may see
-nothing and a crash leaves nothing.
+overwrite of a path is atomic: Parquet's deletes the old files first, so a reader
+may see nothing and a crash leaves nothing. ``publish`` has no such gap: it
+writes versions and switches a name in Spark's catalog.
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -99,34 +101,60 @@ def compaction_plan(spark: SparkSession, root: str,
     return compaction_of(list_files(spark, root, glob="*.parquet"), target_bytes)
 
 
+def ranged(df: DataFrame, n: int, partition_by: Sequence[str] = (), sort_by: Sequence[str] = ()) -> DataFrame:
+    """``df`` in ``n`` partitions: ranged and sorted by the partition columns and
+    ``sort_by``, so files keep narrow value ranges; without either, spread evenly."""
+    order = [*partition_by, *sort_by]
+    return df.repartitionByRange(n, *order).sortWithinPartitions(*order) if order else df.repartition(n)
+
+
+def files_of(spark: SparkSession, path: str) -> tuple[int, int]:
+    """Number and bytes of the Parquet files below a folder."""
+    found = (list_files(spark, path, glob="*.parquet")
+             .agg(F.count(F.lit(1)).alias("n"), F.sum("bytes").alias("b")).first())
+    return int(found["n"] or 0), int(found["b"] or 0)
+
+
+def folder_columns(spark: SparkSession, path: str) -> list[str]:
+    """Columns that a Parquet table keeps in its folders' names (``k=v``)."""
+    one = list_files(spark, path, glob="*.parquet").select("path").first()
+    below = one["path"].rsplit("/" + path.rstrip("/").rsplit("/", 1)[-1] + "/", 1)[-1] if one else ""
+    return [part.split("=", 1)[0] for part in below.split("/")[:-1] if "=" in part]
+
+
 def compact(spark: SparkSession, src: str, dst: str, total_bytes: int,
-            target_bytes: int = COMPACTION_TARGET_BYTES, partition_by: tuple[str, ...] = (),
-            sort_by: tuple[str, ...] = ()) -> int:
+            target_bytes: int = COMPACTION_TARGET_BYTES, partition_by: Sequence[str] = (),
+            sort_by: Sequence[str] = ()) -> int:
     """Rewrite a Parquet table into about ``target_bytes`` sized files; the
-    source is left untouched. Partition folders stay (``partition_by``), and with
-    ``sort_by`` rows are range-partitioned and sorted, so files keep narrow value
-    ranges. Without either, rows are spread evenly. Returns the number of tasks."""
+    source is left untouched. Partition folders stay (``partition_by``), and
+    rows are ``ranged`` by them and ``sort_by``. Returns the number of tasks."""
     n = max(1, math.ceil(total_bytes / target_bytes))
-    df, order = spark.read.parquet(src), [*partition_by, *sort_by]
-    df = df.repartitionByRange(n, *order).sortWithinPartitions(*order) if order else df.repartition(n)
-    df.write.mode("overwrite").partitionBy(*partition_by).parquet(dst)
+    # folder names are text: values such as '01' must not come back as numbers
+    inferred = "spark.sql.sources.partitionColumnTypeInference.enabled"
+    before = spark.conf.get(inferred)
+    spark.conf.set(inferred, "false")
+    try:
+        df = spark.read.parquet(src)
+    finally:
+        spark.conf.set(inferred, before)
+    ranged(df, n, partition_by, sort_by).write.mode("overwrite").partitionBy(*partition_by).parquet(dst)
     return n
 
 
 def optimize_table(spark: SparkSession, path: str, dst: str | None = None,
-                   target_bytes: int = COMPACTION_TARGET_BYTES) -> int | None:
-    """Small-file compaction of one table. With Delta (``tradestar.table.format
-    = delta``) this is ``OPTIMIZE`` on the path, atomic and in place. With
-    Parquet the table is rewritten into ``dst`` at the target file size when
-    the plan says it pays; returns the new file count (None when nothing was
-    done). Parquet has no atomic swap, so the caller points readers at ``dst``."""
+                   target_bytes: int = COMPACTION_TARGET_BYTES, sort_by: Sequence[str] = ()) -> int | None:
+    """Small-file compaction of one table by path. With Delta
+    (``tradestar.table.format = delta``) this is ``OPTIMIZE`` on the path, atomic
+    and in place. With Parquet the table is rewritten into ``dst`` at the target
+    file size when the plan says it pays, with the same partition folders and
+    sorted by ``sort_by``; returns the new file count (None when nothing was
+    done). A path has no atomic swap: the caller points readers at ``dst``, or
+    keeps the table published (``publish.compact``)."""
     if _fmt(spark) == "delta":
         spark.sql(f"OPTIMIZE delta.`{path}`")
         return None
-    plan = (list_files(spark, path, glob="*.parquet")
-            .agg(F.count(F.lit(1)).alias("n"), F.sum("bytes").alias("b")).first())
-    n_files, total = int(plan["n"] or 0), int(plan["b"] or 0)
+    n_files, total = files_of(spark, path)
     target_n = max(1, math.ceil(total / target_bytes))
     if dst is None or n_files <= target_n:
         return None
-    return compact(spark, path, dst, total, target_bytes)
+    return compact(spark, path, dst, total, target_bytes, folder_columns(spark, path), sort_by)
