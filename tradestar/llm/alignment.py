@@ -12,7 +12,7 @@ A id, and a minimal perfect hash is built for each in a task of its own: at each
 level the keys that are alone in their slot stay, the others go to the next, and
 the place of a pair is the number of taken slots before its own. The tasks'
 counts are then laid out as dense vectors in that order and summed as a tree, a
-fixed number of vectors at a time. The second pass aligns the documents again and
+fixed number of vectors at a time. The second pass aligns the stored ids again and
 looks every link up: hash, the key that stands there (which must be the pair
 itself), count.
 
@@ -35,10 +35,10 @@ is replaced.
 from __future__ import annotations
 
 import hashlib
-import os
+import json
 import re
 import uuid
-from functools import lru_cache
+from functools import lru_cache, reduce
 from itertools import accumulate, chain
 
 import numpy as np
@@ -62,88 +62,163 @@ SHARD_PAIRS, PASS_SHARDS = 1 << 20, 8
 SLICE, FAN = 1 << 16, 32
 #: Slots for each key at a level of the hash.
 SLOTS = 2
+#: Stretches that B reads at once.
+FEW = 32
 #: Pairs whose counts a task holds before it hands them on.
 HELD = 2_000_000
 
 _STRETCH = re.compile(r"[ \n]\s*(?=\n\S)|\n(?=\S)|(?:[ \n]\s*)?\S+(?:[^\S \n]\s*\S*)*|\s+")
+#: What white space other than single spaces and one or two line feeds between
+#: words looks like.
+_UNEVEN = ["  ", "\n\n\n", " \n", "\n ", *(c for c in map(chr, range(0x3001)) if c.isspace() and c not in " \n")]
 _BORDER = re.compile(r"(?<=\S) (?=\S)")
-_BAD = b"\0"
+#: Stretches that a line feed beside them leaves as they are.
+_PLAIN = re.compile(r"[ \n]?\S(?:.*\S)?", re.DOTALL)
+#: The split pattern of byte-level tokenizers (fixed value).
+BYTE_LEVEL = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+_BAD = (b"", b"", b"")
 
 
 def _parts(text: str, limit: int = PART):
-    """A text in parts that end at borders."""
+    """A text in parts between which there is a space at a border."""
     a = 0
     while len(text) - a > limit:
         border = _BORDER.search(text, a + limit)
         if not border:
             break
         yield text[a:border.start()]
-        a = border.start()
+        a = border.end()
     yield text[a:]
 
 
+def _keys(text: str) -> list:
+    """The stretches of a space and ``text``, as keys: a word for itself after a
+    space, with its line feed after one; any other stretch in a tuple."""
+    if not (text[0].isspace() or text[-1].isspace() or any(x in text for x in _UNEVEN)):
+        return text.replace("\n", " \n").split(" ")
+    return [s[1:] if s[0] == " " and len(s) > 1 and not s[1].isspace() else s if s[0] == "\n" else (s,)
+            for s in _STRETCH.findall(" " + text)]
+
+
+def _stretch(key) -> str:
+    if isinstance(key, tuple):
+        return key[0]
+    return key if key[0] == "\n" else " " + key
+
+
 class Tokenizers:
-    """Both tokenizers and the bytes of their ids."""
+    """Both tokenizers and the bytes of their ids.
+
+    A's vocabulary is its merges in order, each id one higher than the last, so
+    the ids are merge ranks as well: ``tiktoken`` gives the same ids from them,
+    several times as fast. A file of another kind is refused.
+    """
 
     def __init__(self, a_path: str, b_path: str) -> None:
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
+        import tiktoken
         from sentencepiece import SentencePieceProcessor
-        from tokenizers import Tokenizer
-        self.a = Tokenizer.from_file(a_path)
-        self.a.encode_special_tokens = True
-        self.b = SentencePieceProcessor(model_file=b_path)
+        with open(a_path, encoding="utf-8") as f:
+            a = json.load(f)
+        names, split = a["model"]["vocab"], a["pre_tokenizer"]
+        merges = [tuple(m.split(" ") if isinstance(m, str) else m) for m in a["model"]["merges"]]
+        if (a["normalizer"] or split["type"] != "ByteLevel" or split["add_prefix_space"] or not split["use_regex"]
+                or any(names[x + y] != 256 + i for i, (x, y) in enumerate(merges))):
+            raise ValueError(f"{a_path}: not a plain byte-level BPE in the order of its merges")
         byte_of = {c: b for b, c in _byte_letters().items()}
-        names = [self.a.id_to_token(i) for i in range(self.a.get_vocab_size())]
-        self.a_bytes = [bytes(byte_of[c] for c in t) if all(c in byte_of for c in t) else t.encode() for t in names]
+        ranks = {bytes(byte_of[c] for c in name): i for name, i in names.items() if i < 256 + len(merges)}
+        self.a = tiktoken.Encoding("a", pat_str=BYTE_LEVEL, mergeable_ranks=ranks, special_tokens={})
+        self.a_bytes = [raw for raw, _ in sorted(ranks.items(), key=lambda x: x[1])]
+        self.b = SentencePieceProcessor(model_file=b_path)
         pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
         if any("\n" in p or "▁" in p.lstrip("▁") for p in pieces):
             raise ValueError(f"{b_path}: pieces cross spaces or line feeds")
         self.b_bytes = [bytes([int(p[3:5], 16)]) if re.fullmatch("<0x[0-9A-F]{2}>", p)
                         else p.replace("▁", " ").encode() for p in pieces]
         self.a_len, self.b_len = (np.array(list(map(len, x))) for x in (self.a_bytes, self.b_bytes))
+        self.a_type, self.b_type = (np.min_scalar_type(len(x) - 1) for x in (self.a_bytes, pieces))
         # an id as it is written within and at the end of its side of a group
-        self.written = [f"{i}{end}" for n, ends in ((len(names), ",|"), (len(pieces), ",;"))
-                        for end in ends for i in range(n)]
-
-    def ids(self, stretches: list[str]) -> tuple[list[list[int]], list[list[int]]]:
-        a = [e.ids for e in self.a.encode_batch(stretches, add_special_tokens=False)]
-        # a line feed before keeps the model from adding a space to the stretch
-        b = [x[2:] for x in self.b.encode(["\n" + s for s in stretches], num_threads=1)]
-        return a, b
-
-    def aligned(self, stretches: list[str], with_groups: bool):
-        """(good, n_a, n_b, n_groups, n_links, pairs of all good ones in a row,
-        groups as written): a value for each stretch."""
-        a_ids, b_ids = self.ids(stretches)
-        a_of, b_of = self.a_bytes.__getitem__, self.b_bytes.__getitem__
-        raw = [s.encode() for s in stretches]
-        good = [b"".join(map(a_of, x)) == r == b"".join(map(b_of, y))
-                for r, x, y in zip(raw, a_ids, b_ids, strict=True)]
-        a_ids = [x if g else [] for x, g in zip(a_ids, good, strict=True)]
-        b_ids = [x if g else [] for x, g in zip(b_ids, good, strict=True)]
-        n_a, n_b = np.array(list(map(len, a_ids))), np.array(list(map(len, b_ids)))
-        a = np.fromiter(chain.from_iterable(a_ids), np.int64, int(n_a.sum()))
-        b = np.fromiter(chain.from_iterable(b_ids), np.int64, int(n_b.sum()))
-        a_end, b_end = np.cumsum(self.a_len[a]), np.cumsum(self.b_len[b])
-        ends = np.union1d(a_end, b_end)
-        ia, ib = np.searchsorted(a_end, ends), np.searchsorted(b_end, ends)
-        pairs = a[ia] * len(self.b_len) + b[ib]
-        common = (a_end[ia] == ends) & (b_end[ib] == ends)
-        of = np.searchsorted(np.cumsum([len(r) * g for r, g in zip(raw, good, strict=True)]), ends)
-        count = len(stretches)
-        n_links, n_groups = np.bincount(of, minlength=count), np.bincount(of[common], minlength=count)
-        groups = [""] * count
-        if with_groups:
-            at = ends[common]
-            ga, gb = np.searchsorted(at, a_end), np.searchsorted(at, b_end)
-            last_a, last_b = (np.append(g[1:] != g[:-1], True)[:len(g)] for g in (ga, gb))
-            size_a, size_b = len(self.a_len), len(self.b_len)
-            code = np.concatenate([a + size_a * last_a, 2 * size_a + b + size_b * last_b])
-            order = np.argsort(np.concatenate([2 * ga, 2 * gb + 1]), kind="stable")
-            text = list(map(self.written.__getitem__, code[order].tolist()))
-            cuts = [0, *accumulate((n_a + n_b).tolist())]
-            groups = ["".join(text[i:j]) for i, j in zip(cuts, cuts[1:], strict=False)]
-        return good, n_a, n_b, n_groups, n_links, pairs, groups
+        self.written = [f"{i}{end}" for x, ends in ((self.a_bytes, ",|"), (pieces, ",;"))
+                        for end in ends for i in range(len(x))]
+
+    def ids(self, *texts: str) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of texts with line feeds between them; B reads a few at a time,
+        which is faster."""
+        # a line feed before keeps the model from adding a space
+        some = ["\n" + "\n".join(texts[i:i + FEW]) for i in range(0, len(texts), FEW)]
+        b = self.b.encode(some, num_threads=1)
+        return (np.array(self.a.encode_ordinary("\n".join(texts)), np.int64),
+                np.fromiter(chain(b[0][2:], *(x[1:] for x in b[1:])), np.int64))
+
+    def _is(self, a: np.ndarray, b: np.ndarray, raw: bytes) -> bool:
+        return raw == b"".join(map(self.a_bytes.__getitem__, a.tolist())) == b"".join(
+            map(self.b_bytes.__getitem__, b.tolist()))
+
+    def _together(self, stretches: list[str], raw: list[bytes]) -> tuple[np.ndarray, np.ndarray] | None:
+        """Ids of plain stretches, one after the other, from one call; None if
+        the bytes do not come out right."""
+        a, b = self.ids(*stretches)
+        feeds = np.cumsum([len(r) + 1 for r in raw])[:-1]  # where the line feeds between them end
+        kept = []
+        for ids, size in ((a, self.a_len), (b, self.b_len)):
+            ends = np.cumsum(size[ids])
+            at = np.searchsorted(ends, feeds)
+            if not len(ids) or (at >= len(ids)).any() or (ends[at] != feeds).any() or (size[ids[at]] != 1).any():
+                return None
+            kept.append(np.delete(ids, at))
+        return (kept[0], kept[1]) if self._is(*kept, b"".join(raw)) else None
+
+    def aligned(self, stretches: list[str]):
+        """The stretches in another order, and for each (good, n_a, n_b, n_links);
+        the ids and the pairs of all good ones in a row."""
+        plain = [s for s in stretches if _PLAIN.fullmatch(s) and "▁" not in s]
+        raw = [s.encode() for s in plain]
+        done = self._together(plain, raw) if plain else (np.empty(0, np.int64),) * 2
+        if done is None:
+            plain, raw, done = [], [], (np.empty(0, np.int64),) * 2
+        parts, good, first = [done], [True] * len(plain), set(plain)
+        odd = [s for s in stretches if s not in first]
+        for s in odd:
+            a, b = self.ids(s)
+            good.append(self._is(a, b, s.encode()))
+            if good[-1]:
+                parts.append((a, b))
+        stretches = plain + odd
+        a, b = (np.concatenate(x) for x in zip(*parts, strict=True))
+        raw += [s.encode() for s in odd]
+        size = np.cumsum([len(r) * g for r, g in zip(raw, good, strict=True)])
+        links = Links(a, b, self.a_len, self.b_len)
+        counts = (np.diff(np.searchsorted(ends, size, "right"), prepend=0)
+                  for ends in (links.a_end, links.b_end, links.ends))
+        return stretches, good, *counts, a, b, links.pairs
+
+
+class Links:
+    """The links of A's and B's ids of the same bytes, in their order. A link
+    stands for the bytes between two neighbouring ends of tokens of either side,
+    which lie in one token of each."""
+
+    def __init__(self, a: np.ndarray, b: np.ndarray, a_len: np.ndarray, b_len: np.ndarray) -> None:
+        self.a, self.b, self.a_end, self.b_end = a, b, np.cumsum(a_len[a]), np.cumsum(b_len[b])
+        mark = np.zeros(int(self.a_end[-1]) + 1 if len(a) else 1, np.uint8)
+        mark[self.a_end] = 1
+        mark[self.b_end] += 2
+        self.ends = np.flatnonzero(mark)
+        sides = mark[self.ends]
+        self.of_a, self.of_b, self.common = sides & 1 > 0, sides > 1, sides == 3
+        # ends of the same side before this one: the token that the link lies in
+        at_a, at_b = (np.cumsum(x) - x for x in (self.of_a, self.of_b))
+        self.pairs = a[at_a].astype(np.int64) * len(b_len) + b[at_b]
+
+    def written(self, size_a: int, size_b: int) -> np.ndarray:
+        """All ids, group by group, A's before B's, as places in
+        ``Tokenizers.written``."""
+        group = np.cumsum(self.common) - self.common
+        until_a, until_b = (np.concatenate([[0], np.cumsum(x)[self.common]]) for x in (self.of_a, self.of_b))
+        out = np.empty(len(self.a) + len(self.b), np.int64)
+        out[np.arange(len(self.a)) + until_b[group[self.of_a]]] = self.a + size_a * self.common[self.of_a]
+        out[np.arange(len(self.b)) + until_a[group[self.of_b] + 1]] = (
+            2 * size_a + self.b + size_b * self.common[self.of_b])
+        return out
 
 
 class PerfectHash:
@@ -249,20 +324,21 @@ class _Worker:
         self.t = _tokenizers(paths)
         self.known: dict = {}
 
-    def values(self, texts: list[list[str]], learn) -> list[list]:
-        get = self.known.get
-        values = [list(map(get, ss)) for ss in texts]
-        new = list({s for ss, vs in zip(texts, values, strict=True) if None in vs
-                    for s, v in zip(ss, vs, strict=True) if v is None})
-        found = {}
-        for i in range(0, len(new), 20_000):
-            found.update(zip(new[i:i + 20_000], learn(new[i:i + 20_000]), strict=True))
-        for k, (ss, vs) in enumerate(zip(texts, values, strict=True)):
-            if None in vs:
-                values[k] = [found[s] if v is None else v for s, v in zip(ss, vs, strict=True)]
-        if len(self.known) + len(found) > CACHED:
-            self.known = {}
-        self.known.update((s, v) for s, v in found.items() if len(s) <= CACHED_CHARS)
+    def values(self, texts: list[list], learn) -> list[list]:
+        """What ``learn`` gives for the stretches of each text, by their keys."""
+        known = self.known
+        new = {k for keys in texts for k in keys if k not in known}
+        if len(known) + len(new) > CACHED:
+            known = self.known = {}
+            new = set(chain.from_iterable(texts))
+        keys = list(new)
+        for i in range(0, len(keys), 20_000):
+            of = {_stretch(k): k for k in keys[i:i + 20_000]}
+            known.update((of[s], v) for s, v in learn(list(of)))
+        values = [list(map(known.__getitem__, ks)) for ks in texts]
+        for k in new:
+            if len(k) > CACHED_CHARS or isinstance(k, tuple) and len(k[0]) > CACHED_CHARS:
+                del known[k]
         return values
 
 
@@ -287,45 +363,62 @@ def _summed(pairs: list[np.ndarray], docs: list[np.ndarray]) -> tuple[np.ndarray
 
 
 def _first_pass(paths: tuple[str, str], job: str):
-    """(pair, docs): a task's counts."""
-    def learn(stretches: list[str]) -> list[bytes]:
-        good, _, _, _, n_links, pairs, _ = _tokenizers(paths).aligned(stretches, False)
-        cuts = [0, *accumulate(n_links.tolist())]
-        return [pairs[i:j].tobytes() if g else _BAD for g, i, j in zip(good, cuts, cuts[1:], strict=False)]
-
-    def pairs_of(values: list[list[bytes]]) -> np.ndarray:
-        """Distinct pairs of a document, given by its parts."""
-        distinct = set(chain.from_iterable(values))
-        if _BAD in distinct:
-            return np.empty(0, np.int64)
-        return np.unique(np.frombuffer(b"".join(distinct), np.int64))
-
-    def rows(pairs, docs):
+    """Rows of documents (row, no, a, b: their ids as bytes), and a task's counts
+    in rows of their own (pair, docs)."""
+    fields = [("no", pa.int64()), ("a", pa.binary()), ("b", pa.binary()), ("pair", pa.int64()), ("docs", pa.int64())]
+
+    def learn(stretches: list[str]):
+        t = _tokenizers(paths)
+        stretches, good, n_a, n_b, n_links, a, b, pairs = t.aligned(stretches)
+        sides = []
+        for ids, n, kind in ((a, n_a, t.a_type), (b, n_b, t.b_type), (pairs, n_links, np.dtype(np.int64))):
+            raw, cuts = ids.astype(kind).tobytes(), [0, *accumulate((kind.itemsize * n).tolist())]
+            sides.append([raw[i:j] for i, j in zip(cuts, cuts[1:], strict=False)])
+        return ((s, v if g else _BAD) for s, g, v in zip(stretches, good, zip(*sides, strict=True), strict=True))
+
+    def of_document(parts: list[list[tuple]]) -> tuple[bytes, bytes, np.ndarray]:
+        """Ids of a document, given by its parts, and its distinct pairs."""
+        values = list(chain.from_iterable(parts))
+        distinct = set(values)
+        if _BAD in distinct or not values:
+            return b"", b"", np.empty(0, np.int64)
+        return (b"".join([v[0] for v in values]), b"".join([v[1] for v in values]),
+                np.unique(np.frombuffer(b"".join([v[2] for v in distinct]), np.int64)))
+
+    def counts(schema, pairs, docs):
         for i in range(0, len(pairs), SLICE):
-            yield pa.RecordBatch.from_arrays([pa.array(pairs[i:i + SLICE]), pa.array(docs[i:i + SLICE])],
-                                             names=["pair", "docs"])
+            n = len(pairs[i:i + SLICE])
+            yield pa.RecordBatch.from_arrays(
+                [pa.nulls(n, f.type) for f in schema][:4] + [pa.array(pairs[i:i + SLICE]), pa.array(docs[i:i + SLICE])],
+                schema=schema)
 
     def run(batches):
         worker = _worker(paths, job)
+        no = TaskContext.get().partitionId() << 40
         pairs, docs, held = [], [], 0
-        for b in batches:
-            for _, _, data, off in blocks(b.column("body"), PART):
-                texts = [[_STRETCH.findall(p) for p in _parts(" " + t)] for t in _texts(data, off) if t]
+        for batch in batches:
+            schema = pa.schema([batch.schema.field("row"), *fields])
+            for i, j, data, off in blocks(batch.column("body"), PART):
+                texts = [[_keys(p) for p in _parts(t)] if t else [] for t in _texts(data, off)]
                 values = iter(worker.values([p for ps in texts for p in ps], learn))
-                found = [pairs_of([next(values) for _ in ps]) for ps in texts]
-                if found:
-                    keys, n = np.unique(np.concatenate(found), return_counts=True)
-                    pairs.append(keys)
-                    docs.append(n)
-                    held += len(keys)
+                a, b, found = zip(*[of_document([next(values) for _ in ps]) for ps in texts], strict=True)
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("row").slice(i, j - i), pa.array(range(no, no + j - i), pa.int64()),
+                     pa.array(a, pa.binary()), pa.array(b, pa.binary()),
+                     pa.nulls(j - i, pa.int64()), pa.nulls(j - i, pa.int64())], schema=schema)
+                no += j - i
+                keys, n = np.unique(np.concatenate(found), return_counts=True)
+                pairs.append(keys)
+                docs.append(n)
+                held += len(keys)
                 if held > HELD:
                     keys, n = _summed(pairs, docs)
                     pairs, docs, held = [keys], [n], len(keys)
                     if held > HELD // 2:
-                        yield from rows(keys, n)
+                        yield from counts(schema, keys, n)
                         pairs, docs, held = [], [], 0
         if held:
-            yield from rows(*_summed(pairs, docs))
+            yield from counts(schema, *_summed(pairs, docs))
     return run
 
 
@@ -361,44 +454,37 @@ def _added(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
 
 
 _NUMBERS = ["n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum"]
-_NONE = [0, 0, 0, 0, 0, 0, "", ""]
 
 
-def _second_pass(paths: tuple[str, str], job: str, shipped, with_groups: bool):
-    """The documents' own numbers, looked up in the shards held."""
+def _second_pass(paths: tuple[str, str], shipped, with_groups: bool):
+    """The documents' own numbers: their ids aligned again, and every link looked
+    up in the shards held."""
     fields = [(n, pa.int64()) for n in _NUMBERS] + [("groups_sha256", pa.string())] + [
         ("groups", pa.string())] * with_groups
 
-    def learn(stretches: list[str]) -> list[tuple]:
-        good, n_a, n_b, n_groups, n_links, pairs, groups = _tokenizers(paths).aligned(stretches, True)
-        count, best = shipped.value.looked_up(pairs)
-        of = np.repeat(np.arange(len(stretches)), n_links)
-        n_best = np.bincount(of[best], minlength=len(stretches))
-        sums = np.concatenate([[0], np.cumsum(count)])
-        ends = np.cumsum(n_links)
-        count_sum = sums[ends] - sums[ends - n_links]
-        n_a[~np.array(good)] = -1
-        return list(zip(n_a.tolist(), n_b.tolist(), n_groups.tolist(), n_links.tolist(), n_best.tolist(),
-                        count_sum.tolist(), groups, strict=True))
-
-    def result(parts: list[list[tuple]]) -> list:
-        columns = list(zip(*chain.from_iterable(parts), strict=True))
-        if not columns or min(columns[0]) < 0:
-            return _NONE
-        groups = "".join(columns[6])[:-1]
-        return [*map(sum, columns[:6]), hashlib.sha256(groups.encode()).hexdigest(), groups]
-
     def run(batches):
-        worker = _worker(paths, job)
-        for b in batches:
-            out: list[list] = []
-            for _, _, data, off in blocks(b.column("body"), PART):
-                texts = [[_STRETCH.findall(p) for p in _parts(" " + t)] if t else [] for t in _texts(data, off)]
-                values = iter(worker.values([p for ps in texts for p in ps], learn))
-                out += [result([next(values) for _ in ps]) for ps in texts]
-            arrays = [pa.array([r[k] for r in out], t) for k, (_, t) in enumerate(fields)]
+        t, shards = _tokenizers(paths), shipped.value
+        for batch in batches:
+            columns: list[list] = [[] for _ in range(8)]
+            for i, j, raw_a, off_a in blocks(batch.column("a"), PART):
+                _, _, raw_b, off_b = next(blocks(batch.column("b").slice(i, j - i), 1 << 62))
+                a, b = raw_a.view(t.a_type).astype(np.int64), raw_b.view(t.b_type).astype(np.int64)
+                until_a, until_b = off_a // t.a_type.itemsize, off_b // t.b_type.itemsize
+                links = Links(a, b, t.a_len, t.b_len)
+                until = np.searchsorted(links.ends, np.concatenate([[0], links.a_end])[until_a], "right")
+                count, best = shards.looked_up(links.pairs)
+                summed = lambda x: np.concatenate([[0], np.cumsum(x)])[until]  # noqa: B023, E731
+                numbers = [until_a, until_b, summed(links.common), until, summed(best), summed(count)]
+                for c, x in zip(columns, numbers, strict=False):
+                    c += np.diff(x).tolist()
+                text = list(map(t.written.__getitem__, links.written(len(t.a_len), len(t.b_len)).tolist()))
+                cuts = (until_a + until_b).tolist()
+                groups = ["".join(text[x:y])[:-1] for x, y in zip(cuts, cuts[1:], strict=False)]
+                columns[6] += [hashlib.sha256(g.encode()).hexdigest() if g else "" for g in groups]
+                columns[7] += groups if with_groups else []
+            arrays = [pa.array(c, kind) for c, (_, kind) in zip(columns, fields, strict=False)]
             yield pa.RecordBatch.from_arrays(
-                [b.column("row"), pa.StructArray.from_arrays(arrays, fields=[pa.field(*f) for f in fields])],
+                [batch.column("row"), pa.StructArray.from_arrays(arrays, fields=[pa.field(*f) for f in fields])],
                 names=["row", "align"])
     return run
 
@@ -414,25 +500,24 @@ def align(docs: DataFrame, a_path: str, b_path: str, text_col: str = "text", car
     src = docs.select(F.struct(*[F.col(c) for c in keep]).alias("row"), F.col(text_col).cast("string").alias("body"))
     n_b = _tokenizers(paths).b.get_piece_size()
 
-    partial = work.stored(src.select("body").mapInArrow(_first_pass(paths, job), "pair long, docs long"), "partial")
+    first = T.StructType([T.StructField("row", src.schema["row"].dataType), *[T.StructField(n, k()) for n, k in (
+        ("no", T.LongType), ("a", T.BinaryType), ("b", T.BinaryType), ("pair", T.LongType), ("docs", T.LongType))]])
+    met = work.stored(src.mapInArrow(_first_pass(paths, job), first), "met")
+    partial, rows = met.filter("pair is not null").select("pair", "docs"), met.filter("pair is null")
     distinct = work.stored(partial.select("pair").distinct(), "distinct")
     n_shards = max(1, -(-distinct.count() // shard_pairs))
     shard = (F.expr(f"pair div {n_b}") % n_shards).cast("int").alias("shard")
     hashes = work.stored(distinct.select("pair", shard).groupBy("shard").applyInArrow(
         _hashed, "shard int, sizes array<long>, bits binary, keys binary"), "hashes")
+    work.drop("distinct")
     held = partial.select("pair", "docs", shard)
     vector = "shard int, slice int, part int, vector binary"
 
-    align_type = T.StructType([*[T.StructField(n, T.LongType()) for n in _NUMBERS],
-                               T.StructField("groups_sha256", T.StringType()),
-                               *[T.StructField("groups", T.StringType())] * with_groups])
-    schema = T.StructType([src.schema["row"], T.StructField("align", align_type)])
-    passes = [list(range(i, min(n_shards, i + pass_shards))) for i in range(0, n_shards, pass_shards)]
-    if len(passes) > 1:  # a number for each row, by which the passes' results are added up
-        src = work.stored(src.withColumn("no", F.monotonically_increasing_id()), "rows")
+    numbers = [*[T.StructField(n, T.LongType()) for n in _NUMBERS], T.StructField("groups_sha256", T.StringType())]
+    groups = [T.StructField("groups", T.StringType())]
     results = []
-    for k, mine in enumerate(passes):
-        here = F.col("shard").isin(mine)
+    for k, at in enumerate(range(0, n_shards, pass_shards)):
+        here = F.col("shard").between(at, at + pass_shards - 1)
         shards = Shards(hashes.filter(here).toArrow().to_pylist(), n_shards, n_b)
         shipped = spark.sparkContext.broadcast(shards)
         tree = held.filter(here).select("pair", "docs").mapInArrow(_dense(shipped), vector)
@@ -440,20 +525,16 @@ def align(docs: DataFrame, a_path: str, b_path: str, text_col: str = "text", car
             tree = tree.groupBy(*keys).applyInArrow(_added, vector)
         counted = spark.sparkContext.broadcast(shards.filled(tree.toArrow().to_pylist()))
         shipped.destroy()
-        rows = src if len(passes) == 1 else src.select(
-            F.struct("no", *(["row"] if not k else [])).alias("row"), "body")
-        made = T.StructType([rows.schema["row"], schema["align"]])
-        results.append(rows.mapInArrow(
-            _second_pass(paths, f"{job}-{k}", counted, with_groups and not k), made if not k else T.StructType(
-                [rows.schema["row"], T.StructField("align", T.StructType(
-                    [f for f in align_type if f.name != "groups"]))])))
-    if len(passes) == 1:
+        # later passes only add to the numbers of the first
+        texts = with_groups and not k
+        read = rows.select("row" if n_shards <= pass_shards else F.struct(
+            "no", *(["row"] if not k else [])).alias("row"), "a", "b")
+        results.append(read.mapInArrow(_second_pass(paths, counted, texts), T.StructType(
+            [read.schema["row"], T.StructField("align", T.StructType(numbers + groups * texts))])))
+    if len(results) == 1:
         return results[0].select("row.*", "align")
     whole = results[0].select("row.no", "row.row", "align")
-    more = [r.select("row.no", "align.n_best", "align.count_sum") for r in results[1:]]
-    rest = more[0]
-    for r in more[1:]:
-        rest = rest.union(r)
+    rest = reduce(DataFrame.union, [r.select("row.no", "align.n_best", "align.count_sum") for r in results[1:]])
     rest = rest.groupBy("no").agg(F.sum("n_best").alias("n_best"), F.sum("count_sum").alias("count_sum"))
     return whole.join(rest, "no").select("row.*", F.col("align").withField(
         "n_best", F.col("align.n_best") + F.col("n_best")).withField(
