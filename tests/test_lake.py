@@ -192,3 +192,36 @@ def test_subtotals_of_a_month_do_not_depend_on_others(spark):
     alone = M.trade_subtotals(one).collect()
     whole = M.trade_subtotals(fact).filter("sk_data = 199803").collect()
     assert sorted(map(str, alone)) == sorted(map(str, whole)) and alone
+
+
+# --------------------------------------------------------------------------- layouts that joins use
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_report_of_some_years_reads_their_folders(spark):
+    g = QG.stored(spark, SF_SMALL)
+    fact = QL.fact_by_year(spark, g["ft_balanco_comercial"])
+    report = M.mart_years(fact, g["dim_data"], 1998, 1998)
+    assert report._jdf.queryExecution().toString().count("dynamicpruningexpression(ano_ref") or (
+        "dynamicpruning#" in report._jdf.queryExecution().optimizedPlan().toString())
+    assert {r["ano"] for r in report.collect()} == {1998}
+
+
+def test_bucketed_tables_join_without_a_shuffle(spark):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        places, firms = QL.bucketed_registry(spark, SF_SMALL)
+        joined = M.establishment_distribution(places, firms, QG.S.cnaes(spark, SF_SMALL), QG.S.ACTIVE_STATUS)
+        plan = _plan(joined)
+        at = plan.index("SortMergeJoin [cnpj_basico")
+        below = plan[at:].split("HashAggregate(keys=[c_mktsegment")[0].split("Exchange hashpartitioning(cnae")[0]
+        assert "Exchange" not in below and below.count("Bucketed: true") == 2
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_the_vocation_of_a_state_reads_its_folder(spark):
+    plan = _plan(QG.q_mart_state_vocation(spark, SF_SMALL))
+    assert "PartitionFilters: [isnotnull(uf" in plan and "Join" not in plan

@@ -86,3 +86,34 @@ def test_schema_evolution_on_restart(spark, tmp_path):
     back = spark.read.option("mergeSchema", "true").parquet(str(out / "data"))
     rows = {r["k"]: r["w"] for r in back.collect()}
     assert rows == {"1": None, "2": None, "3": "extra"}
+
+
+def test_rows_of_many_batches_are_counted_as_they_end(spark, tmp_path):
+    """Two numbers for a query, whatever the number of its batches."""
+    src = tmp_path / "src"
+    src.mkdir()
+    for k in range(12):
+        _file(src / f"EXP_20{k:02d}.csv", _rows(k + 1, 2000 + k))
+    one = {**LANDING_OPTIONS, "maxFilesPerTrigger": "1"}
+    stream = ST.file_stream(spark, str(src), source_schema("EXPO_2021"), "csv", "EXP_*.csv", one)
+    seen = []
+    with ST.listening(spark) as listener:
+        assert ST.run_foreach_batch(stream, str(tmp_path / "c"), lambda df, k: seen.append(df.count())) == 78
+    assert sorted(seen) == list(range(1, 13))
+    assert sorted(listener.rows.values()) == [78] and sorted(listener.batches.values()) == [12]
+    assert ST.run_foreach_batch(stream, str(tmp_path / "c"), lambda df, k: seen.append(df.count())) == 0
+
+
+def test_each_query_has_its_own_rows(spark, tmp_path):
+    from concurrent.futures import ThreadPoolExecutor
+    for k in (1, 2, 3):
+        (tmp_path / f"s{k}").mkdir()
+        _file(tmp_path / f"s{k}" / "EXP_2020.csv", _rows(10 * k, 2020))
+
+    def run(k):
+        stream = ST.file_stream(spark, str(tmp_path / f"s{k}"), source_schema("EXPO_2021"), "csv", "EXP_*.csv",
+                                LANDING_OPTIONS)
+        return ST.run_available_now(stream, str(tmp_path / f"d{k}"), str(tmp_path / f"c{k}"))
+
+    with ThreadPoolExecutor(3) as pool:
+        assert list(pool.map(run, (1, 2, 3))) == [10, 20, 30]

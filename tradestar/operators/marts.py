@@ -53,6 +53,18 @@ def mart_quarterly_exports(fact: DataFrame, dim_date: DataFrame) -> DataFrame:
             .orderBy(F.desc("ano"), F.desc("trimestre")))
 
 
+def mart_years(fact: DataFrame, dim_date: DataFrame, first_year: int, last_year: int) -> DataFrame:
+    """Flows by quarter of some years, from a fact partitioned by ``ano_ref``.
+    The years are named on the dimension alone; the join on the partition column
+    lets Spark prune the fact's folders by what the dimension's filter leaves
+    (dynamic partition pruning)."""
+    months = dim_date.filter(F.col("ano").between(first_year, last_year)).select(
+        "sk_data", F.col("ano").alias("ano_ref"), "trimestre")
+    by_month = fact.groupBy("ano_ref", "sk_data", "tipo_movimentacao").agg(_sum("valor_fob", "v"))
+    return (by_month.join(months, ["ano_ref", "sk_data"])
+            .groupBy(F.col("ano_ref").alias("ano"), "trimestre", "tipo_movimentacao").agg(_sum("v", "valor_total")))
+
+
 def mart_top_products(fact: DataFrame, dim_product: DataFrame, sk_from: int, sk_to: int,
                       k: int = 10) -> DataFrame:
     """Top-k exported products by value in a month-key range (top-k is the

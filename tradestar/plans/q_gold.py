@@ -286,7 +286,8 @@ def q_establishment_distribution(spark, d):
 
 @register("mart_state_vocation", VOCATION_SQL, raw_sql=True)
 def q_mart_state_vocation(spark, d):
-    return M.mart_state_vocation(distribution_of(spark, d), VOCATION_STATE, TOP_K)
+    """From the stored distribution, of which only the state's folder is read."""
+    return M.mart_state_vocation(stored(spark, d)["dim_distribuicao_estabelecimentos"], VOCATION_STATE, TOP_K)
 
 
 @register("union_missing_columns", "SELECT * FROM (" + """

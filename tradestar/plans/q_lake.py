@@ -239,3 +239,41 @@ def q_trade_subtotals(spark, d):
     for rows in (fact.filter(~late), fact.filter(changed)):
         SK.write_snapshot(M.trade_subtotals(rows), path, ["sk_data"], "parquet")
     return spark.read.parquet(path).withColumn("sk_data", F.col("sk_data").cast("long"))
+
+
+# --------------------------------------------------------------------------- layouts that joins use
+@register("mart_years_pruned", f"""
+SELECT ano, trimestre, tipo_movimentacao, CAST(sum(valor_fob) AS DECIMAL(38,2)) AS valor_total
+FROM fact JOIN dim_data USING (sk_data) WHERE ano BETWEEN {QG.MIN_YEAR} AND {QG.MIN_YEAR + 1} GROUP BY ALL""")
+def q_mart_years_pruned(spark, d):
+    """A report of two years over a fact stored by year: the years are named on
+    the date dimension, and only their folders are read."""
+    g = QG.stored(spark, d)
+    return M.mart_years(fact_by_year(spark, g["ft_balanco_comercial"]), g["dim_data"], QG.MIN_YEAR, QG.MIN_YEAR + 1)
+
+
+def fact_by_year(spark, fact: DataFrame) -> DataFrame:
+    path = scratch_path(spark, "by_year")
+    year = F.floor(F.col("sk_data") / 100).cast("int")
+    SK.overwrite_table(fact.withColumn("ano_ref", year).hint("rebalance", "ano_ref"), path, ["ano_ref"], "parquet")
+    return spark.read.parquet(path)
+
+
+REGISTRY_BUCKETS = 8
+
+
+def bucketed_registry(spark, d) -> tuple[DataFrame, DataFrame]:
+    """Establishments and companies published in buckets by company key."""
+    root = scratch_path(spark, "registry")
+    database = f"reg_{root.rsplit('/', 1)[-1]}"
+    spark.sql(f"CREATE DATABASE {database} LOCATION '{root}/db'")
+    for name, df in (("estabelecimentos", S.estabelecimentos(spark, d)), ("empresas", S.empresas(spark, d))):
+        PB.publish(df, f"{database}.{name}", f"{root}/data", buckets=REGISTRY_BUCKETS, bucket_by=["cnpj_basico"])
+    return spark.table(f"{database}.estabelecimentos"), spark.table(f"{database}.empresas")
+
+
+@register("registry_bucketed", "SELECT * FROM distribuicao")
+def q_registry_bucketed(spark, d):
+    """The distribution from bucketed tables: no shuffle below the join."""
+    places, firms = bucketed_registry(spark, d)
+    return M.establishment_distribution(places, firms, S.cnaes(spark, d), S.ACTIVE_STATUS)

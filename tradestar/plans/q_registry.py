@@ -19,9 +19,11 @@ from pyspark.sql import functions as F
 from tradestar.operators import marts as M
 from tradestar.operators import resolve as R
 from tradestar.operators import silver as SV
+from tradestar.plans import pipeline as P
 from tradestar.plans.registry import register
 from tradestar.session import scratch_path
 from tradestar.sources import archives as A
+from tradestar.sources import files as FS
 from tradestar.sources import standins as S
 
 BROKEN_NATION, BROKEN = 24, "Arquivo24_quebrado.zip"
@@ -38,10 +40,11 @@ def _written(path: str, content: bytes) -> None:
         out.write(content)
 
 
-def _archives(lines: DataFrame, extension: str, members: int = 1) -> DataFrame:
+def _archives(lines: DataFrame, extension: str, members: int = 1, prefix: str = "Arquivo",
+              folder: str | None = None) -> DataFrame:
     """The listing of ZIP files made of (nation, n, line), one for each nation
     and range of n, whose lines are dealt to ``members`` members by n."""
-    folder = scratch_path(lines.sparkSession, "archives")
+    folder = folder or scratch_path(lines.sparkSession, "archives")
 
     def zipped(key: tuple[Any, ...], pdf: pd.DataFrame) -> pd.DataFrame:
         nation, block = int(key[0]), int(key[1])
@@ -52,9 +55,9 @@ def _archives(lines: DataFrame, extension: str, members: int = 1) -> DataFrame:
             for part, rows in pdf.sort_values("n").groupby(pdf["n"] % members):
                 z.writestr(f"K{nation}_{block}_{part}.{extension}",
                            ("\n".join(rows["line"]) + "\n").encode("ISO-8859-1"))
-        _written(f"{folder}/Arquivo{nation}_{block}.zip", buf.getvalue())
+        _written(f"{folder}/{prefix}{nation}_{block}.zip", buf.getvalue())
         if (nation, block) == (BROKEN_NATION, 0):
-            _written(f"{folder}/{BROKEN}", b"not a zip")
+            _written(f"{folder}/{BROKEN.replace('Arquivo', prefix)}", b"not a zip")
         return pd.DataFrame({"rows": [len(pdf)]})
 
     block = F.floor(F.col("n") / KEYS).alias("block")
@@ -145,3 +148,38 @@ def q_registry_job(spark, d):
     cnaes = S.table(spark, d, "customer").select(
         F.col("c_mktsegment").alias("cnae"), F.lower("c_mktsegment").alias("descricao")).distinct()
     return M.establishment_distribution(place, firm, cnaes, S.ACTIVE_STATUS)
+
+
+@register("registry_stream", f"""
+SELECT 'trusted' AS tabela, CAST(c_custkey AS VARCHAR) AS codigo_motivo, upper(c_name) AS descricao,
+       upper('Motivos' || {_ARCHIVE} || '.zip') AS file_source FROM customer
+UNION ALL SELECT 'rejeitos', NULL, 'BadZipFile(''File is not a zip file'')', '{BROKEN.replace('Arquivo', 'Motivos')}'
+UNION ALL SELECT 'relatorio', CAST(count(*) AS VARCHAR), 'OK', 'bronze/motivos' FROM customer
+UNION ALL SELECT 'relatorio', '0', 'SEM_NOVOS', 'bronze/motivos'
+UNION ALL SELECT 'relatorio', '1', 'ERRO', 'bronze/motivos/lote_1/arquivos'""", raw_sql=True)
+def q_registry_stream(spark, d):
+    """The job's archive stream over two arrivals and a third run without one:
+    members chosen, named by layout, cleaned; the broken archive listed; the
+    run report of the job."""
+    root = scratch_path(spark, "registry_stream")
+    lake = P.Lake(f"{root}/lake")
+    c = S.table(spark, d, "customer").select(
+        F.col("c_nationkey").alias("nation"), F.col("c_custkey").alias("n"),
+        _quoted(F.col("c_custkey").cast("string"), F.col("c_name")).alias("line"))
+    for arrival in (F.col("nation") < 12, F.col("nation") >= 12, None):
+        if arrival is not None:
+            _archives(c.filter(arrival), "MOTIVOS", prefix="Motivos", folder=f"{root}/landing").count()
+        P.bronze_registry(spark, f"{root}/landing", lake, ["MOTIVOS"])
+    P.silver_registry(spark, lake, ["MOTIVOS"])
+    trusted = FS.read_table(spark, lake.path("trusted", P.REGISTRY, "motivos")).select(
+        F.lit("trusted").alias("tabela"), "codigo_motivo", "descricao", "file_source")
+    bad = FS.read_table(spark, lake.path("raw", P.REGISTRY, "_rejeitos/motivos")).select(
+        F.lit("rejeitos").alias("tabela"), F.lit(None).cast("string").alias("codigo_motivo"),
+        F.col("erro").alias("descricao"), F.col("arquivo_zip").alias("file_source"))
+    report = lake.report(spark).filter("camada = 'bronze'")
+    whole = report.filter("entidade = 'motivos'").groupBy("status").agg(F.sum("linhas").alias("linhas"))
+    lines = whole.select("linhas", "status", F.lit("motivos").alias("entidade")).unionByName(
+        report.filter("entidade <> 'motivos'").select("linhas", "status", "entidade"))
+    return trusted.unionByName(bad).unionByName(lines.select(
+        F.lit("relatorio").alias("tabela"), F.col("linhas").cast("string").alias("codigo_motivo"),
+        F.col("status").alias("descricao"), F.concat(F.lit("bronze/"), "entidade").alias("file_source")))

@@ -7,6 +7,9 @@ checkpoint directory (``spark.checkpoint.dir``), then return the read-back.
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tradestar.layouts import COMPACTION_TARGET_BYTES, TRADE_LAYOUTS, layout_rows
@@ -327,6 +330,47 @@ def q_list_entities(spark, d):
     return FS.entities_of(page_listing(spark, d))
 
 
+@register("list_known_entities", f"""
+SELECT DISTINCT pasta AS entidade FROM ({LISTING_SQL}) f WHERE pasta IN ('{"', '".join(EXPECTED)}')
+ORDER BY entidade""", raw_sql=True)
+def q_list_known_entities(spark, d):
+    """Folders of the listing that are entities by name."""
+    return FS.entities_of(page_listing(spark, d), EXPECTED)
+
+
+#: Files of one table in the formats that classification knows, with the
+#: delimiter that was sniffed for the text ones.
+CLASSIFIED = {"a.parquet": None, "b.json": None, "c.csv": ",", "d.txt": "|", "e.EMPRECSV": ";"}
+
+
+@register("read_by_classification", "\nUNION ALL\n".join(
+    f"SELECT '{name}' AS arquivo, CAST(o_orderkey AS VARCHAR) AS chave, o_orderpriority AS prioridade, "
+    f"{'NULL' if sep is None else chr(39) + sep + chr(39)} AS delimitador FROM orders"
+    for name, sep in CLASSIFIED.items()), raw_sql=True)
+def q_read_by_classification(spark, d):
+    """Orders written in five formats, each read back by the instructions that
+    classification derives from its name."""
+    root = scratch_path(spark, "classified")
+    rows = S.table(spark, d, "orders").select(F.col("o_orderkey").cast("string").alias("chave"),
+                                              F.col("o_orderpriority").alias("prioridade"))
+    rows.write.parquet(f"{root}/a.parquet")
+    rows.write.json(f"{root}/b.json")
+    for name, sep in CLASSIFIED.items():
+        if sep:
+            rows.write.csv(f"{root}/{name}", sep=sep, header=not name.endswith("EMPRECSV"), encoding="UTF-8")
+    names = spark.createDataFrame([(n,) for n in CLASSIFIED], "arquivo string")
+    parts = []
+    for i in sorted(R.classify_files(names).collect(), key=lambda r: r["arquivo"]):
+        sep = i["delimitador"] or CLASSIFIED[i["arquivo"]]
+        # a folder of Spark's JSON files holds one object to a line
+        df = FS.read_classified(spark, f"{root}/{i['arquivo']}", i["formato"], i["header"], sep, i["encoding"])
+        if not i["header"] and i["formato"] == "csv":
+            df = df.toDF("chave", "prioridade")
+        parts.append(df.select(F.lit(i["arquivo"]).alias("arquivo"), "chave", "prioridade",
+                               F.lit(sep).cast("string").alias("delimitador")))
+    return reduce(DataFrame.unionByName, parts)
+
+
 @register("compaction_plan", f"""
 SELECT pasta AS tabela, count(*) AS n_arquivos, CAST(sum(bytes) AS BIGINT) AS bytes,
        CAST(greatest(1, ceil(sum(bytes) / {COMPACTION_TARGET_BYTES})) AS INTEGER) AS n_alvo,

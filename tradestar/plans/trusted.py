@@ -56,7 +56,7 @@ def exp_imp(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
 
 _GOLD: dict[tuple[str, str, int], str] = {}
 GOLD_TABLES = ("ft_balanco_comercial", "dim_data", "dim_ncm", "dim_via_transporte",
-               "dim_geografia")
+               "dim_geografia", "dim_distribuicao_estabelecimentos")
 
 
 def materialize_gold(spark: SparkSession, sf_dir: str) -> str:
@@ -65,6 +65,7 @@ def materialize_gold(spark: SparkSession, sf_dir: str) -> str:
     folders) and sorted within files by (sk_data, sk_ncm) so Parquet
     statistics skip row groups on month and product filters."""
     from tradestar.operators import gold as G
+    from tradestar.operators import marts as M
     from tradestar.sources import sinks as SK
 
     key = _key(spark, sf_dir)
@@ -88,6 +89,9 @@ def materialize_gold(spark: SparkSession, sf_dir: str) -> str:
             }
             for name, df in dims.items():
                 SK.overwrite_table(df, f"{root}/{name}")
+            distribution = M.establishment_distribution(
+                S.estabelecimentos(spark, sf_dir), S.empresas(spark, sf_dir), S.cnaes(spark, sf_dir), S.ACTIVE_STATUS)
+            SK.overwrite_table(distribution.hint("rebalance", "uf"), f"{root}/dim_distribuicao_estabelecimentos", ["uf"])
             _GOLD[key] = root
     return root
 

@@ -45,15 +45,22 @@ def versions(spark: SparkSession, name: str) -> list[str]:
 
 
 def publish(df: DataFrame, name: str, root: str, partition_by: list[str] | tuple[str, ...] = (),
-            sort_by: list[str] | tuple[str, ...] = (), keep: int = 2) -> str:
+            sort_by: list[str] | tuple[str, ...] = (), keep: int = 2,
+            buckets: int = 0, bucket_by: list[str] | tuple[str, ...] = ()) -> str:
     """Make the rows of ``df`` the table ``name`` (``database.table``; the
     database must exist), stored below ``root``. ``partition_by`` are its
     folders; ``sort_by`` says how its rows are sorted within files, for
-    compaction (the rows are written as ``df`` has them). Returns the version."""
+    compaction (the rows are written as ``df`` has them). With ``buckets`` the
+    rows are dealt by the hash of ``bucket_by``, one file for each bucket, so
+    tables that are joined or grouped by these columns need no shuffle for it;
+    choose as many buckets as give files of a task's size. Returns the version."""
     spark = df.sparkSession
     version = f"{name}__v{time.time_ns():020d}_{uuid.uuid4().hex[:8]}"
     folder = f"{root.rstrip('/')}/{version.rpartition('.')[2]}"
     writer = df.write.format("parquet").option("path", folder)
+    if buckets:
+        dealt = df.repartition(buckets, *bucket_by)
+        writer = dealt.write.format("parquet").option("path", folder).bucketBy(buckets, *bucket_by).sortBy(*bucket_by)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     try:
@@ -61,7 +68,8 @@ def publish(df: DataFrame, name: str, root: str, partition_by: list[str] | tuple
     except Exception:
         drop_path(spark, folder)  # nobody has read it
         raise
-    kept = {"version": version, "root": root, "partition_by": list(partition_by), "sort_by": list(sort_by)}
+    kept = {"version": version, "root": root, "partition_by": list(partition_by), "sort_by": list(sort_by),
+            "buckets": buckets, "bucket_by": list(bucket_by)}
     properties = ", ".join(f"'{_PREFIX}{k}' = '{json.dumps(v)}'" for k, v in kept.items())
     spark.sql(f"CREATE OR REPLACE VIEW {_quoted(name)} TBLPROPERTIES ({properties}) "
               f"AS SELECT * FROM {_quoted(version)}")
@@ -86,9 +94,11 @@ def compact(spark: SparkSession, name: str, target_bytes: int = COMPACTION_TARGE
     kept = _properties(spark, name)
     version = kept["version"]
     n_files, total = files_of(spark, f"{kept['root'].rstrip('/')}/{version.rpartition('.')[2]}")
-    n = max(1, math.ceil(total / target_bytes))
+    n = max(kept["buckets"] or 1, math.ceil(total / target_bytes))
     if n_files <= n:
         return None
-    rows = ranged(spark.table(version), n, kept["partition_by"], kept["sort_by"])
-    publish(rows, name, kept["root"], kept["partition_by"], kept["sort_by"], keep)
+    rows = spark.table(version)
+    if not kept["buckets"]:
+        rows = ranged(rows, n, kept["partition_by"], kept["sort_by"])
+    publish(rows, name, kept["root"], kept["partition_by"], kept["sort_by"], keep, kept["buckets"], kept["bucket_by"])
     return n

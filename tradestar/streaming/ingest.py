@@ -8,11 +8,13 @@ an explicit schema; the file sink's log gives exactly-once output.
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Callable
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
+from pyspark.sql.streaming.listener import StreamingQueryListener
 
 from tradestar.sources.sinks import write_idempotent_batch
 
@@ -25,60 +27,82 @@ def file_stream(spark: SparkSession, path: str, schema: T.StructType | str, fmt:
     return reader.load(path)
 
 
-#: How many progress reports a query keeps; by default the oldest of many are dropped.
-_KEPT = "spark.sql.streaming.numRecentProgressUpdates"
+class RowsRead(StreamingQueryListener):
+    """Input rows of the queries started while it listens, summed as their
+    batches end: two numbers for a query, however many batches it has."""
+
+    def __init__(self) -> None:
+        self.rows: dict[str, int] = {}
+        self.batches: dict[str, int] = {}
+        self._ended: dict[str, threading.Event] = {}
+        self._lock = threading.Lock()
+
+    def _event(self, run: str) -> threading.Event:
+        with self._lock:
+            return self._ended.setdefault(run, threading.Event())
+
+    def onQueryStarted(self, event) -> None:  # noqa: N802
+        pass
+
+    def onQueryProgress(self, event) -> None:  # noqa: N802
+        run, n = str(event.progress.runId), int(event.progress.numInputRows or 0)
+        with self._lock:
+            self.rows[run] = self.rows.get(run, 0) + n
+            self.batches[run] = self.batches.get(run, 0) + (n > 0)
+
+    def onQueryIdle(self, event) -> None:  # noqa: N802
+        pass
+
+    def onQueryTerminated(self, event) -> None:  # noqa: N802
+        self._event(str(event.runId)).set()
+
+    def of(self, query, wait: float = 60.0) -> int:
+        """Rows of an ended query. Its events come in order on a bus of their own,
+        the end last, so they may be a moment behind the query."""
+        run = str(query.runId)
+        if not self._event(run).wait(wait):
+            raise TimeoutError(f"no end of query {run} within {wait} s")
+        return self.rows.get(run, 0)
 
 
 @contextmanager
-def _every_report(spark: SparkSession):
-    """Queries started here keep the reports of all their batches."""
-    before = spark.conf.get(_KEPT, None)
-    spark.conf.set(_KEPT, str(2 ** 31 - 1))
+def listening(spark: SparkSession):
+    """A ``RowsRead`` for the queries started in the block."""
+    listener = RowsRead()
+    spark.streams.addListener(listener)
     try:
-        yield
+        yield listener
     finally:
-        if before is None:
-            spark.conf.unset(_KEPT)
-        else:
-            spark.conf.set(_KEPT, before)
-
-
-def rows_read(query) -> int:
-    """Input rows over all progress reports of the query."""
-    total = 0
-    for p in query.recentProgress:
-        n = p["numInputRows"] if isinstance(p, dict) else getattr(p, "numInputRows", 0)
-        total += int(n or 0)
-    return total
+        spark.streams.removeListener(listener)
 
 
 def run_available_now(stream: DataFrame, target: str, checkpoint: str,
                       fmt: str = "parquet", transform: Callable[[DataFrame], DataFrame] | None = None,
                       merge_schema: bool = True) -> int:
     """Append everything new to ``target``; returns the rows read, from the
-    query's progress reports (no extra scan)."""
+    query's progress events (no extra scan)."""
     df = transform(stream) if transform else stream
-    with _every_report(df.sparkSession):
+    with listening(df.sparkSession) as seen:
         q = (df.writeStream.format(fmt).outputMode("append")
              .option("checkpointLocation", checkpoint)
              .option("mergeSchema", str(merge_schema).lower())
              .trigger(availableNow=True)
              .start(target))
         q.awaitTermination()
-    return rows_read(q)
+        return seen.of(q)
 
 
 def run_foreach_batch(stream: DataFrame, checkpoint: str,
                       fn: Callable[[DataFrame, int], None]) -> int:
     """Run ``fn(batch_df, batch_id)`` for each micro-batch of new input;
     returns the rows read."""
-    with _every_report(stream.sparkSession):
+    with listening(stream.sparkSession) as seen:
         q = (stream.writeStream.foreachBatch(fn)
              .option("checkpointLocation", checkpoint)
              .trigger(availableNow=True)
              .start())
         q.awaitTermination()
-    return rows_read(q)
+        return seen.of(q)
 
 
 def idempotent_batch_writer(target: str,
