@@ -86,3 +86,32 @@ def test_word_vectors_count_neighbours_within_documents():
             got[k] += np.frombuffer(raw, "<f8")
     assert np.array_equal(got.reshape(want.shape), want)
     assert (word == quality.CAPITALS).sum() == 1 and (word == quality.REPEAT).sum() == 1
+
+
+def test_labelled_texts_are_a_plain_join(spark):
+    docs = spark.range(-3000, 3000).selectExpr("id", "cast(id as string) as body").union(
+        spark.createDataFrame([(None, "x"), (7, "again")], "id long, body string"))
+    marked = spark.range(0, 40_000, 3).selectExpr("cast(id as int) as id", "1 as label", "id % 2 = 0 as curve")
+    got = toxicity._labelled(docs, marked).select("id", "body", "label", "curve")
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, docs.join(marked, "id").collect()))
+    assert toxicity._labelled(docs, marked.limit(0)).count() == 0
+
+
+def test_class_counts_do_not_depend_on_how_they_are_held(monkeypatch):
+    rng = random.Random(8)
+    texts = ["".join(rng.choice("abcde ") for _ in range(200)) for _ in range(60)]
+    batch = pa.RecordBatch.from_arrays([pa.array(texts), pa.array([i % 4 for i in range(60)])], names=["body", "label"])
+
+    def counted():
+        out = {}
+        for b in toxicity._class_counts([batch, batch]):
+            for s, n, m in zip(*(b.column(c).to_pylist() for c in ("slot", "n", "mask"))):
+                old = out.get(s, (0, 0))
+                out[s] = (old[0] + n, old[1] | m)
+        return out
+
+    whole = counted()
+    monkeypatch.setattr(toxicity, "HELD", 100)
+    monkeypatch.setattr(toxicity, "BLOCK", 500)
+    small = counted()
+    assert set(small) == set(whole) and all(small[s][1] == whole[s][1] for s in whole)

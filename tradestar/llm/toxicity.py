@@ -56,6 +56,10 @@ THRESHOLD = 0.3
 CURVE_PART = 0
 #: Labels of rows outside the curve's part and (plus 2) inside.
 GROUPS = 4
+#: Class counts that a task holds before it hands them on.
+HELD = 2_000_000
+#: Bits of the filter that keeps texts without a label out of the shuffle.
+FILTER_BITS = 1 << 26
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -139,8 +143,9 @@ def _shared_counts(batches):
 def _class_counts(batches):
     """(slot, n, mask) of the top order; slots of contexts follow those of grams,
     those of a group the ones of the group before. A group is the label, plus 2 for
-    rows that fit the curve. The tables are kept sparse."""
-    powers = Powers()
+    rows that fit the curve. The tables are kept sparse and summed before a task
+    hands them on."""
+    powers, held, size = Powers(), [], 0
     for b in batches:
         label = b.column("label").to_numpy(zero_copy_only=False)
         for i, _, data, off in blocks(b.column("body"), BLOCK):
@@ -156,11 +161,30 @@ def _class_counts(batches):
             n, cls = np.repeat(times, letters), np.repeat(of[one], letters)
             for slot, bit in ((_bucket(g.gram(ORDER), CLASS_BITS), None),
                               (_bucket(g.context(ORDER), CLASS_BITS) + (1 << CLASS_BITS), g.follower)):
-                at, times_of, order, head = _counted(slot + cls * (2 << CLASS_BITS), n)
                 mask = np.zeros(len(slot), np.int64) if bit is None else np.int64(1) << bit.astype(np.int64)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(at), pa.array(times_of), pa.array(np.bitwise_or.reduceat(mask[order], head))],
-                    names=["slot", "n", "mask"])
+                held.append(_summed([(slot + cls * (2 << CLASS_BITS), n, mask)]))
+                size += len(held[-1][0])
+            if size > HELD:
+                held = [_summed(held)]
+                size = len(held[0][0])
+                if size > HELD // 2:
+                    yield from _rows(*held[0])
+                    held, size = [], 0
+    if held:
+        yield from _rows(*_summed(held))
+
+
+def _summed(parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Slots in order, with the sum of n and the union of masks."""
+    slot, n, mask = (np.concatenate(x) for x in zip(*parts, strict=True))
+    at, total, order, head = _counted(slot, n)
+    return at, total, np.bitwise_or.reduceat(mask[order], head) if len(head) else mask
+
+
+def _rows(slot: np.ndarray, n: np.ndarray, mask: np.ndarray):
+    for i in range(0, len(slot), 1 << 16):
+        yield pa.RecordBatch.from_arrays([pa.array(x[i:i + (1 << 16)]) for x in (slot, n, mask)],
+                                         names=["slot", "n", "mask"])
 
 
 def _interpolated(n: np.ndarray, total: np.ndarray, kinds: np.ndarray, lower: np.ndarray) -> np.ndarray:
@@ -248,6 +272,23 @@ def _evidence(model, columns: tuple[str, ...], scored: bool):
     return run
 
 
+def _labelled(docs: DataFrame, marked: DataFrame) -> DataFrame:
+    """``docs`` joined to the labels. Texts without a label must not be shuffled
+    for that: a bitmap of the labelled ids' hashes, whose size is fixed, keeps
+    nearly all of them out at any ratio of labels to bits that matters, and the
+    join, the same at every size, removes those that it lets through."""
+    # as text: equal ids of two integer types have different hashes
+    place = F.pmod(F.xxhash64(F.col("id").cast("string")), F.lit(FILTER_BITS))
+    bits = marked.groupBy(F.bitmap_bucket_number(place).alias("bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("bits"))
+    bit = F.bitmap_bit_position(place)
+    byte = F.conv(F.hex(F.substring("bits", (F.floor(bit / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    there = F.getbit(byte, (bit % 8).cast("int")) == 1
+    # at most FILTER_BITS / 8 bytes
+    near = docs.withColumn("bucket", F.bitmap_bucket_number(place)).join(F.broadcast(bits), "bucket").filter(there)
+    return near.drop("bucket", "bits").join(marked.hint("merge"), "id")
+
+
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         label_col: str = "toxic", learn: Column | None = None, sample: int = SAMPLE) -> Model:
     """Counts over all of ``docs``, classes from ``labels`` (rows where
@@ -263,10 +304,9 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     part = F.pmod(F.xxhash64(F.lit("curve"), "id"), F.lit(5)) == CURVE_PART
     # the sample's bound is the bound of what is broadcast
     chosen = F.broadcast(marked.orderBy(F.xxhash64("id"), "id").limit(sample).select("id", part.alias("curve")))
-    # stored first: its size decides whether the join has to shuffle the texts
     marked = work.stored(marked.join(chosen, "id", "left").withColumn(
         "curve", F.coalesce("curve", F.lit(False))), "marked")
-    train = work.stored(docs.select(F.col(id_col).alias("id"), body).join(marked, "id")
+    train = work.stored(_labelled(docs.select(F.col(id_col).alias("id"), body), marked)
                         .select("body", "label", "curve"), "labelled")
 
     def counted(rows: DataFrame, by, name: str) -> pa.Table:
