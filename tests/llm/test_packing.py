@@ -1,5 +1,6 @@
 """Packing: round trip of every id, fixed capacity, little padding."""
 
+import json
 import zlib
 from collections import defaultdict
 
@@ -14,12 +15,11 @@ PATH = public_tokenizers.path("word_bpe_49k.json")
 
 def plain_ids(text):
     t = Tokenizer.from_file(PATH)
-    t.encode_special_tokens = True
     return t.encode(text or "", add_special_tokens=False).ids
 
 
 ODD = ["It's Ünïcode—ﬁ ½ ① İstanbul ΣΑΣ é ñ", "tab\tnew\nline\x0bvt\x0cff\rcr nbsp em\x85nel\x1cfs",
-       "<|endoftext|> and <|startoftext|>x<|endoftext|>", "日本語のテキスト 한국어 عربى", "́ lone mark ‍",
+       "<|endoftext|> and <|startoftext|>x<|endoftext|>", "<|EndOfText|> a\x00b \x00 Σας ΣΑΣ", "日本語のテキスト 한국어 عربى", "́ lone mark ‍",
        "a" * 3000, "don't they'll I'd we've 's's 12345 3.14!?..", "x" * 70 + " " + "y" * 70, "", "   "]
 
 
@@ -30,6 +30,33 @@ def test_words_equal_tokenizer():
     assert [g.tolist() for g in w.texts([t.encode() for t in ODD])] == [plain_ids(t) for t in ODD]
 
 
+def test_special_tokens_stand_for_themselves():
+    assert plain_ids("a <|endoftext|> b") == [320, 49407, 321]
+    got = WordIds(PATH).texts([b"a <|endoftext|> b", b"a <|EndOfText|> b"])
+    assert got[0].tolist() == [320, 49407, 321] and got[1].tolist() == plain_ids("a <|EndOfText|> b")
+
+
+def test_each_token_spelt_out_comes_back_as_itself():
+    """Then the lowest rank of what a pair becomes is the lowest rank of a pair."""
+    with open(PATH, encoding="utf-8") as f:
+        model = json.load(f)["model"]
+    pairs = [tuple(m.split(" ") if isinstance(m, str) else m) for m in model["merges"]]
+    rank = {p: i for i, p in enumerate(pairs)}
+    assert len({a + b for a, b in pairs}) == len(pairs)
+    for a, b in pairs:
+        token = a + b
+        inner = token.removesuffix("</w>")
+        parts = list(inner)
+        if inner != token:
+            parts[-1] += "</w>"
+        while len(parts) > 1:
+            best = min(range(len(parts) - 1), key=lambda i: (rank.get((parts[i], parts[i + 1]), 1 << 30), i))
+            if (parts[best], parts[best + 1]) not in rank:
+                break
+            parts[best:best + 2] = [parts[best] + parts[best + 1]]
+        assert parts == [token]
+
+
 def test_words_with_a_small_memory(monkeypatch):
     monkeypatch.setattr("tradestar.llm.packing.CACHED", 3)
     w = WordIds(PATH)

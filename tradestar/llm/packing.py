@@ -22,9 +22,10 @@ one named ``piece`` is replaced.
 
 from __future__ import annotations
 
+import json
 import re
-import struct
 import zlib
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -39,7 +40,7 @@ CAPACITY = 2048
 END_ID = 1
 #: Pieces are not cut shorter than this; what is left of a document then is its tail.
 GRAIN = 64
-#: Distinct words whose ids a task remembers, and the longest it remembers.
+#: Distinct words whose ids a worker remembers, and the longest it remembers.
 CACHED, CACHED_BYTES = 600_000, 64
 
 PIECE = T.StructType([
@@ -67,71 +68,112 @@ class WordIds:
 
     The tokenizer lowers the text, drops white space and merges nothing across
     it, nor across the border between a letter and punctuation; so a text's ids
-    are those of its words and marks in turn. A task looks each distinct one up
+    are those of its words and marks in turn. A worker looks each distinct one up
     once (Zipf's law) instead of running the merges for every occurrence. Plain
-    Latin words and ASCII marks go straight to the tokenizer's model; anything
-    else goes through the whole tokenizer.
+    Latin words and ASCII marks need only the merges, which ``tiktoken`` runs for
+    many words at once: it takes the pair of the lowest rank, and a word's end is
+    a byte of its own that merges with the last letter before all else. (That is
+    the same as the file's merges because each token, spelt out on its own, comes
+    back as itself; a test holds that for the file.) Anything else goes through
+    the whole tokenizer, and so does every text with the string of a special
+    token, which stands for that token.
     """
 
     def __init__(self, path: str) -> None:
+        import tiktoken
         from tokenizers import Tokenizer
-        self.plain = Tokenizer.from_file(path)
-        self.plain.encode_special_tokens = True
-        self.split = Tokenizer.from_file(path)
-        special = self.split.get_added_tokens_decoder()
+        self.tokenizer = Tokenizer.from_file(path)
+        special = self.tokenizer.get_added_tokens_decoder()
         self.border = max(special)
         self.border_text = special[self.border].content
-        self.special = [t.content for t in special.values()]
+        self.special = re.compile(b"|".join(re.escape(t.content.lower().encode()) for t in special.values()))
         self.known: dict[bytes, bytes] = {}
         self.letters = _byte_letters()
-
-    def _one_piece(self, text: str) -> str | None:
-        """The word as the model's letters, if it is surely a single piece."""
-        if text.isascii():
-            return text if text.isalpha() or _ONLY_MARKS.fullmatch(text) else None
-        text = self.plain.normalizer.normalize_str(text)
-        if text.isalpha() and max(text) < "\u0250":
-            return text.encode().decode("latin-1").translate(self.letters)
-        return None
+        with open(path, encoding="utf-8") as f:
+            model = json.load(f)["model"]
+        ranks, ids = self._ranks(model["vocab"], model["merges"], model["end_of_word_suffix"])
+        self.id_of_rank = np.array(ids, "<u4")
+        self.size_of_rank = np.array([len(raw) for raw in sorted(ranks, key=ranks.get)])
+        self.merges = tiktoken.Encoding("words", pat_str=r"[^\x00]*\x00", mergeable_ranks=ranks, special_tokens={})
+
+    def _ranks(self, vocab: dict, merges: list, end: str) -> tuple[dict[bytes, int], list[int]]:
+        """Ranks of bytes, of last bytes with the word's end (byte 0) and of merged
+        tokens, in the order in which they merge; the id of each."""
+        byte_of = {c: b for b, c in self.letters.items()}
+        spelt = lambda t: bytes(byte_of[c] for c in t.removesuffix(end)) + b"\0" * t.endswith(end)
+        pairs = [m.split(" ") if isinstance(m, str) else m for m in merges]
+        names = [c + tail for tail in ("", end) for c in self.letters.values()] + ["".join(p) for p in pairs]
+        ranks = {}
+        for i, name in enumerate(names):
+            ranks[spelt(name) if i >= 512 else bytes([i % 256]) + b"\0" * (i >= 256)] = i
+        return ranks, [vocab[n] for n in names]
+
+    def _merged(self, words: list[str]) -> list[bytes]:
+        """Little-endian ids of words without byte 0."""
+        if not words:
+            return []
+        raw = [w.encode() for w in words]
+        ranks = np.array(self.merges.encode_ordinary("\0".join(words) + "\0"), np.int64)
+        ends = np.searchsorted(np.cumsum(self.size_of_rank[ranks]), np.cumsum([len(r) + 1 for r in raw])) + 1
+        ids, cuts = self.id_of_rank[ranks].tobytes(), [0, *(4 * ends).tolist()]
+        return [ids[a:z] for a, z in zip(cuts, cuts[1:], strict=False)]
+
+    def _tokenized(self, words: list[str]) -> list[bytes]:
+        """Ids by the whole tokenizer, of many words by one call: a special token
+        between them marks where each one's ids end."""
+        out = []
+        for a in range(0, len(words), 20_000):
+            ids = np.array(self.tokenizer.encode(self.border_text.join(words[a:a + 20_000]),
+                                                 add_special_tokens=False).ids, "<u4")
+            ends = np.append(np.flatnonzero(ids == self.border), len(ids)).tolist()
+            raw, begin = ids.tobytes(), 0
+            for end in ends:
+                out.append(raw[4 * begin:4 * end])
+                begin = end + 1
+        return out
 
     def _learn(self, new: list[bytes]) -> dict[bytes, bytes]:
-        out, rest, tokenize = {}, [], self.plain.model.tokenize
+        plain, words, other = [], [], []
         for w in new:
             text = w.decode()
-            piece = self._one_piece(text)
-            if piece is not None:
-                ids = [t.id for t in tokenize(piece)]
-                out[w] = struct.pack(f"<{len(ids)}I", *ids)
-            elif any(s in text for s in self.special):
-                out[w] = np.array(self.plain.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+            if text.isascii() and (text.isalpha() or _ONLY_MARKS.fullmatch(text)):
+                plain.append(w)
+                words.append(text)
             else:
-                rest.append((w, text))
-        # many by one call: a special token between them marks where each one's ids end
-        for a in range(0, len(rest), 20_000):
-            part = rest[a:a + 20_000]
-            ids = np.array(self.split.encode(self.border_text.join(t for _, t in part),
-                                             add_special_tokens=False).ids, "<u4")
-            ends = np.append(np.flatnonzero(ids == self.border), len(ids)).tolist()
-            raw, begin = ids.tobytes(), 0
-            for (w, _), end in zip(part, ends, strict=True):
-                out[w] = raw[4 * begin:4 * end]
-                begin = end + 1
+                other.append(w)
+        spelt = [w for w in other if b"\0" not in w]
+        normal = self.tokenizer.normalizer.normalize_str("\0".join(w.decode() for w in spelt)).split("\0")
+        for w, text in zip(spelt, normal, strict=False) if len(normal) == len(spelt) else ():
+            if text.isalpha() and max(text) < "\u0250":
+                plain.append(w)
+                words.append(text)
+        done = set(plain)
+        rest = [w for w in other if w not in done]
+        out = dict(zip(plain, self._merged(words), strict=True))
+        out.update(zip(rest, self._tokenized([w.decode() for w in rest]), strict=True) if rest else ())
         return out
 
     def texts(self, raws: list[bytes]) -> list[np.ndarray]:
-        split = [_APART.sub(rb" \1 ", r.lower()).split() for r in raws]
-        get = self.known.get
-        values = [list(map(get, ws)) for ws in split]
-        new = {w for ws, vs in zip(split, values, strict=True) if None in vs
-               for w, v in zip(ws, vs, strict=True) if v is None}
-        found = self._learn(list(new))
-        for k, (ws, vs) in enumerate(zip(split, values, strict=True)):
-            if None in vs:
-                values[k] = [found[w] if v is None else v for w, v in zip(ws, vs, strict=True)]
-        if len(self.known) + len(found) > CACHED:
-            self.known = {}
-        self.known.update((w, v) for w, v in found.items() if len(w) <= CACHED_BYTES)
-        return [np.frombuffer(b"".join(vs), "<u4") for vs in values]
+        whole = {k: np.array(self.tokenizer.encode(r.decode(), add_special_tokens=False).ids, "<u4")
+                 for k, r in enumerate(raws) if self.special.search(r.lower())}
+        split = [() if k in whole else _APART.sub(rb" \1 ", r.lower()).split() for k, r in enumerate(raws)]
+        known = self.known
+        new = {w for ws in split for w in ws if w not in known}
+        if len(known) + len(new) > CACHED:
+            known = self.known = {}
+            new = {w for ws in split for w in ws}
+        known.update(self._learn(list(new)))
+        out = [np.frombuffer(b"".join(map(known.__getitem__, ws)), "<u4") for ws in split]
+        for w in new:
+            if len(w) > CACHED_BYTES:
+                del known[w]
+        return [whole.get(k, ids) for k, ids in enumerate(out)]
+
+
+@lru_cache(maxsize=1)
+def _word_ids(path: str) -> WordIds:
+    """One for each Python worker: it reads the file once and keeps its memory."""
+    return WordIds(path)
 
 
 def piece_lengths(n: int, capacity: int = CAPACITY, grain: int = GRAIN) -> list[int]:
@@ -205,7 +247,7 @@ def _pack(path: str, capacity: int, end_id: int, grain: int, with_ids: bool):
             [rows, pa.StructArray.from_arrays(arrays, fields=list(out_type))], names=["row", "piece"])
 
     def run(batches):
-        words = WordIds(path)
+        words = _word_ids(path)
         bins = Bins(capacity, TaskContext.get().partitionId() << 32)
         end = np.array([end_id], "<u4")
         for b in batches:
