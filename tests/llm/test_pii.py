@@ -122,3 +122,39 @@ def test_listed(spark):
     df = spark.createDataFrame([([("email", 1, 4, "x"), ("ip", 7, 9, "y")],)],
                                "s array<struct<kind:string,start:int,end:int,value:string>>")
     assert df.select(listed(df.s).alias("v")).first().v == "email:1:4,ip:7:9"
+
+
+def test_small_blocks_and_groups_change_nothing(spark, monkeypatch):
+    from tradestar.llm import pii
+    rng = random.Random(11)
+    words = ["4111111111111111", "a.b@c.de", "1.2.3.4", "+49 (30) 1234-567", "ref", "ab12345", "contact", "é🎉", "\n"]
+    rows = [(i, " ".join(rng.choices(words, k=rng.randint(0, 120)))) for i in range(40)] + list(enumerate(ODD, 100))
+    df = frame(spark, rows)
+
+    def results():
+        # spans that were found by context depend on the corpus alone, so all must agree
+        found = {r.doc_id: [tuple(s) for s in r.pii.spans] for r in find(df).collect()}
+        return found, {r.doc_id: r.text for r in mask(df).collect()}
+
+    whole = results()
+    monkeypatch.setattr(pii, "BLOCK", 97)
+    monkeypatch.setattr(pii, "GROUP", 3)
+    assert results() == whole
+    assert any("[EMAIL]" in t for t in whole[1].values())
+
+
+def test_time_grows_with_the_length(spark):
+    """Twice the text takes about twice as long, spans, contexts and mask."""
+    import time
+
+    def seconds(n):
+        text = "".join(f"ref ab{k:05d} mail u{k}@x.org 10.0.0.1\n" for k in range(n))
+        df = frame(spark, [(1, text)])
+        begin = time.time()
+        got = mask(df).collect()[0].text
+        assert got.count("[EMAIL]") == n and got.count("[IP]") == n
+        return time.time() - begin
+
+    seconds(100)
+    one, two = seconds(2_500), seconds(5_000)  # some 0.1 and 0.2 MB
+    assert two < 3 * one + 5

@@ -17,7 +17,9 @@ long runs linear.
 Rows: a null or empty text has no spans; repeated rows and repeated ids get
 each row's own spans (a row is known by its id and a hash of its text); a
 pattern needs SEEDS different reliable values, seeds or found in earlier rounds,
-so copies of one document prove nothing.
+so copies of one document prove nothing. Tokens of fewer than TOKEN_CHARS
+characters are no candidates. The time for a text grows with its length: running
+sums and contexts work on groups of matches and blocks of text.
 Context words are read from CONTEXT characters on either side. Extra columns
 are carried, ``pii`` is replaced.
 """
@@ -43,29 +45,56 @@ _SIGN = "A-Za-z0-9@_+"
 TOKEN = (rf"(?<![{_SIGN}.:/-])(?=[A-Za-z@_+.:/-]*+[0-9])[{_SIGN}-]++(?:[.:/][{_SIGN}-]++)*+")
 TOKEN_CHARS = 6
 CONTEXT = 80
+#: Characters of a block of text (more than CONTEXT), and matches of a group.
+BLOCK, GROUP = 4096, 512
 #: Different reliable values a pattern needs, and the score from which it may find spans.
 SEEDS, CONFIDENT, RELIABLE, ROUNDS = 3, 0.5, 0.6, 3
 #: Added to a pattern's instances, so that few of them give no full score.
 DOUBT = 1.0
 
 
-def _places(text: Column, pattern: str) -> Column:
-    """array<struct<start, end, value>> of all matches, in code points: what
-    stands between the matches and the matches themselves add up."""
+def _pairs(text: Column, pattern: str) -> Column:
+    """All matches, each with what stands between it and the match before."""
     between = F.split(text, pattern, -1)
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    start = F.struct(F.lit(0).alias("at"), F.array().cast(
-        "array<struct<start:int,end:int,value:string>>").alias("out"))
+    return F.zip_with(F.slice(between, F.lit(1), F.size(found)), found,
+                      lambda b, f: F.struct(F.length(b).alias("skip"), F.length(f).alias("n"), f.alias("value")))
+
+
+_PLACES = "array<struct<start:int,end:int,value:string>>"
+
+
+def _places(pairs: Column) -> Column:
+    """array<struct<start, end, value>> of ``_pairs``, in code points, by running
+    sums. An array grows by copying, so sums run over GROUP matches at a time and
+    over the groups' totals: linear in the matches, but for their number over
+    GROUP squared."""
+    groups = F.transform(F.sequence(F.lit(0), F.floor((F.size(pairs) - 1) / GROUP).cast("int")),
+                         lambda g: F.slice(pairs, g * GROUP + 1, GROUP))
+    totals = F.transform(groups, lambda g: F.aggregate(g, F.lit(0), lambda acc, x: acc + x["skip"] + x["n"]))
+    begins = F.aggregate(totals, F.array(F.lit(0)), lambda acc, t: F.array_append(acc, F.element_at(acc, -1) + t))
 
     def step(acc: Column, x: Column) -> Column:
-        begin = acc["at"] + F.length(x["between"])
-        end = begin + F.length(x["found"])
+        begin = acc["at"] + x["skip"]
+        end = begin + x["n"]
         return F.struct(end.alias("at"), F.array_append(acc["out"], F.struct(
-            begin.alias("start"), end.alias("end"), x["found"].alias("value"))).alias("out"))
+            begin.alias("start"), end.alias("end"), x["value"].alias("value"))).alias("out"))
+
+    within = F.zip_with(groups, F.slice(begins, F.lit(1), F.size(groups)), lambda g, at: F.aggregate(
+        g, F.struct(at.alias("at"), F.array().cast(_PLACES).alias("out")), step)["out"])
+    return F.when(F.size(pairs) > 0, F.flatten(within)).otherwise(F.array().cast(_PLACES))
+
 
-    pairs = F.zip_with(F.slice(between, F.lit(1), F.size(found)), found,
-                       lambda b, f: F.struct(b.alias("between"), f.alias("found")))
-    return F.when(F.size(found) > 0, F.aggregate(pairs, start, step)["out"]).otherwise(start["out"])
+def _blocks(text: Column) -> Column:
+    """A text in blocks of BLOCK characters: to take a part of it, Spark has to
+    count characters from the start, which must not be the whole text's."""
+    return F.regexp_extract_all(text, F.lit(f"(?s).{{1,{BLOCK}}}"), F.lit(0))
+
+
+def _by_block(spans: Column, blocks: Column) -> Column:
+    """For each block the spans that it holds some character of."""
+    return F.transform(F.sequence(F.lit(0), F.greatest(F.size(blocks) - 1, F.lit(0))), lambda i: F.filter(
+        spans, lambda s: (F.floor(s["start"] / BLOCK) <= i) & (F.floor((s["end"] - 1) / BLOCK) >= i)))
 
 
 def _digits(value: Column) -> Column:
@@ -94,25 +123,37 @@ def _valid(kind: str, value: Column) -> Column:
 _SPANS = "array<struct<kind:string,start:int,end:int,value:string>>"
 
 
-def base_spans(text: Column) -> dict[str, Column]:
-    """For each kind the valid spans (kind, start, end, value) of a text that is
-    not null. A text without the character every match needs is not searched."""
-    need = {"email": F.contains(text, F.lit("@")), "phone": F.contains(text, F.lit("+"))}
+#: The character that every match of a kind has, or None: a digit.
+_NEEDED = {"email": "@", "phone": "+"}
+
 
-    def spans(kind: str) -> Column:
-        valid = F.filter(_places(text, FORMATS[kind]), lambda s: _valid(kind, s["value"]))
-        return F.transform(valid, lambda s: F.struct(F.lit(kind).alias("kind"), s["start"].alias("start"),
-                                                     s["end"].alias("end"), s["value"].alias("value")))
+def _pairs_of(text: Column) -> dict[str, Column]:
+    """``_pairs`` of each kind's format and of tokens. A text without the
+    character that every match needs is not searched."""
+    none = F.array().cast("array<struct<skip:int,n:int,value:string>>")
+    digit = text.rlike("[0-9]")
+    return {kind: F.when(F.contains(text, F.lit(_NEEDED[kind])) if kind in _NEEDED else digit,
+                         _pairs(text, pattern)).otherwise(none)
+            for kind, pattern in {**FORMATS, "token": TOKEN}.items()}
 
-    return {kind: F.when(need.get(kind, text.rlike("[0-9]")), spans(kind)).otherwise(F.array().cast(_SPANS))
-            for kind in FORMATS}
 
+def _valid_spans(kind: str, pairs: Column) -> Column:
+    """The valid spans (kind, start, end, value) of a kind's matches."""
+    return F.transform(F.filter(_places(pairs), lambda s: _valid(kind, s["value"])), lambda s: F.struct(
+        F.lit(kind).alias("kind"), s["start"].alias("start"), s["end"].alias("end"), s["value"].alias("value")))
 
-def _patterns(text: Column, start: Column, end: Column) -> Column:
+
+def _patterns(blocks: Column, start: Column, end: Column) -> Column:
     """The lexical patterns of an occurrence (null where a word is missing)."""
-    left = F.split(F.lower(F.substring(text, F.greatest(F.lit(1), start - CONTEXT + 1),
-                                       F.least(start, F.lit(CONTEXT)))), r"\s+")
-    right = F.split(F.lower(F.substring(text, end + 1, F.lit(CONTEXT))), r"\s+")
+    some = lambda k: F.coalesce(F.get(blocks, k), F.lit(""))
+    at, to = F.floor(start / BLOCK).cast("int"), F.floor(end / BLOCK).cast("int")
+    # places in the block before and the block of the start; in that of the end and the next
+    here = start - F.greatest(at - 1, F.lit(0)) * BLOCK
+    around = F.concat(F.when(at > 0, some(at - 1)).otherwise(""), some(at))
+    left = F.split(F.lower(F.substring(around, F.greatest(F.lit(1), here - CONTEXT + 1),
+                                       F.least(here, F.lit(CONTEXT)))), r"\s+")
+    right = F.split(F.lower(F.substring(F.concat(some(to), some(to + 1)), end - to * BLOCK + 1, F.lit(CONTEXT))),
+                    r"\s+")
     words_left = F.filter(left, lambda w: w != "")
     one, two = F.try_element_at(words_left, F.lit(-1)), F.try_element_at(words_left, F.lit(-2))
     behind = F.try_element_at(F.filter(right, lambda w: w != ""), F.lit(1))
@@ -121,24 +162,33 @@ def _patterns(text: Column, start: Column, end: Column) -> Column:
 
 
 def _found(df: DataFrame, id_col: str, text_col: str, keep: list[str]) -> DataFrame:
-    """Each row with its base spans and all occurrences with their patterns."""
+    """Each row with its base spans and all occurrences with their patterns. What
+    is used more than once is a column of its own, so it is computed once."""
     text = F.col("body")
     src = df.select(F.struct(*[F.col(c) for c in keep]).alias("row"), F.col(id_col).alias("id"),
                     F.xxhash64(text_col).alias("tk"), F.coalesce(F.col(text_col), F.lit("")).alias("body"))
-    spans = base_spans(text)
-    based = src.select("*", F.concat(*[spans[k] for k in KINDS[:-1]]).alias("base"))
-    tokens = F.when(text.rlike("[0-9]"), F.filter(_places(text, TOKEN), lambda t: (
-        F.length(t["value"]) >= TOKEN_CHARS) & ~F.exists(F.col("base"), lambda s: (
-            s["start"] < t["end"]) & (t["start"] < s["end"]))))
-    seeds = F.transform("base", lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"),
-                                                   s["value"].alias("value"), F.lit(True).alias("seed")))
-    others = F.transform(tokens, lambda t: F.struct(t["start"].alias("start"), t["end"].alias("end"),
-                                                    t["value"].alias("value"), F.lit(False).alias("seed")))
-    blank = F.array().cast("array<struct<start:int,end:int,value:string,seed:boolean>>")
-    seen = F.transform(F.concat(seeds, F.coalesce(others, blank)), lambda o: F.struct(
+    matched = src.select("row", "id", "tk", _blocks(text).alias("blocks"),
+                         *[pairs.alias(f"pairs_{k}") for k, pairs in _pairs_of(text).items()])
+    based = matched.select(
+        "row", "id", "tk", "blocks",
+        F.concat(*[_valid_spans(k, F.col(f"pairs_{k}")) for k in FORMATS]).alias("base"),
+        F.filter(_places(F.col("pairs_token")), lambda t: F.length(t["value"]) >= TOKEN_CHARS).alias("tokens"))
+    placed = based.withColumn("by_block", F.when(
+        (F.size("base") > 0) & (F.size("tokens") > 0), _by_block(F.col("base"), F.col("blocks"))))
+
+    def covered(t: Column) -> Column:
+        # a span that meets the token holds a character of the block of its start or of its end
+        meets = lambda k: F.exists(F.get(F.col("by_block"), F.floor(k / BLOCK).cast("int")), lambda s: (
+            s["start"] < t["end"]) & (t["start"] < s["end"]))
+        return F.coalesce(meets(t["start"]) | meets(t["end"] - 1), F.lit(False))
+
+    occurrence = lambda o, seed: F.struct(
         o["start"].alias("start"), o["end"].alias("end"), F.lower(o["value"]).alias("value"),
-        o["seed"].alias("seed"), _patterns(text, o["start"], o["end"]).alias("patterns")))
-    return based.select("row", "id", "tk", "base", seen.alias("seen"))
+        F.lit(seed).alias("seed"), _patterns(F.col("blocks"), o["start"], o["end"]).alias("patterns"))
+    free = placed.withColumn("tokens", F.filter("tokens", lambda t: ~covered(t)))
+    return free.select("row", "id", "tk", "base", F.concat(
+        F.transform("base", lambda s: occurrence(s, True)),
+        F.transform("tokens", lambda t: occurrence(t, False))).alias("seen"))
 
 
 def _scored(work: Scratch, edges: DataFrame, rounds: int) -> tuple[DataFrame, DataFrame]:
@@ -200,18 +250,28 @@ def mask(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", rounds:
     rows = df.select(F.struct(*[F.col(c) for c in df.columns]).alias("row"), F.col(id_col).alias("id"),
                      F.xxhash64(text_col).alias("tk"), F.col(text_col).alias("body"))
     joined = rows.join(spans, F.col("id").eqNullSafe(F.col("span_id")) & (F.col("tk") == F.col("span_tk")), "left")
-    text = F.col("body")
     in_order = F.array_sort(F.transform("spans", lambda s: F.struct(
         s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"))))
-
-    def step(acc: Column, s: Column) -> Column:
-        fresh = s["start"] >= acc["at"]
-        part = F.concat(F.substring(text, acc["at"] + 1, s["start"] - acc["at"]), F.lit("["), F.upper(s["kind"]),
-                        F.lit("]"))
-        return F.struct(F.greatest(acc["at"], s["end"]).alias("at"),
-                        F.when(fresh, F.array_append(acc["out"], part)).otherwise(acc["out"]).alias("out"))
-
-    built = F.aggregate(in_order, F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out")), step)
-    new = F.concat(F.array_join(built["out"], ""), F.substring(text, built["at"] + 1, F.length(text)))
-    return joined.select(*[F.when(F.col("spans").isNull(), text).otherwise(new).alias(c) if c == text_col
-                           else F.col(f"row.{c}").alias(c) for c in df.columns])
+    ready = joined.select("row", "body", in_order.alias("spans"), F.when(F.col("spans").isNotNull(), _blocks(
+        F.col("body"))).alias("blocks"))
+    ready = ready.withColumn("by_block", _by_block(F.col("spans"), F.col("blocks")))
+    part = "array<string>"
+
+    def block(text: Column, k: Column) -> Column:
+        """A block's text without its spans; the label stands where a span begins
+        that no earlier one covers."""
+        first = k * BLOCK
+
+        def step(acc: Column, s: Column) -> Column:
+            fresh = F.concat(F.substring(text, acc["at"] - first + 1, s["start"] - acc["at"]), F.lit("["),
+                             F.upper(s["kind"]), F.lit("]"))
+            out = F.when(s["start"] >= acc["at"], F.array_append(acc["out"], fresh)).otherwise(acc["out"])
+            return F.struct(F.greatest(acc["at"], s["end"]).alias("at"), out.alias("out"))
+
+        return F.aggregate(F.get(F.col("by_block"), k), F.struct(first.alias("at"), F.array().cast(part).alias("out")),
+                           step, lambda acc: F.concat(F.array_join(acc["out"], ""), F.substring(
+                               text, acc["at"] - first + 1, F.lit(BLOCK))))
+
+    new = F.array_join(F.transform("blocks", block), "")
+    return ready.select(*[F.when(F.col("spans").isNull(), F.col("body")).otherwise(new).alias(c) if c == text_col
+                          else F.col(f"row.{c}").alias(c) for c in df.columns])
