@@ -80,3 +80,31 @@ def test_whole_table(spark):
                 r.base_labels.split(",") if r.base_labels else []) == brute(docs[r.doc_id])
         assert ("mit" in r.labels.split(",")) == ("Released under the MIT License" in docs[r.doc_id])
         assert 0 <= r.score <= 1 and set(r.base_labels.split(",")) <= set(r.labels.split(",")) | {""}
+
+
+def test_labels_that_differ_in_a_word_exclude_each_other(spark):
+    texts = {"gpl-2.0": "Licensed under the GNU General Public License, version 2.", "gpl-3.0":
+             "Licensed under the GNU General Public License, version 3.", "cc-by-nc": "Licensed under CC BY-NC 4.0",
+             "cc-by-sa": "Licensed under CC BY-SA 4.0", "cc-by": "Licensed under CC BY 4.0"}
+    rows = list(enumerate(texts.values()))
+    for r in scan(frame(spark, rows)).collect():
+        label = list(texts)[r.doc_id]
+        assert set(r.license.labels) - set(r.license.base_labels) == {label} - set(r.license.base_labels)
+        assert [s.label for s in r.license.spans] == [label]
+
+
+def test_denials_are_no_license(spark):
+    rows = [(1, "It is not released under the MIT license at all"), (2, "This isn't licensed under the MIT License"),
+            (3, "Not ours. Released under the MIT License"), (4, "not released under the MIT License; released under the "
+                                                                 "MIT License elsewhere")]
+    got = {r.doc_id: list(r.license.labels) for r in scan(frame(spark, rows)).collect()}
+    assert got == {1: [], 2: [], 3: ["mit"], 4: ["mit"]}
+
+
+def test_license_statements_of_the_given_table(spark):
+    """At sf0.01 every statement names version 3."""
+    docs = {r.doc_id: r.text for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").collect()}
+    for r in QUERIES["op8_licenses"](spark, "/root/testdata/sf0.01").collect():
+        labels = set(r.labels.split(","))
+        stated = "GNU General Public License, version 3" in docs[r.doc_id]
+        assert ("gpl-3.0" in labels) == stated and "gpl-2.0" not in labels

@@ -6,7 +6,10 @@ lies on the diagonal i - j: a copy of the template puts all its hits on one
 diagonal, and words put in or left out move the rest to a neighbouring one. So
 hits are counted by diagonal, neighbouring diagonals are merged into a span, and
 a span is verified by the share of the template's K-grams that it really holds
-(the words are compared, not only their hashes).
+(the words are compared, not only their hashes). Templates of two labels may
+differ in a word; so the same share is asked of the K-grams that tell it from
+such a twin. A span right behind a denial ("not released under ...") gives
+no label.
 
 Fixed phrases are found beside the templates wherever their words stand
 consecutively.
@@ -38,6 +41,7 @@ NEAR = 2
 #: Share of a template's K-grams that a verified span holds.
 COVERED = 0.6
 TEMPLATE_WORDS = 20_000
+DENIALS = ("not", "never", "nor")
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
@@ -80,12 +84,21 @@ def _template_words(text: str) -> list[str]:
 
 
 def _grams(templates: tuple[tuple[str, str], ...]) -> list[tuple]:
-    """(template, label, its K-grams, place, K-gram) of every template."""
-    out = []
-    for t, (label, text) in enumerate(templates):
+    """(template, label, its K-grams, those that tell it apart, place, K-gram,
+    whether this one does) of every template. Where a template of another label
+    has the share COVERED of its K-grams, those that the other lacks tell it apart;
+    where there is none, all of them do."""
+    grams = []
+    for _, text in templates:
         words = _template_words(text)
-        n = len(words) - K + 1
-        out += [(t, label, n, j, " ".join(words[j:j + K])) for j in range(max(n, 0))]
+        grams.append([" ".join(words[j:j + K]) for j in range(len(words) - K + 1)])
+    out = []
+    for t, (label, _) in enumerate(templates):
+        mine = grams[t]
+        twins = [set(other) for (name, _), other in zip(templates, grams, strict=True)
+                 if name != label and sum(g in set(other) for g in mine) >= COVERED * len(mine)]
+        tells = [all(not twins or g not in twin for twin in twins) for g in mine]
+        out += [(t, label, len(mine), sum(tells), j, g, tells[j]) for j, g in enumerate(mine)]
     if len(out) > TEMPLATE_WORDS:
         raise ValueError(f"templates hold {len(out)} word {K}-grams; at most {TEMPLATE_WORDS} are broadcast")
     return out
@@ -102,6 +115,13 @@ def _starts(words: Column, phrases: list[list[str]]) -> Column:
     return F.when((F.size(words) > 0) & some, places).otherwise(F.array().cast("array<int>"))
 
 
+def _denied(words: Column, i: Column) -> Column:
+    """Whether the word before place ``i`` takes back what follows (``isn't`` is
+    the words isn and t)."""
+    before = lambda k: F.coalesce(F.get(words, i - k), F.lit(""))
+    return before(1).isin(*DENIALS) | ((before(1) == "t") & before(2).endswith("n"))
+
+
 def scan(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", templates=TEMPLATES, phrases=PHRASES,
          carry: list[str] | None = None) -> DataFrame:
     """The columns ``carry`` of ``df`` (default: all but the text) plus
@@ -116,7 +136,7 @@ def scan(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", template
                     words_of(F.coalesce(F.col(text_col), F.lit(""))).alias("words"))
     words = F.col("words")
     grams = _grams(templates)
-    at = [sorted({g[4].split(" ")[k] for g in grams}) for k in range(K)]
+    at = [sorted({g[5].split(" ")[k] for g in grams}) for k in range(K)]
 
     def possible(i: Column) -> Column:
         return reduce(and_, [F.get(words, i + k).isin(at[k]) for k in range(K)])
@@ -124,36 +144,46 @@ def scan(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", template
     candidates = F.when(F.size(words) >= K, F.transform(
         F.filter(F.sequence(F.lit(0), F.size(words) - K), possible),
         lambda i: F.struct(i.alias("i"), F.array_join(F.slice(words, i + 1, K), " ").alias("gram"))))
+    denials = F.when(F.size(candidates) > 0, F.filter(F.sequence(F.lit(0), F.size(words)), lambda i: _denied(words, i)))
     labels: dict[str, list[list[str]]] = {}
     for phrase, label in phrases:
         labels.setdefault(label, []).append(_template_words(phrase))
     base = {label: _starts(words, parts) for label, parts in labels.items()}
     read = work.stored(src.select("row", "id", "tk", F.size(words).alias("n_words"), candidates.alias("candidates"),
-                                  *[c.alias(f"base_{k}") for k, c in enumerate(base.values())]), "read")
+                                  denials.alias("denials"), *[c.alias(f"base_{k}") for k, c in enumerate(base.values())]), "read")
     names = sorted(range(len(base)), key=lambda k: list(base)[k])
     starts = F.concat(*[F.col(f"base_{k}") for k in range(len(base))])
     found = F.filter(F.array(*[F.when(F.size(f"base_{k}") > 0, F.lit(list(base)[k])) for k in names]),
                      lambda x: x.isNotNull())
 
-    table = spark.createDataFrame(grams, "t int, label string, total int, j int, template_gram string").withColumn(
+    table = spark.createDataFrame(
+        grams, "t int, label string, total int, own int, j int, template_gram string, tells boolean").withColumn(
         "h", F.xxhash64("template_gram"))
     hits = (read.select("id", "tk", F.explode("candidates").alias("c"))
             .select("id", "tk", "c.i", "c.gram", F.xxhash64("c.gram").alias("h"))
             .join(F.broadcast(table), "h").filter("gram = template_gram"))
-    diagonals = (hits.groupBy("id", "tk", "t", "label", "total", (F.col("i") - F.col("j")).alias("d"))
-                 .agg(F.collect_set("j").alias("places"), F.min("i").alias("first"), F.max("i").alias("last")))
+    diagonals = (hits.groupBy("id", "tk", "t", "label", "total", "own", (F.col("i") - F.col("j")).alias("d"))
+                 .agg(F.collect_set("j").alias("places"), F.collect_set(F.when(F.col("tells"), F.col("j"))).alias("telling"),
+                      F.min("i").alias("first"), F.max("i").alias("last")))
     # a document's diagonals of one template, in order: a gap begins a new span
     by = "partition by id, tk, t order by d"
     gapped = diagonals.withColumn("new", F.expr(f"if(d - lag(d) over ({by}) <= {NEAR}, 0, 1)"))
+    different = lambda c: F.size(F.array_distinct(F.flatten(F.collect_list(c))))
     spans = (gapped.withColumn("span", F.expr(f"sum(new) over ({by})"))
-             .groupBy("id", "tk", "t", "label", "total", "span")
-             .agg(F.size(F.array_distinct(F.flatten(F.collect_list("places")))).alias("held"),
-                  F.min("first").alias("first"), (F.max("last") + K - 1).alias("last"))
-             .withColumn("share", F.col("held") / F.col("total")).filter(F.col("share") >= COVERED))
+             .groupBy("id", "tk", "t", "label", "total", "own", "span")
+             .agg(different("places").alias("held"), different("telling").alias("told"),
+                  F.min("d").alias("begin"), F.min("first").alias("first"),
+                  (F.max("last") + K - 1).alias("last"))
+             .withColumn("share", F.col("held") / F.col("total"))
+             .filter((F.col("share") >= COVERED) & (F.col("told") >= COVERED * F.col("own"))))
     verified = (spans.groupBy(F.col("id").alias("span_id"), F.col("tk").alias("span_tk"))
-                .agg(F.array_sort(F.collect_set("label")).alias("found_labels"), F.max("share").alias("share"),
-                     F.array_sort(F.collect_list(F.struct("first", "last", "label", "share"))).alias("spans")))
+                .agg(F.array_sort(F.collect_list(F.struct("first", "last", "label", "share", "begin"))).alias("spans")))
     joined = read.join(verified, F.col("id").eqNullSafe(F.col("span_id")) & (F.col("tk") == F.col("span_tk")), "left")
+    # where the template would begin, so that its first words need not be among the hits
+    stated = F.filter("spans", lambda s: ~F.coalesce(F.array_contains("denials", s["begin"].cast("int")), F.lit(False)))
+    joined = joined.withColumn("spans", F.transform(stated, lambda s: s.dropFields("begin")))
+    joined = joined.withColumns({"found_labels": F.transform("spans", lambda s: s["label"]),
+                                 "share": F.array_max(F.transform("spans", lambda s: s["share"]))})
     none = F.array().cast("array<string>")
     every = F.array_sort(F.array_union(found, F.coalesce("found_labels", none)))
     score = F.when(F.size(starts) > 0, F.lit(1.0)).otherwise(F.coalesce("share", F.lit(0.0)))
