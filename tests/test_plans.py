@@ -82,3 +82,49 @@ def test_gold_fact_files_stay_clustered_by_month(spark):
     for f in files:
         col = pq.read_table(f, columns=["sk_data"]).column(0).to_pylist()
         assert col == sorted(col), f
+
+
+def _stored_again(spark, tmp_path, monkeypatch, conf):
+    """The star of copied tables, stored with ``conf`` and 500 rows to a partition."""
+    import shutil
+
+    from tradestar import session
+    from tradestar.plans import trusted
+    from tradestar.session import local_path
+
+    d = tmp_path / "sf"
+    shutil.copytree(SF_SMALL, d)
+    monkeypatch.setattr(session, "ROWS_PER_PARTITION", 500, raising=False)
+    before = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        gold = trusted.materialize_gold(spark, str(d))
+        held = {k: spark.conf.get(k) for k in conf}
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    return local_path(trusted.materialize(spark, str(d))), local_path(gold), held
+
+
+def _tasks(folder) -> int:
+    import glob
+
+    return len({f.rsplit("/", 1)[1].split("-")[1] for f in glob.glob(f"{folder}/*/*.parquet")})
+
+
+#: Every shuffled partition as dealt out, and joins by shuffles only.
+AS_DEALT = {"spark.sql.shuffle.partitions": "2", "spark.sql.adaptive.coalescePartitions.enabled": "false",
+            "spark.sql.autoBroadcastJoinThreshold": "-1"}
+
+
+def test_stored_tables_are_cut_by_rows_not_by_the_sessions_number(spark, tmp_path, monkeypatch):
+    """With the session's two partitions a task would sort half the table."""
+    trusted_root, gold_root, held = _stored_again(spark, tmp_path, monkeypatch, AS_DEALT)
+    assert _tasks(f"{trusted_root}/trade") >= 12       # 6,000 records, 500 to a partition
+    assert _tasks(f"{gold_root}/ft_balanco_comercial") >= 10
+    assert held == AS_DEALT                            # the session's settings hold again
+    same = lambda a, b: a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty()
+    fact = spark.read.parquet(f"{gold_root}/ft_balanco_comercial")
+    assert same(fact.select(*sorted(fact.columns)),
+                QG.fact_of(spark, SF_SMALL).select(*sorted(fact.columns)))

@@ -14,7 +14,7 @@ from tradestar.plans import pipeline as P
 from tradestar.plans import q_gold as QG
 from tradestar.plans import q_quality as QQ
 from tradestar.plans.registry import register
-from tradestar.session import scratch_path
+from tradestar.session import scratch_path, sized_for
 from tradestar.sources import publish as PB
 from tradestar.sources import sinks as SK
 from tradestar.sources import standins as S
@@ -85,7 +85,8 @@ def q_fact_with_rejects(spark, d):
     exp, imp = QG.exp_imp(spark, d)
     by = ["rejeitada", "tipo_movimentacao"]
     flagged = G.clustered(G.flagged_fact(QQ._plant(exp), QQ._plant(imp)), by)
-    P._write_fact(spark, lake, flagged, lake.path("refined", "gold", P.FACT), by)
+    with sized_for(spark, exp.count() + imp.count()):
+        P._write_fact(spark, lake, flagged, lake.path("refined", "gold", P.FACT), by)
     fact = P.gold_table(spark, lake, P.FACT).withColumn("motivo", F.lit(None).cast("string"))
     counted = lambda df, side: df.groupBy("tipo_movimentacao", "motivo").agg(
         F.count(F.lit(1)).alias("linhas"), F.sum("valor_fob").cast("decimal(38,2)").alias("valor_fob")).select(

@@ -14,7 +14,7 @@ import threading
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradestar.session import app_id, newest_change, scratch_path
+from tradestar.session import app_id, newest_change, scratch_path, sized_for
 from tradestar.sources import standins as S
 
 _LOCK = threading.Lock()
@@ -36,8 +36,9 @@ def materialize(spark: SparkSession, sf_dir: str) -> str:
             root = scratch_path(spark, "trusted")
             # one pass of the join for both directions, stored by direction so
             # each side is read back with partition pruning
-            (S.trade_records(spark, sf_dir).hint("rebalance").write.mode("overwrite")
-             .partitionBy("fluxo").parquet(f"{root}/trade"))
+            with sized_for(spark, S.table(spark, sf_dir, "lineitem").count()):
+                (S.trade_records(spark, sf_dir).hint("rebalance").write.mode("overwrite")
+                 .partitionBy("fluxo").parquet(f"{root}/trade"))
             _ROOTS[key] = root
     return root
 
@@ -78,17 +79,18 @@ def materialize_gold(spark: SparkSession, sf_dir: str) -> str:
         root = _GOLD.get(key)
         if root is None:
             root = scratch_path(spark, "gold")
-            fact = G.clustered(G.build_fact(exp, imp), ["tipo_movimentacao"])
-            SK.overwrite_table(fact, f"{root}/ft_balanco_comercial", ["tipo_movimentacao"])
-            dims = {
-                "dim_data": G.build_dim_date(exp, imp),
-                "dim_ncm": G.build_dim_product(S.ncm(spark, sf_dir)),
-                "dim_via_transporte": G.build_dim_transport(S.via(spark, sf_dir)),
-                "dim_geografia": G.build_dim_geography(S.pais(spark, sf_dir),
-                                                       S.pais_bloco(spark, sf_dir), exp, imp),
-            }
-            for name, df in dims.items():
-                SK.overwrite_table(df, f"{root}/{name}")
+            with sized_for(spark, exp.count() + imp.count()):
+                fact = G.clustered(G.build_fact(exp, imp), ["tipo_movimentacao"])
+                SK.overwrite_table(fact, f"{root}/ft_balanco_comercial", ["tipo_movimentacao"])
+                dims = {
+                    "dim_data": G.build_dim_date(exp, imp),
+                    "dim_ncm": G.build_dim_product(S.ncm(spark, sf_dir)),
+                    "dim_via_transporte": G.build_dim_transport(S.via(spark, sf_dir)),
+                    "dim_geografia": G.build_dim_geography(S.pais(spark, sf_dir),
+                                                           S.pais_bloco(spark, sf_dir), exp, imp),
+                }
+                for name, df in dims.items():
+                    SK.overwrite_table(df, f"{root}/{name}")
             distribution = M.establishment_distribution(
                 S.estabelecimentos(spark, sf_dir), S.empresas(spark, sf_dir), S.cnaes(spark, sf_dir), S.ACTIVE_STATUS)
             SK.overwrite_table(distribution.hint("rebalance", "uf"), f"{root}/dim_distribuicao_estabelecimentos", ["uf"])

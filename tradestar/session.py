@@ -3,8 +3,11 @@ scratch folder that jobs use to cut lineage or stage files."""
 
 from __future__ import annotations
 
+import contextlib
+import math
 import os
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import SparkSession
 
@@ -77,6 +80,41 @@ def default_parallelism(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
 
 
+#: Rows of a wide table to a partition, and shuffled bytes that a task reads:
+#: what a task sorts, or hashes for a join, then stays in its memory.
+ROWS_PER_PARTITION = 500_000
+TASK_BYTES = "32m"
+#: Up to this size, as measured by AQE, a join's side goes to every executor
+#: (Spark's own default), so that a wide table need not be shuffled for it.
+BROADCAST_BYTES = "10m"
+
+
+@contextlib.contextmanager
+def sized_for(spark: SparkSession, rows: int) -> Iterator[None]:
+    """For the actions in this block, shuffles cut by ``rows`` instead of the
+    session's fixed number, which puts ever larger partitions on a task until
+    its sorts spill. AQE merges small partitions up to TASK_BYTES, and hashes
+    the smaller side of a join whose partitions are all below that, so the
+    larger is not sorted. The session's own settings hold again afterwards."""
+    least = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    values = {"spark.sql.shuffle.partitions": str(max(least, math.ceil(rows / ROWS_PER_PARTITION))),
+              "spark.sql.adaptive.advisoryPartitionSizeInBytes": TASK_BYTES,
+              "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": TASK_BYTES}
+    if not spark.conf.get("spark.sql.autoBroadcastJoinThreshold").startswith("-"):  # -1: switched off
+        values["spark.sql.adaptive.autoBroadcastJoinThreshold"] = BROADCAST_BYTES
+    before = {k: spark.conf.get(k, None) for k in values}
+    try:
+        for k, v in values.items():
+            spark.conf.set(k, v)
+        yield
+    finally:
+        for k, v in before.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+
+
 _SCRATCH: list[str] = []
 
 
