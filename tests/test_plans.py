@@ -128,3 +128,20 @@ def test_stored_tables_are_cut_by_rows_not_by_the_sessions_number(spark, tmp_pat
     fact = spark.read.parquet(f"{gold_root}/ft_balanco_comercial")
     assert same(fact.select(*sorted(fact.columns)),
                 QG.fact_of(spark, SF_SMALL).select(*sorted(fact.columns)))
+
+
+def test_trade_records_are_written_by_the_joins_own_tasks(spark, tmp_path, monkeypatch):
+    """No shuffle of the joined rows only to size the files."""
+    import shutil
+
+    from pyspark.sql import DataFrameWriter
+
+    from tradestar.plans import trusted
+
+    plans = []
+    write = DataFrameWriter.partitionBy
+    monkeypatch.setattr(DataFrameWriter, "partitionBy",
+                        lambda self, *cols: plans.append(plan(self._df)) or write(self, *cols))
+    shutil.copytree(SF_SMALL, tmp_path / "sf")
+    trusted.materialize(spark, str(tmp_path / "sf"))
+    assert len(plans) == 1 and "Join" in plans[0] and "REBALANCE" not in plans[0]

@@ -35,10 +35,11 @@ def materialize(spark: SparkSession, sf_dir: str) -> str:
         if root is None:
             root = scratch_path(spark, "trusted")
             # one pass of the join for both directions, stored by direction so
-            # each side is read back with partition pruning
+            # each side is read back with partition pruning; written by the
+            # join's own tasks, whose size AQE has set, without another shuffle
             with sized_for(spark, S.table(spark, sf_dir, "lineitem").count()):
-                (S.trade_records(spark, sf_dir).hint("rebalance").write.mode("overwrite")
-                 .partitionBy("fluxo").parquet(f"{root}/trade"))
+                (S.trade_records(spark, sf_dir).write.mode("overwrite")
+                 .partitionBy("fluxo").option("compression", "zstd").parquet(f"{root}/trade"))
             _ROOTS[key] = root
     return root
 
