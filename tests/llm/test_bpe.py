@@ -3,10 +3,15 @@
 import base64
 import hashlib
 import random
+import re
 
+import numpy as np
 import public_tokenizers as P
+import pyarrow as pa
+import pytest
 import tiktoken
 
+from tradestar.llm import bpe
 from tradestar.llm.bpe import Codec, decode, encode, encode_long, encode_rows
 
 PATH = P.path("byte_bpe_multi_50k.tiktoken")
@@ -59,3 +64,44 @@ def test_whole_table(spark):
     df = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
     for r in encode(df, PATH, P.PATTERN).collect():
         assert list(r.bpe.ids) == enc.encode_ordinary(r.text)
+
+
+def test_a_word_is_encoded_once_whatever_follows_it(monkeypatch):
+    enc, codec, calls = tik(), Codec(PATH, P.PATTERN), []
+    monkeypatch.setattr(bpe, "ROW_BYTES", 1)
+    monkeypatch.setattr(bpe, "encode_long", lambda v, raw: calls.append(raw) or encode_long(v, raw))
+    for t in ["zxqthndre. x", "zxqthndre, y zxqthndre! zxqthndre***", "zxqthndre\tz"]:
+        assert codec.texts([t])[0].tolist() == enc.encode_ordinary(t)
+    assert calls.count(b"zxqthndre") == 1
+
+
+def test_cuts_of_a_block_equal_a_plain_pattern():
+    codec, rng = Codec(PATH, P.PATTERN), random.Random(8)
+    texts = ["", *("".join(rng.choice("ab é \n\n") for _ in range(rng.randint(0, 12))) for _ in range(500)), "", " \n"]
+    texts += ["two words\tand more\n x", "nbsp\xa0 y  z"]
+    raws = [t.encode() for t in texts]
+    off = np.cumsum([0, *map(len, raws)])
+    want = []
+    for t, a in zip(texts, off.tolist(), strict=False):
+        found = [t] * bool(t) if re.search(r"[^\S \n]", t) else re.findall(r" ?[^ \n]+|[ \n]+(?![^ \n])|[ \n]", t)
+        for x in found:
+            want.append(a)
+            a += len(x.encode())
+    assert codec._cuts(np.frombuffer(b"".join(raws), np.uint8), off).tolist() == want
+
+
+@pytest.mark.parametrize("limit", [1, 7, 100, 1 << 20])
+def test_digests_do_not_depend_on_blocks(monkeypatch, limit):
+    monkeypatch.setattr(bpe, "BLOCK_BYTES", limit)
+    enc, texts = tik(), [*ODD, None, "", "x" * 300]
+    rows = pa.StructArray.from_arrays([pa.array(range(len(texts)))], names=["doc_id"])
+    batch = pa.RecordBatch.from_arrays([rows, pa.array(texts)], names=["row", "body"]).slice(1)
+    for with_ids in (False, True):
+        (out,) = bpe._code(PATH, P.PATTERN, with_ids)([batch])
+        for t, r in zip(texts[1:], out.column("bpe").to_pylist(), strict=True):
+            ids = enc.encode_ordinary(t or "")
+            want = {"n_tokens": len(ids), "ids_sha256": hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest(),
+                    "decoded_sha256": hashlib.sha256((t or "").encode()).hexdigest()}
+            assert r == (want | {"ids": ids, "decoded": t or ""} if with_ids else want)
+    (none,) = bpe._code(PATH, P.PATTERN, True)([batch.slice(0, 0)])
+    assert none.num_rows == 0

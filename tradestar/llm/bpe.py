@@ -8,8 +8,10 @@ dead right half, the pair before it), each in logarithmic time. Short matches
 run through the same tree many at a time as numpy rows; a long match walks a
 tree of its own.
 
-A task meets the same words again and again, so it remembers the ids of a
-bounded number of distinct stretches between spaces.
+A task meets the same words again and again. Blocks of texts are cut between
+spaces, equal stretches of a block are looked up once, and a task remembers the
+ids of a bounded number of distinct stretches and of the matches within them.
+Ids are spelt (as bytes, as decimals) by one gather a block.
 
 Rows: a null or empty text has no ids (and decodes to no bytes); repeated rows
 are encoded alike; extra columns of any name are carried, but one named ``bpe``
@@ -21,6 +23,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import re
+from collections.abc import Iterator
 from functools import lru_cache
 from struct import pack
 
@@ -33,8 +36,11 @@ from pyspark.sql import types as T
 
 from tradestar.llm.textblocks import blocks
 
-#: Distinct stretches a task remembers, and the longest it remembers.
-CACHED, CACHED_CHARS = 600_000, 64
+#: Distinct stretches, and distinct matches, a task remembers, and the most bytes of one.
+CACHED, CACHED_BYTES = 300_000, 64
+#: Bytes of text that one block holds unless a single document is longer, and
+#: the ids of such a document that are spelt at a time.
+BLOCK_BYTES = 1 << 20
 #: Matches of up to so many bytes run as rows of one array.
 ROW_BYTES = 64
 _NONE = np.int64(1) << 40
@@ -54,6 +60,7 @@ class Vocabulary:
                       for k in range(1, len(t)) if t[:k] in self.rank and t[k:] in self.rank}
         self.keys = np.array(sorted(self.pairs), np.int64)
         self.ids = np.array([self.pairs[k] for k in self.keys.tolist()], np.int64)
+        self.of_bytes = self.merged(self.single[:, None], self.single)
 
     def merged(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """The id each pair merges to, or _NONE."""
@@ -102,6 +109,11 @@ def encode_long(v: Vocabulary, raw: bytes) -> list[int]:
 
 def encode_rows(v: Vocabulary, raws: list[bytes]) -> list[list[int]]:
     """Matches of at most ROW_BYTES bytes by one tree per row of an array."""
+    flat, ends = _encode_rows(v, raws)
+    return [flat[a:z].tolist() for a, z in zip([0, *ends[:-1]], ends, strict=True)]
+
+
+def _encode_rows(v: Vocabulary, raws: list[bytes]) -> tuple[np.ndarray, list[int]]:
     width = 1 << max(1, (max(map(len, raws)) - 1).bit_length())
     count = len(raws)
     length = np.array([len(r) for r in raws])
@@ -112,19 +124,21 @@ def encode_rows(v: Vocabulary, raws: list[bytes]) -> list[list[int]]:
     after = np.minimum(np.tile(place + 1, (count, 1)), length[:, None])
     before = np.tile(place - 1, (count, 1))
     tree = np.full((count, 2 * width), _NONE * width, np.int64)
-    at_end = np.where(after < length[:, None], after, width)
-    tree[:, width:] = v.merged(token[:, :width], np.take_along_axis(token, at_end, 1)) * width + place
+    pairs = v.of_bytes[text[:, :-1], text[:, 1:]]
+    tree[:, width:-1] = np.where(place[1:] < length[:, None], pairs, _NONE) * width + place[:-1]
     for level in range(width.bit_length() - 1, 0, -1):
         a, z = 1 << (level - 1), 1 << level
         tree[:, a:z] = np.minimum(tree[:, 2 * a:2 * z:2], tree[:, 2 * a + 1:2 * z:2])
     rows = np.arange(count)
+    nodes = tree.reshape(-1)
 
     def put(r: np.ndarray, i: np.ndarray, value: np.ndarray) -> None:
-        i = i + width
-        tree[r, i] = value
+        i, base = i + width, r * (2 * width)
+        nodes[base + i] = value
         while i[0] > 1:
+            beside = nodes.take(base + (i ^ 1))
             i = i >> 1
-            tree[r, i] = np.minimum(tree[r, 2 * i], tree[r, 2 * i + 1])
+            nodes[base + i] = value = np.minimum(value, beside)
 
     def pair(r: np.ndarray, i: np.ndarray) -> np.ndarray:
         j = after[r, i]
@@ -149,26 +163,55 @@ def encode_rows(v: Vocabulary, raws: list[bytes]) -> list[list[int]]:
         if has.any():
             put(rows[has], b[has], pair(rows[has], b[has]))
     live = token >= 0
-    flat = token[live].tolist()
-    ends = np.cumsum(live.sum(axis=1)).tolist()
-    return [flat[a:z] for a, z in zip([0, *ends[:-1]], ends, strict=True)]
+    return token[live], np.cumsum(live.sum(axis=1)).tolist()
+
+
+class Spelling:
+    """What each id spells, and what a list of ids spells together."""
+
+    def __init__(self, parts: list[bytes]) -> None:
+        self.data = np.frombuffer(b"".join(parts), np.uint8)
+        self.size = np.fromiter(map(len, parts), np.int64, len(parts))
+        self.begin = np.cumsum(self.size) - self.size
+
+    def of_texts(self, ids: np.ndarray, at: np.ndarray) -> Iterator[list[memoryview]]:
+        """For each text (its ids from ``at`` on, to the next) its spelling; that
+        of a text beyond a block in parts."""
+        if len(ids) <= BLOCK_BYTES:
+            data, end = gather(self.data, self.begin, self.size, ids)
+            view, cuts = memoryview(data), end[at].tolist()
+            for a, z in zip(cuts, cuts[1:], strict=False):
+                yield [view[a:z]]
+        else:
+            for a, z in zip(at.tolist(), at.tolist()[1:], strict=False):
+                yield [memoryview(gather(self.data, self.begin, self.size, ids[k:min(k + BLOCK_BYTES, z)])[0])
+                       for k in range(a, z, BLOCK_BYTES)] or [memoryview(b"")]
+
+
+def gather(data: np.ndarray, begin: np.ndarray, size: np.ndarray, index: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The runs ``index`` of ``data`` (from ``begin``, of ``size``) end to end, and
+    where in that each begins, with the end of the last."""
+    count = size[index]
+    end = np.concatenate([[0], np.cumsum(count)])
+    place = np.repeat(begin[index] - end[:-1], count)
+    place += np.arange(len(place))
+    return data[place], end
 
 
 class Codec:
     """Encodes and decodes whole texts; remembers a bounded number of words."""
 
-    #: Stretches of a text in which space and newline are the only white space:
-    #: the split pattern's matches never cross their borders.
-    STRETCH = re.compile(r" ?[^ \n]+|[ \n]+(?![^ \n])|[ \n]")
     OTHER_SPACE = re.compile(r"[^\S \n]")
 
     def __init__(self, path: str, pattern: str) -> None:
         self.v = _vocabulary(path)
         self.split = regex.compile(pattern)
-        self.known: dict[str, bytes] = {}
-        self.digits = [str(i).encode() for i in range(len(self.v.bytes_of))]
+        self.known: dict[bytes, bytes] = {}
+        self.matches: dict[bytes, bytes] = {}
+        self.tokens = Spelling(self.v.bytes_of)
+        self.decimals = Spelling([b",%d" % i for i in range(len(self.v.bytes_of))])
 
-    def _matches(self, matches: list[bytes]) -> dict[bytes, bytes]:
+    def _encode(self, matches: list[bytes]) -> dict[bytes, bytes]:
         """Little-endian ids of each match."""
         out, short = {}, []
         for m in matches:
@@ -179,27 +222,81 @@ class Codec:
             else:
                 short.append(m)
         short.sort(key=len)
-        for a in range(0, len(short), 8192):
-            part = short[a:a + 8192]
-            out.update((m, pack(f"<{len(x)}i", *x)) for m, x in zip(part, encode_rows(self.v, part), strict=True))
+        for k in range(0, len(short), 8192):
+            part = short[k:k + 8192]
+            flat, ends = _encode_rows(self.v, part)
+            ids, a = flat.astype("<i4").tobytes(), 0
+            for m, z in zip(part, ends, strict=True):
+                out[m] = ids[4 * a:4 * z]
+                a = z
         return out
 
-    def texts(self, texts: list[str]) -> list[np.ndarray]:
-        cut = [[t] if self.OTHER_SPACE.search(t) else self.STRETCH.findall(t) for t in texts]
-        get = self.known.get
-        values = [list(map(get, ss)) for ss in cut]
-        new = {s for ss, vs in zip(cut, values, strict=True) if None in vs
-               for s, v in zip(ss, vs, strict=True) if v is None}
-        inner = {s: [m.encode() for m in self.split.findall(s)] for s in new}
-        ids = self._matches(list({m for ms in inner.values() for m in ms}))
-        found = {s: b"".join([ids[m] for m in ms]) for s, ms in inner.items()}
-        for k, (ss, vs) in enumerate(zip(cut, values, strict=True)):
-            if None in vs:
-                values[k] = [found[s] if v is None else v for s, v in zip(ss, vs, strict=True)]
-        if len(self.known) + len(found) > CACHED:
+    def _cuts(self, data: np.ndarray, off: np.ndarray) -> np.ndarray:
+        """Where the stretches of a block begin. A text in which space and newline
+        are the only white space is cut at borders that the split pattern's
+        matches never cross: a word with the one space before it is a stretch,
+        so is the white space before that, and a newline just before a word.
+        Other texts are one stretch."""
+        white = (data == 32) | (data == 10)
+        first, last = np.zeros((2, len(data)), bool)
+        filled = off[:-1] < off[1:]
+        first[off[:-1][filled]] = last[off[1:][filled] - 1] = True
+        # the byte before is a newline, or of the other kind; the byte after is of a word
+        line, turn, word = first.copy(), first.copy(), np.zeros(len(data), bool)
+        line[1:] |= data[:-1] == 10
+        turn[1:] |= ~white[:-1]
+        word[:-1] = ~white[1:]
+        start = np.where(white, turn | (word & ~last), line)
+        raw = data.tobytes()
+        if self.OTHER_SPACE.search(raw.decode()):
+            cuts = off.tolist()
+            for a, z in zip(cuts, cuts[1:], strict=False):
+                if self.OTHER_SPACE.search(raw[a:z].decode()):
+                    start[a + 1:z] = False
+        return np.flatnonzero(start)
+
+    def _stretches(self, stretches: list[bytes]) -> list[bytes]:
+        """Little-endian ids of distinct stretches."""
+        values = list(map(self.known.get, stretches))
+        new = [i for i, v in enumerate(values) if v is None]
+        find, inner, ends = self.split.findall, [], []
+        for i in new:
+            inner += find(stretches[i].decode())
+            ends.append(len(inner))
+        inner = list(map(str.encode, inner))
+        coded = list(map(self.matches.get, inner))
+        found = self._encode(list({m for m, v in zip(inner, coded, strict=True) if v is None}))
+        coded = [found[m] if v is None else v for m, v in zip(inner, coded, strict=True)]
+        if len(self.matches) + len(found) > CACHED:
+            self.matches = {}
+        self.matches.update((m, v) for m, v in found.items() if len(m) <= CACHED_BYTES)
+        if len(self.known) + len(new) > CACHED:
             self.known = {}
-        self.known.update((s, x) for s, x in found.items() if len(s) <= CACHED_CHARS)
-        return [np.frombuffer(b"".join(vs), "<i4") for vs in values]
+        a = 0
+        for i, z in zip(new, ends, strict=True):
+            values[i] = x = coded[a] if z == a + 1 else b"".join(coded[a:z])
+            if len(s := stretches[i]) <= CACHED_BYTES:
+                self.known[s] = x
+            a = z
+        return values
+
+    def block(self, data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of a block of texts, and where those of each text begin, with
+        the end of the last."""
+        start = self._cuts(data, off)
+        ends = np.append(start, len(data))
+        coded = pa.Array.from_buffers(pa.large_binary(), len(start), [None, pa.py_buffer(ends), pa.py_buffer(data)]
+                                      ).dictionary_encode()
+        values = self._stretches(coded.dictionary.to_numpy(zero_copy_only=False).tolist())
+        size = np.fromiter(map(len, values), np.int64, len(values)) // 4
+        ids, at = gather(np.frombuffer(b"".join(values), "<i4"), np.cumsum(size) - size, size,
+                         coded.indices.to_numpy())
+        return ids, at[np.searchsorted(start, off)]
+
+    def texts(self, texts: list[str]) -> list[np.ndarray]:
+        raws = [t.encode() for t in texts]
+        ids, at = self.block(np.frombuffer(b"".join(raws), np.uint8), np.cumsum([0, *map(len, raws)]))
+        return np.split(ids, at[1:-1]) if raws else []
 
     def decode(self, ids: list[int]) -> bytes:
         return b"".join(map(self.v.bytes_of.__getitem__, ids))
@@ -223,22 +320,30 @@ def _code(path: str, pattern: str, with_ids: bool):
         codec = Codec(path, pattern)
         for b in batches:
             cols: list[list] = [[] for _ in fields]
-            for _, _, data, off in blocks(b.column("body"), 1 << 20):
-                raw, cuts = data.tobytes(), off.tolist()
-                for ids in codec.texts([raw[a:z].decode() for a, z in zip(cuts, cuts[1:], strict=False)]):
-                    listed = ids.tolist()
-                    back = codec.decode(listed)
-                    values = [len(listed),
-                              hashlib.sha256(b",".join(map(codec.digits.__getitem__, listed))).hexdigest(),
-                              hashlib.sha256(back).hexdigest(), ids, back.decode()]
-                    for c, x in zip(cols, values, strict=False):
-                        c.append(x)
+            for _, _, data, off in blocks(b.column("body"), BLOCK_BYTES):
+                ids, at = codec.block(data, off)
+                cols[0] += np.diff(at).tolist()
+                for listed in codec.decimals.of_texts(ids, at):
+                    cols[1].append(_sha256([listed[0][1:], *listed[1:]]))
+                for back in codec.tokens.of_texts(ids, at):
+                    cols[2].append(_sha256(back))
+                    if with_ids:
+                        cols[4].append(b"".join(back).decode())
+                if with_ids:
+                    cols[3] += np.split(ids, at[1:-1])
             arrays = [pa.array(c, t) for c, (_, _, t) in zip(cols, fields, strict=True)]
             yield pa.RecordBatch.from_arrays(
                 [b.column("row"), pa.StructArray.from_arrays(arrays, fields=list(out_type))], names=["row", "bpe"])
     return run
 
 
+def _sha256(parts: list[memoryview]) -> str:
+    digest = hashlib.sha256()
+    for p in parts:
+        digest.update(p)
+    return digest.hexdigest()
+
+
 def encode(df: DataFrame, ranks_path: str, pattern: str, text_col: str = "text",
            carry: list[str] | None = None, with_ids: bool = True) -> DataFrame:
     """The columns ``carry`` of ``df`` (default: all) plus ``bpe`` =
