@@ -1,6 +1,7 @@
 """Held-out accuracy of the two classifiers, and their defined edge results."""
 
 import random
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -115,3 +116,25 @@ def test_class_counts_do_not_depend_on_how_they_are_held(monkeypatch):
     monkeypatch.setattr(toxicity, "BLOCK", 500)
     small = counted()
     assert set(small) == set(whole) and all(small[s][1] == whole[s][1] for s in whole)
+
+
+def test_word_vectors_take_memory_by_the_block():
+    """A worker's arrays follow the block, not the batch."""
+    rng = random.Random(4)
+    texts = [" ".join(rng.choice(("red", "dog,", "RAN", "far")) for _ in range(2000)) for _ in range(300)]
+    batch = pa.RecordBatch.from_arrays([pa.array(texts)], names=["body"])
+    tracemalloc.start()
+    try:
+        assert sum(b.num_rows for b in quality._contexts([batch])) > 0
+        assert tracemalloc.get_traced_memory()[1] < 48 << 20
+    finally:
+        tracemalloc.stop()
+
+
+def test_quality_sends_only_texts_and_vectors_to_python(spark):
+    docs = spark.createDataFrame([(1, "a b", "x"), (2, "c", None)], "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(1, 1), (2, 0)], "doc_id long, quality int")
+    got = quality.score(docs, labels)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "ArrowEvalPython" in plan and "MapInArrow" not in plan
+    assert sorted((r.doc_id, r.text, r.lang) for r in got.collect()) == [(1, "a b", "x"), (2, "c", None)]

@@ -3,11 +3,14 @@
 import json
 import zlib
 from collections import defaultdict
+from types import SimpleNamespace
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 from tokenizers import Tokenizer
 
+from tradestar.llm import packing
 from tradestar.llm.packing import WordIds, pack, piece_lengths
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
@@ -111,3 +114,11 @@ def test_edges(spark):
     assert pack(df.limit(0), PATH).collect() == []
     twice = pack(df.union(df), PATH).collect()
     assert sum(r.piece.length for r in twice) == 2 * sum(r.piece.length for r in got.collect())
+
+
+def test_words_are_forgotten_with_the_task(monkeypatch):
+    """A Python worker outlives its task; what it knew must not stay in memory."""
+    monkeypatch.setattr(packing, "TaskContext", SimpleNamespace(get=lambda: SimpleNamespace(partitionId=lambda: 3)))
+    batch = pa.RecordBatch.from_arrays([pa.array([1, 2]), pa.array(["some words", "more words"])], names=["row", "body"])
+    out = list(packing._pack(PATH, 2048, 1, 64, False)([batch]))
+    assert sum(b.num_rows for b in out) >= 2 and not packing._word_ids(PATH).known

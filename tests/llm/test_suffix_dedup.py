@@ -74,3 +74,20 @@ def test_whole_table(spark, sf):
     rows = [(r.doc_id, r.text) for r in
             spark.read.parquet(f"/root/testdata/{sf}/documents.parquet").collect()]
     assert run(spark, rows, 200) == expected(rows, 200)
+
+
+def test_cut_returns_batches_by_the_block():
+    """Texts of a batch are not all held twice more before they go back."""
+    import pyarrow as pa
+
+    from tradestar.llm import suffix_dedup, textblocks
+    texts = ["x" * 50_000, None, "yé" * 20_000] * 20
+    marks = [[{"p": 10, "n": 1}], None, None] * 20
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array([{"id": i} for i in range(60)]), pa.array(texts),
+         pa.array(marks, pa.list_(pa.struct([("p", pa.int64()), ("n", pa.int64())])))], names=["row", "body", "marks"])
+    out = list(suffix_dedup._cut(40, True)([batch]))
+    assert len(out) > 1 and all(b.column("dedup").field("n_bytes").to_numpy().sum() <= textblocks.BLOCK_BYTES for b in out)
+    rows = [r for b in out for r in b.to_pylist()]
+    assert [r["row"]["id"] for r in rows] == list(range(60))
+    assert [r["dedup"]["text"] for r in rows] == ["x" * 49_960, None, "yé" * 20_000] * 20

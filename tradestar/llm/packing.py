@@ -40,8 +40,8 @@ CAPACITY = 2048
 END_ID = 1
 #: Pieces are not cut shorter than this; what is left of a document then is its tail.
 GRAIN = 64
-#: Distinct words whose ids a worker remembers, and the longest it remembers.
-CACHED, CACHED_BYTES = 600_000, 64
+#: Distinct words whose ids a task remembers, and the longest it remembers.
+CACHED, CACHED_BYTES = 400_000, 64
 
 PIECE = T.StructType([
     T.StructField("start", T.LongType()), T.StructField("length", T.LongType()),
@@ -68,7 +68,7 @@ class WordIds:
 
     The tokenizer lowers the text, drops white space and merges nothing across
     it, nor across the border between a letter and punctuation; so a text's ids
-    are those of its words and marks in turn. A worker looks each distinct one up
+    are those of its words and marks in turn. A task looks each distinct one up
     once (Zipf's law) instead of running the merges for every occurrence. Plain
     Latin words and ASCII marks need only the merges, which ``tiktoken`` runs for
     many words at once: it takes the pair of the lowest rank, and a word's end is
@@ -172,7 +172,8 @@ class WordIds:
 
 @lru_cache(maxsize=1)
 def _word_ids(path: str) -> WordIds:
-    """One for each Python worker: it reads the file once and keeps its memory."""
+    """One for each Python worker, which reads the file once; the words it knows
+    go with the task, as the worker lives on for tasks of other kinds."""
     return WordIds(path)
 
 
@@ -264,6 +265,7 @@ def _pack(path: str, capacity: int, end_id: int, grain: int, with_ids: bool):
                 if bins.full:
                     yield batch(bins.full)
                     bins.full = []
+        words.known = {}
         bins.finish()
         if bins.full:
             yield batch(bins.full)

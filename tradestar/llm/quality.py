@@ -24,6 +24,7 @@ Extra columns are carried, ``quality`` is replaced.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -84,7 +85,7 @@ def _contexts(batches):
                 a, z = word[:-d][near], word[d:][near]
                 for at, other in ((a, z), (z, a)):
                     for j in range(NONZERO):
-                        total += np.bincount(at * DIM + places[other, j], signs[other, j], WORDS * DIM)
+                        np.add.at(total, at * DIM + places[other, j], signs[other, j])
     yield from _slices(total)
 
 
@@ -129,13 +130,12 @@ def pool(vectors: np.ndarray, data: np.ndarray, off: np.ndarray, powers: Powers)
 
 
 def _pooled(shipped):
-    def run(batches):
+    @F.arrow_udf("binary")
+    def run(bodies: Iterator[pa.Array]) -> Iterator[pa.Array]:
         powers, vectors = Powers(), shipped.value
-        for b in batches:
-            out = [pool(vectors, data, off, powers) for _, _, data, off in blocks(b.column("body"))]
-            raw = [row.tobytes() for part in out for row in part.astype("<f4")]
-            yield pa.RecordBatch.from_arrays([b.column("row"), b.column("id"), pa.array(raw, pa.binary())],
-                                             names=["row", "id", "vector"])
+        for body in bodies:
+            out = [pool(vectors, data, off, powers) for _, _, data, off in blocks(body)]
+            yield pa.array([row.tobytes() for part in out for row in part.astype("<f4")], pa.binary())
     return run
 
 
@@ -211,8 +211,8 @@ def score(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     vectors = spark.sparkContext.broadcast(word_vectors(docs, text_col))
     src = docs.select(F.struct(*[F.col(c) for c in keep]).alias("row"), F.col(id_col).alias("id"),
                       F.col(text_col).alias("body"))
-    schema = T.StructType([src.schema["row"], src.schema["id"], T.StructField("vector", T.BinaryType())])
-    pooled = Scratch(spark).stored(src.mapInArrow(_pooled(vectors), schema), "pooled")
+    # only the text goes to Python; the rows wait for its vector in Spark
+    pooled = Scratch(spark).stored(src.select("row", "id", _pooled(vectors)("body").alias("vector")), "pooled")
     marked = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("label")).filter(
         "label in (0, 1) and id is not null")
     if learn is not None:
@@ -227,16 +227,11 @@ def score(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     network = spark.sparkContext.broadcast(train(x, rows.column("label").to_numpy()))
     out = T.StructType([T.StructField("score", T.DoubleType()), T.StructField("predicted", T.IntegerType())])
 
-    def scored(batches):
-        net = network.value
-        for b in batches:
-            raw = b"".join(b.column("vector").to_pylist())
-            s = net.scores(np.frombuffer(raw, "<f4").reshape(-1, DIM).astype(float))
-            yield pa.RecordBatch.from_arrays(
-                [b.column("row"), pa.StructArray.from_arrays(
-                    [pa.array(s), pa.array((s >= THRESHOLD).astype(np.int32))], names=["score", "predicted"])],
-                names=["row", "quality"])
-
-    return (pooled.select("row", "vector")
-            .mapInArrow(scored, T.StructType([src.schema["row"], T.StructField("quality", out)]))
-            .select("row.*", "quality"))
+    @F.arrow_udf(out)
+    def scored(vector: pa.Array) -> pa.Array:
+        raw = b"".join(vector.to_pylist())
+        s = network.value.scores(np.frombuffer(raw, "<f4").reshape(-1, DIM).astype(float))
+        return pa.StructArray.from_arrays(
+            [pa.array(s), pa.array((s >= THRESHOLD).astype(np.int32))], names=["score", "predicted"])
+
+    return pooled.select("row.*", scored("vector").alias("quality"))

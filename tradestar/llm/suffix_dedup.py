@@ -245,10 +245,10 @@ def _cut(length: int, with_text: bool):
         + [("text", pa.string())] * with_text)
 
     def run(batches):
-        for b in batches:
+        for b, i, j in ((b, i, j) for b in batches for i, j, _, _ in blocks(b.column("body"))):
             out = []
             bodies, marks = b.column("body"), b.column("marks")
-            for k in range(b.num_rows):
+            for k in range(i, j):
                 raw = (bodies[k].as_py() or "").encode()
                 spans = _merged(marks[k].values, length) if marks[k].is_valid else []
                 edges = [0, *(x for s in spans for x in s), len(raw)]
@@ -258,7 +258,8 @@ def _cut(length: int, with_text: bool):
                             "spans": [{"start": x, "end": y} for x, y in spans]})
                 if with_text:
                     out[-1]["text"] = None if not bodies[k].is_valid else _whole_characters(kept)
-            yield pa.RecordBatch.from_arrays([b.column("row"), pa.array(out, out_type)], names=["row", "dedup"])
+            yield pa.RecordBatch.from_arrays([b.column("row").slice(i, j - i), pa.array(out, out_type)],
+                                             names=["row", "dedup"])
     return run
 
 

@@ -14,8 +14,9 @@ import pyarrow as pa
 
 U64 = np.uint64
 #: Bytes of text that one block holds unless a single document is longer. The
-#: arrays made of a block take some 100 times as much.
-BLOCK_BYTES = 1 << 20
+#: arrays made of a block take some 100 times as much, and a worker's allocator
+#: keeps that for its next tasks.
+BLOCK_BYTES = 1 << 18
 _MASK = (1 << 64) - 1
 _BASE = 0x9E3779B97F4A7C15 | 1
 _BASE_INV = pow(_BASE, -1, 1 << 64)
@@ -95,7 +96,9 @@ def sliding_argmin(h: np.ndarray, w: int) -> np.ndarray:
 
 def blocks(column: pa.Array, limit: int = BLOCK_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """Slices of a string column as ``(first, last, bytes, offsets)``; a null is
-    an empty text. A block holds at most ``limit`` bytes or one document."""
+    an empty text. A block holds at most ``limit`` bytes or one document. At the
+    column's end, what Arrow holds of earlier columns goes back to the system:
+    a Python worker lives on, and its next task may need memory elsewhere."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
     if column.null_count:
@@ -113,6 +116,7 @@ def blocks(column: pa.Array, limit: int = BLOCK_BYTES) -> Iterator[tuple[int, in
         j = min(j, n)
         yield i, j, data[off[i]:off[j]], off[i:j + 1] - off[i]
         i = j
+    pa.default_memory_pool().release_unused()
 
 
 def words(data: np.ndarray, offsets: np.ndarray, in_word: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
