@@ -56,8 +56,14 @@ THRESHOLD = 0.3
 CURVE_PART = 0
 #: Labels of rows outside the curve's part and (plus 2) inside.
 GROUPS = 4
-#: Class counts that a task holds before it hands them on.
-HELD = 2_000_000
+#: Letters of distinct words that a task holds before it counts their grams.
+HELD = 4_000_000
+#: Bytes of text hashed, and letters spelt out, at a time: arrays of this length
+#: stay in a core's cache.
+PIECE = 1 << 18
+SPELT = 1 << 15
+#: Bits of the table of words whose evidence a task remembers.
+KNOWN_BITS = 19
 #: Bits of the filter that keeps texts without a label out of the shuffle.
 FILTER_BITS = 1 << 26
 
@@ -71,50 +77,136 @@ _WORD[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = Tru
 def _word_hashes(data: np.ndarray, off: np.ndarray, powers: Powers):
     """Lower-cased bytes; start, end, document and hash of each word."""
     low = _LOWER[data]
-    start, end, doc = words(low, off, _WORD)
-    return low, start, end, doc, RollingHash(low, powers).spans(start, end)
+    parts, i = [], 0
+    while i < len(off) - 1:
+        j = max(i + 1, int(np.searchsorted(off, off[i] + PIECE, "right")) - 1)
+        text = low[off[i]:off[j]]
+        start, end, doc = words(text, off[i:j + 1] - off[i], _WORD)
+        parts.append((start + off[i], end + off[i], doc + i, RollingHash(text, powers).spans(start, end)))
+        i = j
+    return low, *(np.concatenate(x) for x in zip(*parts, strict=True))
+
+
+def _distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct keys in the order of their first places, those places, and
+    where each key stands among the distinct ones."""
+    coded = pa.array(keys).dictionary_encode()
+    of = coded.indices.to_numpy()
+    first = np.flatnonzero(_heads(np.maximum.accumulate(of)))
+    return coded.dictionary.to_numpy(), first, of
+
+
+def _heads(a: np.ndarray) -> np.ndarray:
+    """Whether a value differs from the one before; the first does."""
+    return np.concatenate([[True], a[1:] != a[:-1]])
 
 
 def _spelt(low: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The words laid out as `` word word ``: bytes, place of each letter (or
-    closing space) and of the space before its word."""
+    """The words laid out as `` word word ``: bytes, place of each word's first
+    letter, letters of each word with its closing space."""
     n = end - start + 1
     first = np.cumsum(n) - n + 1  # behind the leading space
-    out = np.full(int(n.sum()) + 1, 32, np.uint8)
-    k = np.repeat(np.arange(len(n)), n - 1)
-    step = np.arange(len(k)) - np.repeat(np.cumsum(n - 1) - (n - 1), n - 1)
-    out[first[k] + step] = low[start[k] + step]
-    place = np.arange(1, len(out))
-    return out, place, np.repeat(first - 1, n)
+    out = np.empty(int(n.sum()) + 1, np.uint8)
+    np.take(low, np.repeat(start - first, n) + np.arange(1, len(out)), mode="clip", out=out[1:])
+    out[0] = out[first + n - 1] = 32
+    return out, first, n
 
 
 class Grams:
     """Hashes of the letters up to each place, for every order."""
 
     def __init__(self, low, start, end, powers: Powers) -> None:
-        self.text, self.place, self.word_start = _spelt(low, start, end)
+        self.text, first, self.n = _spelt(low, start, end)
+        self.begin = first - 1
+        self.depth = np.arange(1, len(self.text)) - np.repeat(self.begin, self.n)
         self.hash = RollingHash(self.text, powers)
-        self.follower = (self.text[self.place] * np.uint8(37)) & np.uint8(31)
+        self.follower = (self.text[1:] * np.uint8(37)) & np.uint8(31)
+
+    def __len__(self) -> int:
+        return len(self.depth)
+
+    def orders(self):
+        """(k, grams of order k, what stands before the place in them). Where a
+        word is shorter the gram is that of the order below; what stands before
+        a place is what the order below has at the place before."""
+        gram, before = None, np.zeros(len(self), U64)
+        single = self.hash.grams(1)
+        for k in range(1, ORDER + 1):
+            if k == 1:
+                here = single[1:]
+            else:
+                before = np.empty_like(gram)
+                before[1:] = gram[:-1]
+                before[self.begin] = single[0]  # the space before the word
+                here = gram.copy()
+                np.copyto(here[k - 2:], self.hash.grams(k), where=self.depth[k - 2:] >= k - 1)
+            gram = here
+            yield k, gram, before
 
-    def gram(self, k: int) -> np.ndarray:
-        return self.hash.spans(np.maximum(self.word_start, self.place - k + 1), self.place + 1)
 
-    def context(self, k: int) -> np.ndarray:
-        """What stands before the place in grams of order k."""
-        return self.hash.spans(np.minimum(np.maximum(self.word_start, self.place - k + 1), self.place), self.place)
+def _spelt_out(low: np.ndarray, start: np.ndarray, end: np.ndarray, powers: Powers):
+    """(first word, last word, grams) of stretches of about SPELT letters."""
+    upto = np.cumsum(end - start + 1)
+    i = 0
+    while i < len(start):
+        j = max(i + 1, int(np.searchsorted(upto, (upto[i - 1] if i else 0) + SPELT, "right")))
+        yield i, j, Grams(low, start[i:j], end[i:j], powers)
+        i = j
 
 
 def _bucket(h: np.ndarray, bits: int) -> np.ndarray:
     return (h >> U64(64 - bits)).astype(np.int64)
 
 
-def _counted(keys: np.ndarray, weights: np.ndarray | None = None):
-    order = np.argsort(keys, kind="stable")
-    keys = keys[order]
-    head = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.empty(0, int)
-    n = np.add.reduceat(weights[order], head) if weights is not None and len(keys) else np.diff(
-        np.append(head, len(keys)))
-    return keys[head], n, order, head
+class Held:
+    """Distinct words of several blocks: keys, letters, and how often each counts."""
+
+    def __init__(self) -> None:
+        self.parts: list[tuple[np.ndarray, ...]] = []
+        self.size = 0
+
+    def add(self, key, times, group, low, start, end) -> None:
+        n = end - start
+        at = np.repeat(start - (np.cumsum(n) - n), n) + np.arange(n.sum())
+        self.parts.append((key, times, group, n, low[at]))
+        self.size += len(at) + len(n)
+
+    def merged(self) -> tuple[np.ndarray, ...]:
+        """The words with their times summed; they stay held as one part."""
+        key, times, group, n, low = (np.concatenate(x) for x in zip(*self.parts, strict=True))
+        if len(self.parts) > 1:
+            key, one, of = _distinct(key)
+            start = (np.cumsum(n) - n)[one]
+            times = np.bincount(of, times).astype(np.int64)
+            self.parts, self.size = [], 0
+            self.add(key, times, group[one], low, start, start + n[one])
+            key, times, group, n, low = self.parts[0]
+        end = np.cumsum(n)
+        return times, group, low, end - n, end
+
+
+def _held(batches, powers: Powers, grouped: bool):
+    """(times, group, bytes, start, end) of distinct words, handed on when HELD is
+    reached. A word's times are the blocks that it stands in or, where the rows
+    have labels, its places under each."""
+    held = Held()
+    for b in batches:
+        label = b.column("label").to_numpy(zero_copy_only=False).astype(np.int64) if grouped else None
+        for i, _, data, off in blocks(b.column("body"), BLOCK):
+            low, start, end, doc, h = _word_hashes(data, off, powers)
+            if not len(h):
+                continue
+            of = label[i + doc] if grouped else np.zeros(len(h), np.int64)
+            key, one, at = _distinct(h ^ mix(of.astype(U64)) if grouped else h)
+            times = np.bincount(at) if grouped else np.ones(len(key), np.int64)
+            held.add(key, times, of[one], low, start[one], end[one])
+            if held.size > HELD:
+                out = held.merged()
+                if held.size > HELD // 2:
+                    yield out
+                    held = Held()
+    if held.parts:
+        yield held.merged()
 
 
 def _shared_counts(batches):
@@ -122,17 +214,14 @@ def _shared_counts(batches):
     powers = Powers()
     n_of = np.zeros((ORDER - 1, 1 << SHARED_BITS), np.int64)
     mask_of = np.zeros((ORDER - 1, 1 << SHARED_BITS), np.uint32)
-    for b in batches:
-        for _, _, data, off in blocks(b.column("body"), BLOCK):
-            low, start, end, _, h = _word_hashes(data, off, powers)
-            if not len(h):
-                continue
-            _, one = np.unique(h, return_index=True)
-            g = Grams(low, start[one], end[one], powers)
+    for times, _, low, start, end in _held(batches, powers, False):
+        for i, j, g in _spelt_out(low, start, end, powers):
+            n = np.repeat(times[i:j], g.n)
             bit = np.uint32(1) << g.follower.astype(np.uint32)
-            for k in range(1, ORDER):
-                n_of[k - 1] += np.bincount(_bucket(g.gram(k), SHARED_BITS), minlength=1 << SHARED_BITS)
-                np.bitwise_or.at(mask_of[k - 1], _bucket(g.context(k), SHARED_BITS), bit)
+            for k, gram, before in g.orders():
+                if k < ORDER:
+                    np.add.at(n_of[k - 1], _bucket(gram, SHARED_BITS), n)
+                    np.bitwise_or.at(mask_of[k - 1], _bucket(before, SHARED_BITS), bit)
     for k in range(ORDER - 1):
         at = np.flatnonzero((n_of[k] > 0) | (mask_of[k] > 0))
         yield pa.RecordBatch.from_arrays(
@@ -143,42 +232,34 @@ def _shared_counts(batches):
 def _class_counts(batches):
     """(slot, n, mask) of the top order; slots of contexts follow those of grams,
     those of a group the ones of the group before. A group is the label, plus 2 for
-    rows that fit the curve. The tables are kept sparse and summed before a task
+    rows that fit the curve. The counts are kept sparse and summed before a task
     hands them on."""
-    powers, held, size = Powers(), [], 0
-    for b in batches:
-        label = b.column("label").to_numpy(zero_copy_only=False)
-        for i, _, data, off in blocks(b.column("body"), BLOCK):
-            low, start, end, doc, h = _word_hashes(data, off, powers)
-            if not len(h):
-                continue
-            of = label[i + doc].astype(np.int64)
-            key = h ^ mix(of.astype(U64))
-            _, one, inverse = np.unique(key, return_index=True, return_inverse=True)
-            times = np.bincount(inverse)
-            g = Grams(low, start[one], end[one], powers)
-            letters = end[one] - start[one] + 1
-            n, cls = np.repeat(times, letters), np.repeat(of[one], letters)
-            for slot, bit in ((_bucket(g.gram(ORDER), CLASS_BITS), None),
-                              (_bucket(g.context(ORDER), CLASS_BITS) + (1 << CLASS_BITS), g.follower)):
-                mask = np.zeros(len(slot), np.int64) if bit is None else np.int64(1) << bit.astype(np.int64)
-                held.append(_summed([(slot + cls * (2 << CLASS_BITS), n, mask)]))
-                size += len(held[-1][0])
-            if size > HELD:
-                held = [_summed(held)]
-                size = len(held[0][0])
-                if size > HELD // 2:
-                    yield from _rows(*held[0])
-                    held, size = [], 0
-    if held:
-        yield from _rows(*_summed(held))
-
-
-def _summed(parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Slots in order, with the sum of n and the union of masks."""
-    slot, n, mask = (np.concatenate(x) for x in zip(*parts, strict=True))
-    at, total, order, head = _counted(slot, n)
-    return at, total, np.bitwise_or.reduceat(mask[order], head) if len(head) else mask
+    powers = Powers()
+    for times, group, low, start, end in _held(batches, powers, True):
+        grams, contexts = [], []
+        for i, j, g in _spelt_out(low, start, end, powers):
+            *_, (_, gram, before) = g.orders()
+            base, n = np.repeat(group[i:j] * (2 << CLASS_BITS), g.n), np.repeat(times[i:j], g.n)
+            grams.append(_packed(base + _bucket(gram, CLASS_BITS), n, np.zeros_like(g.follower)))
+            contexts.append(_packed(base + _bucket(before, CLASS_BITS) + (1 << CLASS_BITS), n, g.follower))
+        slot, n, mask = _summed(np.concatenate(grams))
+        yield from _rows(slot, n, np.zeros_like(mask))
+        yield from _rows(*_summed(np.concatenate(contexts)))
+
+
+def _packed(slot: np.ndarray, n: np.ndarray, follower: np.ndarray) -> np.ndarray:
+    """One number of each slot (23 bits), follower (5) and count (36)."""
+    return (slot.astype(U64) << U64(41)) | (follower.astype(U64) << U64(36)) | n.astype(U64)
+
+
+def _summed(packed: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Slots in order, with the sum of n and the mask of followers."""
+    packed = np.sort(packed)
+    slot = (packed >> U64(41)).astype(np.int64)
+    head = np.flatnonzero(_heads(slot))
+    bit = np.int64(1) << ((packed >> U64(36)) & U64(31)).astype(np.int64)
+    n = (packed & U64((1 << 36) - 1)).astype(np.int64)
+    return slot[head], np.add.reduceat(n, head), np.bitwise_or.reduceat(bit, head)
 
 
 def _rows(slot: np.ndarray, n: np.ndarray, mask: np.ndarray):
@@ -195,6 +276,26 @@ def _interpolated(n: np.ndarray, total: np.ndarray, kinds: np.ndarray, lower: np
     return np.where(total > 0, np.maximum(n - DISCOUNT, 0) / safe + spare * lower, lower)
 
 
+class Known:
+    """Evidence of words that a task has met: one word to a place of a table of
+    fixed size, the last one met."""
+
+    def __init__(self) -> None:
+        self.key = np.zeros(1 << KNOWN_BITS, U64)
+        self.key[0] = ~U64(0)  # a key of another place: none is known yet
+        self.value = np.zeros(1 << KNOWN_BITS)
+
+    def look_up(self, key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The value of each key, and whether it is known."""
+        at = _bucket(key, KNOWN_BITS)
+        return self.value[at], self.key[at] == key
+
+    def keep(self, key: np.ndarray, value: np.ndarray) -> None:
+        at = _bucket(key, KNOWN_BITS)
+        self.key[at] = key
+        self.value[at] = value
+
+
 @dataclass
 class Model:
     """Tables of fixed size and the curve (slope, intercept)."""
@@ -207,32 +308,48 @@ class Model:
 
     def letters(self, g: Grams) -> np.ndarray:
         """log P(letter | toxic) - log P(letter | ordinary) at each place."""
-        p = np.full(len(g.place), 1 / 256)
-        for k in range(1, ORDER):
-            ctx = _bucket(g.context(k), SHARED_BITS)
-            n = self.shared_n[k - 1][_bucket(g.gram(k), SHARED_BITS)]
-            total = self.shared_n[k - 2][ctx] if k > 1 else np.full(len(n), self.shared_n[0].sum())
+        p = np.full(len(g), 1 / 256)
+        for k, gram, before in g.orders():
+            if k == ORDER:
+                break
+            ctx = _bucket(before, SHARED_BITS)
+            if k == 1:
+                total = np.full(len(g), self.shared_n[0].sum())
+            else:  # what the order below counted at the place before
+                total = np.empty_like(n)
+                total[1:] = n[:-1]
+                total[g.begin] = self.shared_n[k - 2][ctx[0]]
+            n = self.shared_n[k - 1][_bucket(gram, SHARED_BITS)]
             p = _interpolated(n, total, self.shared_kinds[k - 1][ctx], p)
-        gram, ctx = _bucket(g.gram(ORDER), CLASS_BITS), _bucket(g.context(ORDER), CLASS_BITS)
+        gram, ctx = _bucket(gram, CLASS_BITS), _bucket(before, CLASS_BITS)
         ordinary, toxic = (np.log(np.maximum(1e-12, _interpolated(
             self.class_n[c][gram], self.class_n[c][ctx + (1 << CLASS_BITS)], self.class_kinds[c][ctx], p)))
             for c in (0, 1))
         return toxic - ordinary
 
-    def evidence(self, data: np.ndarray, off: np.ndarray, powers: Powers) -> np.ndarray:
+    def of_words(self, low: np.ndarray, start: np.ndarray, end: np.ndarray, powers: Powers) -> np.ndarray:
+        """Evidence of each word."""
+        out = np.empty(len(start))
+        for i, j, g in _spelt_out(low, start, end, powers):
+            out[i:j] = np.add.reduceat(self.letters(g), g.begin)
+        return np.log(1 - MIXED + MIXED * np.exp(np.minimum(out, 20.0)))
+
+    def evidence(self, data: np.ndarray, off: np.ndarray, powers: Powers, known: Known) -> np.ndarray:
         """Length-normalised evidence of each document of a block."""
         count = len(off) - 1
         low, start, end, doc, h = _word_hashes(data, off, powers)
         if not len(h):
             return np.zeros(count)
-        _, once = np.unique(h ^ mix(doc.astype(U64)), return_index=True)
-        _, one, word = np.unique(h[once], return_index=True, return_inverse=True)
-        one = once[one]
-        n = end[one] - start[one] + 1
-        by_word = np.add.reduceat(self.letters(Grams(low, start[one], end[one], powers)), np.cumsum(n) - n)
-        by_word = np.log(1 - MIXED + MIXED * np.exp(np.minimum(by_word, 20.0)))
-        total = np.bincount(doc[once], by_word[word], minlength=count)
-        return total / np.sqrt(np.maximum(1, np.bincount(doc[once], minlength=count)))
+        key, one, word = _distinct(h)
+        by_word, there = known.look_up(key)
+        new = one[~there]
+        by_word[~there] = self.of_words(low, start[new], end[new], powers)
+        known.keep(key[~there], by_word[~there])
+        pairs = np.sort((doc.astype(U64) << U64(32)) | word.astype(U64))
+        pairs = pairs[_heads(pairs)]
+        of = (pairs >> U64(32)).astype(np.int64)
+        total = np.bincount(of, by_word[(pairs & U64(0xFFFFFFFF)).astype(np.int64)], minlength=count)
+        return total / np.sqrt(np.maximum(1, np.bincount(of, minlength=count)))
 
     def scores(self, evidence: np.ndarray) -> np.ndarray:
         return 1 / (1 + np.exp(-np.clip(self.curve[0] * evidence + self.curve[1], -700, 700)))
@@ -256,9 +373,9 @@ def _curve(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
 
 def _evidence(model, columns: tuple[str, ...], scored: bool):
     def run(batches):
-        powers, m = Powers(), model.value
+        powers, known, m = Powers(), Known(), model.value
         for b in batches:
-            out = [m.evidence(data, off, powers) for _, _, data, off in blocks(b.column("body"), BLOCK)]
+            out = [m.evidence(data, off, powers, known) for _, _, data, off in blocks(b.column("body"), BLOCK)]
             x = np.concatenate(out) if out else np.zeros(0)
             cols = [b.column(c) for c in columns]
             if scored:
